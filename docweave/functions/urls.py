@@ -106,22 +106,6 @@ def normalize_link(c) -> Column:
     return F.when(q == "", s).otherwise(rebuilt)
 
 
-def resolve_rooted(base, href) -> Column:
-    """L2, native part of ``urljoin``: absolute, ``//host`` and ``/rooted``.
-
-    Returns null for relative forms (``a/b``, ``../x``, ``?q``, ``#f``, ''),
-    which :func:`docweave.operators.extract.resolve_relative` handles.
-    """
-    base, href = col(base), col(href)
-    href_scheme = F.regexp_extract(href, r"^([A-Za-z][A-Za-z0-9+.\-]*):", 1)
-    base_scheme = scheme(base)
-    return (
-        F.when(F.lower(href_scheme).isin("http", "https"), href)
-        .when(href.startswith("//"), F.concat(base_scheme, F.lit(":"), href))
-        .when(href.startswith("/"), F.concat(base_scheme, F.lit("://"), netloc(base), href))
-    )
-
-
 def is_likely_content_link(source_url, link, min_depth: int = 2) -> Column:
     """Path non-empty, differs from the source path, no blocked token, deep enough."""
     src_path = F.regexp_replace(path(source_url), "/+$", "")
@@ -173,3 +157,41 @@ def feed_url_for_article(article_url) -> Column:
         .when(on_feed_host, unsplit(scheme(s), netloc(s), F.concat(F.lit("/feed/"), first), F.lit(""), F.lit("")))
         .when(h.endswith(".medium.com"), unsplit(scheme(s), netloc(s), F.lit("/feed"), F.lit(""), F.lit("")))
     )
+
+
+def urljoin(base, href) -> Column:
+    """L2: ``urllib.parse.urljoin(base, href)`` for http(s) bases, natively.
+
+    Absolute and ``//host`` references are taken as they are; a rooted or
+    relative path is merged with the base directory, empty middle segments
+    are dropped and dot segments removed with an ``aggregate`` stack (only
+    evaluated for rows that need it); an empty path keeps the base path and,
+    without its own query, the base query.
+    """
+    b, h = col(base), col(href)
+    h_scheme = F.lower(F.regexp_extract(h, r"^([A-Za-z][A-Za-z0-9+.\-]*):", 1))
+    b_scheme, b_net, b_path, b_query = scheme(b), netloc(b), split_path(b), query(b)
+    ref = F.regexp_replace(h, r"^[^?#]*", "")  # '?query#frag' part of the reference
+    h_path = F.regexp_extract(h, r"^([^?#]*)", 1)
+    h_query = F.regexp_extract(ref, r"^\?([^#]*)", 1)
+    h_frag = F.regexp_extract(ref, r"#([\s\S]*)$", 1)
+    merged = F.when(h_path.startswith("/"), h_path).otherwise(
+        F.concat(F.regexp_replace(b_path, r"[^/]*$", ""), h_path))
+    segs = F.split(merged, "/")
+    n = F.size(segs)
+    segs = F.filter(segs, lambda x, i: (x != "") | (i == 0) | (i == n - 1))
+    stack = F.aggregate(
+        segs, F.array().cast("array<string>"),
+        lambda acc, s: F.when(s == "..", F.slice(acc, 1, F.greatest(F.size(acc) - 1, F.lit(0))))
+        .when(s == ".", acc).otherwise(F.concat(acc, F.array(s))))
+    last = F.element_at(segs, -1)
+    stack = F.when(last.isin(".", ".."), F.concat(stack, F.array(F.lit("")))).otherwise(stack)
+    joined = F.array_join(stack, "/")
+    new_path = F.when(joined == "", F.lit("/")).otherwise(joined)
+    keep_base = unsplit(b_scheme, b_net, b_path,
+                        F.when(h_query != "", h_query).otherwise(b_query), h_frag)
+    return (F.when(h == "", unsplit(b_scheme, b_net, b_path, b_query, F.lit("")))
+            .when(h_scheme != "", h)
+            .when(h.startswith("//"), F.concat(b_scheme, F.lit(":"), h))
+            .when(h_path == "", keep_base)
+            .otherwise(unsplit(b_scheme, b_net, new_path, h_query, h_frag)))
