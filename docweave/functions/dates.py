@@ -25,7 +25,7 @@ def _iso_text(raw: Column) -> Column:
 def parse_datetime(c) -> Column:
     """ISO (with 'Z') else RFC-2822 mail date else null -> timestamp (UTC instant)."""
     raw = strip_ws(col(c))
-    iso = F.try_cast(_iso_text(raw), "timestamp")
+    iso = _iso_text(raw).try_cast("timestamp")
     compact = F.when(raw.rlike(_COMPACT_RE), F.try_to_timestamp(raw, F.lit("yyyyMMdd")))
     day = F.regexp_extract(raw, _RFC_RE, 1)
     clock = F.regexp_extract(raw, _RFC_RE, 2)
@@ -52,7 +52,7 @@ def local_date(c) -> Column:
     """
     raw = strip_ws(col(c))
     parsed = parse_datetime(raw)
-    iso_day = F.when(raw.rlike(_ISO_RE), F.try_cast(F.substring(raw, 1, 10), "date"))
+    iso_day = F.when(raw.rlike(_ISO_RE), F.substring(raw, 1, 10).try_cast("date"))
     compact_day = F.when(raw.rlike(_COMPACT_RE), F.to_date(F.try_to_timestamp(raw, F.lit("yyyyMMdd"))))
     rfc_day = F.to_date(F.try_to_timestamp(F.regexp_extract(raw, _RFC_RE, 1), F.lit("d MMM yyyy")))
     return F.when(parsed.isNotNull(), F.coalesce(iso_day, compact_day, rfc_day))
