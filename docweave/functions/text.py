@@ -78,9 +78,9 @@ def split_full_name(c) -> Column:
     """
     tokens = F.filter(F.split(col(c), " "), lambda t: t != "")
     n = F.size(tokens)
-    first = F.when(n == 1, F.element_at(tokens, 1)).otherwise(
+    first = F.when(n == 1, F.try_element_at(tokens, F.lit(1))).otherwise(
         F.array_join(F.slice(tokens, 1, n - 1), " "))
-    last = F.element_at(tokens, -1)
+    last = F.try_element_at(tokens, F.lit(-1))
     checked = F.when((n == 0) | col(c).isNull(),
                      F.raise_error(F.lit("User name is empty."))).otherwise(first)
     return F.struct(checked.alias("first_name"), last.alias("last_name"))

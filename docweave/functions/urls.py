@@ -127,7 +127,7 @@ def is_repository_link(link) -> Column:
     """Code-host link with exactly two non-empty path parts, not a site page."""
     parts = F.filter(F.split(path(link), "/"), lambda x: x != "")
     return (host(link).isin(*D.CODE_HOSTS) & (F.size(parts) == 2)
-            & ~F.lower(F.element_at(parts, 1)).isin(*D.BLOCKED_REPO_SEGMENTS))
+            & ~F.lower(F.try_element_at(parts, F.lit(1))).isin(*D.BLOCKED_REPO_SEGMENTS))
 
 
 def is_paper_link(link) -> Column:
@@ -184,7 +184,7 @@ def urljoin(base, href) -> Column:
         segs, F.array().cast("array<string>"),
         lambda acc, s: F.when(s == "..", F.slice(acc, 1, F.greatest(F.size(acc) - 1, F.lit(0))))
         .when(s == ".", acc).otherwise(F.concat(acc, F.array(s))))
-    last = F.element_at(segs, -1)
+    last = F.try_element_at(segs, F.lit(-1))
     stack = F.when(last.isin(".", ".."), F.concat(stack, F.array(F.lit("")))).otherwise(stack)
     joined = F.array_join(stack, "/")
     new_path = F.when(joined == "", F.lit("/")).otherwise(joined)
