@@ -111,24 +111,30 @@ def same_host_links(sources: DataFrame, limit, min_depth: int = 2) -> DataFrame:
     return top_k(c, ["source_pos"], ["pos"], limit, "source_rank")
 
 
-def expand_sources(sources: DataFrame, limit: int, min_depth: int = 2) -> DataFrame:
+def expand_sources(sources: DataFrame, limit, min_depth: int = 2) -> DataFrame:
     """L8 (+L9): blogs/news expansion over a category's listing pages.
 
     Per source at most ``max(2, ceil(limit / n_sources))`` links (distinct
     only within a source); sources in order until the category has
     ``limit``: the loop's early stop equals the final cut, a W3 on
     (source_pos, pos).  Feed hosts (``medium.com`` in the host) are routed to
-    the feed strategy and left out here.
+    the feed strategy and left out here.  ``limit`` is an int or a
+    DataFrame (category, quota) to expand several categories in one pass.
     """
     n = sources.groupBy("category").agg(F.count(F.lit(1)).alias("_n"))
+    if isinstance(limit, DataFrame):
+        n = n.join(limit.select("category", F.col("quota").alias("_limit")), "category")
+    else:
+        n = n.withColumn("_limit", F.lit(limit))
     s = sources.filter(~U.host("source_url").contains("medium.com")).join(F.broadcast(n), "category")
-    per_source = F.greatest(F.lit(2), F.ceil(F.lit(limit) / F.col("_n")))
+    per_source = F.greatest(F.lit(2), F.ceil(F.col("_limit") / F.col("_n")))
     links = same_host_links(s, per_source, min_depth)
-    return top_k(links, ["category"], ["source_pos", "pos"], limit, "category_rank_pos")
+    out = top_k(links, ["category"], ["source_pos", "pos"], F.col("_limit"), "category_rank_pos")
+    return out.drop("_n", "_limit")
 
 
-def capped_links(candidates: DataFrame, limit: int, n_sources: int) -> DataFrame:
-    """Links distinct across sources, per-source cap ceil(limit/n), total limit.
+def capped_links(candidates: DataFrame, limit, n_sources: int | None = None) -> DataFrame:
+    """L4/L5 (and L6): links distinct across sources, per-source cap, total limit.
 
     The ``seen`` set of the reference holds only *taken* links, so whether a
     link is free depends on earlier sources: a fold.  Per source only its
@@ -136,23 +142,34 @@ def capped_links(candidates: DataFrame, limit: int, n_sources: int) -> DataFrame
     of them can be already taken, at most ``cap`` are taken), so each source
     contributes a bounded slice; one ordered array per category is folded
     with ``aggregate``.  ``candidates``: (category, source_pos, pos, link),
-    already filtered by the category's predicate.
+    already filtered by the category's predicate.  ``limit`` is an int (with
+    ``n_sources``: cap = ceil(limit / n_sources)) or a DataFrame
+    (category, quota, cap) to fold several categories in one pass; a cap
+    >= quota gives the uncapped list of L6.
     """
-    cap = max(1, math.ceil(limit / max(1, n_sources)))
-    c = first_wins(candidates, ["category", "source_pos", "link"], ["pos"])
-    c = top_k(c, ["category", "source_pos"], ["pos"], limit + cap, "_r")
-    arr = c.groupBy("category").agg(F.sort_array(F.collect_list(F.struct("source_pos", "pos", "link"))).alias("_c"))
-    init = F.struct(F.array().cast("array<struct<source_pos:bigint,pos:int,link:string>>").alias("taken"),
+    if isinstance(limit, DataFrame):
+        params = limit.select("category", F.col("quota").alias("_limit"), F.col("cap").alias("_cap"))
+    else:
+        cap = max(1, math.ceil(limit / max(1, n_sources or 1)))
+        params = candidates.select("category").distinct().select(
+            "category", F.lit(limit).alias("_limit"), F.lit(cap).alias("_cap"))
+    c = candidates.join(F.broadcast(params), "category")
+    c = first_wins(c, ["category", "source_pos", "link"], ["pos"])
+    c = top_k(c, ["category", "source_pos"], ["pos"], F.col("_limit") + F.col("_cap"), "_r")
+    arr = c.groupBy("category", "_limit", "_cap").agg(
+        F.sort_array(F.collect_list(F.struct(F.col("source_pos").cast("bigint").alias("source_pos"),
+                                             F.col("pos").cast("int").alias("pos"), "link"))).alias("_c"))
+    elem = "struct<source_pos:bigint,pos:int,link:string>"
+    init = F.struct(F.array().cast(f"array<{elem}>").alias("taken"),
                     F.lit(None).cast("bigint").alias("src"), F.lit(0).alias("n_src"))
 
     def step(acc, x):
         same = acc["src"] == x["source_pos"]
         n_src = F.when(same, acc["n_src"]).otherwise(F.lit(0))
         free = ~F.exists(acc["taken"], lambda t: t["link"] == x["link"])
-        take = free & (n_src < cap) & (F.size(acc["taken"]) < limit)
+        take = free & (n_src < F.col("_cap")) & (F.size(acc["taken"]) < F.col("_limit"))
         return F.struct(
-            F.when(take, F.concat(acc["taken"], F.array(x.cast(
-                "struct<source_pos:bigint,pos:int,link:string>")))).otherwise(acc["taken"]).alias("taken"),
+            F.when(take, F.concat(acc["taken"], F.array(x))).otherwise(acc["taken"]).alias("taken"),
             x["source_pos"].alias("src"),
             (n_src + F.when(take, 1).otherwise(0)).alias("n_src"))
 
@@ -173,20 +190,27 @@ def job_links(pages: DataFrame, limit: int, base: str = "https://www.linkedin.co
     return a.orderBy("page_index", "pos").limit(limit)
 
 
-def discover(parts: dict[str, DataFrame], max_links: int | None = D.MAX_LINKS) -> DataFrame:
+def discover(parts: dict[str, DataFrame] | DataFrame, max_links: int | None = D.MAX_LINKS) -> DataFrame:
     """Concat per-category candidates (each already cut to its quota,
     with ``source_pos``/``pos``), first-wins distinct after normalisation,
     http only, cut to the target in (category, source, position) order.
+    ``parts``: one DataFrame with a ``category`` column, or one per category.
     """
     target = discovery_target(max_links)
-    ranks = {c: i for i, c in enumerate(D.DISCOVERY_CATEGORY_ORDER)}
-    allc = None
-    for cat, df in parts.items():
-        d = df.select(F.lit(cat).alias("category"), F.lit(ranks[cat]).alias("category_rank"),
-                      F.col("source_pos").cast("bigint").alias("source_pos"), F.col("pos").cast("bigint").alias("pos"),
-                      F.col("link").alias("_raw"))
-        d = fence(d.withColumn("link", U.normalize_link("_raw")).drop("_raw"), ["link"])
-        allc = d if allc is None else allc.unionByName(d)
+    rank = F.lit(len(D.DISCOVERY_CATEGORY_ORDER))
+    for i, c in reversed(list(enumerate(D.DISCOVERY_CATEGORY_ORDER))):
+        rank = F.when(F.col("category") == c, F.lit(i)).otherwise(rank)
+    if isinstance(parts, dict):
+        frames = [df if "category" in df.columns else df.withColumn("category", F.lit(cat))
+                  for cat, df in parts.items()]
+        allc = frames[0].select("category", "source_pos", "pos", "link")
+        for f in frames[1:]:
+            allc = allc.unionByName(f.select("category", "source_pos", "pos", "link"))
+    else:
+        allc = parts.select("category", "source_pos", "pos", "link")
+    allc = allc.select("category", rank.alias("category_rank"), F.col("source_pos").cast("bigint").alias("source_pos"),
+                       F.col("pos").cast("bigint").alias("pos"), F.col("link").alias("_raw"))
+    allc = fence(allc.withColumn("link", U.normalize_link("_raw")).drop("_raw"), ["link"])
     allc = allc.filter(U.is_http_url("link"))
     allc = first_wins(allc, ["link"], ["category_rank", "source_pos", "pos"])
     return allc.orderBy("category_rank", "source_pos", "pos").limit(target)

@@ -83,9 +83,9 @@ SELECT category, source_pos, pos, link, category_rank_pos FROM ({_expand_sql('ne
 """, _L3_CTES)
 def l8_expand_sources(spark: SparkSession, sf: str) -> DataFrame:
     """L8 (+L9, L3, W3): blogs and news expansion over their listing pages."""
-    ps = V.page_sources(spark, sf)
-    parts = [L.expand_sources(ps.filter(F.col("category") == c), QUOTA[c], min_depth=1) for c in ("blogs", "news")]
-    out = parts[0].unionByName(parts[1])
+    ps = V.page_sources(spark, sf).filter(F.col("category").isin("blogs", "news"))
+    quotas = spark.createDataFrame([(c, QUOTA[c]) for c in ("blogs", "news")], "category string, quota int")
+    out = L.expand_sources(ps, quotas, min_depth=1)
     return out.select("category", "source_pos", F.col("pos").cast("bigint").alias("pos"), "link",
                       F.col("category_rank_pos").cast("bigint").alias("category_rank_pos"))
 
@@ -139,20 +139,38 @@ def l6_job_links(spark: SparkSession, sf: str) -> DataFrame:
     return out.select("page_index", F.col("pos").cast("bigint").alias("pos"), "link")
 
 
+def html_candidates(spark: SparkSession, sf: str) -> DataFrame:
+    """L10 on result/listing pages: every anchor is resolved once per
+    strategy (repository, paper, job) and kept where that strategy's
+    predicate holds; the pages are parsed once."""
+    a = L.anchors(V.html_docs(spark, sf))
+    bases = F.array(*[F.struct(F.lit(c).alias("category"), F.lit(b).alias("base"))
+                      for c, b in (("github", GITHUB_BASE), ("research_papers", PAPER_BASE),
+                                   ("job_postings", JOB_BASE))])
+    x = a.select(F.col("doc_id").alias("source_pos"), "pos", "href", "anchor_class", F.inline(bases))
+    x = L.resolve_hrefs(x, F.col("base"))
+    is_job = (F.col("anchor_class").rlike(rf"(^|\s){D.JOB_ANCHOR_CLASS}(\s|$)")
+              | F.col("href").contains(D.JOB_ANCHOR_HREF_PART)) & U.is_http_url("link")
+    keep = ((F.col("category") == "github") & U.is_repository_link("link")) | (
+        (F.col("category") == "research_papers") & U.is_paper_link("link")) | (
+        (F.col("category") == "job_postings") & is_job)
+    return x.filter(keep).select("category", "source_pos", "pos", "link")
+
+
 def discovery_parts(spark: SparkSession, sf: str) -> dict[str, DataFrame]:
-    """One candidate list per category, each cut to its L11 quota."""
-    ps = V.page_sources(spark, sf)
-    quota = {r["category"]: r["quota"] for r in L.category_targets(spark, MAX_LINKS).collect()}
-    gh = _html_candidates(spark, sf, GITHUB_BASE, U.is_repository_link).withColumn("category", F.lit("github"))
-    rp = _html_candidates(spark, sf, PAPER_BASE, U.is_paper_link).withColumn("category", F.lit("research_papers"))
-    jobs = L.job_links(V.html_docs(spark, sf).withColumnRenamed("doc_id", "page_index"), quota["job_postings"], JOB_BASE)
-    return {
-        "blogs": L.expand_sources(ps.filter(F.col("category") == "blogs"), quota["blogs"], min_depth=1),
-        "github": L.capped_links(gh, quota["github"], N_CURATED["github"]),
-        "job_postings": jobs.withColumnRenamed("page_index", "source_pos"),
-        "news": L.expand_sources(ps.filter(F.col("category") == "news"), quota["news"], min_depth=1),
-        "research_papers": L.capped_links(rp, quota["research_papers"], N_CURATED["research_papers"]),
-    }
+    """Candidate lists per category, each cut to its L11 quota; one
+    pass over the listing pages and one over the result pages."""
+    quotas = L.category_targets(spark, MAX_LINKS)
+    caps = {"github": N_CURATED["github"], "research_papers": N_CURATED["research_papers"]}
+    cap = F.lit(1 << 30)
+    for c, n in caps.items():
+        cap = F.when(F.col("category") == c, F.greatest(F.lit(1), F.ceil(F.col("quota") / F.lit(n)))).otherwise(cap)
+    html_q = quotas.filter(F.col("category").isin("github", "research_papers", "job_postings")).withColumn(
+        "cap", cap.cast("int"))
+    ps = V.page_sources(spark, sf).filter(F.col("category").isin("blogs", "news"))
+    pages = L.expand_sources(ps, quotas.filter(F.col("category").isin("blogs", "news")), min_depth=1)
+    folded = L.capped_links(html_candidates(spark, sf), html_q)
+    return {"all": pages.select("category", "source_pos", "pos", "link").unionByName(folded)}
 
 
 _L12_CTES = {
