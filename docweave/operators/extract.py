@@ -183,3 +183,18 @@ def tree_fields(pages: DataFrame, key: str, html: str = "html",
             yield extract_batch(pdf, key, html, fields)
 
     return pages.select(key, html).mapInPandas(run, schema)
+
+
+def rendered_article_records(tree: DataFrame, native: DataFrame, key: str, link: str = "link") -> DataFrame:
+    """Rendered feed-host page: title = first h1, else the page title,
+    else the link; content = h2 subtitle + blank line + whole page text;
+    platform/source ``medium``.  ``tree`` comes from :func:`tree_fields`,
+    ``native`` from :func:`page_fields` (same key, plus ``link``)."""
+    j = tree.join(native, key)
+    parts = F.array_compact(F.array(F.nullif(F.col("subtitle"), F.lit("")), F.nullif(F.col("page_text"), F.lit(""))))
+    return j.select(
+        key, link,
+        F.coalesce(F.nullif(F.col("first_h1"), F.lit("")), F.nullif(F.col("html_title"), F.lit("")), F.col(link)).alias("title"),
+        F.array_join(parts, "\n\n").alias("content"), "tags", "published_at", "published_date",
+        F.lit("medium").alias("platform"), F.lit("medium").alias("source"),
+        F.create_map(F.lit("subtitle"), F.col("subtitle")).alias("raw_metadata"))

@@ -291,3 +291,18 @@ def s2_resolve_links(spark: SparkSession, sf: str) -> DataFrame:
     manual = L.manual_links(lines)
     auto = V.crawl_docs(spark, sf).select(F.col("seq").alias("pos"), "link")
     return L.resolve_links(manual, auto).select("link")
+
+
+@register("s3_fallback_links", """
+SELECT pos, link FROM (
+  SELECT page_id AS pos, trim(CASE WHEN contains(url, '#') THEN '# ' || url ELSE url END) AS link FROM pages)
+WHERE link <> '' AND NOT starts_with(link, '#') AND regexp_matches(link, '^[Hh][Tt][Tt][Pp][Ss]?://[^/?#]')
+ORDER BY pos LIMIT 25""")
+def s3_fallback_links(spark: SparkSession, sf: str) -> DataFrame:
+    """S3: fallback link file (stored URLs; fragment URLs written as comments):
+    stripped, comments and non-http dropped, cut to the target."""
+    from ..sources.tables import read_table
+    p = read_table(spark, sf, "pages", ["page_id", "url"])
+    lines = p.select(F.col("page_id").alias("pos"), F.when(F.col("url").contains("#"), F.concat(
+        F.lit("# "), F.col("url"))).otherwise(F.col("url")).alias("value"))
+    return L.fallback_links(lines, L.discovery_target()).select("pos", "link")

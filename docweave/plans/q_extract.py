@@ -108,3 +108,16 @@ def h8_job_documents(spark: SparkSession, sf: str) -> DataFrame:
                     F.array_compact(F.array("company", "location")).alias("seed_tags"))
     docs = P.build_documents(jobs, topic=V.TOPIC, seed_tags="seed_tags")
     return docs.select("seq", "status", "collection_name", "content_kind", "has_job_signal", joined("tags").alias("tags"))
+
+
+@register("h12_rendered_article_documents")
+def h12_rendered_article_documents(spark: SparkSession, sf: str) -> DataFrame:
+    """H12 (+H5, H4, P2, E11): rendered pages stored for feed hosts -> documents."""
+    p = read_table(spark, sf, "pages", ["page_id", "url", "html"])
+    tree = X.tree_fields(p, "page_id")
+    native = X.page_fields(p).select("page_id", F.col("url").alias("link"), "html_title", "tags",
+                                     "published_at", "published_date")
+    recs = X.rendered_article_records(tree, native, "page_id").withColumns(
+        {"seq": F.col("page_id"), "topic_query": F.lit(V.TOPIC)})
+    docs = P.build_documents(recs, topic=V.TOPIC, seed_tags="tags")
+    return docs.select("seq", "status", "title", "collection_name", "platform")
