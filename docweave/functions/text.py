@@ -22,13 +22,19 @@ def col(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+# The same set as characters: trim() with an explicit set only looks at the
+# two ends of a string instead of scanning it with a regex.
+WS_CHARS = ("\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680" + "".join(chr(c) for c in range(0x2000, 0x200B))
+            + "\u2028\u2029\u202f\u205f\u3000")
+
+
 def strip_ws(c) -> Column:
     """``str.strip()`` with Python's whitespace set."""
-    return F.regexp_replace(col(c), f"^{WS}+|{WS}+$", "")
+    return F.trim(col(c), F.lit(WS_CHARS))
 
 
 def rstrip_ws(c) -> Column:
-    return F.regexp_replace(col(c), f"{WS}+$", "")
+    return F.rtrim(col(c), F.lit(WS_CHARS))
 
 
 def collapse_ws(c) -> Column:
