@@ -148,7 +148,17 @@ def html_candidates(spark: SparkSession, sf: str) -> DataFrame:
                       for c, b in (("github", GITHUB_BASE), ("research_papers", PAPER_BASE),
                                    ("job_postings", JOB_BASE))])
     x = a.select(F.col("doc_id").alias("source_pos"), "pos", "href", "anchor_class", F.inline(bases))
-    x = L.resolve_hrefs(x, F.col("base"))
+    # Exact pre-filters on the raw href before any URL work: a reference
+    # without scheme or authority resolves onto the strategy's own host;
+    # one with an authority keeps its own host.
+    own_host = ~F.col("href").rlike(r"^([A-Za-z][A-Za-z0-9+.\-]*:|//)")
+    href_host = U.host(F.col("href"))
+    maybe = (((F.col("category") == "github") & (own_host | href_host.isin(*D.CODE_HOSTS)))
+             | ((F.col("category") == "research_papers") & (own_host | href_host.isin(*D.PAPER_HOSTS)))
+             | ((F.col("category") == "job_postings")
+                & (F.col("anchor_class").rlike(rf"(^|\s){D.JOB_ANCHOR_CLASS}(\s|$)")
+                   | F.col("href").contains(D.JOB_ANCHOR_HREF_PART))))
+    x = L.resolve_hrefs(x.filter(maybe), F.col("base"))
     is_job = (F.col("anchor_class").rlike(rf"(^|\s){D.JOB_ANCHOR_CLASS}(\s|$)")
               | F.col("href").contains(D.JOB_ANCHOR_HREF_PART)) & U.is_http_url("link")
     keep = ((F.col("category") == "github") & U.is_repository_link("link")) | (
