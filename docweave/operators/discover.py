@@ -156,6 +156,17 @@ def capped_links(candidates: DataFrame, limit, n_sources: int | None = None) ->
     c = candidates.join(F.broadcast(params), "category")
     c = first_wins(c, ["category", "source_pos", "link"], ["pos"])
     c = top_k(c, ["category", "source_pos"], ["pos"], F.col("_limit") + F.col("_cap"), "_r")
+    # Exact source bound: a source holding a link seen in no earlier source
+    # always takes at least one link, so once ``limit`` such sources have
+    # passed the category is full; later sources are dropped before the fold.
+    first_src = c.groupBy("category", "link").agg(F.min("source_pos").alias("_first"))
+    fresh = (c.join(first_src, ["category", "link"]).filter(F.col("source_pos") == F.col("_first"))
+             .select("category", "source_pos", "_limit").distinct())
+    bound = (top_k(fresh, ["category"], ["source_pos"], F.col("_limit"), "_fr")
+             .groupBy("category").agg(F.max("source_pos").alias("_last"), F.max("_fr").alias("_nfresh"),
+                                      F.max("_limit").alias("_lim")))
+    bound = bound.select("category", F.when(F.col("_nfresh") >= F.col("_lim"), F.col("_last")).alias("_last"))
+    c = c.join(bound, "category", "left").filter(F.col("_last").isNull() | (F.col("source_pos") <= F.col("_last")))
     arr = c.groupBy("category", "_limit", "_cap").agg(
         F.sort_array(F.collect_list(F.struct(F.col("source_pos").cast("bigint").alias("source_pos"),
                                              F.col("pos").cast("int").alias("pos"), "link"))).alias("_c"))

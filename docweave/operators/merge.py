@@ -43,6 +43,17 @@ def current_collection(store: DataFrame) -> DataFrame:
         F.min_by("collection_name", collection_rank()).alias("existing_collection"))
 
 
+def store_for(store: DataFrame, batch: DataFrame) -> DataFrame:
+    """The stored rows whose link occurs in the batch (left semi join).
+
+    The batch's distinct links are usually far smaller than the store: AQE
+    then broadcasts them (within the 32 MB cap) and the store is filtered
+    where it is read instead of being shuffled whole; a large batch falls
+    back to a shuffled semi join.
+    """
+    return store.join(batch.select("link").distinct(), "link", "left_semi")
+
+
 def link_exists(df: DataFrame, store: DataFrame) -> DataFrame:
     """Rows of ``df`` whose (collection_name, link) is in the store."""
     return df.join(store.select("collection_name", "link"), ["collection_name", "link"], "left_semi")
@@ -76,7 +87,7 @@ def merge_actions(candidates: DataFrame, store: DataFrame, chunk: int = DEFAULT_
     across = (Window.partitionBy("link").orderBy("_chunk")
               .rowsBetween(Window.unboundedPreceding, -1))
     chunks = (chunks.withColumn("_prev_tail", F.last("_tail", ignorenulls=True).over(across))
-              .join(current_collection(store), "link", "left")
+              .join(current_collection(store_for(store, candidates)), "link", "left")
               .select("link", "_chunk", F.coalesce("_prev_tail", "existing_collection").alias("_before")))
 
     out = c.join(chunks, ["link", "_chunk"], "left")
