@@ -76,13 +76,15 @@ def merge_actions(candidates: DataFrame, store: DataFrame, chunk: int = DEFAULT_
         "_coll": F.when(cand, F.col("collection_name")),
         "_cseq": F.when(cand, F.col("seq")),
     })
-    in_chunk = (Window.partitionBy("link", "_chunk").orderBy("seq")
-                .rowsBetween(Window.unboundedPreceding, -1))
-    c = c.withColumn("_prev", F.last("_coll", ignorenulls=True).over(in_chunk))
-
-    # one row per (link, chunk): its last candidate collection (null if none).
-    # Built on the windowed rows, so it reuses their partitioning.
-    chunks = c.groupBy("link", "_chunk").agg(F.max_by("_coll", "_cseq").alias("_tail"))
+    part = Window.partitionBy("link", "_chunk").orderBy("seq")
+    c = c.withColumns({
+        "_prev": F.last("_coll", ignorenulls=True).over(part.rowsBetween(Window.unboundedPreceding, -1)),
+        # the chunk's last candidate collection, from the same window pass
+        "_tail": F.last("_coll", ignorenulls=True).over(
+            part.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)),
+    })
+    # one row per (link, chunk); the rows are already clustered that way
+    chunks = c.groupBy("link", "_chunk").agg(F.first("_tail").alias("_tail"))
     # the last candidate collection of any earlier chunk of the same link
     across = (Window.partitionBy("link").orderBy("_chunk")
               .rowsBetween(Window.unboundedPreceding, -1))
@@ -97,7 +99,7 @@ def merge_actions(candidates: DataFrame, store: DataFrame, chunk: int = DEFAULT_
               .when(prev == F.col("collection_name"), F.lit("duplicate"))
               .otherwise(F.lit("moved")))
     return (out.withColumns({"previous_collection": F.when(cand, prev), "action": action})
-            .drop("_chunk", "_prev", "_before", "_coll", "_cseq"))
+            .drop("_chunk", "_prev", "_before", "_coll", "_cseq", "_tail"))
 
 
 def new_state(store: DataFrame, actions: DataFrame) -> DataFrame:

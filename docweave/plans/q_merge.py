@@ -16,6 +16,7 @@ from ..sources import views as V
 from .oracle_enrich import enrich_ctes
 from .q_analytics import COLLECTION_CASE, enriched_docs
 from .registry import register
+from .run import materialize
 
 RUN_START = dt.date(2024, 1, 10)
 RUN_END = dt.date(2024, 2, 20)
@@ -156,7 +157,10 @@ def run_actions(spark: SparkSession, sf: str) -> DataFrame:
     results = P.apply_date_filter(enriched_docs(spark, sf), RUN_START, RUN_END)
     results = results.withColumn("outcome", P.load_outcome())
     cols = ["seq", "link", "collection_name", "status", "reason", "outcome"]
-    return M.merge_actions(results.select(*cols), _store(spark, sf), outcome="outcome")
+    # the merge reads its input in two branches: checkpoint the enriched
+    # results once (shared checkpoint folder) instead of enriching twice
+    results = materialize(results.select(*cols), "run_results")
+    return M.merge_actions(results, _store(spark, sf), outcome="outcome")
 
 
 _RUN_CTES = {
