@@ -198,3 +198,13 @@ def rendered_article_records(tree: DataFrame, native: DataFrame, key: str, link:
         F.array_join(parts, "\n\n").alias("content"), "tags", "published_at", "published_date",
         F.lit("medium").alias("platform"), F.lit("medium").alias("source"),
         F.create_map(F.lit("subtitle"), F.col("subtitle")).alias("raw_metadata"))
+
+
+# Extractor registry.  A kind (from H16's host routing) maps to a
+# DataFrame -> DataFrame function producing document parts; callers may
+# register their own kinds.
+EXTRACTORS: dict[str, object] = {"article": article_records}
+
+
+def register_extractor(kind: str, fn) -> None:
+    EXTRACTORS[kind] = fn

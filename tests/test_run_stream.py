@@ -49,3 +49,17 @@ def test_streaming_merge(spark):
     counters = spark.read.parquet(f"{root}/store/_counters").agg(
         F.sum("saved_count"), F.sum("moved_count"), F.sum("duplicate_count")).first()
     assert tuple(counters) == (3, 1, 1)
+
+
+def test_pages_from_files(spark):
+    import os
+
+    from docweave.sources.pages import pages_from_files
+
+    d = tempfile.mkdtemp(prefix="dw-pages-")
+    os.makedirs(f"{d}/a")
+    with open(f"{d}/a/p.html", "wb") as fh:
+        fh.write("<html><title>Tï</title></html>".encode() + b"\xff")
+    rows = pages_from_files(spark, d, url_prefix="https://h.example.com").collect()
+    assert rows[0].url == "https://h.example.com/a/p.html"
+    assert rows[0].html.startswith("<html><title>Tï</title>") and rows[0].html.endswith("�")
