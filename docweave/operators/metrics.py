@@ -25,13 +25,18 @@ def collection_rank(c="collection_name") -> Column:
     return out
 
 
-def topic_groups(docs: DataFrame, topic_query: str | None = D.DEFAULT_TOPIC_QUERY) -> DataFrame:
+TOP_TERMS = 50
+
+
+def topic_groups(docs: DataFrame, topic_query: str | None = D.DEFAULT_TOPIC_QUERY,
+                 top_terms: int = TOP_TERMS) -> DataFrame:
     """A1 (+P14): per (collection, domain, kind) counts, averages and the
     topic and tag frequencies of the matching documents.
 
     The group's ``ai_topics``/``tags`` lists are kept as element counts
-    (``array<struct<name, documents>>`` ordered by count desc, name), whose
-    size is bounded by the vocabulary rather than by the group's rows.  One
+    (``array<struct<name, documents>>`` ordered by count desc, name) of its
+    ``top_terms`` most frequent terms, so a group's row is bounded whatever
+    the number of its documents or distinct keywords.  One
     pass over the documents: every document emits one metrics row plus one
     row per topic and per tag; the first aggregate is partial + final on
     (group, item), the second works on that already-small result.
@@ -55,6 +60,15 @@ def topic_groups(docs: DataFrame, topic_query: str | None = D.DEFAULT_TOPIC_QUER
         F.count("ai_relevance_score").alias("rel_n"),
         F.count("hiring_signal_score").alias("hire_n"),
     )
+    # The per-group term lists are a top-terms report: the ``top_terms``
+    # most frequent topics and tags (count desc, name), cut on the already
+    # aggregated counts before they are collected into one row per group.
+    # A group's metrics row is the only row of its item_kind = null
+    # partition, so the plain ``row_number() <= k`` keeps it; that filter
+    # alone plans as a WindowGroupLimit (k terms per group leave a task).
+    terms = Window.partitionBy(*GROUP_KEYS, "item_kind").orderBy(F.desc("n"), F.asc("item"))
+    per_item = (per_item.withColumn("_term_rank", F.row_number().over(terms))
+                .filter(F.col("_term_rank") <= top_terms).drop("_term_rank"))
     is_doc = F.col("item_kind").isNull()
 
     def freq(kind: str) -> Column:

@@ -38,7 +38,9 @@ def _freq_sql(src: str, col: str, out: str) -> str:
   string_agg(name || '=' || CAST(n AS VARCHAR), ';' ORDER BY n DESC, name) AS {out}
 FROM (SELECT collection_name, source_domain, content_kind, x AS name, count(*) AS n
       FROM (SELECT collection_name, source_domain, content_kind, unnest({col}) AS x FROM {src})
-      GROUP BY ALL)
+      GROUP BY collection_name, source_domain, content_kind, x
+      QUALIFY row_number() OVER (PARTITION BY collection_name, source_domain, content_kind
+                                 ORDER BY n DESC, name) <= 50)
 GROUP BY ALL"""
 
 
