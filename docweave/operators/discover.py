@@ -80,13 +80,15 @@ def discovery_target(max_links: int | None = D.MAX_LINKS, min_per_category: int
     return max(max_links or D.MAX_LINKS, min_per_category * len(D.DISCOVERY_CATEGORY_ORDER))
 
 
-def resolve_hrefs(a: DataFrame, base: Column) -> DataFrame:
+def resolve_hrefs(a: DataFrame, base) -> DataFrame:
     """L2 -> U2: ``link`` = normalised absolute URL of ``href``.
 
-    Each stage is its own projection and ``link`` is fenced, so the
-    predicates that follow read it as a plain column.
+    ``base``: a URL literal, a column name, or a Column.  Each stage is its
+    own projection and ``link`` is fenced, so the predicates that follow
+    read it as a plain column.
     """
-    a = a.withColumn("_abs", U.urljoin(base, F.col("href")))
+    joined = U.urljoin_sql(U.base_sql(base), "href") if isinstance(base, str) else U.urljoin(base, F.col("href"))
+    a = a.withColumn("_abs", joined)
     a = a.withColumn("link", U.normalize_link("_abs")).drop("_abs")
     return fence(a, ["link"])
 
@@ -94,8 +96,7 @@ def resolve_hrefs(a: DataFrame, base: Column) -> DataFrame:
 def candidate_links(sources: DataFrame, base: Column | None = None) -> DataFrame:
     """L1 -> L2 -> U2 on listing pages (source_url, html, ...)."""
     a = anchors(sources)
-    base = F.col("source_url") if base is None else base
-    return resolve_hrefs(a, base)
+    return resolve_hrefs(a, "source_url" if base is None else base)
 
 
 def same_host_links(sources: DataFrame, limit, min_depth: int = 2) -> DataFrame:
@@ -196,7 +197,7 @@ def job_links(pages: DataFrame, limit: int, base: str = "https://www.linkedin.co
     a = anchors(pages)
     a = a.filter(F.col("anchor_class").rlike(rf"(^|\s){D.JOB_ANCHOR_CLASS}(\s|$)")
                  | F.col("href").contains(D.JOB_ANCHOR_HREF_PART))
-    a = resolve_hrefs(a, F.lit(base)).filter(U.is_http_url("link"))
+    a = resolve_hrefs(a, base).filter(U.is_http_url("link"))
     a = first_wins(a, ["link"], ["page_index", "pos"])
     return a.orderBy("page_index", "pos").limit(limit)
 

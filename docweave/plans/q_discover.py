@@ -25,7 +25,7 @@ _ANC_HTML = O.anchors_sql("html_docs", "doc_id")
 
 
 def _html_candidates(spark, sf, base: str, pred) -> DataFrame:
-    a = L.resolve_hrefs(L.anchors(V.html_docs(spark, sf)), F.lit(base))
+    a = L.resolve_hrefs(L.anchors(V.html_docs(spark, sf)), base)
     return a.filter(pred(F.col("link"))).select(F.col("doc_id").alias("source_pos"), "pos", "link")
 
 
@@ -158,7 +158,7 @@ def html_candidates(spark: SparkSession, sf: str) -> DataFrame:
              | ((F.col("category") == "job_postings")
                 & (F.col("anchor_class").rlike(rf"(^|\s){D.JOB_ANCHOR_CLASS}(\s|$)")
                    | F.col("href").contains(D.JOB_ANCHOR_HREF_PART))))
-    x = L.resolve_hrefs(x.filter(maybe), F.col("base"))
+    x = L.resolve_hrefs(x.filter(maybe), "base")
     is_job = (F.col("anchor_class").rlike(rf"(^|\s){D.JOB_ANCHOR_CLASS}(\s|$)")
               | F.col("href").contains(D.JOB_ANCHOR_HREF_PART)) & U.is_http_url("link")
     keep = ((F.col("category") == "github") & U.is_repository_link("link")) | (
@@ -258,7 +258,7 @@ def u2_normalize_link(spark: SparkSession, sf: str) -> DataFrame:
         F.lit("page").alias("src"), F.col("page_id").alias("id"), U.normalize_link("url").alias("link"))
     d = V.crawl_docs(spark, sf).select(F.lit("doc").alias("src"), F.col("seq").alias("id"),
                                        U.normalize_link("link").alias("link"))
-    a = L.resolve_hrefs(L.anchors(V.html_docs(spark, sf)), F.lit(JOB_BASE)).select(
+    a = L.resolve_hrefs(L.anchors(V.html_docs(spark, sf)), JOB_BASE).select(
         F.lit("anchor").alias("src"), (F.col("doc_id") * 100 + F.col("pos")).alias("id"), "link")
     return p.unionByName(d).unionByName(a)
 

@@ -66,3 +66,16 @@ def test_feed_urls(spark):
     assert got[0].s == "https://medium.com/feed/nlplanet" and got[0].a == "https://medium.com/feed/nlplanet"
     assert got[1].s == "https://odsc.medium.com/feed" and got[1].a == "https://odsc.medium.com/feed"
     assert got[2].s == "https://blog.example.com/feed" and got[2].a is None
+
+
+def test_sql_forms_match_column_forms(spark):
+    rows = [(b, r) for b in BASES for r in REFS]
+    df = spark.createDataFrame(rows, "base string, href string").withColumn(
+        "j", U.urljoin_sql("`base`", "href"))
+    for r in df.collect():
+        assert r.j == urljoin(r.base, r.href), (r.base, r.href)
+    links = ["http://h/p?utm_source=a&UTM_X=1&b=&c=1#f", "　http://h/?x=1 ", "https://x.org/a?q=a+b&r=%2B"]
+    n = spark.createDataFrame([(x,) for x in links], "l string").select(
+        "l", U.normalize_link_sql("l").alias("a"), U.normalize_link(F.col("l")).alias("b"))
+    for r in n.collect():
+        assert r.a == r.b == py_normalize(r.l)
