@@ -92,6 +92,9 @@ def run_batch(spark: SparkSession, *, links: DataFrame, pages: DataFrame, store:
         results = materialize(results, "crawl_results")
     results = results.withColumn("outcome", P.load_outcome())
     actions = M.merge_actions(results, store, outcome="outcome")
+    if materialize_results:
+        # counters, per-collection map and the new store all read the actions
+        actions = materialize(actions, "merge_actions")
     changed = actions.filter(F.col("outcome") == "candidate").drop("outcome", "status", "reason", "has_document")
     new_state = M.new_state(store, changed)
     if store_out:
