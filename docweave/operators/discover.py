@@ -108,6 +108,9 @@ def same_host_links(sources: DataFrame, limit, min_depth: int = 2) -> DataFrame:
     c = candidate_links(sources)
     c = c.filter(U.is_http_url("link") & U.same_host("source_url", "link")
                  & U.is_likely_content_link("source_url", "link", min_depth))
+    # hash-partitioned by source, the (source, link) and (source) windows
+    # below share one exchange
+    c = c.repartition("source_pos")
     c = first_wins(c, ["source_pos", "link"], ["pos"])
     return top_k(c, ["source_pos"], ["pos"], limit, "source_rank")
 
@@ -154,7 +157,7 @@ def capped_links(candidates: DataFrame, limit, n_sources: int | None = None) ->
         cap = max(1, math.ceil(limit / max(1, n_sources or 1)))
         params = candidates.select("category").distinct().select(
             "category", F.lit(limit).alias("_limit"), F.lit(cap).alias("_cap"))
-    c = candidates.join(F.broadcast(params), "category")
+    c = candidates.join(F.broadcast(params), "category").repartition("category", "source_pos")
     c = first_wins(c, ["category", "source_pos", "link"], ["pos"])
     c = top_k(c, ["category", "source_pos"], ["pos"], F.col("_limit") + F.col("_cap"), "_r")
     # Exact source bound: a source holding a link seen in no earlier source
