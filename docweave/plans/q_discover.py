@@ -196,7 +196,7 @@ UNION ALL SELECT 4, source_pos, pos, link FROM ({_capped_sql(O.is_paper('LINK'),
 
 
 @register("l12_discover_links", f"""
-SELECT category_rank, source_pos, pos, link FROM (
+SELECT CAST(category_rank AS BIGINT) AS category_rank, source_pos, pos, link FROM (
   SELECT *, row_number() OVER (PARTITION BY link ORDER BY category_rank, source_pos, pos) AS rn
   FROM (SELECT category_rank, source_pos, pos, {O.normalize('link')} AS link FROM parts)
   WHERE {O.is_http('link')})

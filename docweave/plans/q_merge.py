@@ -129,8 +129,9 @@ def s16_key_audit(spark: SparkSession, sf: str) -> DataFrame:
 
 @register("a2_domain_metrics", """
 SELECT coalesce(source_domain, 'unknown') AS source_domain, count(*) AS total,
-  count_if(status = 'ready') AS saved, count_if(status = 'filtered_non_ai') AS filtered_non_ai,
-  count_if(status = 'error') AS errors,
+  CAST(count_if(status = 'ready') AS BIGINT) AS saved,
+  CAST(count_if(status = 'filtered_non_ai') AS BIGINT) AS filtered_non_ai,
+  CAST(count_if(status = 'error') AS BIGINT) AS errors,
   round(sum(coalesce(ai_relevance_score, 0)) / count(*), 4) AS avg_ai_relevance_score
 FROM crawl_results GROUP BY 1
 """)
@@ -193,9 +194,11 @@ def p4_date_filter(spark: SparkSession, sf: str) -> DataFrame:
 
 
 @register("a3_load_counters", """
-SELECT count_if(action = 'inserted') AS saved_count, count_if(action = 'moved') AS moved_count,
-  count_if(action = 'duplicate') AS duplicate_count, count_if(action = 'skipped') AS skipped_count,
-  count_if(action = 'error') AS error_count FROM racts
+SELECT CAST(count_if(action = 'inserted') AS BIGINT) AS saved_count,
+  CAST(count_if(action = 'moved') AS BIGINT) AS moved_count,
+  CAST(count_if(action = 'duplicate') AS BIGINT) AS duplicate_count,
+  CAST(count_if(action = 'skipped') AS BIGINT) AS skipped_count,
+  CAST(count_if(action = 'error') AS BIGINT) AS error_count FROM racts
 """, _RUN_CTES)
 def a3_load_counters(spark: SparkSession, sf: str) -> DataFrame:
     """A3 (+E11, P4, P12, M1): load counters of one run against the store."""
