@@ -74,10 +74,15 @@ def repository_corpus(files: DataFrame, max_files: int = D.REPO_MAX_FILES,
     blank = T.strip_ws("text") == ""
     cut_len = F.least(F.length("text"), F.lit(max_file_chars)) + F.when(
         F.length("text") > max_file_chars, F.lit(len(D.TRUNCATION_MARKER))).otherwise(0)
+    # Blank files never change the fold; an oversized file only sets
+    # ``trimmed``, which a stopped fold has set anyway.  Both stay out of the
+    # per-repository array (trimmed = fold's flag OR any oversized file).
     meta = f.select("repo", "path", too_big.alias("big"), blank.alias("blank"),
                     (F.length("text") > max_file_chars).alias("cut"), cut_len.alias("n"))
-    arr = meta.groupBy("repo").agg(F.sort_array(F.collect_list(
-        F.struct("path", "big", "blank", "cut", "n"))).alias("_files"))
+    usable = ~F.col("big") & ~F.col("blank")
+    arr = meta.groupBy("repo").agg(
+        F.sort_array(F.collect_list(F.when(usable, F.struct("path", "big", "blank", "cut", "n")))).alias("_files"),
+        F.max(F.col("big").cast("int")).alias("_any_big"))
     init = F.struct(F.array().cast("array<string>").alias("kept"), F.lit(0).cast("bigint").alias("total"),
                     F.lit(False).alias("trimmed"), F.lit(False).alias("stop"))
 
@@ -93,7 +98,10 @@ def repository_corpus(files: DataFrame, max_files: int = D.REPO_MAX_FILES,
         stop = acc["stop"] | (take & ((F.size(kept) >= max_files) | (total >= max_total_chars)))
         return F.struct(kept.alias("kept"), total.alias("total"), trimmed.alias("trimmed"), stop.alias("stop"))
 
-    folded = arr.select("repo", F.aggregate("_files", init, step).alias("_s"))
+    folded = arr.select("repo", F.aggregate("_files", init, step).alias("_s"), "_any_big")
+    folded = folded.withColumn("_s", F.struct(
+        F.col("_s.kept").alias("kept"), F.col("_s.total").alias("total"),
+        (F.col("_s.trimmed") | (F.col("_any_big") == 1)).alias("trimmed"), F.col("_s.stop").alias("stop")))
     kept = folded.select("repo", F.col("_s.trimmed").alias("trimmed"), F.posexplode("_s.kept").alias("k", "path"))
     texts = kept.join(f.select("repo", "path", "text"), ["repo", "path"])
     body = F.when(F.length("text") > max_file_chars,
