@@ -17,10 +17,3 @@ def fence(df: DataFrame, computed: list[str]) -> DataFrame:
     keep = [c for c in df.columns if c not in computed]
     return df.select(*keep, F.inline(F.array(F.struct(*computed))))
 
-
-def staged(df: DataFrame, *steps: tuple[str, object]) -> DataFrame:
-    """Add columns one projection at a time, each step seeing the previous
-    ones as plain attributes (keeps expression trees linear)."""
-    for name, expr in steps:
-        df = df.withColumn(name, expr(df) if callable(expr) else expr)
-    return df

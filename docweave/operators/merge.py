@@ -26,7 +26,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions import dictionaries as D
 from ..functions import text as T
 from .metrics import collection_rank
 
@@ -151,5 +150,3 @@ def key_violations(df: DataFrame, keys: list[str]) -> DataFrame:
     return (df.groupBy(*keys).agg(F.count(F.lit(1)).alias("occurrences"))
             .filter(F.col("occurrences") > 1))
 
-
-COLLECTIONS = D.COLLECTION_ORDER

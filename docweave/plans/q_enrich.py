@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as Ty
 
 from ..functions import dates as DT
 from ..functions import dictionaries as D
@@ -13,7 +12,7 @@ from ..operators import documents as P
 from ..operators import enrich as E
 from ..sources import views as V
 from ..sources.tables import read_table
-from .oracle_enrich import WS, enrich_ctes, hits, lst, q, strip, topic_kw
+from .oracle_enrich import WS, enrich_ctes, q, strip, topic_kw
 from .oracle_urls import host, path
 from .registry import joined, register
 

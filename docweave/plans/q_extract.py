@@ -5,8 +5,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions import dictionaries as D
-from ..functions import text as T
 from ..operators import documents as P
 from ..operators import extract as X
 from ..sources import views as V

@@ -76,6 +76,10 @@ def run_batch(spark: SparkSession, *, links: DataFrame, pages: DataFrame, store:
     actions, new_state, users); with ``store_out``/``runs_out`` the new
     store (S12, partitioned by collection) and the summary (S14, appended)
     are written."""
+    if isinstance(start_date, str):
+        start_date = DT.parse_cli_date(start_date)
+    if isinstance(end_date, str):
+        end_date = DT.parse_cli_date(end_date)
     if start_date is None and end_date is None:
         start_date, end_date = DT.default_window()
     DT.check_window(start_date, end_date)
