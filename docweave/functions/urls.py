@@ -24,40 +24,64 @@ _NETLOC_SCHEMES = ("ftp", "http", "gopher", "nntp", "telnet", "imap", "wais", "f
                    "svn", "svn+ssh", "sftp", "nfs", "git", "git+ssh", "ws", "wss", "itms-services")
 
 
+# A column *name* gives one SQL expression (parsed by the JVM in one call);
+# a Column is composed with the Column API.
+
 def scheme(c) -> Column:
+    if isinstance(c, str):
+        return F.expr(f"lower({_part_sql(_ref(c), 1)})")
     return F.lower(F.regexp_extract(col(c), URL_RE, 1))
 
 
 def netloc(c) -> Column:
+    if isinstance(c, str):
+        return F.expr(_part_sql(_ref(c), 2))
     return F.regexp_extract(col(c), URL_RE, 2)
 
 
 def host(c) -> Column:
     """Lower-cased authority (user-info and port included)."""
+    if isinstance(c, str):
+        return F.expr(f"lower({_part_sql(_ref(c), 2)})")
     return F.lower(netloc(c))
 
 
 def split_path(c) -> Column:
     """Path as ``urlsplit`` gives it."""
+    if isinstance(c, str):
+        return F.expr(_part_sql(_ref(c), 3))
     return F.regexp_extract(col(c), URL_RE, 3)
 
 
 def path(c) -> Column:
     """Path as ``urlparse`` gives it: ``;params`` of the last segment removed."""
+    if isinstance(c, str):
+        r = _ref(c)
+        schemes = ", ".join(_lit(x) for x in _PARAM_SCHEMES)
+        p = _part_sql(r, 3)
+        return F.expr(f"CASE WHEN lower({_part_sql(r, 1)}) IN ({schemes}) "
+                      f"THEN regexp_replace({p}, ';[^/]*$', '') ELSE {p} END")
     p = split_path(c)
     return F.when(scheme(c).isin(*_PARAM_SCHEMES), F.regexp_replace(p, ";[^/]*$", "")).otherwise(p)
 
 
 def query(c) -> Column:
+    if isinstance(c, str):
+        return F.expr(_part_sql(_ref(c), 4))
     return F.regexp_extract(col(c), URL_RE, 4)
 
 
 def fragment(c) -> Column:
+    if isinstance(c, str):
+        return F.expr(_part_sql(_ref(c), 5))
     return F.regexp_extract(col(c), URL_RE, 5)
 
 
 def is_http_url(c) -> Column:
     """Scheme http(s) and a non-empty authority."""
+    if isinstance(c, str):
+        r = _ref(c)
+        return F.expr(f"(lower({_part_sql(r, 1)}) IN ('http', 'https') AND {_part_sql(r, 2)} <> '')")
     return scheme(c).isin("http", "https") & (netloc(c) != "")
 
 
