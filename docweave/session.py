@@ -75,10 +75,15 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     used as is.  Only when it is unset (local tests) a private folder is made.
     """
     current = spark.conf.get("spark.checkpoint.dir", None)
-    if not current:
-        current = spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
+    try:
+        sc = spark.sparkContext
+    except Exception:  # remote session: the server owns the checkpoint folder
+        sc = None
+    if not current and sc is not None:
+        current = sc.getConf().get("spark.checkpoint.dir", None)
     if not current:
         current = tempfile.mkdtemp(prefix="docweave-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
         spark.conf.set("spark.checkpoint.dir", current)
-    spark.sparkContext.setCheckpointDir(current)
+    if sc is not None:
+        sc.setCheckpointDir(current)
     return current

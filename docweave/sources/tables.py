@@ -29,7 +29,9 @@ def spread(df: DataFrame) -> DataFrame:
     (a cheap shuffle of few rows); a large table already has far more splits
     than cores and is left alone.
     """
-    target = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < target:
-        return df.repartition(target)
-    return df
+    try:
+        target = df.sparkSession.sparkContext.defaultParallelism
+        splits = df.rdd.getNumPartitions()
+    except Exception:  # no driver-side context (e.g. a remote session): leave as is
+        return df
+    return df.repartition(target) if splits < target else df
