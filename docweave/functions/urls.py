@@ -151,9 +151,11 @@ def same_host(source_url, link) -> Column:
 
 def is_repository_link(link) -> Column:
     """Code-host link with exactly two non-empty path parts, not a site page."""
-    parts = F.filter(F.split(path(link), "/"), lambda x: x != "")
-    return (host(link).isin(*D.CODE_HOSTS) & (F.size(parts) == 2)
-            & ~F.lower(F.try_element_at(parts, F.lit(1))).isin(*D.BLOCKED_REPO_SEGMENTS))
+    # exactly two non-empty parts when split on "/" <=> /*seg/+seg/*
+    p = path(link)
+    first = F.regexp_extract(p, r"^/*([^/]+)", 1)
+    return (host(link).isin(*D.CODE_HOSTS) & p.rlike(r"^/*[^/]+/+[^/]+/*$")
+            & ~F.lower(first).isin(*D.BLOCKED_REPO_SEGMENTS))
 
 
 def is_paper_link(link) -> Column:
