@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
-from . import exact_dedup
+from . import exact_dedup, packing, tokens
 
 QUERIES = {
     "op1_exact_dedup": exact_dedup.op1_exact_dedup,
+    "op7_token_counts": tokens.op7_token_counts,
+    "op9_packing": packing.op9_packing,
 }
 
 ORACLES = {
