@@ -92,7 +92,8 @@ def format_conversations(turns: DataFrame, parts_col: str | None = None) -> Data
 
 def read_back(formatted: Column) -> Column:
     """array<struct<role, text>> parsed from a formatted conversation."""
-    pieces = F.slice(F.split(formatted, r"<\|turn\|>"), 2, 2**31 - 1)
+    pieces = F.split(formatted, r"<\|turn\|>")
+    pieces = F.slice(pieces, 2, F.size(pieces))
     return F.transform(pieces, lambda p: F.struct(
         unescape(F.substring_index(p, TEXT, 1)).alias("role"),
         unescape(F.substring_index(F.substring_index(p, TEXT, -1), END, 1)).alias("text")))

@@ -72,8 +72,10 @@ def template_table(spark: SparkSession, templates: list[tuple[str, str]], least:
 
 
 def unit_bigrams(unit: Column) -> Column:
-    words = F.split(F.trim(F.regexp_replace(F.lower(unit), r"[^\p{L}\p{N}]+", " ")), " ")
-    return F.array_distinct(F.transform(F.slice(words, 2, 2**31 - 1), lambda w, i: F.concat(F.get(words, i), F.lit(" "), w)))
+    """Distinct word bigrams.  The words are bound to a lambda variable, so they are split once per unit."""
+    split = F.split(F.trim(F.regexp_replace(F.lower(unit), r"[^\p{L}\p{N}]+", " ")), " ")
+    return F.transform(F.array(split), lambda words: F.array_distinct(F.transform(
+        F.slice(words, 2, F.size(words)), lambda word, i: F.concat(F.get(words, i), F.lit(" "), word))))[0]
 
 
 def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
@@ -111,7 +113,7 @@ WITH templates(license, grams) AS (VALUES {_values()}),
 u AS (SELECT doc_id, unnest(list_distinct(string_split(text, chr(10)) || string_split_regex(text, '\\n\\s*\\n') || [text])) AS unit
       FROM documents WHERE text IS NOT NULL),
 w AS (SELECT doc_id, unit, string_split(trim(regexp_replace(lower(unit), '[^\\p{{L}}\\p{{N}}]+', ' ', 'g')), ' ') AS words FROM u),
-b AS (SELECT doc_id, unit, list_distinct(list_transform(range(1, len(words)), i -> words[i] || ' ' || words[i + 1])) AS own FROM w),
+b AS (SELECT doc_id, unit, list_distinct(list_transform(range(1, len(words)), lambda i: words[i] || ' ' || words[i + 1])) AS own FROM w),
 d AS (SELECT doc_id, unit, license, 2.0::DOUBLE * len(list_intersect(own, grams)) / (len(own) + len(grams)) AS dice
       FROM b, templates WHERE 2 * least(len(own), len(grams)) >= {LEAST} * (len(own) + len(grams))),
 m AS (SELECT doc_id, unit, min((-dice, license)) AS best FROM d WHERE dice >= {LEAST} GROUP BY ALL),

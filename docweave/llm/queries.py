@@ -2,14 +2,21 @@
 
 from __future__ import annotations
 
-from . import exact_dedup, packing, tokens
+from . import chat, exact_dedup, language, licenses, packing, tokens, toxicity
 
 QUERIES = {
     "op1_exact_dedup": exact_dedup.op1_exact_dedup,
+    "op2_toxicity": toxicity.op2_toxicity,
+    "op4_license_scan": licenses.op4_license_scan,
+    "op5_language": language.op5_language,
     "op7_token_counts": tokens.op7_token_counts,
+    "op8_chat": chat.op8_chat,
     "op9_packing": packing.op9_packing,
 }
 
+#: The other queries' results are learned, tokenised or packed; tests hold them against brute force or round trips.
 ORACLES = {
     "op1_exact_dedup": exact_dedup.ORACLE,
+    "op4_license_scan": licenses.ORACLE,
+    "op8_chat": chat.ORACLE,
 }
