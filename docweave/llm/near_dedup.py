@@ -8,14 +8,17 @@
    chunk with one value masked: 24 keys per signature find every such pair.  At Jaccard
    0.8 a pair differs in 4.8 values on average and shares no key with a chance of 1e-6.
 3. Groups of near copies are not expanded into pairs.  First every member
-   is compared with one centre, the key's most popular member; confirmed links are
+   is compared with a centre, the key's most popular member; confirmed links are
    joined into components.  Only keys whose members then lie in different components go on.
-4. Of those, texts that cannot have a partner are dropped: a shingle that no other
+4. Of their members, texts that cannot have a partner are dropped: a shingle that no other
    remaining text has lies in no intersection, so if fewer than 80 % of the shingles are shared,
    no link is possible (repeated, as dropping texts makes more shingles unique).
    Heavily edited copies and texts that share only a common passage go here.
-5. The remaining cross-component pairs are compared, each once (under its first
-   common key), and components are formed again.
+   Then the members meet the centres with the highest share of shared shingles, that is, those
+   closest to what the group has in common.
+5. The remaining cross-component pairs are compared, each once (under its first common
+   key) and only if the prefix filter admits them (two sets that overlap enough share one of
+   their rarest shingles), and components are formed again.
 
 Links are always confirmed on the full shingle sets.  Nothing is capped: a key's members
 are joined by an equality join that adaptive execution may split.
@@ -139,8 +142,8 @@ def linked(pairs: DataFrame, texts: DataFrame, k: int, percent: int) -> DataFram
     return pairs.join(side("a"), "a").join(side("b"), "b").select("a", "b", "text_a", "text_b").mapInArrow(check, "a long, b long")
 
 
-def unique_shingles(texts: DataFrame, k: int) -> DataFrame:
-    """(node, n_unique): shingles that no other of the texts has."""
+def shingle_rows(texts: DataFrame, k: int) -> DataFrame:
+    """One row (h, node) per distinct shingle of each text."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -151,9 +154,28 @@ def unique_shingles(texts: DataFrame, k: int) -> DataFrame:
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(sets.view(np.int64)), pa.array(np.repeat(nodes[i:j], np.diff(first)))], names=["h", "node"])
 
-    return (texts.select("node", "text").mapInArrow(run, "h long, node long")
-            .groupBy("h").agg(F.count("*").alias("n"), F.min("node").alias("node"))
-            .filter("n = 1").groupBy("node").agg(F.count("*").alias("n_unique")))
+    return texts.select("node", "text").mapInArrow(run, "h long, node long")
+
+
+def unique_shingles(texts: DataFrame, k: int) -> DataFrame:
+    """(node, n_unique): shingles that no other of the texts has."""
+    return (shingle_rows(texts, k).groupBy("h").agg(F.count("*").alias("df"), F.min("node").alias("node"))
+            .filter("df = 1").groupBy("node").agg(F.count("*").alias("n_unique")))
+
+
+def rarest_first(texts: DataFrame, nodes: DataFrame, k: int, percent: int) -> DataFrame:
+    """(node, rare): a text's rarest shingles among the texts, as many as a partner of any size could lack, plus one."""
+    rows = saved(shingle_rows(texts, k))
+    ranked = (rows.join(rows.groupBy("h").agg(F.count("*").alias("df")), "h")
+              .groupBy("node").agg(F.sort_array(F.collect_list(F.struct("df", "h"))).alias("all")))
+    return ranked.join(nodes.select("node", "n"), "node").select(
+        "node", F.expr(f"transform(slice(all, 1, int(n - ceil({percent} * n / 100) + 1)), s -> s.h)").alias("rare"))
+
+
+def common_prefix(percent: int) -> Column:
+    """Prefix filter: sets that overlap in at least m shingles share one of the rarest n - m + 1 of each."""
+    needed = f"ceil({percent} * (x.n + y.n) / {100 + percent})"
+    return F.expr(f"arrays_overlap(slice(x.rare, 1, int(x.n - {needed} + 1)), slice(y.rare, 1, int(y.n - {needed} + 1)))")
 
 
 def mixed_keys(members: DataFrame) -> DataFrame:
@@ -162,6 +184,32 @@ def mixed_keys(members: DataFrame) -> DataFrame:
     return members.join(keys, "key", "left_semi")
 
 
+def similar_size(percent: int) -> Column:
+    return F.expr(f"100 * least(x.n, y.n) >= {percent} * greatest(x.n, y.n)")
+
+
+def placed(members: DataFrame, edges: DataFrame) -> DataFrame:
+    """(key, slot, node, component) under the components that ``edges`` make."""
+    found = saved(components(edges)).withColumnRenamed("component", "own")
+    return members.join(found, "node", "left").select("key", "slot", "node", F.coalesce("own", "node").alias("component"))
+
+
+def star_pairs(members: DataFrame, nodes: DataFrame, score: str, percent: int) -> DataFrame:
+    """Pairs (node, centre): every key has one centre, its member of the highest ``score``; a node
+    meets the closest and the highest of the centres of its keys that lie in other components."""
+    scored = members.join(nodes.select("node", score), "node")
+    centres = (scored.groupBy("key").agg(F.max(F.struct(score, (-F.col("node")).alias("minus"), "component")).alias("top"))
+               .select("key", F.col(f"top.{score}").alias("height"), (-F.col("top.minus")).alias("centre"), F.col("top.component").alias("far")))
+    star = members.join(centres, "key").filter("component <> far").select("node", "centre", "height").distinct()
+    x, y = nodes.alias("x"), nodes.alias("y")
+    differ = F.expr(" + ".join(f"int(NOT {same(i)})" for i in range(VALUES)))
+    best = (star.join(x, F.col("x.node") == star["node"]).join(y, F.col("y.node") == star["centre"]).filter(similar_size(percent))
+            .groupBy(star["node"].alias("a"))
+            .agg(F.min(F.struct(differ.alias("d"), star["centre"].alias("b"))).alias("near"),
+                 F.max(F.struct("height", (-star["centre"]).alias("minus"))).alias("high")))
+    return best.select("a", F.explode(F.array_distinct(F.array(F.col("near.b"), -F.col("high.minus")))).alias("b"))
+
+
 def near_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = 4, percent: int = 80) -> DataFrame:
     """One row per input row: doc_id, n_shingles, component_id, kept."""
     texts = id_and_text(docs, id_col, text_col)
@@ -177,24 +225,8 @@ def near_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     signed = saved(popular.join(reps.select("node", "n", *LANES), "node"))
     active = saved(texts.withColumnRenamed("doc_id", "node").join(signed.select("node"), "node", "left_semi"))
 
-    # Round 1: each member against the closest of the centres of its keys.
-    weighted = members.join(signed.select("node", "weight"), "node")
-    centres = weighted.groupBy("key").agg(F.max(F.struct("weight", (-F.col("node")).alias("minus"))).alias("top")).select(
-        "key", (-F.col("top.minus")).alias("centre"))
-    star = members.join(centres, "key").filter("node <> centre").select("node", "centre").distinct()
-    x, y = signed.alias("x"), signed.alias("y")
-    differ = F.expr(" + ".join(f"int(NOT {same(i)})" for i in range(VALUES)))
-    sized = F.expr(f"100 * least(x.n, y.n) >= {percent} * greatest(x.n, y.n)")
-    nearest = (star.join(x, F.col("x.node") == star["node"]).join(y, F.col("y.node") == star["centre"]).filter(sized)
-               .groupBy(star["node"].alias("a")).agg(F.min(F.struct(differ.alias("d"), star["centre"].alias("b"))).alias("best"))
-               .select("a", F.col("best.b").alias("b")))
-    edges = saved(linked(nearest, active, k, percent))
-    found = saved(components(edges))
-
-    # Round 2: what is left between components.
-    placed = members.join(found.withColumnRenamed("component", "own"), "node", "left").select(
-        "key", "slot", "node", F.coalesce("own", "node").alias("component"))
-    left = mixed_keys(placed)
+    edges = saved(linked(star_pairs(members.withColumn("component", F.col("node")), signed, "weight", percent), active, k, percent))
+    left = mixed_keys(placed(members, edges))
     shares = None
     for _ in range(PRUNING_ROUNDS):
         left = saved(left)
@@ -202,15 +234,23 @@ def near_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
         shares = (nodes.join(unique_shingles(active.join(nodes, "node", "left_semi"), k), "node", "left")
                   .join(signed.select("node", "n", *LANES), "node")
                   .withColumn("shared", F.col("n") - F.coalesce("n_unique", F.lit(0)))
+                  .withColumn("share", F.col("shared") / F.col("n"))
                   .filter(F.col("shared") * 100 >= F.col("n") * percent))
         shares = saved(shares)
         left = mixed_keys(left.join(shares.select("node"), "node", "left_semi"))
-    rich = saved(left.join(shares, "node"))
+    left = saved(left)
+    edges = edges.unionAll(saved(linked(star_pairs(left, shares, "share", percent), active, k, percent)))
+    left = mixed_keys(placed(left, edges))
+
+    left = saved(left)
+    nodes = left.select("node").distinct()
+    rich = saved(left.join(shares, "node").join(
+        rarest_first(active.join(nodes, "node", "left_semi"), shares, k, percent), "node"))
     x, y = rich.alias("x"), rich.alias("y")
     most = F.expr("least(x.shared, y.shared)")
     pairs = (x.join(y, (F.col("x.key") == F.col("y.key")) & (F.col("x.node") < F.col("y.node"))
-                    & (F.col("x.component") != F.col("y.component")) & sized & near_signatures()
-                    & (most * 100 >= (F.expr("x.n + y.n") - most) * percent) & first_common_key("x.slot"))
+                    & (F.col("x.component") != F.col("y.component")) & similar_size(percent) & near_signatures()
+                    & (most * 100 >= (F.expr("x.n + y.n") - most) * percent) & first_common_key("x.slot") & common_prefix(percent))
              .select(F.col("x.node").alias("a"), F.col("y.node").alias("b")))
     more = saved(linked(pairs.distinct(), active, k, percent))
     found = saved(components(edges.unionAll(more)))
