@@ -2,23 +2,53 @@
 
 Every stage is ``(spark, docs, sf_dir) -> DataFrame``; ``run`` writes each
 stage's result as Parquet to the shared folder and rereads it as the next
-one's input, so a lost executor never costs more than one stage.
+one's input, so a lost executor never costs more than one stage.  All stages but the
+last return rows of ``docs`` with all their columns.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from docweave.llm.exact_dedup import drop_exact_copies
+from docweave.llm import decontaminate, exact_dedup, near_dedup, packing, toxicity
 from docweave.llm.work import saved
 
+#: Near duplicates of the pipeline are judged on five-word shingles.
+SHINGLE = 5
+
+
+def toxicity_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the classifier does not reject (score below 0.5)."""
+    model = toxicity.fit(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+    return toxicity.score(docs, model, keep_rows=True).filter("predicted = 0").select("row.*")
+
 
 def exact_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return drop_exact_copies(docs)
+    """One document of each group of equal texts."""
+    return exact_dedup.drop_exact_copies(docs)
+
+
+def near_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each near-duplicate class."""
+    return near_dedup.drop_near_copies(docs, k=SHINGLE)
+
+
+def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without a benchmark passage."""
+    return decontaminate.drop_contaminated(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
+def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The kept documents as pieces of training sequences."""
+    return packing.pack_documents(docs)
 
 
 STAGES = [
+    ("toxicity", toxicity_stage),
     ("exact_dedup", exact_stage),
+    ("near_dedup", near_stage),
+    ("decontamination", decontamination_stage),
+    ("packing", packing_stage),
 ]
 
 #: Learned scores, near-duplicate classes and packing are not SQL; tests compare with brute force.

@@ -263,5 +263,11 @@ def near_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
             .withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id"))))
 
 
+def drop_near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = 4, percent: int = 80) -> DataFrame:
+    """The rows that stay, with all their columns."""
+    dropped = near_classes(docs, id_col, text_col, k, percent).filter("NOT kept").select(F.col("doc_id").alias("dropped_id")).distinct()
+    return docs.join(saved(dropped), docs[id_col].cast("long") == F.col("dropped_id"), "left_anti")
+
+
 def op6_near_dedup(spark, sf_dir: str) -> DataFrame:
     return near_classes(spark.read.parquet(f"{sf_dir}/documents.parquet"))

@@ -2,16 +2,18 @@
 
 from __future__ import annotations
 
-from . import chat, exact_dedup, language, licenses, packing, tokens, toxicity
+from . import chat, decontaminate, exact_dedup, language, licenses, near_dedup, packing, tokens, toxicity
 
 QUERIES = {
     "op1_exact_dedup": exact_dedup.op1_exact_dedup,
     "op2_toxicity": toxicity.op2_toxicity,
     "op4_license_scan": licenses.op4_license_scan,
     "op5_language": language.op5_language,
+    "op6_near_dedup": near_dedup.op6_near_dedup,
     "op7_token_counts": tokens.op7_token_counts,
     "op8_chat": chat.op8_chat,
     "op9_packing": packing.op9_packing,
+    "op10_decontaminate": decontaminate.op10_decontaminate,
 }
 
 #: The other queries' results are learned, tokenised or packed; tests hold them against brute force or round trips.
@@ -19,4 +21,5 @@ ORACLES = {
     "op1_exact_dedup": exact_dedup.ORACLE,
     "op4_license_scan": licenses.ORACLE,
     "op8_chat": chat.ORACLE,
+    "op10_decontaminate": decontaminate.ORACLE,
 }
