@@ -6,8 +6,8 @@ by one: a known word by its own log frequencies; an unseen one by its 4-grams, a
 only if none of those is known by its 3-grams, then 2-grams, then single
 characters.  Word scores add up per language, and the best sum wins.
 
-The model is learned from a bounded sample, ``SAMPLE`` texts per language chosen by
-a hash of the id (a window that keeps only ids until the sample is fixed),
+The model is learned from a bounded sample, ``SAMPLE`` texts per language on average (a hash of
+the id below the share that gives that many; all texts of rarer languages),
 counted in Spark; the ``MOST`` most frequent entries of each kind are kept, which
 bounds what is sent to the tasks.  Distinct words of a chunk are scored once.
 
@@ -25,14 +25,14 @@ from functools import reduce
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .arrays import CHUNK_BYTES, U64, chunks, mix, prefix_hash, span_hash, text_arrays
 from .letters import Table, Words
 from .work import crc_bucket, id_and_text, saved
 
-SAMPLE = 2000  # texts per language that are learned from
+SAMPLE = 2000  # texts per language that are learned from, on average
 MOST = 60_000  # entries of each kind that are kept
 GRAMS = (4, 3, 2, 1)
 FOLDS, HELD_OUT = 4, 2
@@ -115,8 +115,9 @@ class Model:
 def fit(docs: DataFrame, sample: int = SAMPLE, most: int = MOST, folds: int = FOLDS, held_out: int = HELD_OUT) -> Model | None:
     named = docs.select(docs["doc_id"].cast("long").alias("doc_id"), docs["lang"].cast("string").alias("lang"))
     known = named.filter("doc_id IS NOT NULL AND lang IS NOT NULL").filter(crc_bucket(F.col("doc_id"), folds) != held_out)
-    place = F.row_number().over(Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id"))
-    chosen = saved(known.withColumn("place", place).filter(F.col("place") <= sample).select("doc_id", "lang").distinct())
+    share = known.groupBy("lang").agg((F.lit(float(sample)) / F.count("*")).alias("share"))
+    draw = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30)) / float(1 << 30)  # uniform in [0, 1)
+    chosen = saved(known.join(share, "lang").filter(draw < F.col("share")).select("doc_id", "lang").distinct())
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

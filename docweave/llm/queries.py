@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from . import chat, decontaminate, exact_dedup, language, licenses, near_dedup, packing, tokens, toxicity
+from . import chat, decontaminate, exact_dedup, language, licenses, near_dedup, packing, suffix_dedup, tokens, toxicity
 
 QUERIES = {
     "op1_exact_dedup": exact_dedup.op1_exact_dedup,
     "op2_toxicity": toxicity.op2_toxicity,
+    "op3_suffix_dedup": suffix_dedup.op3_suffix_dedup,
     "op4_license_scan": licenses.op4_license_scan,
     "op5_language": language.op5_language,
     "op6_near_dedup": near_dedup.op6_near_dedup,
