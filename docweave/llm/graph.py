@@ -24,8 +24,7 @@ def components(edges: DataFrame) -> DataFrame:
     while state[0]:
         both = now.unionAll(now.select(F.col("b").alias("a"), F.col("a").alias("b")))
         least = both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
-        large = both.join(least, "a").filter("b > a").select(F.col("b").alias("a"), F.col("m").alias("b")).filter("a <> b").distinct()
-        large = saved(large)
+        large = saved(both.join(least, "a").filter("b > a").select(F.col("b").alias("a"), F.col("m").alias("b")).filter("a <> b"))
         low = large.groupBy("a").agg(F.min("b").alias("m"))
         small = (large.join(low, "a").filter("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b"))
                  .unionAll(low.select("a", F.col("m").alias("b")))

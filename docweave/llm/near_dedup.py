@@ -8,14 +8,13 @@
    chunk with one value masked: 24 keys per signature find every such pair.  At Jaccard
    0.8 a pair differs in 4.8 values on average and shares no key with a chance of 1e-6.
 3. Groups of near copies are not expanded into pairs.  First every member
-   is compared with a centre, the key's most popular member; confirmed links are
-   joined into components.  Only keys whose members then lie in different components go on.
+   is compared with a centre, the key's most popular member.  Only keys whose members are not
+   all linked to one centre go on.
 4. Of their members, texts that cannot have a partner are dropped: a shingle that no other
    remaining text has lies in no intersection, so if fewer than 80 % of the shingles are shared,
-   no link is possible (repeated, as dropping texts makes more shingles unique).
-   Heavily edited copies and texts that share only a common passage go here.
+   no link is possible.  Heavily edited copies and texts that share only a common passage go here.
    Then the members meet the centres with the highest share of shared shingles, that is, those
-   closest to what the group has in common.
+   closest to what the group has in common; the links so far are joined into components.
 5. The remaining cross-component pairs are compared, each once (under its first common
    key) and only if the prefix filter admits them (two sets that overlap enough share one of
    their rarest shingles), and components are formed again.
@@ -46,7 +45,6 @@ from .work import id_and_text, saved
 VALUES, WIDTH = 24, 3  # signature values, values per chunk
 MOST_DIFFERENT = 2 * (VALUES // WIDTH) - 1  # below two errors in every chunk
 LANES = [f"s{i}" for i in range(VALUES // 4)]  # 4 values of 16 bits per long
-PRUNING_ROUNDS = 2
 SEEDS = np.array([pow(0x9E3779B97F4A7C15, 2 * i + 3, 1 << 64) for i in range(VALUES)], dtype=U64)
 
 
@@ -164,12 +162,14 @@ def unique_shingles(texts: DataFrame, k: int) -> DataFrame:
 
 
 def rarest_first(texts: DataFrame, nodes: DataFrame, k: int, percent: int) -> DataFrame:
-    """(node, rare): a text's rarest shingles among the texts, as many as a partner of any size could lack, plus one."""
+    """(node, rare): a text's rarest shingles among the texts, as many as a partner of any size could lack, plus one.
+
+    31 bits of each hash are kept: the prefix filter may then pass a pair too many, never one too few."""
     rows = saved(shingle_rows(texts, k))
     ranked = (rows.join(rows.groupBy("h").agg(F.count("*").alias("df")), "h")
               .groupBy("node").agg(F.sort_array(F.collect_list(F.struct("df", "h"))).alias("all")))
     return ranked.join(nodes.select("node", "n"), "node").select(
-        "node", F.expr(f"transform(slice(all, 1, int(n - ceil({percent} * n / 100) + 1)), s -> s.h)").alias("rare"))
+        "node", F.expr(f"transform(slice(all, 1, int(n - ceil({percent} * n / 100) + 1)), s -> int(s.h & 2147483647))").alias("rare"))
 
 
 def common_prefix(percent: int) -> Column:
@@ -188,10 +188,15 @@ def similar_size(percent: int) -> Column:
     return F.expr(f"100 * least(x.n, y.n) >= {percent} * greatest(x.n, y.n)")
 
 
-def placed(members: DataFrame, edges: DataFrame) -> DataFrame:
-    """(key, slot, node, component) under the components that ``edges`` make."""
-    found = saved(components(edges)).withColumnRenamed("component", "own")
-    return members.join(found, "node", "left").select("key", "slot", "node", F.coalesce("own", "node").alias("component"))
+def only(texts: DataFrame, nodes: DataFrame) -> DataFrame:
+    """The texts of the nodes.  The list grows with the corpus, so it is never broadcast."""
+    return texts.join(nodes.select("node").hint("merge"), "node", "left_semi")
+
+
+def placed(members: DataFrame, found: DataFrame) -> DataFrame:
+    """(key, slot, node, component); a node that is not in ``found`` is its own component."""
+    own = found.withColumnRenamed("component", "own")
+    return members.join(own, "node", "left").select("key", "slot", "node", F.coalesce("own", "node").alias("component"))
 
 
 def star_pairs(members: DataFrame, nodes: DataFrame, score: str, percent: int) -> DataFrame:
@@ -223,40 +228,40 @@ def near_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     members = saved(keys.join(sizes, "key"))
     popular = members.groupBy("node").agg(F.sum("size").alias("weight"))
     signed = saved(popular.join(reps.select("node", "n", *LANES), "node"))
-    active = saved(texts.withColumnRenamed("doc_id", "node").join(signed.select("node"), "node", "left_semi"))
+    active = saved(only(texts.withColumnRenamed("doc_id", "node"), signed))
 
     edges = saved(linked(star_pairs(members.withColumn("component", F.col("node")), signed, "weight", percent), active, k, percent))
-    left = mixed_keys(placed(members, edges))
-    shares = None
-    for _ in range(PRUNING_ROUNDS):
-        left = saved(left)
-        nodes = left.select("node").distinct()
-        shares = (nodes.join(unique_shingles(active.join(nodes, "node", "left_semi"), k), "node", "left")
-                  .join(signed.select("node", "n", *LANES), "node")
-                  .withColumn("shared", F.col("n") - F.coalesce("n_unique", F.lit(0)))
-                  .withColumn("share", F.col("shared") / F.col("n"))
-                  .filter(F.col("shared") * 100 >= F.col("n") * percent))
-        shares = saved(shares)
-        left = mixed_keys(left.join(shares.select("node"), "node", "left_semi"))
-    left = saved(left)
-    edges = edges.unionAll(saved(linked(star_pairs(left, shares, "share", percent), active, k, percent)))
-    left = mixed_keys(placed(left, edges))
-
-    left = saved(left)
+    nearby = edges.groupBy(F.col("a").alias("node")).agg(F.min("b").alias("component"))
+    left = saved(mixed_keys(placed(members, nearby)))
     nodes = left.select("node").distinct()
-    rich = saved(left.join(shares, "node").join(
-        rarest_first(active.join(nodes, "node", "left_semi"), shares, k, percent), "node"))
+    shares = saved(nodes.join(unique_shingles(only(active, nodes), k), "node", "left")
+                   .join(signed.select("node", "n", *LANES), "node")
+                   .withColumn("shared", F.col("n") - F.coalesce("n_unique", F.lit(0)))
+                   .withColumn("share", F.col("shared") / F.col("n"))
+                   .filter(F.col("shared") * 100 >= F.col("n") * percent))
+    left = saved(mixed_keys(left.join(shares.select("node"), "node", "left_semi")))
+    edges = saved(edges.unionAll(linked(star_pairs(left, shares, "share", percent), active, k, percent)))
+    found = saved(components(edges))
+    left = saved(mixed_keys(placed(left, found)))
+
+    nodes = left.select("node").distinct()
+    rich = saved(left.join(shares, "node").join(rarest_first(only(active, nodes), shares, k, percent), "node"))
     x, y = rich.alias("x"), rich.alias("y")
     most = F.expr("least(x.shared, y.shared)")
     pairs = (x.join(y, (F.col("x.key") == F.col("y.key")) & (F.col("x.node") < F.col("y.node"))
                     & (F.col("x.component") != F.col("y.component")) & similar_size(percent) & near_signatures()
                     & (most * 100 >= (F.expr("x.n + y.n") - most) * percent) & first_common_key("x.slot") & common_prefix(percent))
-             .select(F.col("x.node").alias("a"), F.col("y.node").alias("b")))
-    more = saved(linked(pairs.distinct(), active, k, percent))
-    found = saved(components(edges.unionAll(more)))
-
-    classes = reps.select(F.col("n").alias("n_shingles"), "d0", "d1", "node").join(found, "node", "left").select(
-        *group, F.coalesce("component", "node").alias("component_id"))
+             .select(F.col("x.node").alias("a"), F.col("y.node").alias("b"),
+                     F.col("x.component").alias("ca"), F.col("y.component").alias("cb")))
+    pairs = saved(pairs)
+    more = linked(pairs.select("a", "b"), active, k, percent).join(pairs, ["a", "b"]).select(F.col("ca").alias("a"), F.col("cb").alias("b"))
+    joined = saved(components(more)).select(F.col("node").alias("component"), F.col("component").alias("whole"))
+    # A component that no pair joined keeps its name; one that is a single text is not in ``found``.
+    found = (reps.select("node").join(found, "node", "left").withColumn("component", F.coalesce("component", "node"))
+             .join(joined, "component", "left").select("node", F.coalesce("whole", "component").alias("component")))
+
+    classes = reps.select(F.col("n").alias("n_shingles"), "d0", "d1", "node").join(found, "node").select(
+        *group, F.col("component").alias("component_id"))
     return (rows.select("doc_id", *group).join(classes, group, "left")
             .select("doc_id", "n_shingles",
                     F.when(F.col("doc_id").isNotNull(), F.coalesce("component_id", "doc_id")).alias("component_id"))
