@@ -43,8 +43,9 @@ from .graph import components
 from .work import id_and_text, saved
 
 VALUES, WIDTH = 24, 3  # signature values, values per chunk
+VALUE_BITS, LANE_BITS = 20, 21  # a chunk is one long of three lanes; a lane's top bit stays free
 MOST_DIFFERENT = 2 * (VALUES // WIDTH) - 1  # below two errors in every chunk
-LANES = [f"s{i}" for i in range(VALUES // 4)]  # 4 values of 16 bits per long
+LANES = [f"s{i}" for i in range(VALUES // WIDTH)]
 SEEDS = np.array([pow(0x9E3779B97F4A7C15, 2 * i + 3, 1 << 64) for i in range(VALUES)], dtype=U64)
 
 
@@ -54,17 +55,18 @@ def shingle_sets(raw: np.ndarray, offsets: np.ndarray, k: int) -> tuple[np.ndarr
 
 
 def signatures(sets: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(rows x 24) 16-bit MinHash values, and (rows x 2) digests of the sets; zero for empty sets."""
+    """(rows x 8) chunks of three 20-bit MinHash values, and (rows x 2) digests of the sets; zero for empty sets."""
     rows = len(first) - 1
-    values, digest = np.zeros((rows, VALUES), dtype=np.uint16), np.zeros((rows, 2), dtype=U64)
+    lanes, digest = np.zeros((rows, len(LANES)), dtype=U64), np.zeros((rows, 2), dtype=U64)
     some = np.flatnonzero(np.diff(first) > 0)
     if len(some):
         at = first[:-1][some]
         for i, seed in enumerate(SEEDS):
-            values[some, i] = (mix(np.minimum.reduceat(mix(sets * seed), at)) >> U64(48)).astype(np.uint16)
+            value = mix(np.minimum.reduceat(mix(sets * seed), at)) >> U64(64 - VALUE_BITS)
+            lanes[some, i // WIDTH] |= value << U64(LANE_BITS * (i % WIDTH))
         digest[some, 0] = np.add.reduceat(mix(sets + U64(1)), at)
         digest[some, 1] = np.add.reduceat(mix(sets ^ U64(0x5851F42D4C957F2D)), at)
-    return values, digest
+    return lanes, digest
 
 
 def sketch(texts: DataFrame, k: int) -> DataFrame:
@@ -73,11 +75,10 @@ def sketch(texts: DataFrame, k: int) -> DataFrame:
             raw, off = text_arrays(batch.column(1))
             for i, j in chunks(off, CHUNK_BYTES):
                 sets, first = shingle_sets(raw[off[i]:off[j]], off[i:j + 1] - off[i], k)
-                values, digest = signatures(sets, first)
-                lanes = values.view(np.int64).reshape(j - i, len(LANES))
+                lanes, digest = signatures(sets, first)
                 yield pa.RecordBatch.from_arrays(
                     [batch.column(0).slice(i, j - i), pa.array(np.diff(first)), *[pa.array(digest[:, c].view(np.int64)) for c in (0, 1)],
-                     *[pa.array(np.ascontiguousarray(lanes[:, c])) for c in range(len(LANES))]],
+                     *[pa.array(np.ascontiguousarray(lanes[:, c]).view(np.int64)) for c in range(len(LANES))]],
                     names=["doc_id", "n_shingles", "d0", "d1", *LANES])
 
     return texts.mapInArrow(run, "doc_id long, n_shingles long, d0 long, d1 long, " + ", ".join(f"{x} long" for x in LANES))
@@ -87,37 +88,43 @@ def index_keys(reps: DataFrame) -> DataFrame:
     """24 rows per signature: key, slot (chunk * 3 + masked choice), and the signature's row."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        one = U64((1 << VALUE_BITS) - 1)
         for batch in batches:
-            rows = batch.num_rows
-            lanes = np.stack([batch.column(2 + c).to_numpy() for c in range(len(LANES))], axis=1)
-            values = np.ascontiguousarray(lanes).view(np.uint16).reshape(rows, VALUES).astype(U64)
             for slot in range(VALUES):
                 chunk, choice = divmod(slot, WIDTH)
+                lanes = batch.column(2 + chunk).to_numpy().view(U64)
                 a, b = list(combinations(range(WIDTH), WIDTH - 1))[choice]
-                key = mix((values[:, WIDTH * chunk + a] << U64(16)) + values[:, WIDTH * chunk + b] + U64(slot + 1 << 40))
+                first, second = ((lanes >> U64(LANE_BITS * x)) & one for x in (a, b))
+                key = mix((first << U64(VALUE_BITS)) + second + U64(slot + 1 << 2 * VALUE_BITS))
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(key.view(np.int64)), pa.array(np.full(rows, slot, np.int32)), batch.column(0)],
+                    [pa.array(key.view(np.int64)), pa.array(np.full(len(key), slot, np.int32)), batch.column(0)],
                     names=["key", "slot", "node"])
 
     return reps.select("node", "n", *LANES).mapInArrow(run, "key long, slot int, node long")
 
 
-def same(i: int) -> str:
-    """SQL: value i of the signatures x and y is equal."""
-    return f"((shiftright(x.s{i // 4} ^ y.s{i // 4}, {16 * (i % 4)}) & 65535L) = 0L)"
+def lanes_mask(bit: int) -> int:
+    return sum(bit << LANE_BITS * i for i in range(WIDTH))
 
 
-def near_signatures() -> Column:
-    return F.expr(" + ".join(f"int({same(i)})" for i in range(VALUES)) + f" >= {VALUES - MOST_DIFFERENT}")
+def differing(chunk: int) -> str:
+    """SQL: number of differing values in a chunk of the signatures x and y.
+
+    Adding all ones to a lane carries into its free top bit exactly if the lane is not zero."""
+    full, top = lanes_mask((1 << VALUE_BITS) - 1), lanes_mask(1 << VALUE_BITS)
+    return f"bit_count(((x.s{chunk} ^ y.s{chunk}) + {full}L) & {top}L)"
+
+
+def distance() -> Column:
+    return F.expr(" + ".join(differing(c) for c in range(len(LANES))))
 
 
 def first_common_key(slot: str) -> Column:
-    """The pair's first common key is the one of ``slot``, so a pair is met once."""
-    chunk = "CASE " + " ".join(
-        f"WHEN int({same(3 * c)}) + int({same(3 * c + 1)}) + int({same(3 * c + 2)}) >= 2 THEN CASE "
-        f"WHEN {same(3 * c)} AND {same(3 * c + 1)} THEN {3 * c} WHEN {same(3 * c)} THEN {3 * c + 1} ELSE {3 * c + 2} END"
-        for c in range(VALUES // WIDTH)) + " END"
-    return F.expr(f"({chunk}) = {slot}")
+    """The pair's first common key is the one of ``slot``, so a pair is met once.  A chunk with one
+    differing value is shared under the one key that masks it, an equal chunk under all three."""
+    cases = " ".join(f"WHEN {differing(c)} = 0 THEN {slot} = {WIDTH * c} WHEN {differing(c)} = 1 THEN {slot} DIV {WIDTH} = {c}"
+                     for c in range(len(LANES)))
+    return F.expr(f"CASE {cases} ELSE false END")
 
 
 def linked(pairs: DataFrame, texts: DataFrame, k: int, percent: int) -> DataFrame:
@@ -207,7 +214,7 @@ def star_pairs(members: DataFrame, nodes: DataFrame, score: str, percent: int) -
                .select("key", F.col(f"top.{score}").alias("height"), (-F.col("top.minus")).alias("centre"), F.col("top.component").alias("far")))
     star = members.join(centres, "key").filter("component <> far").select("node", "centre", "height").distinct()
     x, y = nodes.alias("x"), nodes.alias("y")
-    differ = F.expr(" + ".join(f"int(NOT {same(i)})" for i in range(VALUES)))
+    differ = distance()
     best = (star.join(x, F.col("x.node") == star["node"]).join(y, F.col("y.node") == star["centre"]).filter(similar_size(percent))
             .groupBy(star["node"].alias("a"))
             .agg(F.min(F.struct(differ.alias("d"), star["centre"].alias("b"))).alias("near"),
@@ -249,8 +256,8 @@ def near_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     x, y = rich.alias("x"), rich.alias("y")
     most = F.expr("least(x.shared, y.shared)")
     pairs = (x.join(y, (F.col("x.key") == F.col("y.key")) & (F.col("x.node") < F.col("y.node"))
-                    & (F.col("x.component") != F.col("y.component")) & similar_size(percent) & near_signatures()
-                    & (most * 100 >= (F.expr("x.n + y.n") - most) * percent) & first_common_key("x.slot") & common_prefix(percent))
+                    & (F.col("x.component") != F.col("y.component")) & first_common_key("x.slot") & similar_size(percent)
+                    & (most * 100 >= (F.expr("x.n + y.n") - most) * percent) & (distance() <= MOST_DIFFERENT) & common_prefix(percent))
              .select(F.col("x.node").alias("a"), F.col("y.node").alias("b"),
                      F.col("x.component").alias("ca"), F.col("y.component").alias("cb")))
     pairs = saved(pairs)
@@ -271,7 +278,7 @@ def near_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 def drop_near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = 4, percent: int = 80) -> DataFrame:
     """The rows that stay, with all their columns."""
     dropped = near_classes(docs, id_col, text_col, k, percent).filter("NOT kept").select(F.col("doc_id").alias("dropped_id")).distinct()
-    return docs.join(saved(dropped), docs[id_col].cast("long") == F.col("dropped_id"), "left_anti")
+    return docs.join(saved(dropped).hint("merge"), docs[id_col].cast("long") == F.col("dropped_id"), "left_anti")
 
 
 def op6_near_dedup(spark, sf_dir: str) -> DataFrame:
