@@ -17,7 +17,7 @@ sum of smaller over sum of larger weights, is at least 0.8.
 3. Pairs within the radius are verified by the exact weighted similarity.
 
 The items' shingles are broadcast only if counted and at most ``BROADCAST_ROWS``; otherwise
-the join shuffles.
+the join shuffles.  Lists of documents grow with the corpus and are never broadcast.
 
 Defined results: texts with fewer than five words are one shingle, the whole sequence, so
 they match only equal ones; null and empty texts and items match nothing; rows that repeat
@@ -112,7 +112,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
                     .select(*key, "start", "own", "size").distinct())
     # 2. Fingerprints of the windows and the multi-index join.
     listed = windows.groupBy(*key).agg(F.collect_set(F.struct("start", "own", "size")).alias("windows"))
-    wanted = listed.select(F.col("doc_id").alias("w_id"), F.col("text_hash").alias("w_hash"), "windows")
+    wanted = listed.select(F.col("doc_id").alias("w_id"), F.col("text_hash").alias("w_hash"), "windows").hint("merge")
     found = (source.join(wanted, F.col("doc_id").eqNullSafe(F.col("w_id")) & (F.col("text_hash") == F.col("w_hash")))
              .dropDuplicates(key)
              .select(*key, "windows", shingles(F.col("text")).alias("hs"))
@@ -144,7 +144,7 @@ def report(docs: DataFrame, benchmark: DataFrame, **columns: str) -> DataFrame:
     """One row per document: doc_id, contaminated, n_items, item_id and similarity of the best match."""
     hits = saved(contaminated(docs, benchmark, **columns))
     best = hits.groupBy(F.col("doc_id").alias("h_id"), F.col("text_hash").alias("h_hash")).agg(
-        F.count("*").alias("n_items"), F.max(F.struct("similarity", (-F.col("item_id")).alias("minus"))).alias("best"))
+        F.count("*").alias("n_items"), F.max(F.struct("similarity", (-F.col("item_id")).alias("minus"))).alias("best")).hint("merge")
     rows = docs.select(docs[columns.get("id_col", "doc_id")].cast("long").alias("doc_id"),
                        F.xxhash64(docs[columns.get("text_col", "text")]).alias("text_hash"))
     joined = rows.join(best, F.col("doc_id").eqNullSafe(F.col("h_id")) & (F.col("text_hash") == F.col("h_hash")), "left")
@@ -155,7 +155,7 @@ def report(docs: DataFrame, benchmark: DataFrame, **columns: str) -> DataFrame:
 
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """The documents without a hit, with all their columns."""
-    hits = saved(contaminated(docs, benchmark)).select(F.col("doc_id").alias("h_id"), F.col("text_hash").alias("h_hash")).distinct()
+    hits = saved(contaminated(docs, benchmark)).select(F.col("doc_id").alias("h_id"), F.col("text_hash").alias("h_hash")).distinct().hint("merge")
     return docs.join(hits, docs["doc_id"].eqNullSafe(F.col("h_id")) & (F.xxhash64(docs["text"]) == F.col("h_hash")), "left_anti")
 
 
