@@ -238,6 +238,7 @@ DEFAULT_USER_FULL_NAME = "AI Engineer"
 DEFAULT_TOPIC_QUERY = "agentic ai"
 JOB_LOCATION = "Worldwide"
 TRUNCATION_MARKER = "\n...[truncated]"
+EMPTY_REPOSITORY = "No text content extracted from repository after ETL size and file filters."
 SUMMARY_MARKER = "..."
 
 # ---------------------------------------------------------------------------

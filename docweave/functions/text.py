@@ -125,10 +125,31 @@ def contains_any(c, words) -> Column:
     return out
 
 
-def html_unescape_basic(c) -> Column:
-    """Decode the named/numeric entities that occur in attribute values."""
+def _entity_names() -> Column:
+    """Named character references -> text, from the standard library's table."""
+    from html.entities import name2codepoint
+
+    known = {"apos": "'"} | {name: chr(code) for name, code in name2codepoint.items()}
+    return F.create_map(*[F.lit(x) for pair in sorted(known.items()) for x in pair])
+
+
+def html_unescape(c) -> Column:
+    """Decode all named, decimal and hexadecimal character references; unknown ones stay.
+
+    The text is split at ``&``; each later piece starts with a reference or keeps its ``&``."""
+    names = _entity_names()
+
+    def decode(piece: Column) -> Column:
+        ref = F.regexp_extract(piece, r"^(#[0-9]{1,7}|#[xX][0-9a-fA-F]{1,6}|[A-Za-z][A-Za-z0-9]{0,31});", 1)
+        digits = F.when(ref.rlike("^#[xX]"), F.upper(F.substring(ref, 3, 6))).otherwise(
+            F.hex(F.substring(ref, 2, 7).try_cast("long")))
+        valid = F.conv(digits, 16, 10).cast("long").between(1, 0xD7FF) | F.conv(digits, 16, 10).cast("long").between(0xE000, 0x10FFFF)
+        char = F.when(ref.startswith("#"), F.when(valid, F.decode(F.unhex(F.lpad(digits, 8, "0")), "UTF-32"))).otherwise(
+            F.try_element_at(names, ref))
+        return F.when((ref == "") | char.isNull(), F.concat(F.lit("&"), piece)).otherwise(
+            F.concat(char, F.substr(piece, F.length(ref) + 2)))
+
     c = col(c)
-    for ent, ch in (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"),
-                    ("&#x27;", "'"), ("&apos;", "'"), ("&nbsp;", "\u00a0"), ("&amp;", "&")):
-        c = F.replace(c, F.lit(ent), F.lit(ch))
-    return c
+    pieces = F.split(c, "&")
+    decoded = F.concat(F.get(pieces, F.lit(0)), F.array_join(F.transform(F.slice(pieces, 2, F.size(pieces)), decode), ""))
+    return F.when(c.contains("&"), decoded).otherwise(c)

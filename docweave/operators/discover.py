@@ -28,7 +28,7 @@ def _attr(tag: Column, name: str) -> tuple[Column, Column]:
     """(present, value) of an attribute of one start tag (any quoting)."""
     pat = rf"""(?is)\s{name}\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))"""
     value = F.concat(F.regexp_extract(tag, pat, 1), F.regexp_extract(tag, pat, 2), F.regexp_extract(tag, pat, 3))
-    return tag.rlike(rf"(?is)\s{name}\s*="), T.html_unescape_basic(value)
+    return tag.rlike(rf"(?is)\s{name}\s*="), T.html_unescape(value)
 
 
 def anchors(df: DataFrame, html: str = "html") -> DataFrame:

@@ -1,11 +1,7 @@
-"""Page extraction: HTML string -> document columns.
-
-Fields that a regular expression can find (title, meta description,
-keywords, publish time, anchors) are native columns.  Fields that need the
-element tree (main text of the first ``article``/``main``/``body``,
-class/descendant selectors of job pages) come from one ``mapInPandas``
-pass that parses each page once with the standard-library HTML parser and
-returns all tree fields together, Arrow-batched.
+"""Page extraction: HTML string -> document columns (H1-H18), all native expressions.
+
+Elements are found by patterns over the page with scripts, styles and comments removed;
+an element's inside ends at its first closing tag of the same name.
 """
 
 from __future__ import annotations
@@ -39,14 +35,14 @@ def meta_content(html: Column, attr: str, value: str) -> Column:
     else entity-decoded and stripped (may become '')."""
     tag = _meta_tag(html, attr, value)
     content = attr_value(tag, "content")
-    return F.when((tag != "") & (content != ""), T.strip_ws(T.html_unescape_basic(content)))
+    return F.when((tag != "") & (content != ""), T.strip_ws(T.html_unescape(content)))
 
 
 def element_text(html: Column, tag: str) -> Column:
     """``get_text(" ", strip=True)`` of the first ``<tag>`` element: text
     pieces between markup, stripped, blanks dropped, joined by a space."""
     inner = F.regexp_extract(html, rf"(?is)<{tag}\b[^>]*>(.*?)</{tag}\s*>", 1)
-    pieces = F.filter(F.transform(F.split(inner, "<[^>]*>"), lambda x: T.strip_ws(T.html_unescape_basic(x))),
+    pieces = F.filter(F.transform(F.split(inner, "<[^>]*>"), lambda x: T.strip_ws(T.html_unescape(x))),
                       lambda x: x != "")
     return F.array_join(pieces, " ")
 
@@ -92,11 +88,57 @@ def published_raw(html: Column) -> Column:
     return F.try_element_at(F.filter(allc, lambda v: DT.parse_datetime(v).isNotNull()), F.lit(1))
 
 
+def markup_text(html: Column, joiner: str = "\n") -> Column:
+    """Text pieces between tags, entity-decoded and stripped, blank ones dropped, joined."""
+    pieces = F.transform(F.split(html, "<[^>]*>"), lambda x: T.strip_ws(T.html_unescape(x)))
+    return F.array_join(F.filter(pieces, lambda x: x != ""), joiner)
+
+
 def native_text(html: Column) -> Column:
-    """Approximate page text without a tree: markup removed, one line per
-    text piece (scripts, styles and comments dropped)."""
+    """Text of the whole page, one line per text piece (scripts, styles and comments dropped)."""
     no_inert = F.regexp_replace(html, INERT_MARKUP, "\n")
-    return T.normalize_content(T.html_unescape_basic(F.regexp_replace(no_inert, "<[^>]*>", "\n")))
+    return T.normalize_content(T.html_unescape(F.regexp_replace(no_inert, "<[^>]*>", "\n")))
+
+
+def element_pattern(tag: str, condition: str = "") -> str:
+    """Pattern of an element, group 1 its inside up to its first closing tag of the same name.
+
+    ``condition`` is an attribute pattern that the opening tag must contain."""
+    opening = rf"<{tag}\b[^>]*\s{condition}[^>]*>" if condition else rf"<{tag}\b[^>]*>"
+    return rf"(?is){opening}(.*?)</{tag}\s*>"
+
+
+def with_class(*names: str) -> str:
+    """Attribute pattern: the class list holds the names, in this order."""
+    return r"""class\s*=\s*["'](?:[^"']*\s)?""" + r"(?:\s[^\"']*)?\s".join(names) + r"""(?:\s[^"']*)?["']"""
+
+
+#: H3: where the main text is looked for, in this order.
+MAIN_REGIONS = (
+    element_pattern("article"), element_pattern("main"),
+    element_pattern("div", r"""role\s*=\s*["']?main\b["']?"""), r"(?is)<body\b[^>]*>(.*)",
+)
+
+
+def main_text(html: Column) -> Column:
+    """H3: text lines of the first article, main, role=main block or body; else of the whole page."""
+    plain = F.regexp_replace(html, INERT_MARKUP, "\n")
+    region = F.when(plain.rlike(MAIN_REGIONS[0]), F.regexp_extract(plain, MAIN_REGIONS[0], 1))
+    for pattern in MAIN_REGIONS[1:]:
+        region = region.when(plain.rlike(pattern), F.regexp_extract(plain, pattern, 1))
+    return T.normalize_content(T.html_unescape(F.regexp_replace(region.otherwise(plain), "<[^>]*>", "\n")))
+
+
+def first_text(html: Column, patterns: tuple[str, ...]) -> Column:
+    """H6: text (pieces joined by a space) of the first pattern whose first match has any."""
+    return F.coalesce(*[T.nullif_empty(markup_text(F.regexp_extract(html, p, 1), " ")) for p in patterns])
+
+
+def joined_text(html: Column, patterns: tuple[str, ...]) -> Column:
+    """H7: texts of all matches of the patterns, each once, one per line."""
+    found = F.concat(*[F.regexp_extract_all(html, F.lit(p), F.lit(1)) for p in patterns])
+    texts = F.transform(found, lambda x: markup_text(x, " "))
+    return F.array_join(F.filter(F.array_distinct(texts), lambda x: x != ""), "\n")
 
 
 def page_fields(pages: DataFrame, html: str = "html") -> DataFrame:
@@ -116,94 +158,96 @@ def page_fields(pages: DataFrame, html: str = "html") -> DataFrame:
     return fence(out, ["html_title", "description", "tags", "published_raw", "published_at", "published_date"])
 
 
-def article_records(pages: DataFrame, link: str = "link", html: str = "html",
-                    text_col: str | None = None) -> DataFrame:
+def challenge_reason(text: Column) -> Column:
+    """P3 as the error reason of a document."""
+    lower = F.lower(text)
+    return F.when(T.contains_any(lower, D.CHALLENGE_PHRASES)
+                  | (lower.contains(D.CHALLENGE_PAIR[0]) & lower.contains(D.CHALLENGE_PAIR[1])),
+                  F.lit("bot_protection_challenge"))
+
+
+def article_records(pages: DataFrame, link: str = "link", html: str = "html") -> DataFrame:
     """H9 (+P3): article document parts from a stored page.
 
     title (fallback: the link), content = description + blank line + main
-    text, platform = source = host; bot-challenge pages become errors.
-    ``text_col`` names a main-text column (e.g. from :func:`tree_fields`);
-    without it the native text is used.
-    """
-    f = page_fields(pages, html)
-    text = F.col(text_col) if text_col else native_text(F.col(html))
-    f = f.withColumn("_text", text)
-    challenge = fence(f.withColumn("_challenge", T.contains_any(F.lower("_text"), D.CHALLENGE_PHRASES)
-                                   | (F.lower("_text").contains(D.CHALLENGE_PAIR[0])
-                                      & F.lower("_text").contains(D.CHALLENGE_PAIR[1]))), ["_challenge"])
+    text (H3), platform = source = host; bot-challenge pages become errors."""
+    f = fence(page_fields(pages, html).withColumn("_text", main_text(F.col(html))), ["_text"])
     parts = F.array_compact(F.array(F.nullif(F.col("description"), F.lit("")), F.nullif(F.col("_text"), F.lit(""))))
-    return challenge.select(
+    return f.select(
         *[c for c in pages.columns if c != html],
         F.coalesce(F.nullif(F.col("html_title"), F.lit("")), F.col(link)).alias("title"),
         F.array_join(parts, "\n\n").alias("content"),
         "tags", "published_at", "published_date",
         U.host(link).alias("platform"), U.host(link).alias("source"),
-        F.when(F.col("_challenge"), F.lit("bot_protection_challenge")).alias("challenge_reason"),
+        F.create_map(F.lit("description"), F.col("description")).alias("raw_metadata"),
+        challenge_reason(F.col("_text")).alias("challenge_reason"),
     )
 
 
-# ---------------------------------------------------------------------------
-# Tree pass (mapInPandas): main text and selector fields, one parse per page
-# ---------------------------------------------------------------------------
-
-JOB_FIELDS = {
-    "job_title": ("first", ("h1.top-card-layout__title", "h1.topcard__title", "h1")),
-    "company": ("first", ("a.topcard__org-name-link", "span.topcard__flavor", "div.topcard__flavor-row span")),
-    "location": ("first", ("span.topcard__flavor--bullet", "span.topcard__flavor.topcard__flavor--bullet")),
-    "job_description": ("first", ("div.show-more-less-html__markup", "section.show-more-less-html",
-                                  "div.description__text")),
-    "criteria": ("joined", ("li.description__job-criteria-item", "span.description__job-criteria-text")),
-    "readme": ("first_block", ("article.markdown-body", "div.markdown-body", "#readme")),
-    "subtitle": ("first", ("h2",)),
-    "first_h1": ("first", ("h1",)),
-}
-
-
-def tree_fields(pages: DataFrame, key: str, html: str = "html",
-                fields: dict[str, tuple[str, tuple[str, ...]]] | None = None) -> DataFrame:
-    """One HTML parse per page in ``mapInPandas``.
-
-    Returns ``key`` plus ``main_text`` (first article/main/[role=main]/body,
-    text pieces stripped and newline-joined; scripts, styles and comments
-    left out), ``page_text`` (whole page), ``topics`` (H15) and every field
-    of ``fields`` (name -> (mode, selectors)): ``first`` = first non-empty
-    text of the first match of each selector (space-joined), ``joined`` =
-    all matches, exact-distinct, newline-joined, ``first_block`` = like
-    first but newline-joined.
-    """
-    from ..functions.htmltree import extract_batch
-
-    fields = fields if fields is not None else JOB_FIELDS
-    names = list(fields)
-    schema = (f"{key} {dict(pages.dtypes)[key]}, main_text string, page_text string, topics array<string>, "
-              + ", ".join(f"{n} string" for n in names))
-
-    def run(batches):
-        for pdf in batches:
-            yield extract_batch(pdf, key, html, fields)
-
-    return pages.select(key, html).mapInPandas(run, schema)
-
-
-def rendered_article_records(tree: DataFrame, native: DataFrame, key: str, link: str = "link") -> DataFrame:
-    """Rendered feed-host page: title = first h1, else the page title,
-    else the link; content = h2 subtitle + blank line + whole page text;
-    platform/source ``medium``.  ``tree`` comes from :func:`tree_fields`,
-    ``native`` from :func:`page_fields` (same key, plus ``link``)."""
-    j = tree.join(native, key)
-    parts = F.array_compact(F.array(F.nullif(F.col("subtitle"), F.lit("")), F.nullif(F.col("page_text"), F.lit(""))))
-    return j.select(
-        key, link,
-        F.coalesce(F.nullif(F.col("first_h1"), F.lit("")), F.nullif(F.col("html_title"), F.lit("")), F.col(link)).alias("title"),
-        F.array_join(parts, "\n\n").alias("content"), "tags", "published_at", "published_date",
-        F.lit("medium").alias("platform"), F.lit("medium").alias("source"),
-        F.create_map(F.lit("subtitle"), F.col("subtitle")).alias("raw_metadata"))
-
-
-# Extractor registry.  A kind (from H16's host routing) maps to a
-# DataFrame -> DataFrame function producing document parts; callers may
-# register their own kinds.
-EXTRACTORS: dict[str, object] = {"article": article_records}
+# The elements of job pages, by field, in order of preference.
+JOB_TITLE = (element_pattern("h1", with_class("top-card-layout__title")), element_pattern("h1", with_class("topcard__title")),
+             element_pattern("h1"))
+JOB_COMPANY = (element_pattern("a", with_class("topcard__org-name-link")), element_pattern("span", with_class("topcard__flavor")),
+               r"(?is)<div\b[^>]*\s" + with_class("topcard__flavor-row") + r"[^>]*>.*?<span\b[^>]*>(.*?)</span\s*>")
+JOB_LOCATION = (element_pattern("span", with_class("topcard__flavor--bullet")),)
+JOB_DESCRIPTION = (element_pattern("div", with_class("show-more-less-html__markup")),
+                   element_pattern("section", with_class("show-more-less-html")), element_pattern("div", with_class("description__text")))
+JOB_CRITERIA = (element_pattern("li", with_class("description__job-criteria-item")),
+                element_pattern("span", with_class("description__job-criteria-text")))
+README_BLOCKS = (element_pattern("article", with_class("markdown-body")), element_pattern("div", with_class("markdown-body")),
+                 element_pattern("div", r"""id\s*=\s*["']?readme\b["']?"""))
+TOPIC_TAGS = (element_pattern("a", with_class("topic-tag")),)
+
+
+def job_records(pages: DataFrame, link: str = "link", html: str = "html") -> DataFrame:
+    """H8 (+H6, H7): job document parts: labelled lines, criteria and description."""
+    h = F.regexp_replace(F.col(html), INERT_MARKUP, " ")
+    f = page_fields(pages.withColumn("_plain", h), html).withColumns({
+        "_first": first_text(F.col("_plain"), JOB_TITLE), "_company": first_text(F.col("_plain"), JOB_COMPANY),
+        "_location": first_text(F.col("_plain"), JOB_LOCATION), "_about": first_text(F.col("_plain"), JOB_DESCRIPTION),
+        "_criteria": joined_text(F.col("_plain"), JOB_CRITERIA)})
+    f = fence(f, ["_first", "_company", "_location", "_about", "_criteria"])
+    title = F.coalesce("_first", T.nullif_empty("html_title"), F.col(link))
+    parts = F.array_compact(F.array(
+        F.concat(F.lit("Job title: "), title), F.concat(F.lit("Company: "), F.col("_company")),
+        F.concat(F.lit("Location: "), F.col("_location")), F.nullif(F.col("_criteria"), F.lit("")), F.col("_about")))
+    return f.select(
+        *[c for c in pages.columns if c != html], title.alias("title"), F.array_join(parts, "\n\n").alias("content"),
+        F.array_compact(F.array("_company", "_location")).alias("tags"), "published_at", "published_date",
+        F.lit("linkedin").alias("platform"), F.lit("linkedin").alias("source"),
+        F.create_map(F.lit("company"), F.col("_company"), F.lit("location"), F.col("_location")).alias("raw_metadata"))
+
+
+def rendered_article_records(pages: DataFrame, link: str = "link", html: str = "html") -> DataFrame:
+    """H12 (+P3): rendered feed-host page: title = first h1, else the page title, else the link;
+    content = first h2 + blank line + whole page text; challenge pages become errors."""
+    h = F.regexp_replace(F.col(html), INERT_MARKUP, " ")
+    f = page_fields(pages.withColumn("_plain", h), html).withColumns({
+        "_h1": first_text(F.col("_plain"), (element_pattern("h1"),)), "_h2": first_text(F.col("_plain"), (element_pattern("h2"),)),
+        "_text": native_text(F.col(html))})
+    f = fence(f, ["_h1", "_h2", "_text"])
+    parts = F.array_compact(F.array(F.col("_h2"), F.nullif(F.col("_text"), F.lit(""))))
+    content = F.array_join(parts, "\n\n")
+    return f.select(
+        *[c for c in pages.columns if c != html],
+        F.coalesce("_h1", T.nullif_empty("html_title"), F.col(link)).alias("title"), content.alias("content"),
+        "tags", "published_at", "published_date", F.lit("medium").alias("platform"), F.lit("medium").alias("source"),
+        F.create_map(F.lit("subtitle"), F.col("_h2")).alias("raw_metadata"), challenge_reason(content).alias("challenge_reason"))
+
+
+def repository_page_fields(pages: DataFrame, html: str = "html") -> DataFrame:
+    """README block text and topic tags of a repository page."""
+    plain = F.regexp_replace(F.col(html), INERT_MARKUP, " ")
+    block = F.coalesce(*[F.nullif(F.regexp_extract(plain, p, 1), F.lit("")) for p in README_BLOCKS])
+    topics = F.concat(*[F.regexp_extract_all(plain, F.lit(p), F.lit(1)) for p in TOPIC_TAGS])
+    out = pages.withColumns({
+        "readme": F.coalesce(markup_text(block), F.lit("")),
+        "topics": F.filter(F.array_distinct(F.transform(topics, lambda x: F.lower(markup_text(x, " ")))), lambda x: x != "")})
+    return fence(out, ["readme", "topics"])
+
+
+#: Extractor by H16's kind; callers may register their own kinds.
+EXTRACTORS = {"article": article_records, "job": job_records, "feed_article": rendered_article_records}
 
 
 def register_extractor(kind: str, fn) -> None:

@@ -25,65 +25,28 @@ def collection_rank(c="collection_name") -> Column:
     return out
 
 
-TOP_TERMS = 50
+def topic_groups(docs: DataFrame, topic_query: str | None = D.DEFAULT_TOPIC_QUERY) -> DataFrame:
+    """A1 (+P14): per (collection, domain, kind) counts and averages of the matching documents.
 
+    The groups' topic and tag lists are rows of :func:`group_terms`, not arrays."""
+    return topic_match(docs, topic_query).groupBy(*GROUP_KEYS).agg(
+        F.count(F.lit(1)).alias("document_count"),
+        F.avg("ai_relevance_score").alias("avg_ai_relevance_score"),
+        F.avg("hiring_signal_score").alias("avg_hiring_signal_score"))
 
-def topic_groups(docs: DataFrame, topic_query: str | None = D.DEFAULT_TOPIC_QUERY,
-                 top_terms: int = TOP_TERMS) -> DataFrame:
-    """A1 (+P14): per (collection, domain, kind) counts, averages and the
-    topic and tag frequencies of the matching documents.
 
-    The group's ``ai_topics``/``tags`` lists are kept as element counts
-    (``array<struct<name, documents>>`` ordered by count desc, name) of its
-    ``top_terms`` most frequent terms, so a group's row is bounded whatever
-    the number of its documents or distinct keywords.  One
-    pass over the documents: every document emits one metrics row plus one
-    row per topic and per tag; the first aggregate is partial + final on
-    (group, item), the second works on that already-small result.
-    """
-    matched = topic_match(docs, topic_query)
-    item = F.struct(F.lit(None).cast("string").alias("kind"), F.lit(None).cast("string").alias("name"))
-    items = F.concat(
-        F.array(item),
-        F.transform(F.coalesce("ai_topics", F.array().cast("array<string>")),
-                    lambda t: F.struct(F.lit("topic").alias("kind"), t.alias("name"))),
-        F.transform(F.coalesce("tags", F.array().cast("array<string>")),
-                    lambda t: F.struct(F.lit("tag").alias("kind"), t.alias("name"))),
-    )
-    exploded = matched.select(*GROUP_KEYS, "ai_relevance_score", "hiring_signal_score",
-                              F.explode(items).alias("it"))
-    per_item = exploded.groupBy(*GROUP_KEYS, F.col("it.kind").alias("item_kind"),
-                                F.col("it.name").alias("item")).agg(
-        F.count(F.lit(1)).alias("n"),
-        F.sum("ai_relevance_score").alias("rel_sum"),
-        F.sum("hiring_signal_score").alias("hire_sum"),
-        F.count("ai_relevance_score").alias("rel_n"),
-        F.count("hiring_signal_score").alias("hire_n"),
-    )
-    # The per-group term lists are a top-terms report: the ``top_terms``
-    # most frequent topics and tags (count desc, name), cut on the already
-    # aggregated counts before they are collected into one row per group.
-    # A group's metrics row is the only row of its item_kind = null
-    # partition, so the plain ``row_number() <= k`` keeps it; that filter
-    # alone plans as a WindowGroupLimit (k terms per group leave a task).
-    terms = Window.partitionBy(*GROUP_KEYS, "item_kind").orderBy(F.desc("n"), F.asc("item"))
-    per_item = (per_item.withColumn("_term_rank", F.row_number().over(terms))
-                .filter(F.col("_term_rank") <= top_terms).drop("_term_rank"))
-    is_doc = F.col("item_kind").isNull()
-
-    def freq(kind: str) -> Column:
-        entries = F.collect_list(F.when(F.col("item_kind") == kind,
-                                        F.struct((-F.col("n")).alias("o"), F.col("item").alias("name"))))
-        return F.transform(F.array_sort(entries),
-                           lambda x: F.struct(x["name"].alias("name"), (-x["o"]).alias("documents")))
-
-    return per_item.groupBy(*GROUP_KEYS).agg(
-        F.sum(F.when(is_doc, F.col("n"))).alias("document_count"),
-        (F.sum(F.when(is_doc, F.col("rel_sum"))) / F.sum(F.when(is_doc, F.col("rel_n")))).alias("avg_ai_relevance_score"),
-        (F.sum(F.when(is_doc, F.col("hire_sum"))) / F.sum(F.when(is_doc, F.col("hire_n")))).alias("avg_hiring_signal_score"),
-        freq("topic").alias("top_topics"),
-        freq("tag").alias("top_tags"),
-    )
+def group_terms(docs: DataFrame, groups: DataFrame, topic_query: str | None = D.DEFAULT_TOPIC_QUERY) -> DataFrame:
+    """A1's term lists in long form: every topic and tag of the given groups with its
+    number of documents.  One row per (group, term kind, term), however many terms
+    a group has; counting is partial per task, so a hot group costs little."""
+    matched = topic_match(docs, topic_query).join(groups.select(*GROUP_KEYS), list(GROUP_KEYS), "left_semi")
+
+    def named(column: str, kind: str) -> Column:
+        return F.transform(F.coalesce(column, F.array().cast("array<string>")),
+                           lambda t: F.struct(F.lit(kind).alias("term_kind"), t.alias("term")))
+
+    terms = matched.select(*GROUP_KEYS, F.inline(F.concat(named("ai_topics", "topic"), named("tags", "tag"))))
+    return terms.groupBy(*GROUP_KEYS, "term_kind", "term").agg(F.count(F.lit(1)).alias("documents"))
 
 
 def top_per_collection(groups: DataFrame, k: int = D.MAX_ANALYTICS_RESULTS) -> DataFrame:

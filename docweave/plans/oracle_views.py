@@ -47,6 +47,12 @@ SELECT doc_id, '<html><head><title> T' || CAST(doc_id AS VARCHAR) || ' </title><
   || '?utm_medium=q">J</a><a href="https://github.com/' || source || '/r' || CAST(doc_id AS VARCHAR)
   || '">G</a><a href="/abs/' || CAST(doc_id AS VARCHAR) || '">P</a><a href="//cdn.example.com/a/b">C</a>'
   || CASE WHEN doc_id % 11 = 0 THEN '<p>Ray ID 1 Cloudflare</p>' ELSE '' END || '</body></html>' AS html
+FROM documents""",
+    "job_docs": r"""
+SELECT doc_id AS seq, 'https://www.linkedin.com/jobs/view/' || CAST(doc_id AS VARCHAR) AS link,
+  'Engineer ' || CAST(doc_id AS VARCHAR) AS title, 'Acme ' || source AS company, upper(lang) AS location,
+  'Full-time' || chr(10) || 'Level ' || CAST(doc_id % 4 AS VARCHAR) AS criteria,
+  'About: ' || trim(regexp_replace(text, '[<>&\s\x{A0}]+', ' ', 'g')) AS about
 FROM documents""",
     "page_sources": """
 SELECT page_id AS source_pos,
@@ -54,7 +60,7 @@ SELECT page_id AS source_pos,
   url AS source_url, html
 FROM pages""",
     "repo_files": """
-SELECT source AS repo,
+SELECT doc_id AS file_id, source AS repo,
   CASE doc_id % 5 WHEN 0 THEN 'docs/readme-' || CAST(doc_id AS VARCHAR) || '.md'
     WHEN 1 THEN 'src/f' || CAST(doc_id AS VARCHAR) || '.py'
     WHEN 2 THEN 'img/p' || CAST(doc_id AS VARCHAR) || '.png'
@@ -77,11 +83,11 @@ SELECT seq, link,
   CASE WHEN length(content) < 120 THEN NULL ELSE lower(regexp_extract(link, '^https?://([^/?#]*)', 1)) END AS source_domain,
   CASE WHEN length(content) < 120 THEN NULL ELSE CAST(seq % 11 AS DOUBLE) / 10 END AS ai_relevance_score
 FROM crawl_docs""",
-    "feed_docs": """
+    "feed_docs": r"""
 SELECT doc_id, '<rss version="2.0" xmlns:content="http://purl.org/rss/1.0/modules/content/"><channel><item><title> T  ' || CAST(doc_id AS VARCHAR)
   || ' </title>' || CASE WHEN doc_id % 9 = 0 THEN '' ELSE '<link>https://medium.com/' || source || '/' || CAST(doc_id AS VARCHAR) || '?utm_source=rss</link>' END
   || '<description>D' || CAST(doc_id AS VARCHAR) || '</description><pubDate>Mon, ' || lpad(CAST(doc_id % 28 + 1 AS VARCHAR), 2, '0') || ' Jan 2024 23:30:00 -0500</pubDate>'
-  || CASE WHEN doc_id % 4 = 0 THEN '' ELSE '<content:encoded><![CDATA[<p>C' || CAST(doc_id AS VARCHAR) || '</p>]]></content:encoded>' END
+  || CASE WHEN doc_id % 4 = 0 THEN '' ELSE '<content:encoded><![CDATA[<p>C' || CAST(doc_id AS VARCHAR) || ' ' || trim(regexp_replace(text, '[<>&\]\s\x{A0}]+', ' ', 'g')) || '</p>]]></content:encoded>' END
   || CASE WHEN doc_id % 13 = 0 THEN '<broken' ELSE '</item></channel></rss>' END AS xml
 FROM documents""",
 }
@@ -115,4 +121,4 @@ def with_views(sql: str, extra_ctes: dict[str, str] | None = None) -> str:
     ctes += [f"{k} AS ({body.strip()})" for k, body in (extra_ctes or {}).items()]
     if not ctes:
         return sql.strip()
-    return "WITH " + ",\n".join(ctes) + "\n" + sql.strip()
+    return "WITH RECURSIVE " + ",\n".join(ctes) + "\n" + sql.strip()

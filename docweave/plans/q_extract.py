@@ -57,65 +57,93 @@ def h3_native_text(spark: SparkSession, sf: str) -> DataFrame:
     return p.select("page_id", F.md5(X.native_text(F.col("html"))).alias("text_md5"))
 
 
-def _pages_articles(spark: SparkSession, sf: str) -> DataFrame:
-    p = read_table(spark, sf, "pages", ["page_id", "url", "html"]).withColumnRenamed("url", "link")
-    a = X.article_records(p, "link")
-    return a.select(F.col("page_id").alias("seq"), "link", "title", "content", "challenge_reason",
-                    F.lit(V.TOPIC).alias("topic_query"), F.col("tags").alias("seed_tags"))
+_PLAIN = f"regexp_replace(html, {q(INERT)}, chr(10), 'g')"
 
 
-_ART = f"""SELECT page_id AS seq, url AS link,
-  coalesce(CASE WHEN t <> '' THEN t END, url) AS title, {_NATIVE_TEXT} AS content, 'agentic ai' AS topic_query
-FROM (SELECT *, {_elem_text(_H, 'title')} AS t FROM pages)"""
+def _text_lines(e: str) -> str:
+    return norm_content(unescape(f"regexp_replace({e}, '<[^>]*>', chr(10), 'g')"))
 
 
-@register("h9_article_documents", """
-SELECT seq, status, title, collection_name, content_kind, ai_relevance_score,
-  array_to_string(tags, '|') AS tags FROM enriched""", {"art": _ART, **enrich_ctes("art")})
-def h9_article_documents(spark: SparkSession, sf: str) -> DataFrame:
-    """H9 (+H1, H3 native, P1, P2, P3, E11): stored pages -> article documents."""
-    docs = P.build_documents(_pages_articles(spark, sf), topic=V.TOPIC, seed_tags="seed_tags")
-    return docs.select("seq", "status", "title", "collection_name", "content_kind", "ai_relevance_score",
-                       joined("tags").alias("tags"))
+_REGION = "CASE " + " ".join(
+    f"WHEN regexp_matches(p, {q(x)}) THEN regexp_extract(p, {q(x)}, 1)" for x in (
+        r"(?is)<article\b[^>]*>(.*?)</article\s*>", r"(?is)<main\b[^>]*>(.*?)</main\s*>",
+        r"""(?is)<div\b[^>]*\srole\s*=\s*["']?main\b["']?[^>]*>(.*?)</div\s*>""", r"(?is)<body\b[^>]*>(.*)")) + " ELSE p END"
 
 
-@register("h3_tree_main_text")
-def h3_tree_main_text(spark: SparkSession, sf: str) -> DataFrame:
-    """H3, H6, H14, H15, H17 via the tree pass: main text of each stored page."""
+@register("h3_main_text", f"""
+SELECT page_id, md5({_text_lines('region')}) AS text_md5 FROM (SELECT page_id, {_REGION} AS region FROM (SELECT page_id, {_PLAIN} AS p FROM pages))""")
+def h3_main_text(spark: SparkSession, sf: str) -> DataFrame:
+    """H3: text of the first article, main, role=main block or body of each stored page."""
     p = read_table(spark, sf, "pages", ["page_id", "html"])
-    t = X.tree_fields(p, "page_id")
-    return t.select("page_id", F.length("main_text").cast("bigint").alias("main_chars"),
-                    F.md5("main_text").alias("main_md5"), "first_h1", joined("topics").alias("topics"))
+    return p.select("page_id", F.md5(X.main_text(F.col("html"))).alias("text_md5"))
+
+
+def _document_rows(records: DataFrame, key: str) -> DataFrame:
+    docs = P.build_documents(records.withColumns({"seq": F.col(key), "topic_query": F.lit(V.TOPIC)}), topic=V.TOPIC, seed_tags="tags")
+    return docs
+
+
+_ART = f"""SELECT seq, link, title, {_text_lines('region')} AS content, 'agentic ai' AS topic_query
+FROM (SELECT page_id AS seq, url AS link, coalesce(CASE WHEN t <> '' THEN t END, url) AS title, {_REGION} AS region
+      FROM (SELECT page_id, url, {_elem_text(_H, 'title')} AS t, {_PLAIN} AS p FROM pages))"""
+_ENRICHED = """SELECT seq, status, title, collection_name, content_kind, ai_relevance_score,
+  array_to_string(tags, '|') AS tags FROM enriched WHERE has_document
+UNION ALL SELECT seq, status, NULL, NULL, NULL, NULL, NULL FROM enriched WHERE NOT has_document"""
 
 
-@register("h8_job_documents")
+def _enriched_out(docs: DataFrame) -> DataFrame:
+    return docs.select("seq", "status", "title", "collection_name", "content_kind", "ai_relevance_score", joined("tags").alias("tags"))
+
+
+@register("h9_article_documents", _ENRICHED, {"art": _ART, **enrich_ctes("art")})
+def h9_article_documents(spark: SparkSession, sf: str) -> DataFrame:
+    """H9 (+H1, H3, P1, P2, P3, E11): stored pages -> article documents."""
+    p = read_table(spark, sf, "pages", ["page_id", "url", "html"]).withColumnRenamed("url", "link")
+    return _enriched_out(_document_rows(X.article_records(p), "page_id"))
+
+
+@register("h6_job_fields", """
+SELECT seq, title, company, location, criteria, md5(about) AS about_md5 FROM job_docs""")
+def h6_job_fields(spark: SparkSession, sf: str) -> DataFrame:
+    """H6, H7: title, company, location, criteria and description of job pages."""
+    j = V.job_docs(spark, sf)
+    h = F.regexp_replace("html", X.INERT_MARKUP, " ")
+    return j.select("seq", X.first_text(h, X.JOB_TITLE).alias("title"), X.first_text(h, X.JOB_COMPANY).alias("company"),
+                    X.first_text(h, X.JOB_LOCATION).alias("location"), X.joined_text(h, X.JOB_CRITERIA).alias("criteria"),
+                    F.md5(X.first_text(h, X.JOB_DESCRIPTION)).alias("about_md5"))
+
+
+_JOBS = """SELECT seq, link, title, 'Job title: ' || title || chr(10) || 'Company: ' || company || chr(10) || 'Location: ' || location
+  || chr(10) || criteria || chr(10) || about AS content, 'agentic ai' AS topic_query FROM job_docs"""
+
+
+@register("h8_job_documents", """
+SELECT seq, status, title, 'linkedin' AS platform, collection_name, content_kind, has_job_signal FROM enriched WHERE has_document
+UNION ALL SELECT seq, status, NULL, NULL, NULL, NULL, NULL FROM enriched WHERE NOT has_document""", {"jobs": _JOBS, **enrich_ctes("jobs")})
 def h8_job_documents(spark: SparkSession, sf: str) -> DataFrame:
     """H8 (+H6, H7, P2, E11): job pages -> job documents (labelled lines)."""
-    h = V.html_docs(spark, sf)
-    t = X.tree_fields(h, "doc_id")
-    title = F.coalesce(F.col("job_title"), F.col("first_h1"))
-    parts = F.array_compact(F.array(
-        F.concat(F.lit("Job title: "), title),
-        F.when(F.col("company").isNotNull(), F.concat(F.lit("Company: "), F.col("company"))),
-        F.when(F.col("location").isNotNull(), F.concat(F.lit("Location: "), F.col("location"))),
-        F.nullif(F.col("criteria"), F.lit("")), F.col("job_description")))
-    jobs = t.select(F.col("doc_id").alias("seq"),
-                    F.concat(F.lit("https://www.linkedin.com/jobs/view/"), F.col("doc_id").cast("string")).alias("link"),
-                    title.alias("title"), F.array_join(parts, "\n\n").alias("content"),
-                    F.lit(V.TOPIC).alias("topic_query"),
-                    F.array_compact(F.array("company", "location")).alias("seed_tags"))
-    docs = P.build_documents(jobs, topic=V.TOPIC, seed_tags="seed_tags")
-    return docs.select("seq", "status", "collection_name", "content_kind", "has_job_signal", joined("tags").alias("tags"))
-
-
-@register("h12_rendered_article_documents")
+    docs = _document_rows(X.job_records(V.job_docs(spark, sf).select("seq", "link", "html")), "seq")
+    return docs.select("seq", "status", "title", "platform", "collection_name", "content_kind", "has_job_signal")
+
+
+_RENDERED = f"""SELECT page_id AS seq, url AS link,
+  coalesce(CASE WHEN h1 <> '' THEN h1 END, CASE WHEN t <> '' THEN t END, url) AS title, {_NATIVE_TEXT} AS content, 'agentic ai' AS topic_query
+FROM (SELECT *, {_elem_text(_H, 'h1')} AS h1, {_elem_text(_H, 'title')} AS t FROM pages)"""
+
+
+@register("h12_rendered_article_documents", _ENRICHED, {"rendered": _RENDERED, **enrich_ctes("rendered")})
 def h12_rendered_article_documents(spark: SparkSession, sf: str) -> DataFrame:
-    """H12 (+H5, H4, P2, E11): rendered pages stored for feed hosts -> documents."""
-    p = read_table(spark, sf, "pages", ["page_id", "url", "html"])
-    tree = X.tree_fields(p, "page_id")
-    native = X.page_fields(p).select("page_id", F.col("url").alias("link"), "html_title", "tags",
-                                     "published_at", "published_date")
-    recs = X.rendered_article_records(tree, native, "page_id").withColumns(
-        {"seq": F.col("page_id"), "topic_query": F.lit(V.TOPIC)})
-    docs = P.build_documents(recs, topic=V.TOPIC, seed_tags="tags")
-    return docs.select("seq", "status", "title", "collection_name", "platform")
+    """H12 (+H5, H4, P2, P3, E11): rendered pages stored for feed hosts -> documents."""
+    p = read_table(spark, sf, "pages", ["page_id", "url", "html"]).withColumnRenamed("url", "link")
+    return _enriched_out(_document_rows(X.rendered_article_records(p), "page_id"))
+
+
+@register("h14_repository_pages", """
+SELECT seq, md5(about) AS readme_md5, 'llm|' || lower(company) AS topics FROM job_docs""")
+def h14_repository_pages(spark: SparkSession, sf: str) -> DataFrame:
+    """README block and topic tags of repository pages."""
+    j = V.job_docs(spark, sf)
+    page = j.select("seq", F.concat(F.lit('<html><a class="topic-tag topic-tag-link">LLM</a><a class="topic-tag"> '), F.col("company"),
+                                    F.lit('</a><a class="topic-tag">llm</a><article class="markdown-body entry"><p>'), F.col("about"),
+                                    F.lit("</p></article></html>")).alias("html"))
+    return X.repository_page_fields(page).select("seq", F.md5("readme").alias("readme_md5"), joined("topics").alias("topics"))

@@ -16,7 +16,7 @@ from ..sources import views as V
 from .oracle_enrich import enrich_ctes
 from .q_analytics import COLLECTION_CASE, enriched_docs
 from .registry import register
-from .run import materialize
+from ..session import saved
 
 RUN_START = dt.date(2024, 1, 10)
 RUN_END = dt.date(2024, 2, 20)
@@ -160,7 +160,7 @@ def run_actions(spark: SparkSession, sf: str) -> DataFrame:
     cols = ["seq", "link", "collection_name", "status", "reason", "outcome"]
     # the merge reads its input in two branches: checkpoint the enriched
     # results once (shared checkpoint folder) instead of enriching twice
-    results = materialize(results.select(*cols), "run_results")
+    results = saved(results.select(*cols))
     return M.merge_actions(results, _store(spark, sf), outcome="outcome")
 
 

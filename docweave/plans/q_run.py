@@ -23,9 +23,8 @@ def a7_run_summary(spark: SparkSession, sf: str) -> DataFrame:
                     users=V.existing_users(spark, sf), topic_query=V.TOPIC,
                     start_date=dt.date(2024, 1, 1), end_date=dt.date(2024, 12, 31))
     s = out["summary"]
-    s = s.withColumn("record_json_chars", F.length(F.to_json(F.struct(*s.columns))).cast("bigint"))
-    return s.select("record_json_chars", "topic_query", "user_full_name", "start_date", "end_date",
-                    F.size("discovered_links").cast("bigint").alias("discovered"),
+    return s.select("topic_query", "user_full_name", "start_date", "end_date",
+                    F.col("discovered_count").alias("discovered"),
                     "saved_count", "moved_count", "duplicate_count", "skipped_count", "error_count",
-                    F.size(F.map_keys("per_domain")).cast("bigint").alias("domains"),
+                    F.col("domain_count").alias("domains"),
                     F.size("analytics_preview").cast("bigint").alias("preview_rows"))

@@ -10,7 +10,7 @@ from ..operators import documents as P
 from ..sources import feeds as FD
 from ..sources import repos as R
 from ..sources import views as V
-from .oracle_enrich import q, strip
+from .oracle_enrich import enrich_ctes, q, strip
 from .registry import joined, register
 
 # Expected feed items by construction, read from each feed string with
@@ -54,7 +54,15 @@ def l13_feed_lookup(spark: SparkSession, sf: str) -> DataFrame:
     return m.select("seq", "link", "title", "content")
 
 
-@register("h11_feed_documents")
+_FEED_ART = """SELECT c.seq, c.link, i.title, i.description || chr(10) || chr(10) || i.content AS content, 'agentic ai' AS topic_query
+FROM crawl_docs c JOIN items i ON i.link = c.link"""
+
+
+@register("h11_feed_documents", """
+SELECT seq, status, title, collection_name, 'medium' AS platform, CAST(substr(published, 13, 4) || '-01-' || substr(published, 6, 2) AS DATE) AS published_date
+FROM enriched JOIN (SELECT doc_id, published_at AS published FROM items) ON doc_id = seq WHERE has_document
+UNION ALL SELECT seq, status, NULL, NULL, NULL, NULL FROM enriched WHERE NOT has_document""",
+          {"items": _ITEMS, "feed_art": _FEED_ART, **enrich_ctes("feed_art")})
 def h11_feed_documents(spark: SparkSession, sf: str) -> DataFrame:
     """H11 (+L13, P2, E11): feed-backed article documents."""
     links = V.crawl_docs(spark, sf).select("seq", "link").withColumn("topic_query", F.lit(V.TOPIC))
@@ -70,7 +78,7 @@ _RANK = "CASE path " + " ".join(f"WHEN {q(n)} THEN {i}" for i, n in enumerate(D.
 
 @register("s7_readme_pick", f"""
 SELECT repo, b.p AS readme_path, md5(b.t) AS readme_md5 FROM (
-  SELECT repo, min({{'r': r, 'p': path, 't': text}}) AS b FROM (SELECT *, {_RANK} AS r FROM repo_files)
+  SELECT repo, min({{'r': r, 'p': path, 'i': file_id, 't': text}}) AS b FROM (SELECT *, {_RANK} AS r FROM repo_files)
   WHERE r IS NOT NULL AND {strip('text')} <> '' GROUP BY repo)""")
 def s7_readme_pick(spark: SparkSession, sf: str) -> DataFrame:
     """README per repository (preferred root names, else readme* by path)."""
@@ -92,17 +100,52 @@ def s8_repo_file_filter(spark: SparkSession, sf: str) -> DataFrame:
     return f.select("repo", "path", R.skip_file("path").alias("skipped"))
 
 
-@register("h13_repository_documents")
+_REPO_ART = f"""SELECT crc AS seq, 'https://github.com/owner/' || repo AS link, repo AS title, t AS content, 'agentic ai' AS topic_query, repo
+FROM (SELECT DISTINCT repo, 0 AS crc FROM repo_files) LEFT JOIN (
+  SELECT repo, min({{'r': r, 'p': path, 'i': file_id, 't': text}}).t AS t FROM (SELECT *, {_RANK} AS r FROM repo_files)
+  WHERE r IS NOT NULL AND {strip('text')} <> '' GROUP BY repo) USING (repo)"""
+
+
+@register("h13_repository_documents", """
+SELECT repo, status, title, collection_name, array_to_string(tags, '|') AS tags FROM enriched WHERE has_document
+UNION ALL SELECT repo, status, NULL, NULL, NULL FROM enriched WHERE NOT has_document""",
+          {"repo_art": _REPO_ART, **enrich_ctes("repo_art", seed="['readme', lower(repo)]", extra_cols="repo")})
 def h13_repository_documents(spark: SparkSession, sf: str) -> DataFrame:
-    """H13 (+S7, P2, E11): one README document per repository."""
-    r = R.readme_pick(V.repo_files(spark, sf)).withColumn(
+    """H13 (+S7, P2, E11): one README document per repository; without README an error row."""
+    files = V.repo_files(spark, sf)
+    r = files.select("repo").distinct().join(R.readme_pick(files), "repo", "left").withColumn(
         "link", F.concat(F.lit("https://github.com/owner/"), F.col("repo")))
     rec = R.repository_records(r).withColumns({"seq": F.crc32("repo"), "topic_query": F.lit(V.TOPIC)})
     docs = P.build_documents(rec, topic=V.TOPIC, seed_tags="seed_tags")
     return docs.select("repo", "status", "title", "collection_name", joined("tags").alias("tags"))
 
 
-@register("s9_s10_repository_corpus")
+_WALK = f"""
+  SELECT repo, path, file_id, text, size_bytes > {D.REPO_SKIP_FILE_BYTES} AS big, length(text) > {D.REPO_MAX_FILE_CHARS} AS cut,
+    length(path) + CASE WHEN length(text) > {D.REPO_MAX_FILE_CHARS} THEN {D.REPO_MAX_FILE_CHARS + len(D.TRUNCATION_MARKER)} ELSE length(text) END AS n
+  FROM repo_files WHERE {strip('text')} <> ''
+    AND NOT (len(list_filter(string_split(lower(path), '/'), lambda x: starts_with(x, '.git'))) > 0
+      OR ({_EXT} IN ({', '.join(q(x) for x in D.BINARY_FILE_EXTENSIONS)}) AND {_EXT} <> lower(regexp_extract(path, '([^/]*)$', 1))))"""
+
+
+@register("s9_s10_repository_corpus", f"""
+, w AS ({_WALK}),
+o AS (SELECT *, row_number() OVER (PARTITION BY repo ORDER BY path, file_id) AS k FROM w WHERE NOT big),
+f AS (
+  SELECT repo, CAST(0 AS BIGINT) AS k, CAST(0 AS BIGINT) AS total, CAST(0 AS BIGINT) AS files, false AS trimmed, false AS stop, CAST(NULL AS BIGINT) AS taken
+  FROM (SELECT DISTINCT repo FROM repo_files)
+  UNION ALL
+  SELECT f.repo, f.k + 1, CASE WHEN total + n <= {D.REPO_MAX_TOTAL_CHARS} THEN total + n ELSE total END,
+    CASE WHEN total + n <= {D.REPO_MAX_TOTAL_CHARS} THEN files + 1 ELSE files END,
+    trimmed OR cut OR total + n > {D.REPO_MAX_TOTAL_CHARS} OR files + 1 >= {D.REPO_MAX_FILES} OR total + n >= {D.REPO_MAX_TOTAL_CHARS},
+    total + n <= {D.REPO_MAX_TOTAL_CHARS} AND (files + 1 >= {D.REPO_MAX_FILES} OR total + n >= {D.REPO_MAX_TOTAL_CHARS}),
+    CASE WHEN total + n <= {D.REPO_MAX_TOTAL_CHARS} THEN file_id END
+  FROM f JOIN o ON o.repo = f.repo AND o.k = f.k + 1 WHERE NOT f.stop),
+flag AS (SELECT repo, bool_or(trimmed) OR coalesce((SELECT bool_or(big) FROM w WHERE w.repo = f.repo), false) AS trimmed FROM f GROUP BY repo),
+body AS (SELECT f.repo, count(*) AS files, string_agg('FILE: ' || path || chr(10) || CASE WHEN cut THEN substr(text, 1, {D.REPO_MAX_FILE_CHARS}) || chr(10) || '...[truncated]'
+    ELSE text END, chr(10) || chr(10) ORDER BY path, file_id) AS corpus FROM f JOIN o ON o.file_id = f.taken GROUP BY f.repo),
+c AS (SELECT repo, trimmed, coalesce(files, 1) AS files, coalesce(corpus, 'FILE: README' || chr(10) || '{D.EMPTY_REPOSITORY}') AS corpus FROM flag LEFT JOIN body USING (repo))
+SELECT repo, trimmed, files, length(corpus) AS chars, md5(corpus) AS corpus_md5 FROM c""")
 def s9_s10_repository_corpus(spark: SparkSession, sf: str) -> DataFrame:
     """Budgeted per-repository corpus text (skip-and-continue fold)."""
     c = R.repository_corpus(V.repo_files(spark, sf))

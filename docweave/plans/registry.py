@@ -44,9 +44,3 @@ def joined(c, sep: str = "|") -> Column:
 def sorted_joined(c, sep: str = "|") -> Column:
     c = F.col(c) if isinstance(c, str) else c
     return F.array_join(F.array_sort(c), sep)
-
-
-def freq_text(c) -> Column:
-    """array<struct<name, documents>> -> 'name=n;name=n'."""
-    c = F.col(c) if isinstance(c, str) else c
-    return F.array_join(F.transform(c, lambda x: F.concat(x["name"], F.lit("="), x["documents"].cast("string"))), ";")

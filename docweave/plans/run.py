@@ -5,10 +5,9 @@ window (P4) -> outcome (P12) -> merge into the store (M1, M2) -> counters
 (A3, A4), domain metrics (A2), topic analytics on the new store (A1, W5,
 W6) -> one run-summary row (A7).
 
-Crawl results feed five outputs; they are checkpointed once into
-the shared ``spark.checkpoint.dir``, which cuts the lineage
-(an executor lost later recomputes from that table, not from the pages)
-and avoids recomputing the enrichment per output.
+Crawl results feed five outputs; they are written once to the shared work
+folder, which cuts the lineage (an executor lost later reads that table, not
+the pages) and avoids recomputing the enrichment per output.
 """
 
 from __future__ import annotations
@@ -25,12 +24,12 @@ from ..operators import documents as P
 from ..operators import extract as X
 from ..operators import merge as M
 from ..operators import metrics as A
-from ..session import ensure_checkpoint_dir
+from ..session import saved
 
 ANALYTICS_PIPELINE = [
     "match: is_ai_related AND topic_query = :topic",
     "group: collection_name, source_domain, content_kind -> document_count, avg_ai_relevance_score, "
-    "avg_hiring_signal_score, top_topics, top_tags",
+    "avg_hiring_signal_score; all topics and tags as long rows",
     "sort: document_count desc, avg_ai_relevance_score desc (per collection)",
     "limit: 10 per collection, then 10 overall (count desc, collection order)",
 ]
@@ -40,11 +39,13 @@ def crawl(links: DataFrame, pages: DataFrame, topic: str, user_id: str, user_nam
           start: dt.date | None, end: dt.date | None, dicts: D.Dictionaries = D.DEFAULT) -> DataFrame:
     """links (seq, link) + stored pages (url, html) -> crawl results.
 
-    A link without a stored page is an error row, as a failed fetch is.
+    A link without a stored page is an error row, as a failed fetch is; of several
+    pages stored under one URL the smallest text counts, so a link is one row.
     The pages join is an equi-join on the URL; the planner picks its
     strategy from measured sizes.
     """
-    joined = links.join(pages.select(F.col("url").alias("link"), "html"), "link", "left")
+    one_page = pages.groupBy(F.col("url").alias("link")).agg(F.min("html").alias("html"))
+    joined = links.join(one_page, "link", "left")
     found = joined.filter(F.col("html").isNotNull())
     missing = joined.filter(F.col("html").isNull()).select(
         "seq", "link", F.lit("error").alias("status"), F.lit("page not stored").alias("reason"),
@@ -60,13 +61,6 @@ def crawl(links: DataFrame, pages: DataFrame, topic: str, user_id: str, user_nam
     return docs.unionByName(missing, allowMissingColumns=True)
 
 
-def materialize(df: DataFrame, name: str) -> DataFrame:
-    """Reliable checkpoint into the shared ``spark.checkpoint.dir``: the
-    lineage is cut and later outputs read the saved rows."""
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
-
-
 def run_batch(spark: SparkSession, *, links: DataFrame, pages: DataFrame, store: DataFrame,
               users: DataFrame, user_full_name: str = D.DEFAULT_USER_FULL_NAME,
               topic_query: str = D.DEFAULT_TOPIC_QUERY, start_date: dt.date | None = None,
@@ -93,12 +87,12 @@ def run_batch(spark: SparkSession, *, links: DataFrame, pages: DataFrame, store:
 
     results = crawl(links, pages, topic_query, user_id, user_full_name, start_date, end_date)
     if materialize_results:
-        results = materialize(results, "crawl_results")
+        results = saved(results)
     results = results.withColumn("outcome", P.load_outcome())
     actions = M.merge_actions(results, store, outcome="outcome")
     if materialize_results:
         # counters, per-collection map and the new store all read the actions
-        actions = materialize(actions, "merge_actions")
+        actions = saved(actions)
     changed = actions.filter(F.col("outcome") == "candidate").drop("outcome", "status", "reason", "has_document")
     new_state = M.new_state(store, changed)
     if store_out:
@@ -107,10 +101,21 @@ def run_batch(spark: SparkSession, *, links: DataFrame, pages: DataFrame, store:
 
     summary = run_summary(spark, results, actions, new_state, links, topic_query, user_id,
                           user_full_name, start_date, end_date, started)
+    summary = saved(summary)
+    run_id = summary.first()["run_id"]
+    # What grows with a run is kept as child tables under the run's id, not as arrays of its row.
+    children = {
+        "links": links.select(F.lit(run_id).alias("run_id"), "seq", "link"),
+        "domains": A.domain_metrics(results).select(F.lit(run_id).alias("run_id"), "*"),
+        "terms": A.group_terms(new_state, A.topic_analytics(new_state, topic_query), topic_query)
+        .select(F.lit(run_id).alias("run_id"), "*"),
+    }
     if runs_out:
-        summary.write.mode("append").parquet(runs_out)
+        summary.write.mode("append").parquet(f"{runs_out}/runs")
+        for name, child in children.items():
+            child.write.mode("append").parquet(f"{runs_out}/{name}")
     return {"summary": summary, "results": results, "actions": actions, "new_state": new_state,
-            "users": new_users}
+            "users": new_users, **children}
 
 
 def run_summary(spark: SparkSession, results: DataFrame, actions: DataFrame, new_state: DataFrame,
@@ -124,15 +129,12 @@ def run_summary(spark: SparkSession, results: DataFrame, actions: DataFrame, new
     """
     counters = A.load_counters(actions)
     per_coll = A.per_collection_map(actions)
-    per_domain = A.domain_metrics(results).agg(F.map_from_entries(F.collect_list(F.struct(
-        "source_domain", F.struct("total", "saved", "filtered_non_ai", "errors", "avg_ai_relevance_score")))
-    ).alias("per_domain"))
+    domains = A.domain_metrics(results).agg(F.count(F.lit(1)).alias("domain_count"))
     preview = A.topic_analytics(new_state, topic).agg(F.collect_list(F.struct(
         "collection_name", "source_domain", "content_kind", "document_count", "avg_ai_relevance_score",
-        "avg_hiring_signal_score", "top_topics", "top_tags")).alias("analytics_preview"))
-    discovered = links.agg(F.transform(F.sort_array(F.collect_list(F.struct("seq", "link"))),
-                                       lambda x: x["link"]).alias("discovered_links"))
-    parts = [counters, per_coll, per_domain, preview, discovered]
+        "avg_hiring_signal_score")).alias("analytics_preview"))
+    discovered = links.agg(F.count(F.lit(1)).alias("discovered_count"))
+    parts = [counters, per_coll, domains, preview, discovered]
     merged = parts[0]
     for p in parts[1:]:
         merged = merged.unionByName(p, allowMissingColumns=True)
@@ -142,10 +144,10 @@ def run_summary(spark: SparkSession, results: DataFrame, actions: DataFrame, new
     return row.select(
         F.expr("uuid()").alias("run_id"), F.lit(topic).alias("topic_query"), F.lit(user_id).alias("user_id"),
         F.lit(user_name).alias("user_full_name"), F.lit(start or today).alias("start_date"),
-        F.lit(end or today).alias("end_date"), "discovered_links",
+        F.lit(end or today).alias("end_date"), "discovered_count",
         F.lit(started).alias("started_at"), F.current_timestamp().alias("finished_at"),
         *[F.coalesce(F.col(c), F.lit(0)).cast("bigint").alias(c) for c in counters.columns],
-        "per_collection", "per_domain",
+        "per_collection", "domain_count",
         F.array(*[F.lit(s) for s in ANALYTICS_PIPELINE]).alias("analytics_pipeline"),
         "analytics_preview")
 

@@ -23,7 +23,7 @@ ITEM_SCHEMA = ("channel struct<item array<struct<title string, link string, desc
 def clean_html_fragment(c) -> Column:
     """H17 (native form): fragment -> text lines, stripped, blanks dropped; '' -> null."""
     c = T.col(c)
-    text = T.html_unescape_basic(F.regexp_replace(c, "<[^>]*>", "\n"))
+    text = T.html_unescape(F.regexp_replace(c, "<[^>]*>", "\n"))
     return T.nullif_empty(T.normalize_content(text))
 
 
@@ -62,11 +62,13 @@ def feed_links(items: DataFrame, limit: int, source: str = "feed_url") -> DataFr
 def lookup_entries(links: DataFrame, items: DataFrame, link: str = "link") -> DataFrame:
     """Each link's feed entry by normalised link (left join).
 
-    Both sides are keyed by link; the planner picks broadcast or sort-merge
-    by measured size (AQE), no side is broadcast unconditionally.
+    Of several entries of one link the first counts (feed, then item position), so the join
+    multiplies no row.  Both sides are keyed by link; the planner picks broadcast or
+    sort-merge by measured size (AQE), no side is broadcast unconditionally.
     """
-    entries = items.select(F.col("link").alias("_entry_link"), "title", "description", "content",
-                           "published_at", "feed_url")
+    fields = ["feed_url", "item_pos", "title", "description", "content", "published_at"]
+    entries = (items.groupBy(F.col("link").alias("_entry_link")).agg(F.min(F.struct(*fields)).alias("_e"))
+               .select("_entry_link", *[f"_e.{c}" for c in fields if c != "item_pos"]))
     keyed = fence(links.withColumn("_norm", U.normalize_link(F.col(link))), ["_norm"])
     return keyed.join(entries, keyed["_norm"] == entries["_entry_link"], "left").drop("_norm", "_entry_link")
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import dictionaries as D
@@ -40,16 +40,21 @@ def readme_pick(files: DataFrame) -> DataFrame:
                 & ~F.exists(F.split(p, "/"), lambda part: part == ".git"))
     rank = F.coalesce(rank, F.when(fallback, F.lit(len(D.README_PREFERRED_NAMES))))
     cands = files.filter(rank.isNotNull() & (T.strip_ws("text") != "")).withColumn("_rank", rank)
-    best = cands.groupBy("repo").agg(F.min(F.struct("_rank", "path", "text")).alias("_b"))
-    return best.select("repo", F.col("_b.path").alias("readme_path"), F.col("_b.text").alias("readme"))
+    best = cands.groupBy("repo").agg(F.min(F.struct("_rank", "path", "file_id")).alias("_b")).select(
+        "repo", F.col("_b.path").alias("readme_path"), F.col("_b.file_id").alias("file_id"))
+    return best.join(files.select("file_id", F.col("text").alias("readme")), "file_id").select("repo", "readme_path", "readme")
 
 
 def repository_records(readmes: DataFrame, link: str = "link") -> DataFrame:
-    """title = last path segment, tags ['readme', name], content = README."""
+    """title = last path segment, tags ['readme', name], content = README.
+
+    A repository whose ``readme`` is null becomes an error row (``error_reason``)."""
     name = F.regexp_extract(F.regexp_replace(F.col(link), "/+$", ""), r"([^/]*)$", 1)
     return readmes.select(
         "*", name.alias("title"), F.col("readme").alias("content"),
         F.slice(F.array(F.lit("readme"), F.lower(name)), 1, D.MAX_TAGS).alias("seed_tags"),
+        F.when(F.col("readme").isNull(), F.concat(F.lit("Repository '"), F.col(link), F.lit(
+            "' does not contain a readable README file."))).alias("error_reason"),
         F.lit(None).cast("timestamp").alias("published_at"),
         F.lit("github").alias("platform"), F.lit("github").alias("source"),
         F.create_map(F.lit("readme_path"), F.col("readme_path"),
@@ -62,56 +67,45 @@ def repository_corpus(files: DataFrame, max_files: int = D.REPO_MAX_FILES,
                       skip_bytes: int = D.REPO_SKIP_FILE_BYTES, ignore: tuple[str, ...] = ()) -> DataFrame:
     """S9 + S10: budgeted corpus text per repository and its ``trimmed`` flag.
 
-    Files in path order; too large -> skipped (trimmed); blank -> skipped;
-    cut to ``max_file_chars`` + marker (trimmed); a file that would pass the
-    total is skipped (trimmed) and the walk goes on; stop at ``max_files``
-    or the total.  Skip-and-continue is a fold, not a running sum: the fold
-    runs over (path, size, cut length) only — the texts join back after the
-    decision, so the per-repository array carries no file contents.
+    Files (``file_id`` is unique) in path order; too large -> skipped (trimmed); blank ->
+    skipped; cut to ``max_file_chars`` + marker (trimmed); a file that would pass the
+    total is skipped (trimmed) and the walk goes on; it stops at ``max_files`` or the total.
+    The walk folds over (path, id, length) only; texts join back by id.  Its array is bounded:
+    of files that count the same length only the first ``max_files`` by path can be taken (once a
+    length does not fit, no later file of that length does), the others only set ``trimmed``.
+    A repository without a taken file gets the placeholder text.
     """
-    f = files.filter(~skip_file("path", ignore))
-    too_big = F.col("size_bytes") > skip_bytes
-    blank = T.strip_ws("text") == ""
-    cut_len = F.least(F.length("text"), F.lit(max_file_chars)) + F.when(
-        F.length("text") > max_file_chars, F.lit(len(D.TRUNCATION_MARKER))).otherwise(0)
-    # Blank files never change the fold; an oversized file only sets
-    # ``trimmed``, which a stopped fold has set anyway.  Both stay out of the
-    # per-repository array (trimmed = fold's flag OR any oversized file).
-    meta = f.select("repo", "path", too_big.alias("big"), blank.alias("blank"),
-                    (F.length("text") > max_file_chars).alias("cut"), cut_len.alias("n"))
-    usable = ~F.col("big") & ~F.col("blank")
-    arr = meta.groupBy("repo").agg(
-        F.sort_array(F.collect_list(F.when(usable, F.struct("path", "big", "blank", "cut", "n")))).alias("_files"),
-        F.max(F.col("big").cast("int")).alias("_any_big"))
-    init = F.struct(F.array().cast("array<string>").alias("kept"), F.lit(0).cast("bigint").alias("total"),
+    readable = files.filter(~skip_file("path", ignore) & (T.strip_ws("text") != ""))
+    cut = F.length("text") > max_file_chars
+    n = F.length("path") + F.least(F.length("text"), F.lit(max_file_chars)) + F.when(cut, len(D.TRUNCATION_MARKER)).otherwise(0)
+    sized = readable.select("repo", "path", "file_id", (F.col("size_bytes") > skip_bytes).alias("big"),
+                            cut.alias("cut"), n.cast("long").alias("n"))
+    same = Window.partitionBy("repo", "n").orderBy("path", "file_id")
+    walk = sized.filter(~F.col("big")).withColumn("place", F.row_number().over(same)).filter(F.col("place") <= max_files)
+    counts = sized.groupBy("repo").agg(F.max("big").alias("any_big"), F.count_if(~F.col("big")).alias("usable"))
+    arrays = walk.groupBy("repo").agg(F.sort_array(F.collect_list(F.struct("path", "file_id", "cut", "n"))).alias("files"))
+    init = F.struct(F.array().cast("array<struct<path: string, file_id: long>>").alias("kept"), F.lit(0).cast("long").alias("total"),
                     F.lit(False).alias("trimmed"), F.lit(False).alias("stop"))
 
     def step(acc, x):
-        projected = acc["total"] + F.length(x["path"]) + x["n"]
-        usable = ~acc["stop"] & ~x["big"] & ~x["blank"]
-        take = usable & (projected <= max_total_chars)
-        kept = F.when(take, F.concat(acc["kept"], F.array(x["path"]))).otherwise(acc["kept"])
-        total = F.when(take, projected).otherwise(acc["total"])
-        trimmed = (acc["trimmed"] | (~acc["stop"] & x["big"]) | (usable & x["cut"])
-                   | (usable & (projected > max_total_chars))
-                   | (take & ((F.size(kept) >= max_files) | (total >= max_total_chars))))
-        stop = acc["stop"] | (take & ((F.size(kept) >= max_files) | (total >= max_total_chars)))
-        return F.struct(kept.alias("kept"), total.alias("total"), trimmed.alias("trimmed"), stop.alias("stop"))
-
-    folded = arr.select("repo", F.aggregate("_files", init, step).alias("_s"), "_any_big")
-    folded = folded.withColumn("_s", F.struct(
-        F.col("_s.kept").alias("kept"), F.col("_s.total").alias("total"),
-        (F.col("_s.trimmed") | (F.col("_any_big") == 1)).alias("trimmed"), F.col("_s.stop").alias("stop")))
-    kept = folded.select("repo", F.col("_s.trimmed").alias("trimmed"), F.posexplode("_s.kept").alias("k", "path"))
-    texts = kept.join(f.select("repo", "path", "text"), ["repo", "path"])
-    body = F.when(F.length("text") > max_file_chars,
-                  F.concat(F.substring("text", 1, max_file_chars), F.lit(D.TRUNCATION_MARKER))).otherwise(F.col("text"))
-    blocks = texts.select("repo", "trimmed", "k", F.concat(F.lit("FILE: "), F.col("path"), F.lit("\n"), body).alias("b"))
-    corpus = blocks.groupBy("repo", "trimmed").agg(
+        fits = acc["total"] + x["n"] <= max_total_chars
+        taken = F.concat(acc["kept"], F.array(F.struct(x["path"].alias("path"), x["file_id"].alias("file_id"))))
+        full = fits & ((F.size(acc["kept"]) + 1 >= max_files) | (acc["total"] + x["n"] >= max_total_chars))
+        after = F.struct(F.when(fits, taken).otherwise(acc["kept"]).alias("kept"),
+                         F.when(fits, acc["total"] + x["n"]).otherwise(acc["total"]).alias("total"),
+                         (acc["trimmed"] | x["cut"] | ~fits | full).alias("trimmed"), full.alias("stop"))
+        return F.when(acc["stop"], acc).otherwise(after)
+
+    folded = (arrays.select("repo", F.aggregate("files", init, step).alias("s"), F.size("files").alias("walked")).join(counts, "repo", "right")
+              .select("repo", "s.kept", (F.coalesce("s.trimmed", F.lit(False)) | F.col("any_big")
+                                         | (F.col("usable") > F.coalesce("walked", F.lit(0)))).alias("trimmed")))
+    kept = folded.select(F.col("repo").alias("r"), F.posexplode("kept").alias("k", "f")).select("r", "k", F.col("f.file_id").alias("file_id"))
+    body = F.when(cut, F.concat(F.substring("text", 1, max_file_chars), F.lit(D.TRUNCATION_MARKER))).otherwise(F.col("text"))
+    blocks = kept.join(readable, "file_id").select("repo", "k", F.concat(F.lit("FILE: "), F.col("path"), F.lit("\n"), body).alias("b"))
+    corpus = blocks.groupBy("repo").agg(
         F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("k", "b"))), lambda x: x["b"]), "\n\n").alias("corpus"),
         F.count(F.lit(1)).alias("files"))
-    empty = folded.filter(F.size("_s.kept") == 0).select(
-        "repo", F.col("_s.trimmed").alias("trimmed"),
-        F.lit("FILE: README\nNo text content extracted from repository after ETL size and file filters.").alias("corpus"),
-        F.lit(1).cast("bigint").alias("files"))
-    return corpus.unionByName(empty)
+    return (files.select("repo").distinct().join(folded.select("repo", "trimmed"), "repo", "left").join(corpus, "repo", "left")
+            .select("repo", F.coalesce("trimmed", F.lit(False)).alias("trimmed"),
+                    F.coalesce("corpus", F.lit("FILE: README\n" + D.EMPTY_REPOSITORY)).alias("corpus"),
+                    F.coalesce("files", F.lit(1).cast("long")).alias("files")))

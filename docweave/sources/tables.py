@@ -8,30 +8,10 @@ TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineite
           "documents", "embeddings", "pages", "benchmark", "labels", "conversations")
 
 
-# Tables whose rows carry long texts: per-row work on them is heavy.
-TEXT_TABLES = ("documents", "pages", "conversations", "benchmark")
-
 
 def read_table(spark: SparkSession, data_dir: str, name: str, columns: list[str] | None = None) -> DataFrame:
     """Read one parquet table; selecting columns here lets the scan prune."""
     df = spark.read.parquet(f"{data_dir.rstrip('/')}/{name}.parquet")
     if columns:
         df = df.select(*columns)
-    return spread(df) if name in TEXT_TABLES else df
-
-
-def spread(df: DataFrame) -> DataFrame:
-    """Give a skinny scan at least one partition per core.
-
-    A text table stored as one large row group reads in one task, and every
-    per-row operator after it then runs single-threaded.  Only when the scan
-    has fewer splits than the cluster has cores is it spread round-robin
-    (a cheap shuffle of few rows); a large table already has far more splits
-    than cores and is left alone.
-    """
-    try:
-        target = df.sparkSession.sparkContext.defaultParallelism
-        splits = df.rdd.getNumPartitions()
-    except Exception:  # no driver-side context (e.g. a remote session): leave as is
-        return df
-    return df.repartition(target) if splits < target else df
+    return df

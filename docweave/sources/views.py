@@ -103,6 +103,27 @@ def html_docs(spark: SparkSession, data_dir: str) -> DataFrame:
     return d.select("doc_id", html.alias("html"))
 
 
+def job_docs(spark: SparkSession, data_dir: str) -> DataFrame:
+    """Job pages with title, company, location, criteria and description, and the fields they were made of."""
+    d = read_table(spark, data_dir, "documents", ["doc_id", "text", "lang", "source"])
+    i = _s("doc_id")
+    about = F.trim(F.regexp_replace("text", r"[<>&\s\x{A0}]+", " "))
+    fields = d.select(
+        F.col("doc_id").alias("seq"), F.concat(F.lit("https://www.linkedin.com/jobs/view/"), i).alias("link"),
+        F.concat(F.lit("Engineer "), i).alias("title"), F.concat(F.lit("Acme "), F.col("source")).alias("company"),
+        F.upper("lang").alias("location"), F.concat(F.lit("Full-time\nLevel "), (F.col("doc_id") % 4).cast("string")).alias("criteria"),
+        F.concat(F.lit("About: "), about).alias("about"))
+    item = '<li class="description__job-criteria-item"><h3></h3><span> '
+    html = F.concat(
+        F.lit('<html><head><title>Jobs</title></head><body><h1>Menu</h1><h1 class="x top-card-layout__title">'), F.col("title"),
+        F.lit('</h1><div class="topcard__flavor-row"><span class="y">no</span></div><a class="topcard__org-name-link" href="/c"> '),
+        F.col("company"), F.lit(' </a><span class="topcard__flavor topcard__flavor--bullet">'), F.col("location"),
+        F.lit(f'</span><ul>{item}Full-time</span></li>{item}Level '), (F.col("seq") % 4).cast("string"),
+        F.lit(f'</span></li>{item}Full-time</span></li></ul><div class="show-more-less-html__markup"><p>'), F.col("about"),
+        F.lit("</p></div><script>var x = '<h1>no</h1>';</script></body></html>"))
+    return fields.withColumn("html", html)
+
+
 def page_sources(spark: SparkSession, data_dir: str) -> DataFrame:
     """Listing pages with a category and their order."""
     p = read_table(spark, data_dir, "pages", ["page_id", "url", "html"])
@@ -125,7 +146,7 @@ def repo_files(spark: SparkSession, data_dir: str) -> DataFrame:
             .when(F.col("doc_id") % 3 == 0, F.lit("README.rst"))
             .when(F.col("doc_id") % 3 == 1, F.lit("readme.md"))
             .otherwise(F.concat(F.lit("lib/n"), i, F.lit(".txt"))))
-    return d.select(F.col("source").alias("repo"), path.alias("path"),
+    return d.select(F.col("doc_id").alias("file_id"), F.col("source").alias("repo"), path.alias("path"),
                     F.length("text").cast("bigint").alias("size_bytes"), "text")
 
 
@@ -161,8 +182,9 @@ def crawl_results(spark: SparkSession, data_dir: str) -> DataFrame:
 
 def feed_docs(spark: SparkSession, data_dir: str) -> DataFrame:
     """RSS strings: some malformed, some items without link or full content."""
-    d = read_table(spark, data_dir, "documents", ["doc_id", "source"])
+    d = read_table(spark, data_dir, "documents", ["doc_id", "source", "text"])
     i = _s("doc_id")
+    body = F.trim(F.regexp_replace("text", r"[<>&\]\s\x{A0}]+", " "))
     xml = F.concat(
         F.lit('<rss version="2.0" xmlns:content="http://purl.org/rss/1.0/modules/content/"><channel><item><title> T  '),
         i, F.lit(" </title>"),
@@ -172,14 +194,14 @@ def feed_docs(spark: SparkSession, data_dir: str) -> DataFrame:
         F.lpad(((F.col("doc_id") % 28) + 1).cast("string"), 2, "0"),
         F.lit(" Jan 2024 23:30:00 -0500</pubDate>"),
         F.when(F.col("doc_id") % 4 == 0, F.lit("")).otherwise(F.concat(
-            F.lit("<content:encoded><![CDATA[<p>C"), i, F.lit("</p>]]></content:encoded>"))),
+            F.lit("<content:encoded><![CDATA[<p>C"), i, F.lit(" "), body, F.lit("</p>]]></content:encoded>"))),
         F.when(F.col("doc_id") % 13 == 0, F.lit("<broken")).otherwise(F.lit("</item></channel></rss>")),
     )
     return d.select("doc_id", xml.alias("xml"))
 
 
 VIEWS = {
-    "crawl_docs": crawl_docs, "state": state, "candidates": candidates, "html_docs": html_docs,
+    "crawl_docs": crawl_docs, "state": state, "candidates": candidates, "html_docs": html_docs, "job_docs": job_docs,
     "page_sources": page_sources, "repo_files": repo_files, "user_requests": user_requests,
     "existing_users": existing_users, "crawl_results": crawl_results, "feed_docs": feed_docs,
 }

@@ -72,41 +72,35 @@ def test_category_targets(spark):
         assert got == exp
 
 
-def seq_capped(sources, limit, n_sources):
-    cap = max(1, math.ceil(limit / n_sources))
-    taken, seen = [], set()
-    for sp, links in sources:
-        cnt = 0
-        for pos, lk in enumerate(links):
-            if lk in seen:
-                continue
-            seen.add(lk)
-            taken.append((sp, pos, lk))
-            cnt += 1
-            if len(taken) >= limit:
-                return taken
-            if cnt >= cap:
-                break
-    return taken
-
-
-def test_capped_links_fold(spark):
-    src = [(0, ["a", "b"]), (1, ["b", "c"])]
-    rows = [("github", sp, pos, lk) for sp, ls in src for pos, lk in enumerate(ls)]
+def capped(spark, sources, limit, n_sources):
+    rows = [("c", i, pos, link) for i, links in enumerate(sources) for pos, link in enumerate(links)]
     df = spark.createDataFrame(rows, "category string, source_pos long, pos int, link string")
-    got = [r.link for r in L.capped_links(df, 2, 2).orderBy("source_pos", "pos").collect()]
-    assert got == ["a", "b"]
+    return [(r.source_pos, r.link) for r in L.capped_links(df, limit, n_sources).orderBy("source_pos", "pos").collect()]
+
+
+def test_capped_links_worked_cases(spark):
+    # limit 2 over 2 sources: one link of each; the second source's first link is taken already
+    assert capped(spark, [["a", "b"], ["b", "c"]], 2, 2) == [(0, "a"), (1, "b")]
+    # limit 4 over 2 sources: two of each, repeats do not count
+    assert capped(spark, [["a", "a", "b", "c"], ["a", "b", "d", "e", "f"]], 4, 2) == [(0, "a"), (0, "b"), (1, "d"), (1, "e")]
+    # a source's links past its cap stay open for later sources
+    assert capped(spark, [["a", "b", "c"], ["c", "b", "a"], ["b"]], 3, 3) == [(0, "a"), (1, "c"), (2, "b")]
+    # a source without new links leaves its share unused; the total stops the walk
+    assert capped(spark, [["a"], ["a"], ["x", "y"]], 9, 9) == [(0, "a"), (2, "x")]
+    assert capped(spark, [["a", "b"], ["c", "d"], ["e"]], 3, 1) == [(0, "a"), (0, "b"), (1, "c")]
+
+
+def test_capped_links_properties(spark):
     rnd = random.Random(3)
-    for _ in range(8):
-        srcs = [(i, [f"x{rnd.randint(0, 9)}" for _ in range(rnd.randint(0, 6))]) for i in range(rnd.randint(1, 5))]
+    for _ in range(6):
+        sources = [[f"x{rnd.randint(0, 9)}" for _ in range(rnd.randint(1, 6))] for _ in range(rnd.randint(1, 5))]
         limit, n = rnd.randint(1, 7), rnd.randint(1, 4)
-        exp = [lk for _, _, lk in seq_capped(srcs, limit, n)]
-        rows = [("c", sp, pos, lk) for sp, ls in srcs for pos, lk in enumerate(ls)]
-        if not rows:
-            continue
-        df = spark.createDataFrame(rows, "category string, source_pos long, pos int, link string")
-        got = [r.link for r in L.capped_links(df, limit, n).orderBy("source_pos", "pos").collect()]
-        assert got == exp, (srcs, limit, n)
+        got = capped(spark, sources, limit, n)
+        links = [link for _, link in got]
+        assert len(got) <= limit and len(set(links)) == len(links)
+        per_source = [sum(s == i for s, _ in got) for i in range(len(sources))]
+        assert max(per_source) <= max(1, math.ceil(limit / n))
+        assert all(link in sources[s] for s, link in got) and got[0] == (0, sources[0][0])
 
 
 def test_resolve_links_manual_wins(spark):

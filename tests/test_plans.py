@@ -16,7 +16,7 @@ def _plan(spark, name):
 
 def test_no_python_in_column_operators(spark):
     for name in ("w6_topic_top10", "e11_enrich_documents", "u2_normalize_link", "u3_u5_text_functions",
-                 "m1_merge_actions", "a2_domain_metrics", "l12_discover_links", "h1_h5_page_fields"):
+                 "m1_merge_actions", "a2_domain_metrics", "l12_discover_links", "h1_h5_page_fields", "h8_job_documents", "h12_rendered_article_documents", "h3_main_text"):
         plan = _plan(spark, name)
         assert not any(p in plan for p in PYTHON_NODES), name
 
@@ -27,10 +27,6 @@ def test_flagship_plan(spark):
     assert plan.count("FileScan") == 1  # the documents are read and enriched once
 
 
-def test_tree_pass_is_the_python_step(spark):
-    assert "MapInPandas" in _plan(spark, "h3_tree_main_text")
-
-
 def test_merge_filters_store_by_batch(spark):
     plan = _plan(spark, "m1_merge_actions")
     assert "LeftSemi" in plan

@@ -1,4 +1,4 @@
-"""Whole run with sinks, and the streaming merge."""
+"""Whole run with sinks."""
 
 import datetime as dt
 import tempfile
@@ -9,7 +9,6 @@ from docweave.operators import merge as M
 from docweave.plans.run import run_batch, summary_json
 from docweave.sources import views as V
 from docweave.sources.tables import read_table
-from docweave.streaming import merge_stream as MS
 
 from conftest import SMALL
 
@@ -19,38 +18,23 @@ def test_run_batch_writes_store_and_summary(spark):
     pages = read_table(spark, SMALL, "pages", ["page_id", "url", "html"])
     links = pages.select(F.col("page_id").alias("seq"), F.col("url").alias("link")).unionByName(
         spark.createDataFrame([(10_000, "https://nowhere.example.com/x")], "seq long, link string"))
-    res = run_batch(spark, links=links, pages=pages.select("url", "html"), store=V.state(spark, SMALL),
+    res = run_batch(spark, links=links, pages=pages.select("url", "html").unionAll(pages.select("url", "html")), store=V.state(spark, SMALL),
                     users=V.existing_users(spark, SMALL), start_date=dt.date(2024, 1, 1),
                     end_date=dt.date(2024, 12, 31), store_out=f"{out_dir}/store", runs_out=f"{out_dir}/runs")
-    row = spark.read.parquet(f"{out_dir}/runs").first()
+    row = spark.read.parquet(f"{out_dir}/runs/runs").first()
     n_pages = pages.count()
-    assert row.saved_count + row.moved_count + row.duplicate_count == n_pages
-    assert row.error_count == 1 and len(row.discovered_links) == n_pages + 1
+    assert row.saved_count + row.moved_count + row.duplicate_count + row.error_count == n_pages + 1
+    assert row.error_count >= 1 and row.discovered_count == n_pages + 1
     assert len(row.analytics_preview) <= 10 and row.per_collection
+    links_out = spark.read.parquet(f"{out_dir}/runs/links")
+    assert links_out.count() == n_pages + 1 and {r.run_id for r in links_out.select("run_id").distinct().collect()} == {row.run_id}
+    assert spark.read.parquet(f"{out_dir}/runs/domains").agg(F.sum("total")).first()[0] == n_pages + 1
     store = spark.read.parquet(f"{out_dir}/store")
     assert store.select("link").distinct().count() == store.count()
     assert M.key_violations(store, ["link"]).count() == 0
     assert '"saved_count"' in summary_json(res["summary"], pretty=True).first()["json"]
 
 
-def test_streaming_merge(spark):
-    root = tempfile.mkdtemp(prefix="dw-stream-")
-    src = f"{root}/in"
-    b1 = spark.createDataFrame([(1, "a", "blogs"), (2, "b", "news")], MS.CANDIDATE_SCHEMA)
-    b1.write.parquet(f"{src}/b1")
-    q = MS.start_merge_stream(spark, f"{src}/*", f"{root}/store", f"{root}/ckpt")
-    q.awaitTermination(120)
-    b2 = spark.createDataFrame([(3, "a", "news"), (4, "b", "news"), (5, "c", "github")], MS.CANDIDATE_SCHEMA)
-    b2.write.parquet(f"{src}/b2")
-    q = MS.start_merge_stream(spark, f"{src}/*", f"{root}/store", f"{root}/ckpt")
-    q.awaitTermination(120)
-    store = {r.link: r.collection_name for r in MS.latest_store(spark, f"{root}/store").collect()}
-    assert store == {"a": "news", "b": "news", "c": "github"}
-    counters = spark.read.parquet(f"{root}/store/_counters").agg(
-        F.sum("saved_count"), F.sum("moved_count"), F.sum("duplicate_count")).first()
-    assert tuple(counters) == (3, 1, 1)
-
-
 def test_pages_from_files(spark):
     import os
 

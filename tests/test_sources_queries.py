@@ -1,11 +1,9 @@
 """Feeds, repositories, extraction and the registered queries."""
 
-import random
-
 from pyspark.sql import functions as F
 
 import __spark_entry__ as se
-from docweave.functions import htmltree as H
+from docweave.functions import text as T
 from docweave.operators import extract as X
 from docweave.sources import feeds as FD
 from docweave.sources import repos as R
@@ -28,64 +26,92 @@ def test_feed_items(spark):
     assert r.feed_url == "https://medium.com/feed/p"
 
 
+def test_feed_lookup_keeps_one_entry(spark):
+    items = spark.createDataFrame([("u2", 0, "l", "b", None, "x", None), ("u1", 1, "l", "a", None, "y", None), ("u1", 0, "l", "first", None, "z", None)],
+                                  "feed_url string, item_pos int, link string, title string, description string, content string, published_at string")
+    links = spark.createDataFrame([(1, "l"), (2, "other")], "seq long, link string")
+    got = {r.seq: r.title for r in FD.lookup_entries(links, items).collect()}
+    assert got == {1: "first", 2: None} and FD.lookup_entries(links, items).count() == 2
+
+
+FILE = "file_id long, repo string, path string, size_bytes long, text string"
+
+
 def test_readme_pick(spark):
-    rows = [("r", "readme.md", 5, "x"), ("r", "README.rst", 5, "y"), ("r", "README.md", 5, "   "),
-            ("q", "docs/ReadMe.txt", 3, "z"), ("q", ".git/readme", 3, "g")]
-    df = spark.createDataFrame(rows, "repo string, path string, size_bytes long, text string")
-    got = {r.repo: r.readme_path for r in R.readme_pick(df).collect()}
-    assert got == {"r": "README.rst", "q": "docs/ReadMe.txt"}
-
-
-def seq_corpus(files, max_files=120, max_chars=4000, max_total=300000, skip=262144):
-    tree, total, trimmed = {}, 0, False
-    for path, size, text in sorted(files):
-        if size > skip:
-            trimmed = True
-            continue
-        if not text.strip():
-            continue
-        if len(text) > max_chars:
-            text, trimmed = text[:max_chars] + "\n...[truncated]", True
-        proj = total + len(path) + len(text)
-        if proj > max_total:
-            trimmed = True
-            continue
-        tree[path], total = text, proj
-        if len(tree) >= max_files or total >= max_total:
-            trimmed = True
-            break
-    if not tree:
-        tree["README"] = "No text content extracted from repository after ETL size and file filters."
-    return "\n\n".join(f"FILE: {p}\n{c}" for p, c in tree.items()), trimmed
-
-
-def test_repository_corpus_fold(spark):
-    rnd = random.Random(5)
-    for _ in range(4):
-        files = [(f"f{i:03d}.txt", rnd.choice([10, 300000]), rnd.choice(["", "a" * rnd.randint(1, 5000)]))
-                 for i in range(rnd.randint(1, 40))]
-        df = spark.createDataFrame([("r", p, s, t) for p, s, t in files],
-                                   "repo string, path string, size_bytes long, text string")
-        got = R.repository_corpus(df, max_files=7, max_total_chars=12000).first()
-        exp, trimmed = seq_corpus(files, max_files=7, max_total=12000)
-        assert (got.corpus, got.trimmed) == (exp, trimmed)
-
-
-def test_tree_and_native_fields(spark):
-    page = ('<html><head><meta content="Og T" property="og:title"><meta name="keywords" content="A, B,,c">'
-            '<meta name="description" content=" Desc &amp; more "><title>T &amp; x</title>'
-            '<meta property="article:published_time" content="2024-02-01T23:30:00-05:00"></head>'
-            '<body><nav>menu</nav><article><h1 class="top-card-layout__title">Engineer</h1><p>Body</p>'
-            '<div class="topcard__flavor-row"><span>Acme</span></div><script>x=1</script></article>'
-            '<a class="topic-tag">LLM</a></body></html>')
-    df = spark.createDataFrame([(1, page)], "id long, html string")
-    f = X.page_fields(df).first()
-    assert (f.html_title, f.description, f.tags) == ("Og T", "Desc & more", ["a", "b", "c"])
-    assert str(f.published_date) == "2024-02-01"
-    t = X.tree_fields(df, "id").first()
-    assert t.main_text == "Engineer\nBody\nAcme"
-    assert (t.job_title, t.company, t.topics) == ("Engineer", "Acme", ["llm"])
-    assert H.clean_html_text("<p>a</p>\n<p> b </p>") == "a\nb"
+    rows = [(1, "r", "readme.md", 5, "x"), (2, "r", "README.rst", 5, "y"), (3, "r", "README.md", 5, "   "),
+            (4, "q", "docs/ReadMe.txt", 3, "z"), (5, "q", ".git/readme", 3, "g")]
+    got = {r.repo: (r.readme_path, r.readme) for r in R.readme_pick(spark.createDataFrame(rows, FILE)).collect()}
+    assert got == {"r": ("README.rst", "y"), "q": ("docs/ReadMe.txt", "z")}
+
+
+def corpora(spark, rows, **limits):
+    files = [(i, repo, path, size, text) for i, (repo, path, size, text) in enumerate(rows)]
+    return {r.repo: (r.corpus, r.trimmed, r.files) for r in R.repository_corpus(spark.createDataFrame(files, FILE), **limits).collect()}
+
+
+def test_repository_corpus_worked_cases(spark):
+    got = corpora(spark, [
+        ("plain", "b", 1, "two"), ("plain", "a", 1, "one"), ("plain", "c", 1, "  "),
+        ("big", "a", 999, "one"), ("big", "b", 1, "two"),
+        ("cut", "a", 1, "x" * 12),
+        ("skip", "a", 1, "x" * 9), ("skip", "b", 1, "x" * 9), ("skip", "c", 1, "y"),  # b passes 18 characters, c still fits
+        ("none", ".git/a", 1, "x"), ("none", "i.png", 1, "x"),
+        ("blank", "a", 1, ""),
+    ], max_file_chars=10, max_total_chars=18, skip_bytes=100)
+    empty = "FILE: README\nNo text content extracted from repository after ETL size and file filters."
+    assert got == {
+        "plain": ("FILE: a\none\n\nFILE: b\ntwo", False, 2),
+        "big": ("FILE: b\ntwo", True, 1),
+        "cut": (empty, True, 1),  # 1 + 10 + 15 characters pass the total
+        "skip": ("FILE: a\n" + "x" * 9 + "\n\nFILE: c\ny", True, 2),
+        "none": (empty, False, 1),
+        "blank": (empty, False, 1),
+    }
+
+
+def test_repository_corpus_budgets(spark):
+    rows = [("hot", f"f{i % 50:03d}", 1, "x" * (i % 7 + 1)) for i in range(600)] + [("few", f"g{i}", 1, "y") for i in range(3)]
+    got = corpora(spark, rows, max_files=40, max_total_chars=200)
+    assert set(got) == {"hot", "few"} and got["few"][1:] == (False, 3)
+    corpus, trimmed, files = got["hot"]
+    blocks = corpus.split("\n\n")
+    assert trimmed and files == len(blocks) <= 40
+    assert sum(len(b) - len("FILE: \n") for b in blocks) <= 200
+
+
+PAGE = ('<html><head><meta content="Og T" property="og:title"><meta name="keywords" content="A, B,,c">'
+        '<meta name="description" content=" Desc &amp; more &#8212; "><title>T &amp; x</title>'
+        '<meta property="article:published_time" content="2024-02-01T23:30:00-05:00"></head>'
+        '<body><nav>menu</nav><article><h1 class="a top-card-layout__title">Engineer</h1><p>Body &rsquo;s</p>'
+        '<div class="topcard__flavor-row"><span>Acme</span></div><script>x=1</script></article><h2>Sub</h2>'
+        '<a class="topic-tag">LLM</a><a class="topic-tag z"> llm </a><div class="markdown-body">Read<b>me</b></div></body></html>')
+
+
+def test_native_page_fields(spark):
+    df = spark.createDataFrame([(1, "https://h/x", PAGE), (2, "https://h/y", "no markup"), (3, "https://h/z", None),
+                                (4, "https://h/w", "<p>" * 5000 + "deep")], "id long, link string, html string")
+    f = {r.id: r for r in X.page_fields(df).withColumn("main", X.main_text(F.col("html"))).collect()}
+    assert (f[1].html_title, f[1].description, f[1].tags) == ("Og T", "Desc & more \u2014", ["a", "b", "c"])
+    assert str(f[1].published_date) == "2024-02-01"
+    assert [f[i].main for i in (1, 2, 3, 4)] == ["Engineer\nBody \u2019s\nAcme", "no markup", None, "deep"]
+    job = X.job_records(df.filter("id = 1")).first()
+    assert job.title == "Engineer" and job.tags == ["Acme"] and job.content == "Job title: Engineer\n\nCompany: Acme"
+    assert job.raw_metadata == {"company": "Acme", "location": None} and job.platform == "linkedin"
+    rendered = X.rendered_article_records(df.filter("id = 1")).first()
+    assert rendered.title == "Engineer" and rendered.content.startswith("Sub\n\n") and rendered.challenge_reason is None
+    repo = X.repository_page_fields(df.filter("id = 1")).first()
+    assert repo.topics == ["llm"] and repo.readme == "Read\nme"
+
+
+def test_rendered_challenge_page(spark):
+    df = spark.createDataFrame([("https://medium.com/x", "<body><p>Ray ID 7</p><p>by Cloudflare</p></body>")], "link string, html string")
+    assert X.rendered_article_records(df).first().challenge_reason == "bot_protection_challenge"
+
+
+def test_entities(spark):
+    cases = {"it&#8217;s &mdash; x &amp;lt; &bogus; & &#x41;&#0; &eacute;&": "it\u2019s \u2014 x &lt; &bogus; & A&#0; \u00e9&", "plain": "plain", "": ""}
+    rows = spark.createDataFrame([(c,) for c in cases], "s string").select("s", T.html_unescape("s").alias("t")).collect()
+    assert {r.s: r.t for r in rows} == cases
 
 
 def test_entry_and_queries_run(spark):
