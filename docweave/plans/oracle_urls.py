@@ -73,7 +73,7 @@ def is_http(e: str) -> str:
 
 def unescape(e: str) -> str:
     for ent, ch in (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&#x27;", "'"),
-                    ("&apos;", "'"), ("&nbsp;", " "), ("&amp;", "&")):
+                    ("&apos;", "'"), ("&nbsp;", " "), ("&copy;", "©"), ("&middot;", "·"), ("&amp;", "&")):
         e = f"replace({e}, {q(ent)}, {q(ch)})"
     return e
 
