@@ -86,9 +86,9 @@ def is_http_url(c) -> Column:
 
 
 def _decode(c: Column) -> Column:
-    # parse_qsl: '+' is a space, then percent-decoding; a malformed escape
-    # makes try_url_decode null, and the raw text is kept instead.
-    return F.coalesce(F.try_url_decode(c), F.regexp_replace(c, r"\+", " "))
+    # parse_qsl: '+' is a space, then percent-decoding of the valid escapes; a
+    # '%' without two hex digits stands for itself.
+    return F.try_url_decode(F.regexp_replace(c, "%(?![0-9A-Fa-f]{2})", "%25"))
 
 
 def quote_plus(c) -> Column:
@@ -196,8 +196,13 @@ def urljoin(base, href) -> Column:
     evaluated for rows that need it); an empty path keeps the base path and,
     without its own query, the base query.
     """
-    b, h = col(base), col(href)
-    h_scheme = F.lower(F.regexp_extract(h, r"^([A-Za-z][A-Za-z0-9+.\-]*):", 1))
+    b, given = col(base), col(href)
+    # As the standard library reads it: no leading controls or blanks, no tabs or line breaks.
+    clean = F.regexp_replace(F.regexp_replace(given, r"^[\x00-\x20]+", ""), r"[\t\r\n]", "")
+    h_scheme = F.lower(F.regexp_extract(clean, r"^([A-Za-z][A-Za-z0-9+.\-]*):", 1))
+    # A reference that repeats the base's scheme is read without it.
+    h = F.when((h_scheme != "") & (h_scheme == scheme(b)), F.regexp_replace(clean, "^[^:]*:", "")).otherwise(clean)
+    full = F.concat(scheme(b), F.lit(":"), h)
     b_scheme, b_net, b_path, b_query = scheme(b), netloc(b), split_path(b), query(b)
     ref = F.regexp_replace(h, r"^[^?#]*", "")  # '?query#frag' part of the reference
     h_path = F.regexp_extract(h, r"^([^?#]*)", 1)
@@ -219,8 +224,8 @@ def urljoin(base, href) -> Column:
     keep_base = unsplit(b_scheme, b_net, b_path,
                         F.when(h_query != "", h_query).otherwise(b_query), h_frag)
     return (F.when(h == "", unsplit(b_scheme, b_net, b_path, b_query, F.lit("")))
-            .when(h_scheme != "", h)
-            .when(h.startswith("//"), F.concat(b_scheme, F.lit(":"), h))
+            .when((h_scheme != "") & (h_scheme != b_scheme), given)
+            .when(h.startswith("//"), unsplit(b_scheme, netloc(full), split_path(full), query(full), fragment(full)))
             .when(h_path == "", keep_base)
             .otherwise(unsplit(b_scheme, b_net, new_path, h_query, h_frag)))
 
@@ -273,7 +278,7 @@ def normalize_link_sql(name: str) -> Column:
     q = _part_sql(s, 4)
 
     def dec(e: str) -> str:
-        return f"coalesce(try_url_decode({e}), regexp_replace({e}, '\\\\+', ' '))"
+        return f"try_url_decode(regexp_replace({e}, '%(?![0-9A-Fa-f]{{2}})', '%25'))"
 
     def enc(e: str) -> str:
         return f"replace(replace(url_encode({e}), '*', '%2A'), '%7E', '~')"
@@ -296,10 +301,13 @@ def base_sql(base: str) -> str:
 def urljoin_sql(base_sql: str, href: str) -> Column:
     """L2 as one SQL expression; ``base_sql`` is a SQL expression (a quoted
     literal or a column reference), ``href`` a column name."""
-    b, h = base_sql, _ref(href)
-    h_scheme = f"lower(regexp_extract({h}, '^([A-Za-z][A-Za-z0-9+.\\\\-]*):', 1))"
+    b, given = base_sql, _ref(href)
     b_scheme, b_net, b_path, b_query = (f"lower({_part_sql(b, 1)})", _part_sql(b, 2), _part_sql(b, 3),
                                         _part_sql(b, 4))
+    clean = f"regexp_replace(regexp_replace({given}, '^[\\\\x00-\\\\x20]+', ''), '[\\\\t\\\\r\\\\n]', '')"
+    h_scheme = f"lower(regexp_extract({clean}, '^([A-Za-z][A-Za-z0-9+.\\\\-]*):', 1))"
+    h = f"CASE WHEN {h_scheme} <> '' AND {h_scheme} = {b_scheme} THEN regexp_replace({clean}, '^[^:]*:', '') ELSE {clean} END"
+    full = f"concat({b_scheme}, ':', {h})"
     ref = f"regexp_replace({h}, '^[^?#]*', '')"
     h_path = f"regexp_extract({h}, '^([^?#]*)', 1)"
     h_query = f"regexp_extract({ref}, '^\\\\?([^#]*)', 1)"
@@ -316,7 +324,7 @@ def urljoin_sql(base_sql: str, href: str) -> Column:
     keep_base = _unsplit_sql(b_scheme, b_net, b_path, f"CASE WHEN {h_query} <> '' THEN {h_query} ELSE {b_query} END", h_frag)
     return F.expr(
         f"CASE WHEN {h} = '' THEN {_unsplit_sql(b_scheme, b_net, b_path, b_query, repr(''))} "
-        f"WHEN {h_scheme} <> '' THEN {h} "
-        f"WHEN startswith({h}, '//') THEN concat({b_scheme}, ':', {h}) "
+        f"WHEN {h_scheme} <> '' AND {h_scheme} <> {b_scheme} THEN {given} "
+        f"WHEN startswith({h}, '//') THEN {_unsplit_sql(b_scheme, _part_sql(full, 2), _part_sql(full, 3), _part_sql(full, 4), _part_sql(full, 5))} "
         f"WHEN {h_path} = '' THEN {keep_base} "
         f"ELSE {_unsplit_sql(b_scheme, b_net, new_path, h_query, h_frag)} END")

@@ -11,6 +11,7 @@ BASES = ["http://a/b/c/d;p?q", "https://h.example.com/x/y/", "https://h.example.
 REFS = ["g:h", "g", "./g", "g/", "/g", "//g", "?y", "g?y", "#s", "g#s", "g?y#s", ";x", "g;x", "", ".", "./",
         "..", "../", "../g", "../..", "../../", "../../g", "../../../g", "../../../../g", "/./g", "/../g",
         "g.", ".g", "g..", "..g", "./../g", "./g/.", "g/./h", "g/../h", "g;x=1/./y", "g;x=1/../y",
+        "https:foo/bar", "http:g", "\t/x", "a\nb/c", "  g", "https://q/w?", "HTTPS://Q/w#", "//q/w?#",
         "/abs/12", "/jobs/view/3?utm_medium=q", "https://github.com/a/b", "a//b/../c", "/la."]
 
 
@@ -22,6 +23,7 @@ NORMALIZED = {
     "http://h/p?utm_medium=q": "http://h/p",
     "https://x.org/a?q=a+b&r=%2B": "https://x.org/a?q=a+b&r=%2B",
     "\u3000http://h/?x=1 ": "http://h/?x=1",
+    "http://h/?q=a%20b%zz&r=%": "http://h/?q=a+b%25zz&r=%25",
 }
 
 
