@@ -8,7 +8,6 @@ TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineite
           "documents", "embeddings", "pages", "benchmark", "labels", "conversations")
 
 
-
 # Tables whose rows carry long texts: per-row work on them is heavy.
 TEXT_TABLES = ("documents", "pages", "conversations", "benchmark")
 
