@@ -1,7 +1,7 @@
 """Page extraction: HTML string -> document columns (H1-H18), all native expressions.
 
 Elements are found by patterns over the page with scripts, styles and comments removed;
-an element's inside ends at its first closing tag of the same name.
+an element's inside ends where the opening and closing tags of its name balance.
 """
 
 from __future__ import annotations
@@ -101,11 +101,47 @@ def native_text(html: Column) -> Column:
 
 
 def element_pattern(tag: str, condition: str = "") -> str:
-    """Pattern of an element, group 1 its inside up to its first closing tag of the same name.
+    """Pattern of an element's opening tag; ``condition`` is an attribute pattern that it must contain."""
+    return rf"(?is)<{tag}(?=[\s/>])[^>]*\s{condition}[^>]*>" if condition else rf"(?is)<{tag}(?=[\s/>])[^>]*>"
 
-    ``condition`` is an attribute pattern that the opening tag must contain."""
-    opening = rf"<{tag}\b[^>]*\s{condition}[^>]*>" if condition else rf"<{tag}\b[^>]*>"
-    return rf"(?is){opening}(.*?)</{tag}\s*>"
+
+def bound(value: Column, use) -> Column:
+    """``use(value)`` with the value computed once (bound to a lambda variable)."""
+    return F.transform(F.array(value), use)[0]
+
+
+def _inside(page: Column, closed: bool = False) -> Column:
+    """Inside of the element whose opening tag starts ``page``: up to where the tags of its name balance.
+
+    An element that is never closed reaches to the end (null if ``closed``); ``<tag/>`` is empty."""
+    def step(acc, mark):
+        depth = acc["depth"] + F.when(mark.startswith("</"), -1).when(mark.rlike("^<[^>]*/>"), 0).otherwise(1)
+        return F.when(acc["depth"] == 0, acc).otherwise(
+            F.struct(depth.alias("depth"), (acc["marks"] + F.when(depth == 0, 0).otherwise(1)).alias("marks")))
+
+    def upto(marks):
+        start = F.struct(F.lit(1).alias("depth"), F.lit(1).alias("marks"))
+        end = F.when(F.coalesce(F.get(marks, F.lit(1)).startswith("</"), F.lit(False)), F.struct(F.lit(0).alias("depth"), F.lit(1).alias("marks")))
+        return bound(end.otherwise(F.aggregate(F.slice(marks, 2, F.size(marks)), start, step)), lambda e: F.when(
+            (e["depth"] == 0) | F.lit(not closed), F.regexp_replace(F.array_join(F.slice(marks, 1, e["marks"]), ""), "^<[^>]*>", "")))
+
+    name = F.regexp_extract(page, r"^<([\w:.-]+)", 1)
+    marks = F.split(page, F.concat(F.lit(r"(?i)(?=</?\Q"), name, F.lit(r"\E[\s/>])")))
+    return F.when(page.rlike("^<[^>]*/>"), F.lit("")).otherwise(bound(marks, upto))
+
+
+def element(html: Column, pattern: str) -> Column:
+    """Inside of the first element whose opening tag matches; null when there is none."""
+    return bound(F.regexp_extract(html, pattern + ".*", 0), lambda page: F.when(page != "", _inside(page)))
+
+
+def elements(html: Column, pattern: str) -> Column:
+    """Insides of all elements whose opening tags match, in page order, nested ones too."""
+    def inner(parts):
+        return F.array_compact(F.transform(parts, lambda part, i: F.when(part.rlike("^" + pattern), F.coalesce(
+            _inside(part, closed=True), bound(F.array_join(F.slice(parts, i + 1, F.size(parts)), ""), lambda page: _inside(page))))))
+
+    return bound(F.split(html, f"(?={pattern})"), inner)
 
 
 def with_class(*names: str) -> str:
@@ -113,30 +149,33 @@ def with_class(*names: str) -> str:
     return r"""class\s*=\s*["'](?:[^"']*\s)?""" + r"(?:\s[^\"']*)?\s".join(names) + r"""(?:\s[^"']*)?["']"""
 
 
-#: H3: where the main text is looked for, in this order.
-MAIN_REGIONS = (
-    element_pattern("article"), element_pattern("main"),
-    element_pattern("div", r"""role\s*=\s*["']?main\b["']?"""), r"(?is)<body\b[^>]*>(.*)",
-)
+#: H3: where the main text is looked for, in this order; else in the body.
+MAIN_REGIONS = (element_pattern("article"), element_pattern("main"), element_pattern("div", r"""role\s*=\s*["']?main\b["']?"""))
+BODY = r"(?is)<body\b[^>]*>(.*)"
 
 
 def main_text(html: Column) -> Column:
     """H3: text lines of the first article, main, role=main block or body; else of the whole page."""
     plain = F.regexp_replace(html, INERT_MARKUP, "\n")
-    region = F.when(plain.rlike(MAIN_REGIONS[0]), F.regexp_extract(plain, MAIN_REGIONS[0], 1))
-    for pattern in MAIN_REGIONS[1:]:
-        region = region.when(plain.rlike(pattern), F.regexp_extract(plain, pattern, 1))
-    return T.normalize_content(T.html_unescape(F.regexp_replace(region.otherwise(plain), "<[^>]*>", "\n")))
+    region = F.coalesce(*[element(plain, p) for p in MAIN_REGIONS], F.when(plain.rlike(BODY), F.regexp_extract(plain, BODY, 1)), plain)
+    return T.normalize_content(T.html_unescape(F.regexp_replace(region, "<[^>]*>", "\n")))
+
+
+def first_text(html: Column, patterns: tuple[str | tuple[str, str], ...]) -> Column:
+    """H6: text (pieces joined by a space) of the first pattern whose first match has any.
 
+    A pair of patterns stands for the first element of the second kind inside one of the first kind."""
+    def first(p):
+        if isinstance(p, str):
+            return element(html, p)
+        return F.get(F.array_compact(F.transform(elements(html, p[0]), lambda outer: element(outer, p[1]))), F.lit(0))
 
-def first_text(html: Column, patterns: tuple[str, ...]) -> Column:
-    """H6: text (pieces joined by a space) of the first pattern whose first match has any."""
-    return F.coalesce(*[T.nullif_empty(markup_text(F.regexp_extract(html, p, 1), " ")) for p in patterns])
+    return F.coalesce(*[T.nullif_empty(markup_text(first(p), " ")) for p in patterns])
 
 
 def joined_text(html: Column, patterns: tuple[str, ...]) -> Column:
     """H7: texts of all matches of the patterns, each once, one per line."""
-    found = F.concat(*[F.regexp_extract_all(html, F.lit(p), F.lit(1)) for p in patterns])
+    found = F.concat(*[elements(html, p) for p in patterns])
     texts = F.transform(found, lambda x: markup_text(x, " "))
     return F.array_join(F.filter(F.array_distinct(texts), lambda x: x != ""), "\n")
 
@@ -188,7 +227,7 @@ def article_records(pages: DataFrame, link: str = "link", html: str = "html") ->
 JOB_TITLE = (element_pattern("h1", with_class("top-card-layout__title")), element_pattern("h1", with_class("topcard__title")),
              element_pattern("h1"))
 JOB_COMPANY = (element_pattern("a", with_class("topcard__org-name-link")), element_pattern("span", with_class("topcard__flavor")),
-               r"(?is)<div\b[^>]*\s" + with_class("topcard__flavor-row") + r"[^>]*>.*?<span\b[^>]*>(.*?)</span\s*>")
+               (element_pattern("div", with_class("topcard__flavor-row")), element_pattern("span")))
 JOB_LOCATION = (element_pattern("span", with_class("topcard__flavor--bullet")),)
 JOB_DESCRIPTION = (element_pattern("div", with_class("show-more-less-html__markup")),
                    element_pattern("section", with_class("show-more-less-html")), element_pattern("div", with_class("description__text")))
@@ -238,8 +277,8 @@ def rendered_article_records(pages: DataFrame, link: str = "link", html: str = "
 def repository_page_fields(pages: DataFrame, html: str = "html") -> DataFrame:
     """README block text and topic tags of a repository page."""
     plain = F.regexp_replace(F.col(html), INERT_MARKUP, " ")
-    block = F.coalesce(*[F.nullif(F.regexp_extract(plain, p, 1), F.lit("")) for p in README_BLOCKS])
-    topics = F.concat(*[F.regexp_extract_all(plain, F.lit(p), F.lit(1)) for p in TOPIC_TAGS])
+    block = F.coalesce(*[element(plain, p) for p in README_BLOCKS])
+    topics = F.concat(*[elements(plain, p) for p in TOPIC_TAGS])
     out = pages.withColumns({
         "readme": F.coalesce(markup_text(block), F.lit("")),
         "topics": F.filter(F.array_distinct(F.transform(topics, lambda x: F.lower(markup_text(x, " ")))), lambda x: x != "")})

@@ -144,6 +144,6 @@ def h14_repository_pages(spark: SparkSession, sf: str) -> DataFrame:
     """README block and topic tags of repository pages."""
     j = V.job_docs(spark, sf)
     page = j.select("seq", F.concat(F.lit('<html><a class="topic-tag topic-tag-link">LLM</a><a class="topic-tag"> '), F.col("company"),
-                                    F.lit('</a><a class="topic-tag">llm</a><article class="markdown-body entry"><p>'), F.col("about"),
-                                    F.lit("</p></article></html>")).alias("html"))
+                                    F.lit('</a><a class="topic-tag">llm</a><article class="markdown-body entry"><article></article><p>'), F.col("about"),
+                                    F.lit("</p></article><p>Footer</p></html>")).alias("html"))
     return X.repository_page_fields(page).select("seq", F.md5("readme").alias("readme_md5"), joined("topics").alias("topics"))

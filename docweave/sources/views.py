@@ -119,8 +119,8 @@ def job_docs(spark: SparkSession, data_dir: str) -> DataFrame:
         F.lit('</h1><div class="topcard__flavor-row"><span class="y">no</span></div><a class="topcard__org-name-link" href="/c"> '),
         F.col("company"), F.lit(' </a><span class="topcard__flavor topcard__flavor--bullet">'), F.col("location"),
         F.lit(f'</span><ul>{item}Full-time</span></li>{item}Level '), (F.col("seq") % 4).cast("string"),
-        F.lit(f'</span></li>{item}Full-time</span></li></ul><div class="show-more-less-html__markup"><p>'), F.col("about"),
-        F.lit("</p></div><script>var x = '<h1>no</h1>';</script></body></html>"))
+        F.lit(f'</span></li>{item}Full-time</span></li></ul><div class="show-more-less-html__markup"><div><div></div></div><p>'), F.col("about"),
+        F.lit("</p></div><div>Similar jobs</div><script>var x = '<h1>no</h1>';</script></body></html>"))
     return fields.withColumn("html", html)
 
 

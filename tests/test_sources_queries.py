@@ -103,6 +103,28 @@ def test_native_page_fields(spark):
     assert repo.topics == ["llm"] and repo.readme == "Read\nme"
 
 
+def test_nested_elements_are_whole(spark):
+    main = {
+        "<div role=main><div>Head</div><p>First</p><div><div>In</div></div>Last</div><p>Out</p>": "Head\nFirst\nIn\nLast",
+        "<article>A<article class='card'>B</article><article/>C</article>D": "A\nB\nC",
+        "<article-list>N</article-list><main>M<ARTICLE>x<article >y</article>z</ARTICLE></main>": "x\ny\nz",
+        "<main><main>é😀</main> tail</main>out": "é😀\ntail",
+        "<article>never <div>closed</div>": "never\nclosed",
+        "<body><article/><p>b</p></body>": "",
+    }
+    rows = spark.createDataFrame([(h,) for h in main], "html string").select("html", X.main_text(F.col("html")).alias("t")).collect()
+    assert {r.html: r.t for r in rows} == main
+    job = ('<div class="topcard__flavor-row"></div><span>Out</span><div class="topcard__flavor-row"><div></div><span>A<span>cme</span> Co</span></div>'
+           '<ul><li class="description__job-criteria-item">Level<ul><li class="description__job-criteria-item">One</li></ul>end</li><li>other</li></ul>'
+           '<div class="show-more-less-html__markup"><div>Head</div><section><div>Mid</div></section>Tail</div><div>Similar</div>')
+    r = X.job_records(spark.createDataFrame([("l", job)], "link string, html string")).first()
+    assert r.content == ("Job title: l\n\nCompany: A cme Co\n\nLevel One end\nOne\n\nHead Mid Tail")
+    readme = '<div id="readme"><div class="x">One</div><div>Two<div>Three</div></div>Four</div>Five'
+    body = '<article class="markdown-body"><article>a</article>b</article>c<div class="markdown-body">d</div>'
+    got = X.repository_page_fields(spark.createDataFrame([(1, readme), (2, body)], "id long, html string")).collect()
+    assert {x.id: x.readme for x in got} == {1: "One\nTwo\nThree\nFour", 2: "a\nb"}
+
+
 def test_rendered_challenge_page(spark):
     df = spark.createDataFrame([("https://medium.com/x", "<body><p>Ray ID 7</p><p>by Cloudflare</p></body>")], "link string, html string")
     assert X.rendered_article_records(df).first().challenge_reason == "bot_protection_challenge"
