@@ -8,7 +8,7 @@ its bounds: an equality join on the count with the templates' admissible
 counts.  The templates are a parameter, a list in the program, which bounds what
 is broadcast.
 
-Defined results: one row per input row; ``license`` is null when no unit
+Defined results: one row per input row; ``license`` is null when no unit or window
 reaches ``least``; ties go to the template first in alphabetical order; null and empty
 texts have no unit; repeated ids share one result; null ids are kept without a result of their own;
 an empty table gives an empty result; other columns are ignored.
@@ -16,7 +16,10 @@ an empty table gives an empty result; other columns are ignored.
 
 from __future__ import annotations
 
+import math
 import re
+from collections import Counter
+from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -56,41 +59,122 @@ TEMPLATES = [
 ]
 
 
-def template_bigrams(text: str) -> list[str]:
-    words = [w for w in re.split(r"[\W_]+", text.lower()) if w]
-    return sorted({f"{a} {b}" for a, b in zip(words, words[1:])})
+#: Notices of sibling licences, titles of whole texts, and third conditions.
+_GNU = {"GPL-1.0": ("General Public License", "1", "February 1989"), "GPL-2.0": ("General Public License", "2", "June 1991"),
+        "GPL-3.0": ("General Public License", "3", "29 June 2007"), "LGPL-2.0": ("Library General Public License", "2", "June 1991"),
+        "LGPL-2.1": ("Lesser General Public License", "2.1", "February 1999"),
+        "LGPL-3.0": ("Lesser General Public License", "3", "29 June 2007"),
+        "AGPL-3.0": ("Affero General Public License", "3", "19 November 2007")}
+_CC = {"BY": "Attribution", "BY-SA": "Attribution-ShareAlike", "BY-ND": "Attribution-NoDerivatives", "BY-NC": "Attribution-NonCommercial",
+       "BY-NC-SA": "Attribution-NonCommercial-ShareAlike", "BY-NC-ND": "Attribution-NonCommercial-NoDerivatives"}
+SIBLINGS = [
+    *[(name, f"This work is licensed under the GNU {full}, version {version}.") for name, (full, version, _) in _GNU.items()],
+    *[(name, f"GNU {full} Version {version}, {date}") for name, (full, version, date) in _GNU.items()],
+    *[(name, f"This {what} is free software: you can redistribute it and/or modify it under the terms of the GNU {full} as published "
+       f"by the Free Software Foundation, either version {version} of the License, or (at your option) any later version.")
+      for name, (full, version, _) in _GNU.items() for what in (("library", "program") if name[0] == "L" else ("program",))],
+    *[(f"CC-{code}-{v}", text) for code, full in _CC.items() for v in ("2.0", "2.5", "3.0", "4.0") for text in (
+        f"Licensed under CC {code} {v}.",
+        f"This work is licensed under a Creative Commons {full} {v} {'International' if v == '4.0' else 'Unported' if v == '3.0' else 'Generic'} License.")],
+    ("BSD-2-Clause", "Released under the BSD 2-Clause License."),
+    ("BSD-3-Clause", "Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products "
+     "derived from this software without specific prior written permission."),
+]
+#: Whole licence texts, one file per licence.
+GNU_NAMES = {name.removesuffix(".0"): name for name in ("GPL-1.0", "GPL-2.0", "GPL-3.0", "LGPL-2.0", "LGPL-3.0")}
+BODIES = [(GNU_NAMES.get(f.stem, f.stem), f.read_text(encoding="utf-8", errors="replace"))
+          for f in sorted((Path(__file__).parent / "license_texts").glob("*.txt"))]
+ALL_TEMPLATES = TEMPLATES + [t for t in SIBLINGS if t not in TEMPLATES] + BODIES
+#: Licences that yield to another one, which holds their words and more.
+PART_OF = {"BSD-2-Clause": "BSD-3-Clause"}
 
 
-def template_table(spark: SparkSession, templates: list[tuple[str, str]], least: float) -> DataFrame:
-    """One row per (template, admissible unit size): size, license, bigrams."""
-    rows = []
-    for name, text in templates:
-        grams = template_bigrams(text)
-        n = len(grams)
-        rows += [(size, name, grams) for size in range(1, 3 * n + 2) if 2 * min(size, n) >= least * (size + n)]
-    return spark.createDataFrame(rows, "size int, license string, grams array<string>")
+def ordered_bigrams(text: str) -> list[str]:
+    words = [w for w in re.split(r"[\W_]+", text.lower()) if w]
+    return [f"{a} {b}" for a, b in zip(words, words[1:])]
 
 
-def unit_bigrams(unit: Column) -> Column:
-    """Distinct word bigrams.  The words are bound to a lambda variable, so they are split once per unit."""
+def template_bigrams(text: str) -> list[str]:
+    return sorted(set(ordered_bigrams(text)))
+
+
+def template_table(spark: SparkSession, templates: list[tuple[str, str]], least: float) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Templates (template, license, grams, length in bigrams, at: place of each bigram that occurs once),
+    their admissible unit sizes (size, template), and their bigrams (gram, template, needed)."""
+    rows, sizes, grams = [], [], []
+    for k, (name, text) in enumerate(templates):
+        own, order = template_bigrams(text), ordered_bigrams(text)
+        n = len(own)
+        often = Counter(order)
+        rows.append((k, name, own, len(order), {g: i for i, g in enumerate(order) if often[g] == 1}))
+        sizes += [(size, k) for size in range(1, 3 * n + 2) if 2 * min(size, n) >= least * (size + n)]
+        grams += [(g, k, math.ceil(n * least / (2 - least) - 1e-9)) for g in own]
+    return (spark.createDataFrame(rows, "template int, license string, grams array<string>, length int, at map<string,int>"),
+            spark.createDataFrame(sizes, "size int, template int"), spark.createDataFrame(grams, "gram string, template int, needed int"))
+
+
+def all_bigrams(unit: Column) -> Column:
+    """Word bigrams in order.  The words are bound to a lambda variable, so they are split once per unit."""
     split = F.split(F.trim(F.regexp_replace(F.lower(unit), r"[^\p{L}\p{N}]+", " ")), " ")
-    return F.transform(F.array(split), lambda words: F.array_distinct(F.transform(
-        F.slice(words, 2, F.size(words)), lambda word, i: F.concat(F.get(words, i), F.lit(" "), word))))[0]
+    return F.transform(F.array(split), lambda words: F.transform(
+        F.slice(words, 2, F.size(words)), lambda word, i: F.concat(F.get(words, i), F.lit(" "), word)))[0]
+
+
+def _other_than(name: str):
+    return lambda hit: hit["license"] != name
+
+
+def window_matches(texts: DataFrame, tables: tuple[DataFrame, DataFrame, DataFrame], least: float) -> DataFrame:
+    """doc_id, windows (d: negative Dice, license, start, end): the best window per text and template that
+    reaches ``least``, without those that overlap a better one."""
+    templates, _, grams = tables
+    own = texts.withColumn("copy", F.monotonically_increasing_id()).select("doc_id", "copy", F.explode(
+        F.array_distinct(all_bigrams(F.col("text")))).alias("gram"))
+    pairs = (own.join(F.broadcast(grams), "gram").groupBy("doc_id", "copy", "template")
+             .agg(F.count("*").alias("shared"), F.first("needed").alias("needed")).filter("shared >= needed").select("doc_id", "template").distinct())
+
+    def dice(start):
+        window = F.array_distinct(F.slice("order", start + 1, F.col("length")))
+        return F.transform(F.array(window), lambda w: F.struct(
+            (-2.0 * F.size(F.array_intersect(w, F.col("grams"))) / (F.size(w) + F.size("grams"))).alias("d"), start.alias("start")))[0]
+
+    starts = F.array_distinct(F.filter(F.transform("order", lambda g, i: F.greatest(i - F.col("at")[g], F.when(F.col("at")[g].isNotNull(), F.lit(0)))),
+                                       lambda s: s.isNotNull()))
+    met = texts.join(pairs, "doc_id").join(F.broadcast(templates), "template").withColumn("order", all_bigrams(F.col("text")))
+    best = met.select("doc_id", "license", "length", F.array_min(F.transform(starts, dice)).alias("best")).filter(F.col("best.d") <= -least)
+    found = best.groupBy("doc_id").agg(F.collect_set(F.struct(
+        "best.d", "license", "best.start", (F.col("best.start") + F.col("length")).alias("end"))).alias("windows"))
+    return found.select("doc_id", F.filter("windows", lambda w: ~F.exists("windows", lambda v: (
+        v < w) & (v["start"] < w["end"]) & (w["start"] < v["end"]))).alias("windows"))
 
 
 def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-         templates: list[tuple[str, str]] = TEMPLATES, least: float = LEAST) -> DataFrame:
-    """doc_id, license, dice, n_matches (units that reach ``least`` for any template) per row."""
+         templates: list[tuple[str, str]] = ALL_TEMPLATES, least: float = LEAST) -> DataFrame:
+    """doc_id, license, dice, n_matches per row: units that reach ``least`` for any template, and
+    windows that do for a licence no unit reaches."""
     texts = id_and_text(docs, id_col, text_col)
     text = F.col("text")
     units = texts.select("doc_id", F.explode(F.array_distinct(F.concat(
         F.split(text, "\n"), F.split(text, r"\n\s*\n"), F.array(text)))).alias("unit"))
-    sized = units.select("doc_id", "unit", unit_bigrams(F.col("unit")).alias("own")).withColumn("size", F.size("own"))
-    table = template_table(docs.sparkSession, templates, least)
+    sized = units.select("doc_id", "unit", F.array_distinct(all_bigrams(F.col("unit"))).alias("own")).withColumn("size", F.size("own"))
+    tables = template_table(docs.sparkSession, templates, least)
     dice = 2.0 * F.size(F.array_intersect("own", "grams")) / (F.col("size") + F.size("grams"))
-    met = (sized.join(F.broadcast(table), "size").withColumn("dice", dice).filter(F.col("dice") >= least)
-           .groupBy("doc_id", "unit").agg(F.min(F.struct((-F.col("dice")).alias("d"), "license")).alias("best")))
-    found = met.groupBy("doc_id").agg(F.min("best").alias("best"), F.count("*").alias("n_matches"))
+    reached = (sized.join(F.broadcast(tables[1]), "size").join(F.broadcast(tables[0]), "template")
+               .withColumn("dice", dice).filter(F.col("dice") >= least))
+    by_unit = reached.groupBy("doc_id", F.col("unit").alias("place")).agg(
+        F.min(F.struct((-F.col("dice")).alias("d"), "license")).alias("best"), F.collect_set("license").alias("names"))
+    by_text = by_unit.groupBy("doc_id").agg(
+        F.collect_set("best").alias("found"), F.array_distinct(F.flatten(F.collect_set("names"))).alias("names"), F.count("*").alias("n"))
+    both = by_text.join(window_matches(texts, tables, least), "doc_id", "full").withColumns({
+        "found": F.coalesce("found", F.array()), "names": F.coalesce("names", F.array()), "windows": F.coalesce("windows", F.array())})
+    new = F.filter("windows", lambda w: ~F.array_contains("names", w["license"]))
+    both = both.withColumn("hits", F.concat("found", F.transform("windows", lambda w: F.struct(w["d"].alias("d"), w["license"].alias("license")))))
+    shown = F.col("hits.license")
+    for part, whole in PART_OF.items():
+        both = both.withColumn("hits", F.when(F.array_contains(shown, whole), F.filter("hits", _other_than(part)))
+                               .otherwise(F.col("hits")))
+    found = both.select("doc_id", F.array_min("hits").alias("best"), (
+        F.coalesce("n", F.lit(0).cast("long")) + F.size(new)).alias("n_matches"))
     return (texts.select("doc_id").join(found, "doc_id", "left")
             .select("doc_id", F.col("best.license").alias("license"), (-F.col("best.d")).alias("dice"),
                     F.coalesce("n_matches", F.lit(0).cast("long")).alias("n_matches")))

@@ -73,6 +73,28 @@ def test_license_scan(spark):
     assert licenses.scan(docs.limit(0)).count() == 0
 
 
+def test_license_scan_siblings_bodies_and_windows(spark):
+    gnu = ("This program is free software; you can redistribute it and/or modify it under the terms of the GNU {} General Public License as published "
+           "by the Free Software Foundation, either version {} of the License, or (at your option) any later version.")
+    body = dict(licenses.BODIES)
+    filler = "some other words of a longer line "
+    cases = {
+        gnu.format("", "2"): "GPL-2.0", gnu.format("Lesser", "3"): "LGPL-3.0", gnu.format("Affero", "3"): "AGPL-3.0", gnu.format("", "3"): "GPL-3.0",
+        "This work is licensed under the GNU Affero General Public License, version 3.": "AGPL-3.0",
+        "This work is licensed under a Creative Commons Attribution-NoDerivatives 4.0 International License.": "CC-BY-ND-4.0",
+        "Copyright (c) 2020, Foo\n\n" + body["BSD-3-Clause"]: "BSD-3-Clause", "Copyright (c) 2020, Foo\n\n" + body["BSD-2-Clause"]: "BSD-2-Clause",
+        "Copyright 2024 Foo Authors. Released under the MIT License. All other rights stay with Foo Authors.": "MIT",
+        filler * 20 + gnu.format("Lesser", "3") + filler * 20: "LGPL-3.0",
+        "/*\n * " + filler * 9 + gnu.format("", "2").replace(" the ", "\n * the ") + "\n */ " + filler * 9: "GPL-2.0",
+        body["MPL-2.0"].split("Exhibit A - Source")[0]: "MPL-2.0", filler * 200 + body["GPL-2.0"].split("END OF TERMS")[0] + filler * 200: "GPL-2.0",
+        filler * 50: None, "the License and the terms of the GNU project, as published by the Foundation, in any later version of it": None,
+    }
+    docs = spark.createDataFrame(list(enumerate(cases)), "doc_id long, text string")
+    got = {r.doc_id: r for r in licenses.scan(docs).collect()}
+    assert [got[i].license for i in range(len(cases))] == list(cases.values())
+    assert got[8].dice == 1.0 and got[8].n_matches == 1 and got[13].n_matches == 0 and got[9].n_matches == 1
+
+
 def words(text):
     return re.findall(r"[^\W_]+", (text or "").lower())
 
