@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from ..functions import dictionaries as D
 from ..functions import text as T
 from ..functions import urls as U
+from ..sources import feeds as FD
 from .common import fence
 
 # Markup whose text is not part of the document tree (comments, scripts, styles).
@@ -115,14 +116,27 @@ def same_host_links(sources: DataFrame, limit, min_depth: int = 2) -> DataFrame:
     return top_k(c, ["source_pos"], ["pos"], limit, "source_rank")
 
 
-def expand_sources(sources: DataFrame, limit, min_depth: int = 2) -> DataFrame:
+def feed_source_links(sources: DataFrame, feeds: DataFrame, limit) -> DataFrame:
+    """L7 per feed-host source: http links of its feed, distinct, first ``limit``, ``pos`` their order.
+
+    ``feeds``: (feed_url, feed_pos, xml), the documents of each feed in order; only those of a
+    source's feed are parsed."""
+    asked = sources.withColumn("feed_url", U.feed_url_for_source("source_url")).drop("html")
+    items = FD.feed_items(asked.join(feeds.select("feed_url", "feed_pos", "xml"), "feed_url"), feed_url=F.col("feed_url"))
+    items = first_wins(items, ["source_pos", "link"], ["feed_pos", "item_pos"])
+    out = top_k(items, ["source_pos"], ["feed_pos", "item_pos"], limit, "source_rank")
+    return out.withColumn("pos", F.col("source_rank") - 1)
+
+
+def expand_sources(sources: DataFrame, limit, min_depth: int = 2, feeds: DataFrame | None = None) -> DataFrame:
     """L8 (+L9): blogs/news expansion over a category's listing pages.
 
     Per source at most ``max(2, ceil(limit / n_sources))`` links (distinct
     only within a source); sources in order until the category has
     ``limit``: the loop's early stop equals the final cut, a W3 on
-    (source_pos, pos).  Feed hosts (``medium.com`` in the host) are routed to
-    the feed strategy and left out here.  ``limit`` is an int or a
+    (source_pos, pos).  Feed hosts (``medium.com`` in the host) give the links of
+    their feed in ``feeds`` at their place among the sources (none without a feed, as
+    when a feed cannot be read).  ``limit`` is an int or a
     DataFrame (category, quota) to expand several categories in one pass.
     """
     n = sources.groupBy("category").agg(F.count(F.lit(1)).alias("_n"))
@@ -130,11 +144,15 @@ def expand_sources(sources: DataFrame, limit, min_depth: int = 2) -> DataFrame:
         n = n.join(limit.select("category", F.col("quota").alias("_limit")), "category")
     else:
         n = n.withColumn("_limit", F.lit(limit))
-    s = sources.filter(~U.host("source_url").contains("medium.com")).join(F.broadcast(n), "category")
+    s = sources.join(F.broadcast(n), "category")
     per_source = F.greatest(F.lit(2), F.ceil(F.col("_limit") / F.col("_n")))
-    links = same_host_links(s, per_source, min_depth)
+    on_feed_host = U.host("source_url").contains("medium.com")
+    kept = ["category", "source_pos", "source_url", "pos", "link", "source_rank", "_limit"]
+    links = same_host_links(s.filter(~on_feed_host), per_source, min_depth).select(*kept)
+    if feeds is not None:
+        links = links.unionByName(feed_source_links(s.filter(on_feed_host), feeds, per_source).select(*kept))
     out = top_k(links, ["category"], ["source_pos", "pos"], F.col("_limit"), "category_rank_pos")
-    return out.drop("_n", "_limit")
+    return out.drop("_limit")
 
 
 def capped_links(candidates: DataFrame, limit, n_sources: int | None = None) -> DataFrame:

@@ -85,7 +85,7 @@ def l8_expand_sources(spark: SparkSession, sf: str) -> DataFrame:
     """L8 (+L9, L3, W3): blogs and news expansion over their listing pages."""
     ps = V.page_sources(spark, sf).filter(F.col("category").isin("blogs", "news"))
     quotas = spark.createDataFrame([(c, QUOTA[c]) for c in ("blogs", "news")], "category string, quota int")
-    out = L.expand_sources(ps, quotas, min_depth=1)
+    out = L.expand_sources(ps, quotas, min_depth=1, feeds=V.source_feeds(spark, sf))
     return out.select("category", "source_pos", F.col("pos").cast("bigint").alias("pos"), "link",
                       F.col("category_rank_pos").cast("bigint").alias("category_rank_pos"))
 
@@ -178,7 +178,8 @@ def discovery_parts(spark: SparkSession, sf: str) -> dict[str, DataFrame]:
     html_q = quotas.filter(F.col("category").isin("github", "research_papers", "job_postings")).withColumn(
         "cap", cap.cast("int"))
     ps = V.page_sources(spark, sf).filter(F.col("category").isin("blogs", "news"))
-    pages = L.expand_sources(ps, quotas.filter(F.col("category").isin("blogs", "news")), min_depth=1)
+    pages = L.expand_sources(ps, quotas.filter(F.col("category").isin("blogs", "news")), min_depth=1,
+                             feeds=V.source_feeds(spark, sf))
     folded = L.capped_links(html_candidates(spark, sf), html_q)
     return {"all": pages.select("category", "source_pos", "pos", "link").unionByName(folded)}
 

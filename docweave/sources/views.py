@@ -180,8 +180,7 @@ def crawl_results(spark: SparkSession, data_dir: str) -> DataFrame:
     )
 
 
-def feed_docs(spark: SparkSession, data_dir: str) -> DataFrame:
-    """RSS strings: some malformed, some items without link or full content."""
+def _feed_strings(spark: SparkSession, data_dir: str) -> DataFrame:
     d = read_table(spark, data_dir, "documents", ["doc_id", "source", "text"])
     i = _s("doc_id")
     body = F.trim(F.regexp_replace("text", r"[<>&\]\s\x{A0}]+", " "))
@@ -197,7 +196,18 @@ def feed_docs(spark: SparkSession, data_dir: str) -> DataFrame:
             F.lit("<content:encoded><![CDATA[<p>C"), i, F.lit(" "), body, F.lit("</p>]]></content:encoded>"))),
         F.when(F.col("doc_id") % 13 == 0, F.lit("<broken")).otherwise(F.lit("</item></channel></rss>")),
     )
-    return d.select("doc_id", xml.alias("xml"))
+    return d.select("doc_id", "source", xml.alias("xml"))
+
+
+def feed_docs(spark: SparkSession, data_dir: str) -> DataFrame:
+    """RSS strings: some malformed, some items without link or full content."""
+    return _feed_strings(spark, data_dir).drop("source")
+
+
+def source_feeds(spark: SparkSession, data_dir: str) -> DataFrame:
+    """The feed documents of each feed host's source, in order: several items a feed."""
+    return _feed_strings(spark, data_dir).select(
+        F.concat(F.lit("https://medium.com/feed/"), F.col("source")).alias("feed_url"), F.col("doc_id").alias("feed_pos"), "xml")
 
 
 VIEWS = {

@@ -120,3 +120,27 @@ def test_anchors(spark):
     assert [h for _, h in got] == ["/jobs/view/1?a=1&utm_x=2", "/b", "/c"]
     jobs = L.job_links(df, 5).collect()
     assert [r.link for r in jobs] == ["https://www.linkedin.com/jobs/view/1?a=1"]
+
+
+def test_expand_sources_routes_feed_hosts(spark):
+    page = "".join(f'<a href="/blog/post-{i}">x</a>' for i in range(4))
+    item = "<item><title>t</title><link>{}</link></item>".format
+    sources = spark.createDataFrame([("blogs", 0, "https://a.com/", page), ("blogs", 1, "https://medium.com/tag/ai", page),
+                                     ("blogs", 2, "https://pub.medium.com/x", page), ("blogs", 3, "https://b.com/", page),
+                                     ("news", 4, "https://medium.com/none", page)], "category string, source_pos long, source_url string, html string")
+    feeds = spark.createDataFrame([
+        ("https://medium.com/feed/tag/ai", 1, "<rss><channel>" + item("https://medium.com/p/1?utm_source=rss") + item("ftp://no/x")
+         + item("https://medium.com/p/1") + item("https://medium.com/p/2") + "</channel></rss>"),
+        ("https://medium.com/feed/tag/ai", 2, "<rss><channel>" + item("https://medium.com/p/3") + "</channel></rss>"),
+        ("https://pub.medium.com/feed", 1, "<rss><channel>" + "".join(item(f"https://pub.medium.com/{i}") for i in range(5)) + "</channel></rss>"),
+        ("https://medium.com/feed/other", 1, "<rss><channel>" + item("https://medium.com/p/9") + "</channel></rss>")],
+        "feed_url string, feed_pos long, xml string")
+
+    def links(limit):
+        got = L.expand_sources(sources, limit, feeds=feeds).orderBy("category", "category_rank_pos").collect()
+        return [(r.source_pos, r.link.split("//")[1]) for r in got]
+
+    a, m = [(0, f"a.com/blog/post-{i}") for i in range(4)], [(1, f"medium.com/p/{i}") for i in (1, 2, 3)]
+    p, b = [(2, f"pub.medium.com/{i}") for i in range(5)], [(3, f"b.com/blog/post-{i}") for i in range(4)]
+    assert links(7) == a[:2] + m[:2] + p[:2] + b[:1]
+    assert links(12) == a[:3] + m + p[:3] + b[:3]
