@@ -16,8 +16,9 @@ from ..functions import urls as U
 from ..functions import dates as DT
 from ..operators.common import fence
 
-ITEM_SCHEMA = ("channel struct<item array<struct<title string, link string, description string, "
-               "pubDate string, `content:encoded` string>>>")
+ITEMS = "item array<struct<title string, link string, description string, pubDate string, `content:encoded` string>>"
+#: Items inside the channel (RSS 2.0) and beside it (RSS 1.0).
+FEED_SCHEMA = f"channel struct<{ITEMS}>, {ITEMS}"
 
 
 def clean_html_fragment(c) -> Column:
@@ -35,8 +36,9 @@ def feed_items(feeds: DataFrame, xml: str = "xml", feed_url: Column | None = Non
     (raw, whitespace-cleaned), feed_url.
     """
     keep = [c for c in feeds.columns if c != xml]
-    parsed = feeds.select(*keep, F.from_xml(F.col(xml), ITEM_SCHEMA).alias("_f"))
-    items = parsed.select(*keep, F.posexplode(F.coalesce(F.col("_f.channel.item"), F.array())).alias("item_pos", "_i"))
+    parsed = feeds.select(*keep, F.from_xml(F.col(xml), FEED_SCHEMA).alias("_f"))
+    found = F.concat(F.coalesce("_f.channel.item", F.array()), F.coalesce("_f.item", F.array()))
+    items = parsed.select(*keep, F.posexplode(found).alias("item_pos", "_i"))
     items = items.filter(F.col("_i.link").isNotNull())
     items = items.withColumn("link", U.normalize_link(F.col("_i.link")))
     items = fence(items, ["link"]).filter(U.is_http_url("link"))

@@ -26,6 +26,15 @@ def test_feed_items(spark):
     assert r.feed_url == "https://medium.com/feed/p"
 
 
+def test_feed_items_beside_the_channel(spark):
+    rdf = ('<rdf:RDF xmlns:rdf="http://www.w3.org/1999/02/22-rdf-syntax-ns#" xmlns="http://purl.org/rss/1.0/"><channel rdf:about="c"><title>C</title></channel>'
+           '<item rdf:about="1"><title>A</title><link>https://h/1</link></item><item><title>B</title><link>https://h/2</link></item></rdf:RDF>')
+    both = ('<rss><channel><item><link>https://h/3</link></item></channel><item><link>https://h/4</link></item></rss>')
+    rows = FD.feed_items(spark.createDataFrame([(1, rdf), (2, both)], "id long, xml string")).collect()
+    assert sorted((r.id, r.item_pos, r.link, r.title) for r in rows) == [
+        (1, 0, "https://h/1", "A"), (1, 1, "https://h/2", "B"), (2, 0, "https://h/3", None), (2, 1, "https://h/4", None)]
+
+
 def test_feed_lookup_keeps_one_entry(spark):
     items = spark.createDataFrame([("u2", 0, "l", "b", None, "x", None), ("u1", 1, "l", "a", None, "y", None), ("u1", 0, "l", "first", None, "z", None)],
                                   "feed_url string, item_pos int, link string, title string, description string, content string, published_at string")
