@@ -105,6 +105,16 @@ def element_pattern(tag: str, condition: str = "") -> str:
     return rf"(?is)<{tag}(?=[\s/>])[^>]*\s{condition}[^>]*>" if condition else rf"(?is)<{tag}(?=[\s/>])[^>]*>"
 
 
+#: Tag part of a pattern of any element, and the elements that have no inside.
+ANY = r"[a-z][\w:.-]*"
+VOID = "(?i)^<(?:area|base|br|col|embed|hr|img|input|link|meta|param|source|track|wbr)(?=[\\s/>])"
+
+
+def equals(name: str, value: str) -> str:
+    """Attribute pattern: the attribute has this value."""
+    return rf"""{name}\s*=\s*(?:"{value}"|'{value}'|{value}(?=[\s/>]))"""
+
+
 def bound(value: Column, use) -> Column:
     """``use(value)`` with the value computed once (bound to a lambda variable)."""
     return F.transform(F.array(value), use)[0]
@@ -127,7 +137,7 @@ def _inside(page: Column, closed: bool = False) -> Column:
 
     name = F.regexp_extract(page, r"^<([\w:.-]+)", 1)
     marks = F.split(page, F.concat(F.lit(r"(?i)(?=</?\Q"), name, F.lit(r"\E[\s/>])")))
-    return F.when(page.rlike("^<[^>]*/>"), F.lit("")).otherwise(bound(marks, upto))
+    return F.when(page.rlike("^<[^>]*/>") | page.rlike(VOID), F.lit("")).otherwise(bound(marks, upto))
 
 
 def element(html: Column, pattern: str) -> Column:
@@ -150,12 +160,12 @@ def with_class(*names: str) -> str:
 
 
 #: H3: where the main text is looked for, in this order; else in the body.
-MAIN_REGIONS = (element_pattern("article"), element_pattern("main"), element_pattern("div", r"""role\s*=\s*["']?main\b["']?"""))
+MAIN_REGIONS = (element_pattern("article"), element_pattern("main"), element_pattern(ANY, equals("role", "main")))
 BODY = r"(?is)<body\b[^>]*>(.*)"
 
 
 def main_text(html: Column) -> Column:
-    """H3: text lines of the first article, main, role=main block or body; else of the whole page."""
+    """H3: text lines of the first article, main, role=main element or body; else of the whole page."""
     plain = F.regexp_replace(html, INERT_MARKUP, "\n")
     region = F.coalesce(*[element(plain, p) for p in MAIN_REGIONS], F.when(plain.rlike(BODY), F.regexp_extract(plain, BODY, 1)), plain)
     return T.normalize_content(T.html_unescape(F.regexp_replace(region, "<[^>]*>", "\n")))
@@ -234,8 +244,10 @@ JOB_DESCRIPTION = (element_pattern("div", with_class("show-more-less-html__marku
 JOB_CRITERIA = (element_pattern("li", with_class("description__job-criteria-item")),
                 element_pattern("span", with_class("description__job-criteria-text")))
 README_BLOCKS = (element_pattern("article", with_class("markdown-body")), element_pattern("div", with_class("markdown-body")),
-                 element_pattern("div", r"""id\s*=\s*["']?readme\b["']?"""))
-TOPIC_TAGS = (element_pattern("a", with_class("topic-tag")),)
+                 element_pattern(ANY, equals("id", "readme")))
+# One pattern of both kinds of topic links, so they come in page order.
+TOPIC_TAGS = (r"(?is)<a(?=[\s/>])(?:(?=[^>]*\s" + with_class("topic-tag") + r")|(?=[^>]*\s" + equals("data-view-component", "true")
+              + r""")(?=[^>]*\shref\s*=\s*(?:"[^">]*/topics/|'[^'>]*/topics/|[^\s"'>]*/topics/)))[^>]*>""",)
 
 
 def job_records(pages: DataFrame, link: str = "link", html: str = "html") -> DataFrame:

@@ -134,6 +134,16 @@ def test_nested_elements_are_whole(spark):
     assert {x.id: x.readme for x in got} == {1: "One\nTwo\nThree\nFour", 2: "a\nb"}
 
 
+def test_repository_selectors_of_any_tag(spark):
+    pages = ['<a data-view-component="true" href="/topics/llm">LLM</a><a class="topic-tag">rag</a><a data-view-component="true" href="/x">no</a>'
+             '<a href="https://github.com/topics/Agents" data-view-component=true>Agents</a><a href="/topics/no">no</a>'
+             '<p id="readme-x">no</p><section id="readme">Read<section>me</section>now</section>out', '<img id=readme>rest']
+    got = X.repository_page_fields(spark.createDataFrame(list(enumerate(pages)), "id long, html string")).orderBy("id").collect()
+    assert [(r.readme, r.topics) for r in got] == [("Read\nme\nnow", ["llm", "rag", "agents"]), ("", [])]
+    html = "<body><p>no</p><section role='main'>A<section>B</section>C</section>D</body>"
+    assert spark.createDataFrame([(html,)], "h string").select(X.main_text(F.col("h"))).first()[0] == "A\nB\nC"
+
+
 def test_rendered_challenge_page(spark):
     df = spark.createDataFrame([("https://medium.com/x", "<body><p>Ray ID 7</p><p>by Cloudflare</p></body>")], "link string, html string")
     assert X.rendered_article_records(df).first().challenge_reason == "bot_protection_challenge"
