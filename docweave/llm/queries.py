@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from . import chat, decontaminate, exact_dedup, language, licenses, near_dedup, packing, suffix_dedup, tokens, toxicity
+from . import (chat, decontaminate, exact_dedup, fill_middle, importance, language, licenses, near_dedup, packing, suffix_dedup, tokens,
+               toxicity)
 
 QUERIES = {
     "op1_exact_dedup": exact_dedup.op1_exact_dedup,
@@ -15,6 +16,8 @@ QUERIES = {
     "op8_chat": chat.op8_chat,
     "op9_packing": packing.op9_packing,
     "op10_decontaminate": decontaminate.op10_decontaminate,
+    "op12_importance": importance.op12_importance,
+    "op13_fill_middle": fill_middle.op13_fill_middle,
 }
 
 #: The other queries' results are learned, tokenised or packed; tests hold them against brute force or round trips.
@@ -23,4 +26,5 @@ ORACLES = {
     "op4_license_scan": licenses.ORACLE,
     "op8_chat": chat.ORACLE,
     "op10_decontaminate": decontaminate.ORACLE,
+    "op13_fill_middle": fill_middle.ORACLE,
 }
