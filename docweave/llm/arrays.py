@@ -13,6 +13,7 @@ avalanche step.
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -84,6 +85,40 @@ def span_hash(prefix: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndar
     return (prefix[end] - prefix[start]) * powers(BASE, len(prefix))[start]
 
 
+LONG_SPAN = 4096
+#: Masks that keep the first 0 to 8 bytes of a little-endian word.
+HEAD_MASKS = np.array([(1 << 8 * n) - 1 for n in range(9)], dtype=U64)
+
+
+def span_digests(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """64-bit hashes of the byte strings data[start:end], eight bytes of all strings per round.
+
+    A round is a bijection of the state that is not linear in it, so regular strings (repetitive words
+    that defeat polynomial hashes) do not meet more often than random ones.  Very long strings are
+    digested one by one."""
+    size = end - start
+    long = size > LONG_SPAN
+    order = np.argsort(-np.where(long, 0, size), kind="stable")  # strings still being read come first
+    padded = np.concatenate([data, np.zeros(8, dtype=np.uint8)])
+    words = np.ndarray((len(data) + 1,), dtype="<u8", buffer=padded, strides=(1,))
+    begin, left = start[order], np.where(long, 0, size)[order]
+    state = size[order].astype(U64) * U64(0x9E3779B97F4A7C15) + U64(0x243F6A8885A308D3)
+    active = len(order)
+    while True:
+        active = int(np.searchsorted(-left[:active], 0, side="left"))
+        if not active:
+            break
+        now = state[:active] ^ (words[begin[:active]] & HEAD_MASKS[np.minimum(left[:active], 8)])
+        state[:active] = mix(now) + U64(0x13198A2E03707344)
+        begin[:active] += 8
+        left[:active] -= 8
+    out = np.empty(len(order), dtype=U64)
+    out[order] = state
+    for i in np.flatnonzero(long):
+        out[i] = int.from_bytes(hashlib.blake2b(data[start[i]:end[i]].tobytes(), digest_size=8).digest(), "little")
+    return out
+
+
 ASCII_SPACE = np.zeros(256, dtype=bool)
 ASCII_SPACE[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = True
 ASCII_LOWER = np.arange(256, dtype=np.uint8)

@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-from . import (chat, decontaminate, exact_dedup, fill_middle, importance, language, licenses, near_dedup, packing, suffix_dedup, tokens,
-               toxicity)
+from . import (chat, decontaminate, exact_dedup, fill_middle, importance, language, licenses, near_dedup, packing, substring_dedup,
+               suffix_dedup, tokens, toxicity)
 
 QUERIES = {
     "op1_exact_dedup": exact_dedup.op1_exact_dedup,
@@ -16,6 +16,7 @@ QUERIES = {
     "op8_chat": chat.op8_chat,
     "op9_packing": packing.op9_packing,
     "op10_decontaminate": decontaminate.op10_decontaminate,
+    "op11_substring_dedup": substring_dedup.op11_substring_dedup,
     "op12_importance": importance.op12_importance,
     "op13_fill_middle": fill_middle.op13_fill_middle,
 }
@@ -26,5 +27,6 @@ ORACLES = {
     "op4_license_scan": licenses.ORACLE,
     "op8_chat": chat.ORACLE,
     "op10_decontaminate": decontaminate.ORACLE,
+    "op11_substring_dedup": substring_dedup.ORACLE,
     "op13_fill_middle": fill_middle.ORACLE,
 }
