@@ -42,7 +42,7 @@ from .suffix_dedup import sliding_min, spans
 from .work import id_and_text, saved
 
 WORDS = 13
-GRAM = 3
+GRAM = 4
 SEGMENT = 500_000  # words of a long text that are looked at together
 SHARD_WORDS = 200_000
 HOT_RUNS = 2000  # a gram that occurs more often is no anchor ...
