@@ -1,17 +1,22 @@
 """Operator 4, licence scan (DataFrame functions only).
 
-A document's units are its lines, its paragraphs and its whole text.  Each unit is
-normalised to lower-case words and compared with licence templates by the Dice
-coefficient of their sets of word bigrams.  Dice >= t needs set sizes within a factor
-of (2 - t) / t, so a template only meets units whose bigram count lies within
-its bounds: an equality join on the count with the templates' admissible
-counts.  The templates are a parameter, a list in the program, which bounds what
-is broadcast.
+A document's units are its lines, its paragraphs and its whole text, and, for notices inside
+longer lines, its windows as long as a template.  Texts are normalised to lower-case words and
+compared with licence templates by the Dice coefficient of their sets of word bigrams.
+
+1. Sieve, without loss: Dice >= t with a template of n bigrams needs t n / (2 - t) shared ones, and a
+   unit's bigrams are a subset of its text's.  One pass counts the bigrams each text shares
+   with each template; only texts that reach a template's number go on.
+2. Units meet templates of admissible size: Dice >= t needs set sizes within a factor of (2 - t) / t, so a
+   unit's bigram count is joined by equality with the templates' admissible counts.
+3. Windows start where a bigram that occurs once in the template puts them.
+
+The templates are a parameter, a list in the program, which bounds what is broadcast.
 
 Defined results: one row per input row; ``license`` is null when no unit or window
 reaches ``least``; ties go to the template first in alphabetical order; null and empty
-texts have no unit; repeated ids share one result; null ids are kept without a result of their own;
-an empty table gives an empty result; other columns are ignored.
+texts have no unit; rows are judged by their own text, whether their id repeats or is null
+(rows are told apart by id and 64 bits of the text's hash); an empty table gives an empty result; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -24,7 +29,9 @@ from pathlib import Path
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .work import id_and_text
+from .work import id_and_text, saved
+
+KEY = ["row_id", "text_hash"]  # a row's id (the least long if null) and its text
 
 LEAST = 0.85
 #: Short notices and headers of common licences.
@@ -124,14 +131,18 @@ def _other_than(name: str):
     return lambda hit: hit["license"] != name
 
 
-def window_matches(texts: DataFrame, tables: tuple[DataFrame, DataFrame, DataFrame], least: float) -> DataFrame:
-    """doc_id, windows (d: negative Dice, license, start, end): the best window per text and template that
-    reaches ``least``, without those that overlap a better one."""
-    templates, _, grams = tables
-    own = texts.withColumn("copy", F.monotonically_increasing_id()).select("doc_id", "copy", F.explode(
+def sieve(texts: DataFrame, grams: DataFrame) -> DataFrame:
+    """(key, templates): the texts that share enough bigrams with a template, and those templates."""
+    own = texts.withColumn("copy", F.monotonically_increasing_id()).select(*KEY, "copy", F.explode(
         F.array_distinct(all_bigrams(F.col("text")))).alias("gram"))
-    pairs = (own.join(F.broadcast(grams), "gram").groupBy("doc_id", "copy", "template")
-             .agg(F.count("*").alias("shared"), F.first("needed").alias("needed")).filter("shared >= needed").select("doc_id", "template").distinct())
+    pairs = (own.join(F.broadcast(grams), "gram").groupBy(*KEY, "copy", "template")
+             .agg(F.count("*").alias("shared"), F.first("needed").alias("needed")).filter("shared >= needed"))
+    return pairs.groupBy(*KEY).agg(F.collect_set("template").alias("templates"))
+
+
+def window_matches(passed: DataFrame, templates: DataFrame, least: float) -> DataFrame:
+    """key, windows (d: negative Dice, license, start, end): the best window per text and template that
+    reaches ``least``, without those that overlap a better one."""
 
     def dice(start):
         window = F.array_distinct(F.slice("order", start + 1, F.col("length")))
@@ -140,11 +151,12 @@ def window_matches(texts: DataFrame, tables: tuple[DataFrame, DataFrame, DataFra
 
     starts = F.array_distinct(F.filter(F.transform("order", lambda g, i: F.greatest(i - F.col("at")[g], F.when(F.col("at")[g].isNotNull(), F.lit(0)))),
                                        lambda s: s.isNotNull()))
-    met = texts.join(pairs, "doc_id").join(F.broadcast(templates), "template").withColumn("order", all_bigrams(F.col("text")))
-    best = met.select("doc_id", "license", "length", F.array_min(F.transform(starts, dice)).alias("best")).filter(F.col("best.d") <= -least)
-    found = best.groupBy("doc_id").agg(F.collect_set(F.struct(
+    met = (passed.withColumn("order", all_bigrams(F.col("text"))).withColumn("template", F.explode("templates"))
+           .join(F.broadcast(templates), "template"))
+    best = met.select(*KEY, "license", "length", F.array_min(F.transform(starts, dice)).alias("best")).filter(F.col("best.d") <= -least)
+    found = best.groupBy(*KEY).agg(F.collect_set(F.struct(
         "best.d", "license", "best.start", (F.col("best.start") + F.col("length")).alias("end"))).alias("windows"))
-    return found.select("doc_id", F.filter("windows", lambda w: ~F.exists("windows", lambda v: (
+    return found.select(*KEY, F.filter("windows", lambda w: ~F.exists("windows", lambda v: (
         v < w) & (v["start"] < w["end"]) & (w["start"] < v["end"]))).alias("windows"))
 
 
@@ -152,20 +164,22 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
          templates: list[tuple[str, str]] = ALL_TEMPLATES, least: float = LEAST) -> DataFrame:
     """doc_id, license, dice, n_matches per row: units that reach ``least`` for any template, and
     windows that do for a licence no unit reaches."""
-    texts = id_and_text(docs, id_col, text_col)
+    texts = id_and_text(docs, id_col, text_col).withColumns({
+        "row_id": F.coalesce("doc_id", F.lit(-1 << 63)), "text_hash": F.xxhash64("text")})
     text = F.col("text")
-    units = texts.select("doc_id", F.explode(F.array_distinct(F.concat(
-        F.split(text, "\n"), F.split(text, r"\n\s*\n"), F.array(text)))).alias("unit"))
-    sized = units.select("doc_id", "unit", F.array_distinct(all_bigrams(F.col("unit"))).alias("own")).withColumn("size", F.size("own"))
     tables = template_table(docs.sparkSession, templates, least)
+    passed = saved(texts.select(*KEY, "text").join(sieve(texts, tables[2]), KEY))
+    units = passed.select(*KEY, F.explode(F.array_distinct(F.concat(
+        F.split(text, "\n"), F.split(text, r"\n\s*\n"), F.array(text)))).alias("unit"))
+    sized = units.select(*KEY, "unit", F.array_distinct(all_bigrams(F.col("unit"))).alias("own")).withColumn("size", F.size("own"))
     dice = 2.0 * F.size(F.array_intersect("own", "grams")) / (F.col("size") + F.size("grams"))
     reached = (sized.join(F.broadcast(tables[1]), "size").join(F.broadcast(tables[0]), "template")
                .withColumn("dice", dice).filter(F.col("dice") >= least))
-    by_unit = reached.groupBy("doc_id", F.col("unit").alias("place")).agg(
+    by_unit = reached.groupBy(*KEY, F.col("unit").alias("place")).agg(
         F.min(F.struct((-F.col("dice")).alias("d"), "license")).alias("best"), F.collect_set("license").alias("names"))
-    by_text = by_unit.groupBy("doc_id").agg(
+    by_text = by_unit.groupBy(*KEY).agg(
         F.collect_set("best").alias("found"), F.array_distinct(F.flatten(F.collect_set("names"))).alias("names"), F.count("*").alias("n"))
-    both = by_text.join(window_matches(texts, tables, least), "doc_id", "full").withColumns({
+    both = by_text.join(window_matches(passed, tables[0], least), KEY, "full").withColumns({
         "found": F.coalesce("found", F.array()), "names": F.coalesce("names", F.array()), "windows": F.coalesce("windows", F.array())})
     new = F.filter("windows", lambda w: ~F.array_contains("names", w["license"]))
     both = both.withColumn("hits", F.concat("found", F.transform("windows", lambda w: F.struct(w["d"].alias("d"), w["license"].alias("license")))))
@@ -173,9 +187,9 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     for part, whole in PART_OF.items():
         both = both.withColumn("hits", F.when(F.array_contains(shown, whole), F.filter("hits", _other_than(part)))
                                .otherwise(F.col("hits")))
-    found = both.select("doc_id", F.array_min("hits").alias("best"), (
+    found = both.select(*KEY, F.array_min("hits").alias("best"), (
         F.coalesce("n", F.lit(0).cast("long")) + F.size(new)).alias("n_matches"))
-    return (texts.select("doc_id").join(found, "doc_id", "left")
+    return (texts.select("doc_id", *KEY).join(found, KEY, "left")
             .select("doc_id", F.col("best.license").alias("license"), (-F.col("best.d")).alias("dice"),
                     F.coalesce("n_matches", F.lit(0).cast("long")).alias("n_matches")))
 

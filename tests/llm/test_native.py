@@ -10,7 +10,7 @@ from docweave.llm.queries import ORACLES, QUERIES
 
 
 def test_registered_queries():
-    assert sorted(int(q[2:].split("_")[0]) for q in QUERIES) == list(range(1, 11))
+    assert sorted(int(q[2:].split("_")[0]) for q in QUERIES) == list(range(1, 14))
     assert set(ORACLES) <= set(QUERIES)
 
 
@@ -64,12 +64,14 @@ def test_license_scan(spark):
         (1, "intro\nReleased under the MIT License.\nmore", "x"), (2, "RELEASED under the MIT   license", "x"), (3, "nothing here", "x"),
         (4, None, "x"), (5, "", "x"), (None, "Licensed under CC BY 4.0.", "x"), (6, licenses.TEMPLATES[15][1].replace("free of charge", "gratis"), "x"),
         (6, licenses.TEMPLATES[15][1].replace("free of charge", "gratis"), "x"), (7, "Licensed under the Apache License, Version 2.0.\nReleased under the MIT License.", "x"),
-        (8, "word " * 30_000, "x")], "doc_id long, text string, license string")
+        (8, "word " * 30_000, "x"), (3, "Released under the MIT License.", "x"), (None, "nothing", "x")], "doc_id long, text string, license string")
     got = licenses.scan(docs).collect()
-    assert len(got) == 10
-    by_id = {r.doc_id: r for r in got}
+    assert len(got) == 12
+    assert sorted((str(r.doc_id), str(r.license)) for r in got if r.doc_id in (3, None)) == [
+        ("3", "MIT"), ("3", "None"), ("None", "CC-BY-4.0"), ("None", "None")]
+    by_id = {r.doc_id: r for r in got[:-2]} | {3: got[2]}
     assert [by_id[i].license for i in (1, 2, 3, 4, 5, 6, 7, 8)] == ["MIT", "MIT", None, None, None, "MIT", "Apache-2.0", None]
-    assert by_id[1].dice == 1.0 and 0.85 <= by_id[6].dice < 1 and by_id[7].n_matches == 2 and by_id[None].license is None
+    assert by_id[1].dice == 1.0 and 0.85 <= by_id[6].dice < 1 and by_id[7].n_matches == 2 and by_id[None].license == "CC-BY-4.0"
     assert licenses.scan(docs.limit(0)).count() == 0
 
 
@@ -137,5 +139,8 @@ def test_decontamination_brute_force(spark):
     assert all(r.contaminated == (r.n_items > 0) for r in got) and sum(r.contaminated for r in got) > 40
     kept = decontaminate.drop_contaminated(frame, bench)
     assert kept.columns == frame.columns and kept.count() == sum(not r.contaminated for r in got)
+    clashing = frame.withColumns({"h_id": F.lit(1), "h_hash": F.lit(2), "text_hash": F.lit(3), "item_id": F.lit(4)})
+    left = decontaminate.drop_contaminated(clashing, bench)
+    assert left.columns == clashing.columns and left.count() == kept.count()
     assert not any(r.contaminated for r in decontaminate.report(frame, bench.limit(0)).collect())
     assert decontaminate.report(frame.limit(0), bench).count() == 0
