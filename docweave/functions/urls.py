@@ -187,53 +187,10 @@ def feed_url_for_article(article_url) -> Column:
     )
 
 
-def urljoin(base, href) -> Column:
-    """L2: ``urllib.parse.urljoin(base, href)`` for http(s) bases, natively.
-
-    Absolute and ``//host`` references are taken as they are; a rooted or
-    relative path is merged with the base directory, empty middle segments
-    are dropped and dot segments removed with an ``aggregate`` stack (only
-    evaluated for rows that need it); an empty path keeps the base path and,
-    without its own query, the base query.
-    """
-    b, given = col(base), col(href)
-    # As the standard library reads it: no leading controls or blanks, no tabs or line breaks.
-    clean = F.regexp_replace(F.regexp_replace(given, r"^[\x00-\x20]+", ""), r"[\t\r\n]", "")
-    h_scheme = F.lower(F.regexp_extract(clean, r"^([A-Za-z][A-Za-z0-9+.\-]*):", 1))
-    # A reference that repeats the base's scheme is read without it.
-    h = F.when((h_scheme != "") & (h_scheme == scheme(b)), F.regexp_replace(clean, "^[^:]*:", "")).otherwise(clean)
-    full = F.concat(scheme(b), F.lit(":"), h)
-    b_scheme, b_net, b_path, b_query = scheme(b), netloc(b), split_path(b), query(b)
-    ref = F.regexp_replace(h, r"^[^?#]*", "")  # '?query#frag' part of the reference
-    h_path = F.regexp_extract(h, r"^([^?#]*)", 1)
-    h_query = F.regexp_extract(ref, r"^\?([^#]*)", 1)
-    h_frag = F.regexp_extract(ref, r"#([\s\S]*)$", 1)
-    merged = F.when(h_path.startswith("/"), h_path).otherwise(
-        F.concat(F.regexp_replace(b_path, r"[^/]*$", ""), h_path))
-    segs = F.split(merged, "/")
-    n = F.size(segs)
-    segs = F.filter(segs, lambda x, i: (x != "") | (i == 0) | (i == n - 1))
-    stack = F.aggregate(
-        segs, F.array().cast("array<string>"),
-        lambda acc, s: F.when(s == "..", F.slice(acc, 1, F.greatest(F.size(acc) - 1, F.lit(0))))
-        .when(s == ".", acc).otherwise(F.concat(acc, F.array(s))))
-    last = F.try_element_at(segs, F.lit(-1))
-    stack = F.when(last.isin(".", ".."), F.concat(stack, F.array(F.lit("")))).otherwise(stack)
-    joined = F.array_join(stack, "/")
-    new_path = F.when(joined == "", F.lit("/")).otherwise(joined)
-    keep_base = unsplit(b_scheme, b_net, b_path,
-                        F.when(h_query != "", h_query).otherwise(b_query), h_frag)
-    return (F.when(h == "", unsplit(b_scheme, b_net, b_path, b_query, F.lit("")))
-            .when((h_scheme != "") & (h_scheme != b_scheme), given)
-            .when(h.startswith("//"), unsplit(b_scheme, netloc(full), split_path(full), query(full), fragment(full)))
-            .when(h_path == "", keep_base)
-            .otherwise(unsplit(b_scheme, b_net, new_path, h_query, h_frag)))
-
-
 # ---------------------------------------------------------------------------
-# The same functions as single SQL expressions over named columns: one
+# Functions as single SQL expressions over named columns or lambda variables: one
 # expression string is parsed by the JVM at once instead of being built
-# from hundreds of Column calls (plan construction cost, not run time).
+# from hundreds of Column calls.
 # ---------------------------------------------------------------------------
 
 def _lit(s: str) -> str:
@@ -272,11 +229,13 @@ def _unsplit_sql(sch: str, net: str, pth: str, qry: str, frag: str) -> str:
             f"CASE WHEN {frag} <> '' THEN concat('#', {frag}) ELSE '' END)")
 
 
-def normalize_link_sql(name: str) -> Column:
-    """U2 as one SQL expression over the column ``name``."""
-    s = _strip_sql(_ref(name))
-    q = _part_sql(s, 4)
+def let(var: str, value: str, body: str) -> str:
+    """SQL: ``body`` with the lambda variable ``var`` bound to ``value``, which is computed once."""
+    return f"transform(array({value}), {var} -> {body})[0]"
+
 
+def normalize_text(name: str) -> str:
+    """U2 as SQL text over a column reference or lambda variable."""
     def dec(e: str) -> str:
         return f"try_url_decode(regexp_replace({e}, '%(?![0-9A-Fa-f]{{2}})', '%25'))"
 
@@ -285,12 +244,19 @@ def normalize_link_sql(name: str) -> Column:
 
     key = "substring_index(x, '=', 1)"
     val = f"CASE WHEN instr(x, '=') > 0 THEN {dec('substring(x, instr(x, ' + _lit('=') + ') + 1)')} ELSE '' END"
-    newq = (f"array_join(transform(filter(filter(split({q}, '&'), x -> x <> ''), "
+    newq = (f"array_join(transform(filter(filter(split(q_, '&'), x -> x <> ''), "
             f"x -> NOT startswith(lower({dec(key)}), 'utm_')), "
             f"x -> concat({enc(dec(key))}, '=', {enc(val)})), '&')")
-    sch = f"lower({_part_sql(s, 1)})"
-    rebuilt = _unsplit_sql(sch, _part_sql(s, 2), _part_sql(s, 3), newq, _part_sql(s, 5))
-    return F.expr(f"CASE WHEN {q} = '' THEN {s} ELSE {rebuilt} END")
+    sch = f"lower({_part_sql('l_', 1)})"
+    rebuilt = _unsplit_sql(sch, _part_sql("l_", 2), _part_sql("l_", 3), "n_", _part_sql("l_", 5))
+    # A link without a question mark has no query, so most links need no pattern at all.
+    return let("l_", _strip_sql(name), "CASE WHEN instr(l_, '?') = 0 THEN l_ ELSE " + let(
+        "q_", _part_sql("l_", 4), f"CASE WHEN q_ = '' THEN l_ ELSE {let('n_', newq, rebuilt)} END") + " END")
+
+
+def normalize_link_sql(name: str) -> Column:
+    """U2 as one SQL expression over the column ``name``."""
+    return F.expr(normalize_text(_ref(name)))
 
 
 def base_sql(base: str) -> str:
@@ -298,33 +264,44 @@ def base_sql(base: str) -> str:
     return _lit(base) if "://" in base else _ref(base)
 
 
-def urljoin_sql(base_sql: str, href: str) -> Column:
-    """L2 as one SQL expression; ``base_sql`` is a SQL expression (a quoted
-    literal or a column reference), ``href`` a column name."""
-    b, given = base_sql, _ref(href)
-    b_scheme, b_net, b_path, b_query = (f"lower({_part_sql(b, 1)})", _part_sql(b, 2), _part_sql(b, 3),
-                                        _part_sql(b, 4))
-    clean = f"regexp_replace(regexp_replace({given}, '^[\\\\x00-\\\\x20]+', ''), '[\\\\t\\\\r\\\\n]', '')"
-    h_scheme = f"lower(regexp_extract({clean}, '^([A-Za-z][A-Za-z0-9+.\\\\-]*):', 1))"
-    h = f"CASE WHEN {h_scheme} <> '' AND {h_scheme} = {b_scheme} THEN regexp_replace({clean}, '^[^:]*:', '') ELSE {clean} END"
-    full = f"concat({b_scheme}, ':', {h})"
-    ref = f"regexp_replace({h}, '^[^?#]*', '')"
-    h_path = f"regexp_extract({h}, '^([^?#]*)', 1)"
-    h_query = f"regexp_extract({ref}, '^\\\\?([^#]*)', 1)"
-    h_frag = f"regexp_extract({ref}, '#([\\\\s\\\\S]*)$', 1)"
-    merged = f"CASE WHEN startswith({h_path}, '/') THEN {h_path} ELSE concat(regexp_replace({b_path}, '[^/]*$', ''), {h_path}) END"
-    segs0 = f"split({merged}, '/')"
-    segs = f"filter({segs0}, (x, i) -> x <> '' OR i = 0 OR i = size({segs0}) - 1)"
-    stack = (f"aggregate({segs}, CAST(array() AS array<string>), (acc, s) -> CASE WHEN s = '..' "
-             f"THEN slice(acc, 1, greatest(size(acc) - 1, 0)) WHEN s = '.' THEN acc ELSE concat(acc, array(s)) END)")
-    last = f"try_element_at({segs}, -1)"
-    stack = f"CASE WHEN {last} IN ('.', '..') THEN concat({stack}, array('')) ELSE {stack} END"
-    joined = f"array_join({stack}, '/')"
-    new_path = f"CASE WHEN {joined} = '' THEN '/' ELSE {joined} END"
-    keep_base = _unsplit_sql(b_scheme, b_net, b_path, f"CASE WHEN {h_query} <> '' THEN {h_query} ELSE {b_query} END", h_frag)
-    return F.expr(
-        f"CASE WHEN {h} = '' THEN {_unsplit_sql(b_scheme, b_net, b_path, b_query, repr(''))} "
-        f"WHEN {h_scheme} <> '' AND {h_scheme} <> {b_scheme} THEN {given} "
-        f"WHEN startswith({h}, '//') THEN {_unsplit_sql(b_scheme, _part_sql(full, 2), _part_sql(full, 3), _part_sql(full, 4), _part_sql(full, 5))} "
-        f"WHEN {h_path} = '' THEN {keep_base} "
-        f"ELSE {_unsplit_sql(b_scheme, b_net, new_path, h_query, h_frag)} END")
+def urljoin_text(base: str, href: str) -> str:
+    """L2: ``urllib.parse.urljoin(base, href)`` for http(s) bases as SQL text over two SQL expressions.
+
+    Absolute and ``//host`` references are taken as they are; a rooted or relative path is merged with
+    the base directory, empty middle segments are dropped and dot segments removed with a stack; an
+    empty path keeps the base path and, without its own query, the base query.  Every part is
+    computed once, bound to a lambda variable, and only in the case that needs it."""
+    # As the standard library reads it: no leading controls or blanks, no tabs or line breaks.
+    clean = f"regexp_replace(regexp_replace({href}, '^[\\\\x00-\\\\x20]+', ''), '[\\\\t\\\\r\\\\n]', '')"
+    h_scheme = "lower(regexp_extract(c_, '^([A-Za-z][A-Za-z0-9+.\\\\-]*):', 1))"
+    # A reference that repeats the base's scheme is read without it; an empty authority is none.
+    h = ("CASE WHEN s_ <> '' AND s_ = bs_ THEN regexp_replace(c_, '^[^:]*:', '') ELSE c_ END")
+    h = let("a_", h, "CASE WHEN a_ rlike '^//([/?#]|$)' THEN substring(a_, 3) ELSE a_ END")
+    b_net, b_path, b_query = (_part_sql("b_", i) for i in (2, 3, 4))
+    merged = "CASE WHEN startswith(d_, '/') THEN d_ ELSE concat(regexp_replace(bp_, '[^/]*$', ''), d_) END"
+    segs = let("g_", f"split({merged}, '/')", "filter(g_, (x, i) -> x <> '' OR i = 0 OR i = size(g_) - 1)")
+    stack = ("aggregate(k_, CAST(array() AS array<string>), (acc, s) -> CASE WHEN s = '..' "
+             "THEN slice(acc, 1, greatest(size(acc) - 1, 0)) WHEN s = '.' THEN acc ELSE concat(acc, array(s)) END)")
+    stack = f"CASE WHEN try_element_at(k_, -1) IN ('.', '..') THEN concat({stack}, array('')) ELSE {stack} END"
+    path = let("d_", "regexp_replace(p_, ';[^/]*$', '')", let("k_", segs, let(
+        "j_", f"array_join({stack}, '/')", "concat(CASE WHEN j_ = '' THEN '/' ELSE j_ END, "
+        "regexp_replace(regexp_extract(p_, '(;[^/]*)$', 1), '^;$', ''))")))
+    query = "regexp_extract(h_, '^[^?#]*\\\\?([^#]*)', 1)"
+    fragment_ = "regexp_extract(h_, '#([\\\\s\\\\S]*)$', 1)"
+    whole = _unsplit_sql("bs_", "bn_", "bp_", b_query, "''")
+    kept = let("w_", query, _unsplit_sql("bs_", "bn_", "bp_", f"CASE WHEN w_ <> '' THEN w_ ELSE {b_query} END", fragment_))
+    other = let("f_", "concat(bs_, ':', h_)", _unsplit_sql("bs_", *[_part_sql("f_", i) for i in (2, 3, 4, 5)]))
+    joined = let("m_", path, _unsplit_sql("bs_", "bn_", "m_", query, fragment_))
+    relative = let("bn_", b_net, let("bp_", b_path, f"CASE WHEN h_ = '' THEN {whole} WHEN p_ = '' THEN {kept} ELSE {joined} END"))
+    body = (f"CASE WHEN s_ <> '' AND s_ <> bs_ THEN {href} WHEN startswith(h_, '//') THEN {other} "
+            f"ELSE {let('p_', _first_part('h_'), relative)} END")
+    return let("c_", clean, let("b_", base, let("bs_", f"lower({_part_sql('b_', 1)})", let("s_", h_scheme, let("h_", h, body)))))
+
+
+def _first_part(e: str) -> str:
+    return f"regexp_extract({e}, '^([^?#]*)', 1)"
+
+
+def urljoin_sql(base: str, href: str) -> Column:
+    """L2 over a base given as SQL text (see :func:`base_sql`) and the column ``href``."""
+    return F.expr(urljoin_text(base, _ref(href)))

@@ -11,6 +11,7 @@ import datetime as _dt
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as TY
 
 from ..functions import dictionaries as D
 from ..functions import text as T
@@ -26,6 +27,24 @@ DOCUMENT_COLUMNS = (
 )
 
 
+#: The stored record.
+_KINDS = {"string": TY.StringType(), "time": TY.TimestampType(), "date": TY.DateType(), "bool": TY.BooleanType(), "score": TY.DoubleType(),
+          "words": TY.ArrayType(TY.StringType()), "map": TY.MapType(TY.StringType(), TY.StringType())}
+_RECORD = {
+    "id": "string", "link": "string", "collection_name": "string", "title": "string", "content": "string", "summary": "string",
+    "published_at": "time", "published_date": "date", "source": "string", "source_domain": "string", "platform": "string",
+    "topic_query": "string", "tags": "words", "content_kind": "string", "is_ai_related": "bool", "ai_relevance_score": "score",
+    "ai_topics": "words", "ai_keywords": "words", "has_job_signal": "bool", "job_roles": "words", "hiring_signal_score": "score",
+    "created_by_user_id": "string", "created_by_user_name": "string", "raw_metadata": "map", "created_at": "time", "updated_at": "time",
+}
+DOCUMENT_SCHEMA = TY.StructType([TY.StructField(name, _KINDS[kind]) for name, kind in _RECORD.items()])
+
+
+def as_documents(df: DataFrame) -> DataFrame:
+    """The record's columns, those that ``df`` lacks as null."""
+    return df.select(*[(F.col(f.name) if f.name in df.columns else F.lit(None)).cast(f.dataType).alias(f.name) for f in DOCUMENT_SCHEMA])
+
+
 def is_challenge_page(text) -> Column:
     """Bot-challenge page (lower-cased text has a phrase, or both pair words)."""
     lc = F.lower(col(text))
@@ -107,10 +126,10 @@ def key_projection(df: DataFrame) -> DataFrame:
     return df.select("collection_name", "link")
 
 
-def route_extractor(link) -> Column:
+def route_extractor(link, hosts: tuple[tuple[str, str], ...] = D.EXTRACTOR_HOSTS) -> Column:
     """Extractor kind by exact host, default article."""
     h = U.host(link)
     out = F.lit("article")
-    for hst, kind in reversed(D.EXTRACTOR_HOSTS):
+    for hst, kind in reversed(hosts):
         out = F.when(h == hst, F.lit(kind)).otherwise(out)
     return out

@@ -295,11 +295,3 @@ def repository_page_fields(pages: DataFrame, html: str = "html") -> DataFrame:
         "readme": F.coalesce(markup_text(block), F.lit("")),
         "topics": F.filter(F.array_distinct(F.transform(topics, lambda x: F.lower(markup_text(x, " ")))), lambda x: x != "")})
     return fence(out, ["readme", "topics"])
-
-
-#: Extractor by H16's kind; callers may register their own kinds.
-EXTRACTORS = {"article": article_records, "job": job_records, "feed_article": rendered_article_records}
-
-
-def register_extractor(kind: str, fn) -> None:
-    EXTRACTORS[kind] = fn

@@ -1,7 +1,6 @@
-"""Link-unique store merge.
+"""Link-unique store merge (M1, M2, J1, J2, S13, S15, S16; ``store.py`` writes the result, S12).
 
-The store is one table partitioned by ``collection_name``; a link lives in
-at most one collection.  A batch of candidates (in input order ``seq``) is
+A link lives in at most one collection.  A batch of candidates (in input order ``seq``) is
 merged in one pass:
 
 * ``duplicate``  the link's current collection equals the candidate's
@@ -23,7 +22,7 @@ aggregate — is carried across chunk borders by a second, tiny window.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import text as T
@@ -62,7 +61,8 @@ def merge_actions(candidates: DataFrame, store: DataFrame, chunk: int = DEFAULT_
                   outcome: str | None = None) -> DataFrame:
     """M1: one ``action`` per candidate (seq, link, collection_name, ...).
 
-    Returns the input columns plus ``previous_collection`` and ``action``.
+    Returns the input columns plus ``previous_collection`` and ``action``;
+    pass keys only (the documents join later by ``seq``, see :func:`new_state`).
     With ``outcome`` (P12's column), rows whose outcome is not
     ``candidate`` keep that outcome as their action and are invisible to
     the merge, so a whole run's results go through one pass.  Shuffles:
@@ -101,19 +101,34 @@ def merge_actions(candidates: DataFrame, store: DataFrame, chunk: int = DEFAULT_
             .drop("_chunk", "_prev", "_before", "_coll", "_cseq", "_tail"))
 
 
-def new_state(store: DataFrame, actions: DataFrame) -> DataFrame:
+def document_id(link="link") -> Column:
+    """A document's id, the same for a link in every run (a name-based UUID)."""
+    h = F.md5(F.col(link) if isinstance(link, str) else link)
+    return F.concat_ws("-", *[F.substring(h, at, n) for at, n in ((1, 8), (9, 4), (13, 4), (17, 4), (21, 12))])
+
+
+def new_state(store: DataFrame, actions: DataFrame, documents: DataFrame | None = None, now: Column | None = None) -> DataFrame:
     """M2: store after the merge.
 
     Untouched stored rows, plus for every changed link its last
-    non-duplicate candidate.  ``max_by`` over the link group is a partial
-    aggregate, safe for hot links.
+    non-duplicate candidate.  Only keys are aggregated (a maximum of ``seq``
+    per link, with a partial phase, safe for hot links); the winners' rows are then taken
+    from ``documents`` (the candidates with all their columns; default: ``actions``) by ``seq``.
+    With ``now`` the new rows get P1's ``id``, ``created_at`` and ``updated_at``; a link that was
+    stored before keeps its ``created_at``.
     """
-    changed = actions.filter(F.col("action") != "duplicate")
-    payload = [c for c in changed.columns if c not in ("link", "action", "previous_collection")]
-    last = changed.groupBy("link").agg(
-        F.max_by(F.struct(*payload), "seq").alias("_row")).select("link", "_row.*")
-    kept = store.join(changed.select("link").distinct(), "link", "left_anti")
-    return kept.unionByName(last, allowMissingColumns=True)
+    changed = actions.filter(F.col("action") != "duplicate").select("link", "seq")
+    last = changed.groupBy("link").agg(F.max("seq").alias("seq"))
+    source = documents if documents is not None else actions
+    new = source.join(last.select("seq"), "seq", "left_semi")
+    if now is not None:
+        born = store.select("link", F.col("created_at").alias("_born"))
+        new = new.join(born, "link", "left").withColumns({
+            "id": document_id(), "created_at": F.coalesce("_born", now), "updated_at": now}).drop("_born")
+    else:
+        new = new.drop("action", "previous_collection")
+    kept = store.join(last.select("link"), "link", "left_anti")
+    return kept.unionByName(new, allowMissingColumns=True)
 
 
 def delete_links(store: DataFrame, keys: DataFrame) -> DataFrame:
@@ -121,13 +136,6 @@ def delete_links(store: DataFrame, keys: DataFrame) -> DataFrame:
     return store.join(keys.select("collection_name", "link"), ["collection_name", "link"], "left_anti")
 
 
-def write_store(df: DataFrame, path: str, mode: str = "overwrite") -> None:
-    """The store as parquet partitioned by collection (a move is a
-    partition change; readers prune to one collection)."""
-    (df.repartition("collection_name")
-     .write.mode(mode).partitionBy("collection_name").parquet(path))
-
-
 def resolve_users(requested: DataFrame, users: DataFrame) -> DataFrame:
     """Existing users win; unknown names get split names and a new id.
 

@@ -30,13 +30,13 @@ SELECT doc_id AS seq,
   lang
 FROM documents""",
     "state": """
-SELECT link, CASE WHEN seq % 2 = 0 THEN 'blogs' ELSE 'news' END AS collection_name, seq AS state_seq
+SELECT link, CASE WHEN seq % 2 = 0 THEN 'blogs' ELSE 'news' END AS collection_name, seq AS state_seq, title, content
 FROM crawl_docs WHERE lang <> 'en'""",
     "candidates": """
-SELECT seq, link, CASE WHEN seq % 4 = 0 THEN 'blogs' WHEN seq % 4 = 1 THEN 'news' ELSE 'github' END AS collection_name
+SELECT seq, link, CASE WHEN seq % 4 = 0 THEN 'blogs' WHEN seq % 4 = 1 THEN 'news' ELSE 'github' END AS collection_name, title, content
 FROM crawl_docs
 UNION ALL
-SELECT seq + 1000000000, link, CASE WHEN seq % 5 = 0 THEN 'news' ELSE 'github' END
+SELECT seq + 1000000000, link, CASE WHEN seq % 5 = 0 THEN 'news' ELSE 'github' END, title, 'Edited: ' || content
 FROM crawl_docs WHERE lang = 'de'""",
     "html_docs": r"""
 SELECT doc_id, '<html><head><title> T' || CAST(doc_id AS VARCHAR) || ' </title><meta name="description" content=" D'
@@ -46,6 +46,8 @@ SELECT doc_id, '<html><head><title> T' || CAST(doc_id AS VARCHAR) || ' </title><
   || '</p></article><a class="base-card__full-link" href="/jobs/view/' || CAST(doc_id % 700 AS VARCHAR)
   || '?utm_medium=q">J</a><a href="https://github.com/' || source || '/r' || CAST(doc_id AS VARCHAR)
   || '">G</a><a href="/abs/' || CAST(doc_id AS VARCHAR) || '">P</a><a href="//cdn.example.com/a/b">C</a>'
+  || '<a href="https://github.com/shared/r' || CAST(doc_id % 5 AS VARCHAR) || '">G</a><a href="/team/r' || CAST(doc_id % 3 AS VARCHAR)
+  || '">G</a><a href="/abs/' || CAST(doc_id % 4 AS VARCHAR) || '">P</a>'
   || CASE WHEN doc_id % 11 = 0 THEN '<p>Ray ID 1 Cloudflare</p>' ELSE '' END || '</body></html>' AS html
 FROM documents""",
     "job_docs": r"""
@@ -57,8 +59,16 @@ FROM documents""",
     "page_sources": """
 SELECT page_id AS source_pos,
   CASE page_id % 5 WHEN 0 THEN 'blogs' WHEN 1 THEN 'github' WHEN 2 THEN 'job_postings' WHEN 3 THEN 'news' ELSE 'research_papers' END AS category,
-  url AS source_url, html
+  CASE WHEN page_id % 20 IN (0, 3) THEN 'https://medium.com/src' || CAST((page_id // 20) % 20 AS VARCHAR) ELSE url END AS source_url,
+  html || '<a href="/guides/' || CAST(page_id AS VARCHAR) || '/part-1?utm_source=a&amp;x=1">1</a><a href="/guides/all/part-' || CAST(page_id % 4 AS VARCHAR)
+  || '">2</a><a href="/guides/' || CAST(page_id AS VARCHAR) || '/part-1?x=1">1</a><a href="/team' || CAST(page_id % 3 AS VARCHAR) || '/r' || CAST(page_id % 9 AS VARCHAR)
+  || '">r</a><a href="https://github.com/lab/r' || CAST(page_id AS VARCHAR) || '">r</a><a href="https://arxiv.org/abs/' || CAST(page_id % 7 AS VARCHAR)
+  || '">p</a><a href="https://arxiv.org/abs/9' || CAST(page_id AS VARCHAR) || '">p</a><a href="/jobs/view/' || CAST(page_id % 11 AS VARCHAR) || '">j</a>' AS html
 FROM pages""",
+    "source_items": """
+SELECT 'https://medium.com/feed/' || source AS feed_url, doc_id AS feed_pos, k AS item_pos,
+  'https://medium.com/' || source || '/' || CASE WHEN k = 1 THEN CAST(doc_id % 7 AS VARCHAR) ELSE CAST(doc_id AS VARCHAR) END AS link
+FROM documents, (VALUES (0), (1), (2)) AS t(k) WHERE doc_id % 13 <> 0""",
     "repo_files": """
 SELECT doc_id AS file_id, source AS repo,
   CASE doc_id % 5 WHEN 0 THEN 'docs/readme-' || CAST(doc_id AS VARCHAR) || '.md'
@@ -83,6 +93,26 @@ SELECT seq, link,
   CASE WHEN length(content) < 120 THEN NULL ELSE lower(regexp_extract(link, '^https?://([^/?#]*)', 1)) END AS source_domain,
   CASE WHEN length(content) < 120 THEN NULL ELSE CAST(seq % 11 AS DOUBLE) / 10 END AS ai_relevance_score
 FROM crawl_docs""",
+    # What each link of a run should become, by construction of its inputs.
+    "run_docs": r"""
+SELECT seq, link, topic_query, kind,
+  CASE kind WHEN 'article' THEN 'Story ' || i WHEN 'job' THEN 'Engineer ' || i WHEN 'repository' THEN 'r' || i
+    WHEN 'feed' THEN 'Feed ' || i WHEN 'rendered' THEN 'Post ' || i END AS title,
+  CASE kind WHEN 'article' THEN body WHEN 'repository' THEN body WHEN 'feed' THEN 'D' || i || chr(10) || chr(10) || body
+    WHEN 'rendered' THEN 'Sub' || chr(10) || 'Site' || chr(10) || 'Post ' || i || chr(10) || 'Sub' || chr(10) || body
+    WHEN 'job' THEN 'Job title: Engineer ' || i || chr(10) || 'Company: Acme ' || source || chr(10) || 'Location: ' || upper(lang) || chr(10)
+      || 'Full-time' || chr(10) || 'Level ' || CAST(seq % 4 AS VARCHAR) || chr(10) || 'About: ' || trim(regexp_replace(raw, '[<>&\s\x{A0}]+', ' ', 'g')) END AS content,
+  CASE WHEN kind = 'article' AND seq % 3 <> 0 THEN CAST('2024-02-' || lpad(CAST(seq % 28 + 1 AS VARCHAR), 2, '0') AS DATE)
+    WHEN kind = 'feed' THEN CAST('2024-01-' || lpad(CAST(seq % 28 + 1 AS VARCHAR), 2, '0') AS DATE) END AS published_date,
+  CASE kind WHEN 'repository' THEN ['readme', 'r' || i] WHEN 'job' THEN ['Acme ' || source, upper(lang)] ELSE CAST([] AS VARCHAR[]) END AS seeds,
+  CASE kind WHEN 'none' THEN 'page not stored'
+    WHEN 'bare' THEN 'Repository ' || chr(39) || link || chr(39) || ' does not contain a readable README file.' END AS failure
+FROM (SELECT c.seq, c.link, c.topic_query, CAST(c.seq AS VARCHAR) AS i, d.source, d.lang, d.text AS raw,
+        trim(regexp_replace(d.text, '[<>&\]\s\x{A0}]+', ' ', 'g')) AS body,
+        CASE WHEN c.seq % 10 = 0 THEN CASE WHEN c.seq % 60 = 30 OR trim(regexp_replace(d.text, '[<>&\]\s\x{A0}]+', ' ', 'g')) = '' THEN 'bare' ELSE 'repository' END
+             WHEN c.seq % 10 = 2 THEN 'job' WHEN c.seq % 10 <> 3 THEN 'article'
+             WHEN c.seq % 30 = 23 THEN 'feed' WHEN c.seq % 30 = 3 THEN 'rendered' ELSE 'none' END AS kind
+      FROM crawl_docs c JOIN documents d ON d.doc_id = c.seq)""",
     "feed_docs": r"""
 SELECT doc_id, '<rss version="2.0" xmlns:content="http://purl.org/rss/1.0/modules/content/"><channel><item><title> T  ' || CAST(doc_id AS VARCHAR)
   || ' </title>' || CASE WHEN doc_id % 9 = 0 THEN '' ELSE '<link>https://medium.com/' || source || '/' || CAST(doc_id AS VARCHAR) || '?utm_source=rss</link>' END

@@ -17,18 +17,11 @@ GITHUB_BASE = "https://github.com"
 PAPER_BASE = D.CURATED_SOURCE_LINKS["research_papers"][0]
 JOB_BASE = "https://www.linkedin.com"
 MAX_LINKS = 28  # 6,6,6,5,5: exercises the round-robin extras of L11
-QUOTA = {"blogs": 6, "github": 6, "job_postings": 6, "news": 5, "research_papers": 5}
-N_CURATED = {c: len(v) for c, v in D.CURATED_SOURCE_LINKS.items()}
 
 _ANC_PAGES = O.anchors_sql("page_sources", "category, source_pos, source_url")
 _ANC_HTML = O.anchors_sql("html_docs", "doc_id")
 
 
-def _html_candidates(spark, sf, base: str, pred) -> DataFrame:
-    a = L.resolve_hrefs(L.anchors(V.html_docs(spark, sf)), base)
-    return a.filter(pred(F.col("link"))).select(F.col("doc_id").alias("source_pos"), "pos", "link")
-
-
 @register("l1_anchors", "SELECT source_pos, pos, href, anchor_class FROM anc", {"anc": _ANC_PAGES})
 def l1_anchors(spark: SparkSession, sf: str) -> DataFrame:
     """L1: anchors with href of every listing page, in document order."""
@@ -43,14 +36,14 @@ def l2_resolve_links(spark: SparkSession, sf: str) -> DataFrame:
     """L2: anchors resolved against a listing URL (absolute, //host, rooted)."""
     a = L.anchors(V.html_docs(spark, sf))
     return a.select("doc_id", F.col("pos").cast("bigint").alias("pos"), "href",
-                    U.urljoin(F.lit(PAPER_BASE), F.col("href")).alias("link"))
+                    U.urljoin_sql(U.base_sql(PAPER_BASE), "href").alias("link"))
 
 
 _L3_CTES = {
     "anc": _ANC_PAGES,
     "c": f"SELECT category, source_pos, pos, source_url, {O.normalize(O.join_simple('source_url', 'href'))} AS link FROM anc",
     "f": f"""SELECT * FROM c WHERE {O.is_http('link')} AND {O.host('link')} = {O.host('source_url')}
-AND {O.likely_content('source_url', 'link', 1)}""",
+AND {O.likely_content('source_url', 'link', 2)}""",
     "d": """SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY source_pos, link ORDER BY pos) AS rn FROM f)
 WHERE rn = 1""",
     "r": "SELECT *, row_number() OVER (PARTITION BY source_pos ORDER BY pos) AS source_rank FROM d",
@@ -61,18 +54,27 @@ WHERE rn = 1""",
 @register("l3_same_host_links", "SELECT source_pos, pos, link, source_rank FROM r WHERE source_rank <= 3", _L3_CTES)
 def l3_same_host_links(spark: SparkSession, sf: str) -> DataFrame:
     """L3 (+L1, L2, U2, P6, P7, P8, W1, W2): same-host content links per page, first 3."""
-    out = L.same_host_links(V.page_sources(spark, sf), 3, min_depth=1)
+    out = L.same_host_links(V.page_sources(spark, sf), 3)
     return out.select("source_pos", F.col("pos").cast("bigint").alias("pos"), "link",
                       F.col("source_rank").cast("bigint").alias("source_rank"))
 
 
+_FEED_CTES = {
+    "fi": """SELECT feed_url, link, min((feed_pos, item_pos)) AS spot FROM source_items GROUP BY ALL""",
+    "fr": """SELECT category, source_pos, link, row_number() OVER (PARTITION BY source_pos ORDER BY spot) AS source_rank
+FROM page_sources JOIN fi ON fi.feed_url = 'https://medium.com/feed' || substr(source_url, 19)
+WHERE starts_with(source_url, 'https://medium.com/')""",
+    "sl": f"""SELECT category, source_pos, pos, link, source_rank FROM r WHERE NOT contains({O.host('source_url')}, 'medium.com')
+UNION ALL SELECT category, source_pos, source_rank - 1, link, source_rank FROM fr""",
+}
+
+
 def _expand_sql(cat: str, limit: int) -> str:
     return f"""SELECT * FROM (
-  SELECT r.category, r.source_pos, r.pos, r.link,
-         row_number() OVER (PARTITION BY r.category ORDER BY r.source_pos, r.pos) AS category_rank_pos
-  FROM r JOIN n USING (category)
-  WHERE r.category = '{cat}' AND NOT contains({O.host('r.source_url')}, 'medium.com')
-    AND r.source_rank <= greatest(2, ceil({limit} / n.n)))
+  SELECT sl.category, sl.source_pos, sl.pos, sl.link,
+         row_number() OVER (PARTITION BY sl.category ORDER BY sl.source_pos, sl.pos) AS category_rank_pos
+  FROM sl JOIN n USING (category)
+  WHERE sl.category = '{cat}' AND sl.source_rank <= greatest(2, ceil({limit} / n.n)))
 WHERE category_rank_pos <= {limit}"""
 
 
@@ -80,45 +82,60 @@ WHERE category_rank_pos <= {limit}"""
 SELECT category, source_pos, pos, link, category_rank_pos FROM ({_expand_sql('blogs', 6)})
 UNION ALL
 SELECT category, source_pos, pos, link, category_rank_pos FROM ({_expand_sql('news', 5)})
-""", _L3_CTES)
+""", {**_L3_CTES, **_FEED_CTES})
 def l8_expand_sources(spark: SparkSession, sf: str) -> DataFrame:
-    """L8 (+L9, L3, W3): blogs and news expansion over their listing pages."""
-    ps = V.page_sources(spark, sf).filter(F.col("category").isin("blogs", "news"))
-    quotas = spark.createDataFrame([(c, QUOTA[c]) for c in ("blogs", "news")], "category string, quota int")
-    out = L.expand_sources(ps, quotas, min_depth=1, feeds=V.source_feeds(spark, sf))
+    """L8 (+L9, L3, L7, W3): blogs and news expansion over their listing pages and feeds."""
+    out = L.expand_sources(V.page_sources(spark, sf), {"blogs": 6, "news": 5}, feeds=V.source_feeds(spark, sf))
     return out.select("category", "source_pos", F.col("pos").cast("bigint").alias("pos"), "link",
                       F.col("category_rank_pos").cast("bigint").alias("category_rank_pos"))
 
 
-def _capped_sql(pred: str, base: str, limit: int, cap: int) -> str:
+def _fold_ctes(name: str, candidates: str, limit: int, cap: int) -> dict[str, str]:
+    """L4/L5 as the walk they describe, one candidate per step: CTEs ending in ``{name}_out``."""
+    kind = "STRUCT(source_pos BIGINT, pos BIGINT, link VARCHAR)[]"
+    take = (f"(len(list_filter(taken, lambda t: t.link = o.link)) = 0 AND len(taken) < {limit} "
+            f"AND CASE WHEN f.src = o.source_pos THEN n ELSE 0 END < {cap})")
+    return {
+        f"{name}_o": f"""SELECT row_number() OVER (ORDER BY source_pos, pos) AS k, CAST(source_pos AS BIGINT) AS source_pos,
+  CAST(pos AS BIGINT) AS pos, link FROM ({candidates})""",
+        f"{name}_f": f"""SELECT CAST(0 AS BIGINT) AS k, CAST([] AS {kind}) AS taken, CAST(-1 AS BIGINT) AS src, 0 AS n
+UNION ALL
+SELECT o.k, CASE WHEN {take} THEN list_append(taken, {{'source_pos': o.source_pos, 'pos': o.pos, 'link': o.link}}) ELSE taken END,
+  o.source_pos, CASE WHEN f.src = o.source_pos THEN n ELSE 0 END + CASE WHEN {take} THEN 1 ELSE 0 END
+FROM {name}_f f JOIN {name}_o o ON o.k = f.k + 1 WHERE len(taken) < {limit}""",
+        f"{name}_out": f"""SELECT t.source_pos, t.pos, t.link FROM (SELECT unnest(taken) AS t FROM (SELECT taken FROM {name}_f ORDER BY k DESC LIMIT 1))""",
+    }
+
+
+def _candidates_sql(src: str, base: str, pred, where: str = "true") -> str:
     return f"""SELECT source_pos, pos, link FROM (
-  SELECT *, row_number() OVER (ORDER BY source_pos, pos) AS k FROM (
-    SELECT *, row_number() OVER (PARTITION BY source_pos ORDER BY pos) AS sr FROM (
-      SELECT *, row_number() OVER (PARTITION BY source_pos, link ORDER BY pos) AS rn FROM (
-        SELECT doc_id AS source_pos, pos, {O.normalize(O.join_simple(q(base), 'href'))} AS link FROM anc)
-      WHERE {pred.replace('LINK', 'link')}) WHERE rn = 1) WHERE sr <= {cap})
-WHERE k <= {limit}"""
+  SELECT source_pos, pos, {O.normalize(O.join_simple(base, 'href'))} AS link FROM {src} WHERE {where}) WHERE {pred('link')}"""
 
 
-@register("l4_repo_links", _capped_sql(O.is_repo("LINK"), GITHUB_BASE, 6, 2), {"anc": _ANC_HTML})
-def l4_repo_links(spark: SparkSession, sf: str) -> DataFrame:
-    """L4 (+P9): repository links, distinct across sources, per-source cap, total limit.
-
-    Exact fold (a link cut by one source's cap stays free for later ones);
-    the SQL states the plain windowed form, equal here as no repository
-    link repeats across pages.
-    """
-    c = _html_candidates(spark, sf, GITHUB_BASE, U.is_repository_link).withColumn("category", F.lit("github"))
-    out = L.capped_links(c, 6, N_CURATED["github"])
+_HTML_AT = "(SELECT doc_id AS source_pos, pos, href FROM anc)"
+
+
+def _capped(spark: SparkSession, sf: str, category: str, how: str) -> DataFrame:
+    pages = V.html_docs(spark, sf).select(F.lit(how).alias("strategy"), F.lit(category).alias("category"), F.col("doc_id").alias("source_pos"),
+                                          F.lit(PAPER_BASE).alias("source_url"), "html")
+    out = L.capped_links(L.listing_candidates(pages), {category: (6, 2)})
     return out.select("source_pos", F.col("pos").cast("bigint").alias("pos"), "link")
 
 
-@register("l5_paper_links", _capped_sql(O.is_paper("LINK"), PAPER_BASE, 6, 2), {"anc": _ANC_HTML})
+@register("l4_repo_links", "SELECT * FROM repo_out",
+          {"anc": _ANC_HTML, **_fold_ctes("repo", _candidates_sql(_HTML_AT, q(GITHUB_BASE), O.is_repo), 6, 2)})
+def l4_repo_links(spark: SparkSession, sf: str) -> DataFrame:
+    """L4 (+P9): repository links, distinct across sources, per-source cap 2, limit 6.
+
+    A link cut by one source's cap stays free for later ones; pages share links."""
+    return _capped(spark, sf, "github", "repositories")
+
+
+@register("l5_paper_links", "SELECT * FROM paper_out",
+          {"anc": _ANC_HTML, **_fold_ctes("paper", _candidates_sql(_HTML_AT, q(PAPER_BASE), O.is_paper), 6, 2)})
 def l5_paper_links(spark: SparkSession, sf: str) -> DataFrame:
     """L5 (+P10): paper links with the same caps as L4."""
-    c = _html_candidates(spark, sf, PAPER_BASE, U.is_paper_link).withColumn("category", F.lit("research_papers"))
-    out = L.capped_links(c, 6, N_CURATED["research_papers"])
-    return out.select("source_pos", F.col("pos").cast("bigint").alias("pos"), "link")
+    return _capped(spark, sf, "research_papers", "papers")
 
 
 def _jobs_sql(limit: int) -> str:
@@ -139,76 +156,93 @@ def l6_job_links(spark: SparkSession, sf: str) -> DataFrame:
     return out.select("page_index", F.col("pos").cast("bigint").alias("pos"), "link")
 
 
-def html_candidates(spark: SparkSession, sf: str) -> DataFrame:
-    """L10 on result/listing pages: every anchor is resolved once per
-    strategy (repository, paper, job) and kept where that strategy's
-    predicate holds; the pages are parsed once."""
-    a = L.anchors(V.html_docs(spark, sf))
-    bases = F.array(*[F.struct(F.lit(c).alias("category"), F.lit(b).alias("base"))
-                      for c, b in (("github", GITHUB_BASE), ("research_papers", PAPER_BASE),
-                                   ("job_postings", JOB_BASE))])
-    x = a.select(F.col("doc_id").alias("source_pos"), "pos", "href", "anchor_class", F.inline(bases))
-    # Exact pre-filters on the raw href before any URL work: a reference
-    # without scheme or authority resolves onto the strategy's own host;
-    # one with an authority keeps its own host.
-    own_host = ~F.col("href").rlike(r"^([A-Za-z][A-Za-z0-9+.\-]*:|//)")
-    href_host = U.host(F.col("href"))
-    maybe = (((F.col("category") == "github") & (own_host | href_host.isin(*D.CODE_HOSTS)))
-             | ((F.col("category") == "research_papers") & (own_host | href_host.isin(*D.PAPER_HOSTS)))
-             | ((F.col("category") == "job_postings")
-                & (F.col("anchor_class").rlike(rf"(^|\s){D.JOB_ANCHOR_CLASS}(\s|$)")
-                   | F.col("href").contains(D.JOB_ANCHOR_HREF_PART))))
-    x = L.resolve_hrefs(x.filter(maybe), "base")
-    is_job = (F.col("anchor_class").rlike(rf"(^|\s){D.JOB_ANCHOR_CLASS}(\s|$)")
-              | F.col("href").contains(D.JOB_ANCHOR_HREF_PART)) & U.is_http_url("link")
-    keep = ((F.col("category") == "github") & U.is_repository_link("link")) | (
-        (F.col("category") == "research_papers") & U.is_paper_link("link")) | (
-        (F.col("category") == "job_postings") & is_job)
-    return x.filter(keep).select("category", "source_pos", "pos", "link")
-
-
-def discovery_parts(spark: SparkSession, sf: str) -> dict[str, DataFrame]:
-    """Candidate lists per category, each cut to its L11 quota; one
-    pass over the listing pages and one over the result pages."""
-    quotas = L.category_targets(spark, MAX_LINKS)
-    caps = {"github": N_CURATED["github"], "research_papers": N_CURATED["research_papers"]}
-    cap = F.lit(1 << 30)
-    for c, n in caps.items():
-        cap = F.when(F.col("category") == c, F.greatest(F.lit(1), F.ceil(F.col("quota") / F.lit(n)))).otherwise(cap)
-    html_q = quotas.filter(F.col("category").isin("github", "research_papers", "job_postings")).withColumn(
-        "cap", cap.cast("int"))
-    ps = V.page_sources(spark, sf).filter(F.col("category").isin("blogs", "news"))
-    pages = L.expand_sources(ps, quotas.filter(F.col("category").isin("blogs", "news")), min_depth=1,
-                             feeds=V.source_feeds(spark, sf))
-    folded = L.capped_links(html_candidates(spark, sf), html_q)
-    return {"all": pages.select("category", "source_pos", "pos", "link").unionByName(folded)}
+def _page_jobs_sql(limit: int) -> str:
+    return f"""SELECT source_pos, pos, link FROM (
+  SELECT *, row_number() OVER (PARTITION BY link ORDER BY source_pos, pos) AS rn FROM (
+    SELECT source_pos, pos, {O.normalize(O.join_simple(q(JOB_BASE), 'href'))} AS link FROM anc WHERE category = 'job_postings'
+      AND (regexp_matches(anchor_class, '(^|\\s){D.JOB_ANCHOR_CLASS}(\\s|$)') OR contains(href, '{D.JOB_ANCHOR_HREF_PART}')))
+  WHERE {O.is_http('link')})
+WHERE rn = 1 ORDER BY source_pos, pos LIMIT {limit}"""
 
 
 _L12_CTES = {
-    **_L3_CTES,
-    "anc2": _ANC_HTML,
+    **_L3_CTES, **_FEED_CTES,
+    # Sources outnumber the quotas, so every cap is 1.
+    **_fold_ctes("repo", _candidates_sql("anc", q(GITHUB_BASE), O.is_repo, "category = 'github'"), 6, 1),
+    **_fold_ctes("paper", _candidates_sql("anc", "source_url", O.is_paper, "category = 'research_papers'"), 5, 1),
     "parts": f"""
 SELECT 0 AS category_rank, source_pos, pos, link FROM ({_expand_sql('blogs', 6)})
-UNION ALL SELECT 1, source_pos, pos, link FROM ({_capped_sql(O.is_repo('LINK'), GITHUB_BASE, 6, 2).replace('FROM anc)', 'FROM anc2)')})
-UNION ALL SELECT 2, page_index, pos, link FROM ({_jobs_sql(6).replace('FROM anc', 'FROM anc2')})
+UNION ALL SELECT 1, source_pos, pos, link FROM repo_out
+UNION ALL SELECT 2, source_pos, pos, link FROM ({_page_jobs_sql(6)})
 UNION ALL SELECT 3, source_pos, pos, link FROM ({_expand_sql('news', 5)})
-UNION ALL SELECT 4, source_pos, pos, link FROM ({_capped_sql(O.is_paper('LINK'), PAPER_BASE, 5, 2).replace('FROM anc)', 'FROM anc2)')})""",
+UNION ALL SELECT 4, source_pos, pos, link FROM paper_out""",
 }
-
-
-@register("l12_discover_links", f"""
+_L12_SQL = f"""
 SELECT CAST(category_rank AS BIGINT) AS category_rank, source_pos, pos, link FROM (
   SELECT *, row_number() OVER (PARTITION BY link ORDER BY category_rank, source_pos, pos) AS rn
   FROM (SELECT category_rank, source_pos, pos, {O.normalize('link')} AS link FROM parts)
   WHERE {O.is_http('link')})
-WHERE rn = 1 ORDER BY category_rank, source_pos, pos LIMIT {MAX_LINKS}
-""", _L12_CTES)
+WHERE rn = 1 ORDER BY category_rank, source_pos, pos LIMIT {MAX_LINKS}"""
+
+
+@register("l12_discover_links", _L12_SQL, _L12_CTES)
 def l12_discover_links(spark: SparkSession, sf: str) -> DataFrame:
-    """L12 (+L10, L11, L3-L6, L8, W1, W3, W7, M4): balanced discovery, target 28."""
-    out = L.discover(discovery_parts(spark, sf), MAX_LINKS)
+    """L12 (+L10, L11, L3-L9, W1, W3, W7, M4): balanced discovery over the listing pages and feeds, target 28."""
+    found = L.category_links(V.page_sources(spark, sf), MAX_LINKS, feeds=V.source_feeds(spark, sf))
+    out = L.discover(found, MAX_LINKS)
     return out.select(F.col("category_rank").cast("bigint").alias("category_rank"), "source_pos", "pos", "link")
 
 
+@register("s11_source_registry", "SELECT category, source_pos, source_url FROM (VALUES " + ", ".join(
+    f"({q(c)}, CAST({i} AS BIGINT), {q(u)})" for c, urls in D.CURATED_SOURCE_LINKS.items() for i, u in enumerate(urls))
+    + ") AS t(category, source_pos, source_url) WHERE source_url NOT IN (SELECT url FROM pages)")
+def s11_source_registry(spark: SparkSession, sf: str) -> DataFrame:
+    """The curated registry as a table; its sources that no page is stored for."""
+    from ..sources.tables import read_table
+    stored = read_table(spark, sf, "pages", ["url"]).withColumnRenamed("url", "source_url")
+    return L.source_registry(spark).join(stored, "source_url", "left_anti").select("category", "source_pos", "source_url")
+
+
+def _run_links(spark: SparkSession, sf: str, manual: DataFrame, registry: DataFrame) -> DataFrame:
+    """X2's link list with a registry, its stored pages and feeds, and a fallback file (the stored URLs, some as comments)."""
+    pages = V.page_sources(spark, sf).select(F.col("source_url").alias("url"), "html")
+    lines = V.fallback_lines(spark, sf)
+    return L.run_links(spark, manual, registry, pages, V.source_feeds(spark, sf), lines, MAX_LINKS)
+
+
+def _registry(spark: SparkSession, sf: str) -> DataFrame:
+    return V.page_sources(spark, sf).select("category", "source_pos", "source_url")
+
+
+@register("x2_manual_links", """
+SELECT min(page_id) AS seq, trim(url) AS link FROM pages WHERE page_id % 4 <> 0 GROUP BY trim(url)""")
+def x2_manual_links(spark: SparkSession, sf: str) -> DataFrame:
+    """Links are given, so neither the registry nor the fallback counts."""
+    from ..sources.tables import read_table
+    manual = read_table(spark, sf, "pages", ["page_id", "url"]).select(
+        F.col("page_id").alias("pos"), F.when(F.col("page_id") % 4 == 0, "  ").otherwise(F.concat(F.lit(" "), "url")).alias("link"))
+    return _run_links(spark, sf, manual, _registry(spark, sf))
+
+
+@register("x2_discovered_links", f"""
+SELECT (CAST(1 AS BIGINT) << 40) + row_number() OVER (ORDER BY category_rank, source_pos, pos) AS seq, link FROM ({_L12_SQL})""", _L12_CTES)
+def x2_discovered_links(spark: SparkSession, sf: str) -> DataFrame:
+    """Only blank links are given, so the registry's listing pages and feeds are used."""
+    from ..sources.tables import read_table
+    manual = read_table(spark, sf, "pages", ["page_id"]).select(F.col("page_id").alias("pos"), F.lit(" \t ").alias("link"))
+    return _run_links(spark, sf, manual, _registry(spark, sf))
+
+
+@register("x2_fallback_links", f"""
+SELECT (CAST(1 AS BIGINT) << 40) + pos AS seq, link FROM (
+  SELECT page_id AS pos, trim(CASE WHEN contains(url, '#') THEN '# ' || url ELSE url END) AS link FROM pages)
+WHERE link <> '' AND NOT starts_with(link, '#') AND regexp_matches(link, '^[Hh][Tt][Tt][Pp][Ss]?://[^/?#]')
+ORDER BY pos LIMIT {MAX_LINKS}""")
+def x2_fallback_links(spark: SparkSession, sf: str) -> DataFrame:
+    """No page of the curated registry is stored, nothing is discovered, the fallback file counts."""
+    return _run_links(spark, sf, spark.createDataFrame([], "pos long, link string"), L.source_registry(spark))
+
+
 @register("l14_feed_url_source", f"""
 SELECT source_pos, CASE WHEN {O.host('source_url')} IN ('medium.com', 'www.medium.com')
   THEN {O.unsplit(O.scheme('source_url'), O.netloc('source_url'), "'/feed' || rtrim(" + O.spath('source_url') + ", '/')", "''", "''")}
@@ -271,7 +305,7 @@ SELECT doc_id, pos, link, {O.is_http('link')} AS is_http, {O.host('link')} = {O.
 FROM (SELECT doc_id, pos, {O.join_simple(q(PAPER_BASE), 'href')} AS link FROM anc)""", {"anc": _ANC_HTML})
 def p6_p10_link_predicates(spark: SparkSession, sf: str) -> DataFrame:
     """P6, P7 (default depth 2), P8, P9, P10 on resolved anchors."""
-    a = L.anchors(V.html_docs(spark, sf)).withColumn("link", U.urljoin(F.lit(PAPER_BASE), F.col("href")))
+    a = L.anchors(V.html_docs(spark, sf)).withColumn("link", U.urljoin_sql(U.base_sql(PAPER_BASE), "href"))
     a = L.fence(a, ["link"])
     b = F.lit(PAPER_BASE)
     return a.select("doc_id", F.col("pos").cast("bigint").alias("pos"), "link",
@@ -312,8 +346,4 @@ ORDER BY pos LIMIT 25""")
 def s3_fallback_links(spark: SparkSession, sf: str) -> DataFrame:
     """S3: fallback link file (stored URLs; fragment URLs written as comments):
     stripped, comments and non-http dropped, cut to the target."""
-    from ..sources.tables import read_table
-    p = read_table(spark, sf, "pages", ["page_id", "url"])
-    lines = p.select(F.col("page_id").alias("pos"), F.when(F.col("url").contains("#"), F.concat(
-        F.lit("# "), F.col("url"))).otherwise(F.col("url")).alias("value"))
-    return L.fallback_links(lines, L.discovery_target()).select("pos", "link")
+    return L.fallback_links(V.fallback_lines(spark, sf), L.discovery_target()).select("pos", "link")

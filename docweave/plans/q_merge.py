@@ -1,5 +1,5 @@
-"""Merge, load and run-metric queries (M1, M2, J1, J2, S13, S15, S16, U6,
-P4, P12, A2, A3, A4)."""
+"""Merge, store, load and run-metric queries (M1, M2, J1, J2, S12, S13, S15, S16, P1,
+U6, P4, P12, A2, A3, A4)."""
 
 from __future__ import annotations
 
@@ -7,16 +7,18 @@ import datetime as dt
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as TY
 
 from ..operators import documents as P
 from ..operators import merge as M
 from ..operators import metrics as A
+from ..operators import store as ST
 from ..functions import text as T
 from ..sources import views as V
 from .oracle_enrich import enrich_ctes
 from .q_analytics import COLLECTION_CASE, enriched_docs
 from .registry import register
-from ..session import saved
+from ..session import saved, work_folder
 
 RUN_START = dt.date(2024, 1, 10)
 RUN_END = dt.date(2024, 2, 20)
@@ -35,34 +37,76 @@ def _store(spark, sf) -> DataFrame:
 
 
 def _actions(spark, sf) -> DataFrame:
-    return M.merge_actions(V.candidates(spark, sf), _store(spark, sf))
+    """M1 on keys alone."""
+    keys = V.candidates(spark, sf).select("seq", "link", "collection_name")
+    return M.merge_actions(keys, _store(spark, sf).select("link", "collection_name"))
 
 
-@register("m1_merge_actions", "SELECT * FROM acts", {"cur": _CUR, "acts": _ACTIONS})
+@register("m1_merge_actions", """SELECT a.seq, a.link, a.collection_name, previous_collection, action, title, md5(content) AS content_md5
+FROM acts a JOIN candidates c ON a.seq = c.seq""", {"cur": _CUR, "acts": _ACTIONS})
 def m1_merge_actions(spark: SparkSession, sf: str) -> DataFrame:
-    """M1 (+J1, W4): insert / duplicate / move per candidate against the store."""
-    return _actions(spark, sf).select("seq", "link", "collection_name", "previous_collection", "action")
+    """M1 (+J1, W4): insert / duplicate / move per candidate against the store; its document joins after the merge."""
+    documents = V.candidates(spark, sf).select("seq", "title", F.md5("content").alias("content_md5"))
+    return _actions(spark, sf).join(documents, "seq").select(
+        "seq", "link", "collection_name", "previous_collection", "action", "title", "content_md5")
 
 
-@register("m2_new_state", """
-SELECT link, collection_name, 'store' AS origin, state_seq AS row_seq FROM state
+_NEW_STATE = """
+SELECT link, collection_name, 'store' AS origin, state_seq AS row_seq, title, md5(content) AS content_md5 FROM state
 WHERE link NOT IN (SELECT link FROM acts WHERE action <> 'duplicate')
 UNION ALL
-SELECT link, arg_max(collection_name, seq), 'batch', max(seq) FROM acts WHERE action <> 'duplicate' GROUP BY link
-""", {"cur": _CUR, "acts": _ACTIONS})
+SELECT link, collection_name, 'batch', seq, title, md5(content) FROM candidates
+WHERE seq IN (SELECT max(seq) FROM acts WHERE action <> 'duplicate' GROUP BY link)"""
+
+
+@register("m2_new_state", _NEW_STATE, {"cur": _CUR, "acts": _ACTIONS})
 def m2_new_state(spark: SparkSession, sf: str) -> DataFrame:
-    """M2: store after the merge (untouched rows + last non-duplicate candidate)."""
-    st = M.new_state(_store(spark, sf), _actions(spark, sf))
+    """M2: store after the merge, with full documents (untouched rows + last non-duplicate candidate)."""
+    st = M.new_state(_store(spark, sf), _actions(spark, sf), V.candidates(spark, sf))
     return st.select("link", "collection_name",
                      F.when(F.col("seq").isNull(), "store").otherwise("batch").alias("origin"),
-                     F.coalesce("seq", "state_seq").alias("row_seq"))
+                     F.coalesce("seq", "state_seq").alias("row_seq"), "title", F.md5("content").alias("content_md5"))
+
+
+STORE_SCHEMA = TY.StructType([*[TY.StructField(c, TY.StringType()) for c in ("id", "link", "collection_name", "title", "content")],
+                        *[TY.StructField(c, TY.TimestampType()) for c in ("created_at", "updated_at")]])
+STORED_ON, MERGED_ON = "2024-01-01", "2024-03-01"
+
+
+@register("s12_store_write", f"""
+SELECT substr(md5(link), 1, 8) || '-' || substr(md5(link), 9, 4) || '-' || substr(md5(link), 13, 4) || '-' || substr(md5(link), 17, 4)
+    || '-' || substr(md5(link), 21, 12) AS id, link, collection_name, title, content_md5,
+  CASE WHEN link IN (SELECT link FROM state) THEN '{STORED_ON}' ELSE '{MERGED_ON}' END AS created_on,
+  CASE WHEN origin = 'store' THEN '{STORED_ON}' ELSE '{MERGED_ON}' END AS updated_on,
+  CAST(2 AS BIGINT) AS version
+FROM ({_NEW_STATE})""", {"cur": _CUR, "acts": _ACTIONS})
+def s12_store_write(spark: SparkSession, sf: str) -> DataFrame:
+    """S12 (+P1's id and times, M1, M2): a first version of the store, a batch merged into its buckets, read again."""
+    root = work_folder(spark)
+    day = lambda d: F.lit(f"{d} 00:00:00").cast("timestamp")
+    first = _store(spark, sf).select(M.document_id().alias("id"), "link", "collection_name", "title", "content",
+                                     day(STORED_ON).alias("created_at"), day(STORED_ON).alias("updated_at"))
+    ST.create_store(first, root)
+    version, _ = ST.merge_batch(spark, root, STORE_SCHEMA, V.candidates(spark, sf), now=day(MERGED_ON))
+    return ST.read_store(spark, root, STORE_SCHEMA).select(
+        "id", "link", "collection_name", "title", F.md5("content").alias("content_md5"),
+        F.date_format("created_at", "yyyy-MM-dd").alias("created_on"), F.date_format("updated_at", "yyyy-MM-dd").alias("updated_on"),
+        F.lit(version).cast("bigint").alias("version"))
+
+
+@register("j2_link_exists", """
+SELECT c.seq, c.link, c.collection_name FROM candidates c
+WHERE EXISTS (SELECT 1 FROM state s WHERE s.link = c.link AND s.collection_name = c.collection_name)""")
+def j2_link_exists(spark: SparkSession, sf: str) -> DataFrame:
+    """J2 (+P13): candidates whose link already lies in their collection."""
+    return M.link_exists(V.candidates(spark, sf).select("seq", "link", "collection_name"), _store(spark, sf))
 
 
 @register("j1_existing_collection", """
 SELECT c.seq, c.link, cur.existing AS existing_collection FROM candidates c LEFT JOIN cur USING (link)
 """, {"cur": _CUR})
 def j1_existing_collection(spark: SparkSession, sf: str) -> DataFrame:
-    """Collection already holding each candidate's link (first in order)."""
+    """Collection already holding each candidate's link (first in order)."""
     cur = M.current_collection(_store(spark, sf))
     return (V.candidates(spark, sf).join(cur, "link", "left")
             .select("seq", "link", "existing_collection"))

@@ -1,7 +1,8 @@
 """One ETL run as Spark jobs.
 
-links -> stored pages -> article documents (H9, P2, P3, E11) -> date
-window (P4) -> outcome (P12) -> merge into the store (M1, M2) -> counters
+links: manual, else discovered, else fallback (S2, L12, S3) -> documents by each link's
+extractor (H16: articles, jobs, feed entries, repositories; P2, P3, E11) -> date
+window (P4) -> outcome (P12) -> merge into the bucketed store (M1, M2, S12) -> counters
 (A3, A4), domain metrics (A2), topic analytics on the new store (A1, W5,
 W6) -> one run-summary row (A7).
 
@@ -15,15 +16,18 @@ from __future__ import annotations
 import datetime as dt
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as TY
 
 from ..functions import dates as DT
 from ..functions import dictionaries as D
+from ..operators import discover as L
 from ..operators import documents as P
-from ..operators import extract as X
 from ..operators import merge as M
 from ..operators import metrics as A
+from ..operators import route as RT
+from ..operators import store as ST
 from ..session import saved
 
 ANALYTICS_PIPELINE = [
@@ -35,41 +39,34 @@ ANALYTICS_PIPELINE = [
 ]
 
 
-def crawl(links: DataFrame, pages: DataFrame, topic: str, user_id: str, user_name: str,
-          start: dt.date | None, end: dt.date | None, dicts: D.Dictionaries = D.DEFAULT) -> DataFrame:
-    """links (seq, link) + stored pages (url, html) -> crawl results.
+def crawl(links: DataFrame, inputs: RT.Inputs, topic: str, user_id: str, user_name: str, start: dt.date | None, end: dt.date | None,
+          dicts: D.Dictionaries = D.DEFAULT, extractors: RT.Extractors = RT.Extractors()) -> DataFrame:
+    """links (seq, link) + stored inputs -> crawl results, each link by its host's extractor.
 
-    A link without a stored page is an error row, as a failed fetch is; of several
-    pages stored under one URL the smallest text counts, so a link is one row.
-    The pages join is an equi-join on the URL; the planner picks its
-    strategy from measured sizes.
-    """
-    one_page = pages.groupBy(F.col("url").alias("link")).agg(F.min("html").alias("html"))
-    joined = links.join(one_page, "link", "left")
-    found = joined.filter(F.col("html").isNotNull())
-    missing = joined.filter(F.col("html").isNull()).select(
-        "seq", "link", F.lit("error").alias("status"), F.lit("page not stored").alias("reason"),
-        F.lit(False).alias("has_document"))
-    art = X.article_records(found, "link").withColumn("topic_query", F.lit(topic))
-    docs = P.build_documents(art, dicts, topic=topic, user_id=user_id, user_name=user_name, seed_tags="tags")
+    A link without a stored page (or README) is an error row, as a failed fetch is."""
+    parts = RT.extract_links(links, inputs, extractors).withColumns({
+        "topic_query": F.lit(topic), "tags": F.coalesce("tags", F.array().cast("array<string>"))})
+    docs = P.build_documents(parts, dicts, topic=topic, user_id=user_id, user_name=user_name, seed_tags="tags")
+    failed = F.col("failure").isNotNull()
     docs = docs.withColumns({
-        "status": F.when(F.col("challenge_reason").isNotNull(), F.lit("error")).otherwise(F.col("status")),
-        "reason": F.coalesce(F.col("challenge_reason"), F.col("reason")),
-        "has_document": F.col("has_document") & F.col("challenge_reason").isNull(),
-    }).drop("challenge_reason", "html")
-    docs = P.apply_date_filter(docs, start, end)
-    return docs.unionByName(missing, allowMissingColumns=True)
-
-
-def run_batch(spark: SparkSession, *, links: DataFrame, pages: DataFrame, store: DataFrame,
-              users: DataFrame, user_full_name: str = D.DEFAULT_USER_FULL_NAME,
-              topic_query: str = D.DEFAULT_TOPIC_QUERY, start_date: dt.date | None = None,
-              end_date: dt.date | None = None, store_out: str | None = None,
-              runs_out: str | None = None, materialize_results: bool = True) -> dict[str, DataFrame]:
-    """The whole run.  Returns the run's DataFrames (summary, results,
-    actions, new_state, users); with ``store_out``/``runs_out`` the new
-    store (S12, partitioned by collection) and the summary (S14, appended)
-    are written."""
+        "status": F.when(failed, F.lit("error")).otherwise(F.col("status")),
+        "reason": F.coalesce("failure", "reason"),
+        "has_document": F.col("has_document") & ~failed,
+    }).drop("failure")
+    return P.apply_date_filter(docs, start, end)
+
+
+def run_batch(spark: SparkSession, *, inputs: RT.Inputs, store: str, users: DataFrame, links: DataFrame | None = None,
+              registry: DataFrame | None = None, fallback: DataFrame | None = None, max_links: int | None = D.MAX_LINKS,
+              user_full_name: str = D.DEFAULT_USER_FULL_NAME, topic_query: str = D.DEFAULT_TOPIC_QUERY,
+              start_date: dt.date | None = None, end_date: dt.date | None = None, runs_out: str | None = None,
+              dicts: D.Dictionaries = D.DEFAULT, extractors: RT.Extractors = RT.Extractors()) -> dict[str, DataFrame]:
+    """The whole run against the store in folder ``store`` (see ``operators/store.py``).
+
+    ``links`` (pos, link) are manual links; without any, links are discovered from the ``registry``'s
+    listing pages, and without those taken from the ``fallback`` lines (S2, S3, L12).  Returns the run's
+    DataFrames (summary, links, results, actions, users, domains, terms); with ``runs_out`` the
+    summary (S14) and what grows with the run are appended there."""
     if isinstance(start_date, str):
         start_date = DT.parse_cli_date(start_date)
     if isinstance(end_date, str):
@@ -78,6 +75,7 @@ def run_batch(spark: SparkSession, *, links: DataFrame, pages: DataFrame, store:
         start_date, end_date = DT.default_window()
     DT.check_window(start_date, end_date)
     started = dt.datetime.now(dt.timezone.utc)
+    topic = topic_query.strip() or D.DEFAULT_TOPIC_QUERY
 
     requested = spark.createDataFrame([(user_full_name,)], "full_name string")
     new_users = M.resolve_users(requested, users)
@@ -85,29 +83,20 @@ def run_batch(spark: SparkSession, *, links: DataFrame, pages: DataFrame, store:
             .filter(F.col("full_name") == user_full_name).select("id", "full_name").limit(1).first())
     user_id = user["id"] if user and user["id"] is not None else str(uuid.uuid4())
 
-    results = crawl(links, pages, topic_query, user_id, user_full_name, start_date, end_date)
-    if materialize_results:
-        results = saved(results)
-    results = results.withColumn("outcome", P.load_outcome())
-    actions = M.merge_actions(results, store, outcome="outcome")
-    if materialize_results:
-        # counters, per-collection map and the new store all read the actions
-        actions = saved(actions)
-    changed = actions.filter(F.col("outcome") == "candidate").drop("outcome", "status", "reason", "has_document")
-    new_state = M.new_state(store, changed)
-    if store_out:
-        M.write_store(new_state, store_out)
-        new_state = spark.read.parquet(store_out)
-
-    summary = run_summary(spark, results, actions, new_state, links, topic_query, user_id,
-                          user_full_name, start_date, end_date, started)
-    summary = saved(summary)
+    chosen = saved(L.run_links(spark, links, registry, inputs.pages, inputs.feeds, fallback, max_links))
+    results = saved(crawl(chosen, inputs, topic, user_id, user_full_name, start_date, end_date, dicts, extractors)
+                    .withColumn("outcome", P.load_outcome()))
+    _, actions = ST.merge_batch(spark, store, P.DOCUMENT_SCHEMA, results, outcome="outcome", now=F.lit(started).cast("timestamp"))
+    new_state = ST.read_store(spark, store, P.DOCUMENT_SCHEMA)
+
+    summary = saved(run_summary(spark, results, actions, new_state, chosen, topic, user_id,
+                                user_full_name, start_date, end_date, started))
     run_id = summary.first()["run_id"]
     # What grows with a run is kept as child tables under the run's id, not as arrays of its row.
     children = {
-        "links": links.select(F.lit(run_id).alias("run_id"), "seq", "link"),
+        "links": chosen.select(F.lit(run_id).alias("run_id"), "seq", "link"),
         "domains": A.domain_metrics(results).select(F.lit(run_id).alias("run_id"), "*"),
-        "terms": A.group_terms(new_state, A.topic_analytics(new_state, topic_query), topic_query)
+        "terms": A.group_terms(new_state, A.topic_analytics(new_state, topic), topic)
         .select(F.lit(run_id).alias("run_id"), "*"),
     }
     if runs_out:
@@ -152,7 +141,25 @@ def run_summary(spark: SparkSession, results: DataFrame, actions: DataFrame, new
         "analytics_preview")
 
 
+def canonical(c: Column, kind: TY.DataType) -> Column:
+    """A value in the form that is written as JSON: dates and times as ISO text, map keys in order, lists
+    and structs element by element, by the column's static type."""
+    if isinstance(kind, TY.TimestampType):
+        return F.date_format(c, "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX")
+    if isinstance(kind, TY.DateType):
+        return F.date_format(c, "yyyy-MM-dd")
+    if isinstance(kind, TY.ArrayType):
+        return F.transform(c, lambda x: canonical(x, kind.elementType))
+    if isinstance(kind, TY.MapType):
+        entries = F.transform(F.array_sort(F.map_keys(c)), lambda k: F.struct(k.alias("key"), canonical(c[k], kind.valueType).alias("value")))
+        return F.map_from_entries(entries)
+    if isinstance(kind, TY.StructType):
+        return F.when(c.isNotNull(), F.struct(*[canonical(c[f.name], f.dataType).alias(f.name) for f in kind]))
+    return c
+
+
 def summary_json(summary: DataFrame, pretty: bool = False) -> DataFrame:
-    """The run record as JSON text (one row)."""
-    opts = {"pretty": "true"} if pretty else {}
-    return summary.select(F.to_json(F.struct(*summary.columns), opts).alias("json"))
+    """The run record as canonical JSON text (one row): all fields, nulls too."""
+    opts = {"ignoreNullFields": "false"} | ({"pretty": "true"} if pretty else {})
+    fields = [canonical(F.col(f.name), f.dataType).alias(f.name) for f in summary.schema]
+    return summary.select(F.to_json(F.struct(*fields), opts).alias("json"))

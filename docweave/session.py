@@ -80,8 +80,10 @@ def work_folder(spark: SparkSession) -> str:
     return f"{base.rstrip('/')}/docweave-{uuid.uuid4().hex}"
 
 
-def saved(df: DataFrame) -> DataFrame:
-    """Write to the shared folder as Parquet and read back: cuts the lineage for several consumers."""
+def saved(df: DataFrame, partition_by: str | None = None) -> DataFrame:
+    """Write to the shared folder as Parquet and read back: cuts the lineage for several consumers.
+
+    With ``partition_by`` a consumer that filters on that column reads only its folders."""
     path = work_folder(df.sparkSession)
-    df.write.parquet(path)
+    (df.write.partitionBy(partition_by) if partition_by else df.write).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -61,20 +61,21 @@ def state(spark: SparkSession, data_dir: str) -> DataFrame:
     return c.select(
         "link",
         F.when(F.col("seq") % 2 == 0, "blogs").otherwise("news").alias("collection_name"),
-        F.col("seq").alias("state_seq"),
+        F.col("seq").alias("state_seq"), "title", "content",
     )
 
 
 def candidates(spark: SparkSession, data_dir: str) -> DataFrame:
-    """Load candidates in order; German documents are offered a second time."""
+    """Load candidates with their documents, in order; German documents are offered a second time, edited."""
     c = crawl_docs(spark, data_dir)
     first = c.select(
         "seq", "link",
         F.when(F.col("seq") % 4 == 0, "blogs").when(F.col("seq") % 4 == 1, "news")
-        .otherwise("github").alias("collection_name"))
+        .otherwise("github").alias("collection_name"), "title", "content")
     again = c.filter(F.col("lang") == "de").select(
         (F.col("seq") + 1_000_000_000).alias("seq"), "link",
-        F.when(F.col("seq") % 5 == 0, "news").otherwise("github").alias("collection_name"))
+        F.when(F.col("seq") % 5 == 0, "news").otherwise("github").alias("collection_name"),
+        "title", F.concat(F.lit("Edited: "), F.col("content")).alias("content"))
     return first.unionByName(again)
 
 
@@ -97,6 +98,9 @@ def html_docs(spark: SparkSession, data_dir: str) -> DataFrame:
         (F.col("doc_id") % 700).cast("string"),
         F.lit('?utm_medium=q">J</a><a href="https://github.com/'), F.col("source"), F.lit("/r"), i,
         F.lit('">G</a><a href="/abs/'), i, F.lit('">P</a><a href="//cdn.example.com/a/b">C</a>'),
+        # Links that other pages hold as well.
+        F.lit('<a href="https://github.com/shared/r'), (F.col("doc_id") % 5).cast("string"), F.lit('">G</a><a href="/team/r'),
+        (F.col("doc_id") % 3).cast("string"), F.lit('">G</a><a href="/abs/'), (F.col("doc_id") % 4).cast("string"), F.lit('">P</a>'),
         F.when(F.col("doc_id") % 11 == 0, F.lit("<p>Ray ID 1 Cloudflare</p>")).otherwise(F.lit("")),
         F.lit("</body></html>"),
     )
@@ -125,13 +129,27 @@ def job_docs(spark: SparkSession, data_dir: str) -> DataFrame:
 
 
 def page_sources(spark: SparkSession, data_dir: str) -> DataFrame:
-    """Listing pages with a category and their order."""
+    """Listing pages with a category and their order: the stored pages with links of every strategy, some
+    shared between pages; some blog and news sources lie on a feed host."""
     p = read_table(spark, data_dir, "pages", ["page_id", "url", "html"])
-    m = F.col("page_id") % 5
+    i, m = F.col("page_id"), F.col("page_id") % 5
     cat = (F.when(m == 0, "blogs").when(m == 1, "github").when(m == 2, "job_postings")
            .when(m == 3, "news").otherwise("research_papers"))
-    return p.select(F.col("page_id").alias("source_pos"), cat.alias("category"),
-                    F.col("url").alias("source_url"), "html")
+    n = lambda k: (i % k).cast("string")
+    url = F.when((i % 20).isin(0, 3), F.concat(F.lit("https://medium.com/src"), (F.floor(i / 20) % 20).cast("string"))).otherwise(F.col("url"))
+    links = F.concat(
+        F.lit('<a href="/guides/'), _s("page_id"), F.lit('/part-1?utm_source=a&amp;x=1">1</a><a href="/guides/all/part-'), n(4),
+        F.lit('">2</a><a href="/guides/'), _s("page_id"), F.lit('/part-1?x=1">1</a><a href="/team'), n(3), F.lit("/r"), n(9),
+        F.lit('">r</a><a href="https://github.com/lab/r'), _s("page_id"), F.lit('">r</a><a href="https://arxiv.org/abs/'), n(7),
+        F.lit('">p</a><a href="https://arxiv.org/abs/9'), _s("page_id"), F.lit('">p</a><a href="/jobs/view/'), n(11), F.lit('">j</a>'))
+    return p.select(i.alias("source_pos"), cat.alias("category"), url.alias("source_url"), F.concat("html", links).alias("html"))
+
+
+def fallback_lines(spark: SparkSession, data_dir: str) -> DataFrame:
+    """Lines of a fallback file: the stored URLs, those with a fragment as comments."""
+    p = read_table(spark, data_dir, "pages", ["page_id", "url"])
+    return p.select(F.col("page_id").alias("pos"), F.when(F.col("url").contains("#"), F.concat(
+        F.lit("# "), F.col("url"))).otherwise(F.col("url")).alias("value"))
 
 
 def repo_files(spark: SparkSession, data_dir: str) -> DataFrame:
@@ -205,9 +223,57 @@ def feed_docs(spark: SparkSession, data_dir: str) -> DataFrame:
 
 
 def source_feeds(spark: SparkSession, data_dir: str) -> DataFrame:
-    """The feed documents of each feed host's source, in order: several items a feed."""
-    return _feed_strings(spark, data_dir).select(
-        F.concat(F.lit("https://medium.com/feed/"), F.col("source")).alias("feed_url"), F.col("doc_id").alias("feed_pos"), "xml")
+    """The feed documents of each feed host's source, in order, three items each, links repeated; some malformed."""
+    d = read_table(spark, data_dir, "documents", ["doc_id", "source", "text"])
+    i, body = _s("doc_id"), F.trim(F.regexp_replace("text", r"[<>&\]\s\x{A0}]+", " "))
+
+    def item(last, tail: str) -> F.Column:
+        return F.concat(F.lit("<item><title>T</title><link>https://medium.com/"), F.col("source"), F.lit("/"), last,
+                        F.lit(f"{tail}</link><description>"), body, F.lit("</description></item>"))
+
+    xml = F.concat(F.lit("<rss><channel>"), item(i, "?utm_source=rss"), item((F.col("doc_id") % 7).cast("string"), ""), item(i, ""),
+                   F.when(F.col("doc_id") % 13 == 0, F.lit("<broken")).otherwise(F.lit("</channel></rss>")))
+    return d.select(F.concat(F.lit("https://medium.com/feed/"), F.col("source")).alias("feed_url"), F.col("doc_id").alias("feed_pos"), xml.alias("xml"))
+
+
+def run_inputs(spark: SparkSession, data_dir: str) -> dict[str, DataFrame]:
+    """What a run over the documents' links reads: article, job and rendered feed-host pages, feed documents of three
+    items, and repository files.  Some feed articles have a feed entry, some a page, some neither; some
+    repositories have a README, some only a fallback one, some none."""
+    d = read_table(spark, data_dir, "documents", ["doc_id", "text", "lang", "source"])
+    i, src, fam = _s("doc_id"), F.col("source"), F.col("doc_id") % 10
+    body = F.trim(F.regexp_replace("text", r"[<>&\]\s\x{A0}]+", " "))
+    links = crawl_docs(spark, data_dir).select("seq", "link")
+    stamp = F.concat(F.lit("2024-02-"), F.lpad(((F.col("doc_id") % 28) + 1).cast("string"), 2, "0"))
+    story = F.concat(F.lit("<html><head><title>Story "), i, F.lit("</title>"), F.when(F.col("doc_id") % 3 == 0, "").otherwise(
+        F.concat(F.lit('<meta property="article:published_time" content="'), stamp, F.lit('T23:30:00-05:00">'))),
+        F.lit("</head><body><nav>Menu</nav><article><p>"), body, F.lit("</p></article></body></html>"))
+    rendered = F.concat(F.lit("<html><head><title>Site</title></head><body><h1>Post "), i, F.lit("</h1><h2>Sub</h2><p>"), body,
+                        F.lit("</p></body></html>"))
+    own = d.join(links, d["doc_id"] == links["seq"])
+    pages = own.filter(fam.isin(1, 4, 5, 6, 7, 8, 9)).select(F.col("link").alias("url"), story.alias("html")).unionAll(
+        own.filter((fam == 3) & (F.col("doc_id") % 30 == 3)).select("link", rendered)).unionAll(
+        job_docs(spark, data_dir).filter("seq % 10 = 2").select("link", "html"))
+
+    def item(title, link, day) -> F.Column:
+        return F.concat(F.lit("<item><title>"), title, F.lit("</title><link>"), link, F.lit("</link><description>D"), i,
+                        F.lit("</description><pubDate>Mon, "), day, F.lit(" Jan 2024 23:30:00 -0500</pubDate><content:encoded><![CDATA[<p>"),
+                        body, F.lit("</p>]]></content:encoded></item>"))
+
+    own_day = F.lpad(((F.col("doc_id") % 28) + 1).cast("string"), 2, "0")
+    place = F.concat(F.lit("https://medium.com/"), src, F.lit("/"))
+    xml = F.concat(F.lit('<rss version="2.0" xmlns:content="http://purl.org/rss/1.0/modules/content/"><channel>'),
+                   item(F.lit("Other"), F.concat(place, F.lit("other")), F.lit("01")),
+                   item(F.concat(F.lit("Feed "), i), F.concat(place, i, F.lit("?utm_source=rss")), own_day),
+                   item(F.lit("Again"), F.concat(place, i), F.lit("02")), F.lit("</channel></rss>"))
+    feeds = d.filter((fam == 3) & (F.col("doc_id") % 30 == 23)).select(
+        F.concat(F.lit("https://medium.com/feed/"), src).alias("feed_url"), F.col("doc_id").alias("feed_pos"), xml.alias("xml"))
+    named = F.when(F.col("doc_id") % 20 == 0, "README.md").when(F.col("doc_id") % 60 == 30, "src/main.py").otherwise("docs/readme-first.md")
+    files = F.array(*[F.struct(F.lit(k).alias("k"), path.alias("path"), text.alias("text")) for k, (path, text) in enumerate((
+        (F.lit("src/a.py"), body), (named, body), (F.lit(".git/readme.md"), F.lit("no")), (F.lit("README.txt"), F.lit("  "))))])
+    repo_files = own.filter(fam == 0).select("link", "doc_id", F.inline(files)).select(
+        F.col("link").alias("repo"), (F.col("doc_id") * 4 + F.col("k")).alias("file_id"), "path", F.length("text").cast("long").alias("size_bytes"), "text")
+    return {"links": links, "pages": pages, "feeds": feeds, "repo_files": repo_files}
 
 
 VIEWS = {

@@ -68,14 +68,13 @@ def test_domain_metrics_edge(spark):
 
 def test_category_targets(spark):
     for max_links, exp in ((0, [5] * 5), (25, [5] * 5), (28, [6, 6, 6, 5, 5]), (3, [5] * 5)):
-        got = [r.quota for r in L.category_targets(spark, max_links).orderBy("category_rank").collect()]
-        assert got == exp
+        assert list(L.quotas(max_links).values()) == exp
 
 
 def capped(spark, sources, limit, n_sources):
     rows = [("c", i, pos, link) for i, links in enumerate(sources) for pos, link in enumerate(links)]
     df = spark.createDataFrame(rows, "category string, source_pos long, pos int, link string")
-    return [(r.source_pos, r.link) for r in L.capped_links(df, limit, n_sources).orderBy("source_pos", "pos").collect()]
+    return [(r.source_pos, r.link) for r in L.capped_links(df, {"c": (limit, max(1, math.ceil(limit / n_sources)))}).orderBy("source_pos", "pos").collect()]
 
 
 def test_capped_links_worked_cases(spark):
@@ -137,7 +136,7 @@ def test_expand_sources_routes_feed_hosts(spark):
         "feed_url string, feed_pos long, xml string")
 
     def links(limit):
-        got = L.expand_sources(sources, limit, feeds=feeds).orderBy("category", "category_rank_pos").collect()
+        got = L.expand_sources(sources, {"blogs": limit, "news": limit}, feeds=feeds).orderBy("category", "category_rank_pos").collect()
         return [(r.source_pos, r.link.split("//")[1]) for r in got]
 
     a, m = [(0, f"a.com/blog/post-{i}") for i in range(4)], [(1, f"medium.com/p/{i}") for i in (1, 2, 3)]
