@@ -7,6 +7,8 @@ whitespace and ``str.splitlines`` knows ten line separators; Spark's
 
 from __future__ import annotations
 
+from functools import lru_cache
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -125,29 +127,67 @@ def contains_any(c, words) -> Column:
     return out
 
 
-def _entity_names() -> Column:
-    """Named character references -> text, from the standard library's table."""
-    from html.entities import name2codepoint
+@lru_cache(maxsize=1)
+def _references() -> tuple[str, str, str]:
+    """SQL of the named references that end with ``;`` (a map), of those that need none, and a pattern of the latter,
+    longest first; from the standard library's HTML 5 table."""
+    from html.entities import html5
+
+    from .urls import _lit
+
+    def table(pairs: list[tuple[str, str]]) -> str:
+        return "map_from_arrays({}, {})".format(*[f"split({_lit(chr(1).join(side))}, {_lit(chr(1))})" for side in zip(*pairs)])
+
+    closed = sorted((k[:-1], v) for k, v in html5.items() if k.endswith(";"))
+    bare = sorted((k, v) for k, v in html5.items() if not k.endswith(";"))
+    pattern = "^(?:" + "|".join(sorted((k for k, _ in bare), key=lambda k: (-len(k), k))) + ")"
+    return table(closed), table(bare), pattern
+
 
-    known = {"apos": "'"} | {name: chr(code) for name, code in name2codepoint.items()}
-    return F.create_map(*[F.lit(x) for pair in sorted(known.items()) for x in pair])
+def _numbered(n: Column) -> Column:
+    """Character of a numeric reference: the C1 range as Windows-1252, surrogates and numbers beyond Unicode as the
+    replacement character, other control characters and noncharacters as nothing."""
+    c1 = [bytes([i]).decode("cp1252") if i not in (0x81, 0x8D, 0x8F, 0x90, 0x9D) else chr(i) for i in range(0x80, 0xA0)]
+    nothing = (n.between(1, 8) | n.between(0xE, 0x1F) | (n == 0xB) | (n == 0x7F) | n.between(0xFDD0, 0xFDEF)
+               | n.bitwiseAND(F.lit(0xFFFE)).eqNullSafe(F.lit(0xFFFE)))
+    return (F.when((n == 0) | n.between(0xD800, 0xDFFF) | (n > 0x10FFFF), "�").when(n == 0xD, "\r")
+            .when(n.between(0x80, 0x9F), F.get(F.array(*[F.lit(x) for x in c1]), (n - 0x80).cast("int")))
+            .when(nothing, "").otherwise(F.decode(F.unhex(F.lpad(F.hex(n), 8, "0")), "UTF-32")))
 
 
 def html_unescape(c) -> Column:
-    """Decode all named, decimal and hexadecimal character references; unknown ones stay.
+    """Decode character references as HTML 5 reads them: all names, names that need no semicolon by their
+    longest prefix, numbers with or without one; unknown ones stay.
 
     The text is split at ``&``; each later piece starts with a reference or keeps its ``&``."""
-    names = _entity_names()
+    closed, bare, pattern = _references()
+
+    def bound(value: Column, use) -> Column:
+        return F.transform(F.array(value), use)[0]
+
+    def number(piece: Column) -> Column:
+        ref = F.regexp_extract(piece, "^(#(?:[0-9]+|[xX][0-9a-fA-F]+);?)", 1)
+        digits = F.regexp_extract(piece, "^#[xX]?0*([0-9a-fA-F]*)", 1)
+        size = F.length(F.regexp_extract(piece, "^#[xX]?0*([0-9]*)", 1))
+        hexed = piece.rlike("^#[xX]")
+        n = F.when(hexed, F.when(F.length(digits) > 8, F.lit(0x110000)).otherwise(F.conv(F.concat(F.lit("0"), digits), 16, 10).cast("long"))).otherwise(
+            F.when(size > 9, F.lit(0x110000)).otherwise(F.concat(F.lit("0"), F.regexp_extract(piece, "^#0*([0-9]*)", 1)).try_cast("long")))
+        return F.when(ref != "", F.concat(bound(n, _numbered), F.substr(piece, F.length(ref) + 1))).otherwise(F.concat(F.lit("&"), piece))
+
+    def named(piece: Column) -> Column:
+        def shorter(_: Column) -> Column:
+            return bound(F.regexp_extract(piece, pattern, 0), lambda k: F.when(
+                k != "", F.concat(F.try_element_at(F.expr(bare), k), F.substr(piece, F.length(k) + 1))).otherwise(F.concat(F.lit("&"), piece)))
+
+        def whole(name: Column) -> Column:
+            char = (F.when(name == "amp", "&").when(name == "lt", "<").when(name == "gt", ">").when(name == "quot", '"').when(name == "nbsp", " ")
+                    .when(name != "", F.try_element_at(F.expr(closed), name)))
+            return bound(char, lambda x: F.when(x.isNotNull(), F.concat(x, F.substr(piece, F.length(name) + 2))).otherwise(shorter(x)))
+
+        return bound(F.regexp_extract(piece, "^([A-Za-z][A-Za-z0-9]{0,31});", 1), whole)
 
     def decode(piece: Column) -> Column:
-        ref = F.regexp_extract(piece, r"^(#[0-9]{1,7}|#[xX][0-9a-fA-F]{1,6}|[A-Za-z][A-Za-z0-9]{0,31});", 1)
-        digits = F.when(ref.rlike("^#[xX]"), F.upper(F.substring(ref, 3, 6))).otherwise(
-            F.hex(F.substring(ref, 2, 7).try_cast("long")))
-        valid = F.conv(digits, 16, 10).cast("long").between(1, 0xD7FF) | F.conv(digits, 16, 10).cast("long").between(0xE000, 0x10FFFF)
-        char = F.when(ref.startswith("#"), F.when(valid, F.decode(F.unhex(F.lpad(digits, 8, "0")), "UTF-32"))).otherwise(
-            F.try_element_at(names, ref))
-        return F.when((ref == "") | char.isNull(), F.concat(F.lit("&"), piece)).otherwise(
-            F.concat(char, F.substr(piece, F.length(ref) + 2)))
+        return F.when(piece.startswith("#"), number(piece)).when(piece.rlike("^[A-Za-z]"), named(piece)).otherwise(F.concat(F.lit("&"), piece))
 
     c = col(c)
     pieces = F.split(c, "&")

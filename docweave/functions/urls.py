@@ -201,7 +201,7 @@ def _lit(s: str) -> str:
         elif ch.isprintable() and ord(ch) < 0x80:
             out.append(ch)
         else:
-            out.append("\\u%04x" % ord(ch))
+            out.append("\\u%04x" % ord(ch) if ord(ch) < 0x10000 else "\\U%08x" % ord(ch))
     return "'" + "".join(out) + "'"
 
 

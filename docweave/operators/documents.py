@@ -8,6 +8,7 @@ document, so the run metrics still see ``source_domain`` and scores).
 from __future__ import annotations
 
 import datetime as _dt
+from collections.abc import Collection
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -68,14 +69,16 @@ def content_gate(df: DataFrame, content: str = "content",
 
 def build_documents(df: DataFrame, dicts: D.Dictionaries = D.DEFAULT, *, topic: str | None = None,
                     user_id: str | None = None, user_name: str | None = None,
-                    seed_tags: str | None = None) -> DataFrame:
+                    seed_tags: str | None = None, columns: Collection[str] | None = None) -> DataFrame:
     """P1 + P2 + E11 on extracted parts (link, title, content, topic_query ...).
 
+    ``columns``: the enriched columns the caller needs (default: all).
+
     Errors keep their link and reason; their document columns are null and
     their metrics empty (they count under ``unknown`` in A2).
     """
     gated = content_gate(df)
-    enriched = E.enrich(gated, dicts, topic=topic, seed_tags=seed_tags)
+    enriched = E.enrich(gated, dicts, topic=topic, seed_tags=seed_tags, columns=columns)
     ok = F.col("has_document")
     keep = {c: F.when(ok, F.col(c)) for c in enriched.columns
             if c in DOCUMENT_COLUMNS and c not in ("link", "topic_query")}

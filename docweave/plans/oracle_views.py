@@ -40,7 +40,7 @@ SELECT seq + 1000000000, link, CASE WHEN seq % 5 = 0 THEN 'news' ELSE 'github' E
 FROM crawl_docs WHERE lang = 'de'""",
     "html_docs": r"""
 SELECT doc_id, '<html><head><title> T' || CAST(doc_id AS VARCHAR) || ' </title><meta name="description" content=" D'
-  || CAST(doc_id AS VARCHAR) || '"><meta name="keywords" content="A, ' || upper(lang) || ',,' || source || '">'
+  || CAST(doc_id AS VARCHAR) || ' &copy2 &#x80;&notit; &AMP;lt; &Bopf;&#65 &#xD800; &nosuch; &amp"><meta name="keywords" content="A, ' || upper(lang) || ',,' || source || '">'
   || CASE WHEN doc_id % 3 = 0 THEN '' ELSE '<meta property="article:published_time" content="2024-02-' || lpad(CAST(doc_id % 28 + 1 AS VARCHAR), 2, '0') || 'T23:30:00-05:00">' END
   || '</head><body><article><h1>H</h1><p>' || regexp_replace(text, '[<>&"]', ' ', 'g')
   || '</p></article><a class="base-card__full-link" href="/jobs/view/' || CAST(doc_id % 700 AS VARCHAR)
@@ -116,7 +116,7 @@ FROM (SELECT c.seq, c.link, c.topic_query, CAST(c.seq AS VARCHAR) AS i, d.source
     "feed_docs": r"""
 SELECT doc_id, '<rss version="2.0" xmlns:content="http://purl.org/rss/1.0/modules/content/"><channel><item><title> T  ' || CAST(doc_id AS VARCHAR)
   || ' </title>' || CASE WHEN doc_id % 9 = 0 THEN '' ELSE '<link>https://medium.com/' || source || '/' || CAST(doc_id AS VARCHAR) || '?utm_source=rss</link>' END
-  || '<description>D' || CAST(doc_id AS VARCHAR) || '</description><pubDate>Mon, ' || lpad(CAST(doc_id % 28 + 1 AS VARCHAR), 2, '0') || ' Jan 2024 23:30:00 -0500</pubDate>'
+  || '<description>D' || CAST(doc_id AS VARCHAR) || ' &amp;copy2 &amp;#x80;&amp;Bopf;</description><pubDate>Mon, ' || lpad(CAST(doc_id % 28 + 1 AS VARCHAR), 2, '0') || ' Jan 2024 23:30:00 -0500</pubDate>'
   || CASE WHEN doc_id % 4 = 0 THEN '' ELSE '<content:encoded><![CDATA[<p>C' || CAST(doc_id AS VARCHAR) || ' ' || trim(regexp_replace(text, '[<>&\]\s\x{A0}]+', ' ', 'g')) || '</p>]]></content:encoded>' END
   || CASE WHEN doc_id % 13 = 0 THEN '<broken' ELSE '</item></channel></rss>' END AS xml
 FROM documents""",

