@@ -66,6 +66,24 @@ def parse_cli_date(value: str) -> _dt.date:
         raise ValueError(f"Invalid date '{value}'. Use YYYY-MM-DD.") from exc
 
 
+def date_parameter(c) -> Column:
+    """U9 on a column: an ISO date (with or without hyphens), null if it is none."""
+    text = col(c)
+    return (F.when(text.rlike(r"^\d{4}-\d{2}-\d{2}$"), text.try_cast("date"))
+            .when(text.rlike(r"^\d{8}$"), F.to_date(F.try_to_timestamp(text, F.lit("yyyyMMdd")))))
+
+
+def window_parameters(start, end, today) -> dict[str, Column]:
+    """P5 + U9 on columns: ``start_date`` and ``end_date`` of a run (missing ones: the thirty days up to ``today``) and the
+    ``problem`` that stops it."""
+    start, end, today = col(start), col(end), col(today)
+    first = F.when(start.isNull(), F.date_sub(today, 30)).otherwise(date_parameter(start))
+    last = F.when(end.isNull(), today).otherwise(date_parameter(end))
+    bad = F.when(first.isNull(), start).when(last.isNull(), end)
+    return {"start_date": first, "end_date": last, "problem": F.when(bad.isNotNull(), F.concat(
+        F.lit("Invalid date '"), bad, F.lit("'. Use YYYY-MM-DD."))).when(first > last, "start date cannot be after end date")}
+
+
 def default_window(today: _dt.date | None = None) -> tuple[_dt.date, _dt.date]:
     """P5: (today - 30 days, today)."""
     today = today or _dt.date.today()

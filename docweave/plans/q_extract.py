@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from ..operators import documents as P
 from ..operators import extract as X
 from ..sources import views as V
+from ..sources.pages import page_text
 from ..sources.tables import read_table
 from .oracle_enrich import enrich_ctes, norm_content, q, strip
 from .oracle_urls import INERT, unescape
@@ -58,6 +59,14 @@ def h3_native_text(spark: SparkSession, sf: str) -> DataFrame:
     return p.select("page_id", F.md5(X.native_text(F.col("html"))).alias("text_md5"))
 
 
+@register("s4_stored_pages", "SELECT page_id, md5(html || chr(65533) || chr(65533) || 'x') AS text_md5 FROM pages WHERE html IS NOT NULL")
+def s4_stored_pages(spark: SparkSession, sf: str) -> DataFrame:
+    """Pages stored as bytes, read as UTF-8 with replacement; pages that cannot be read are skipped."""
+    p = read_table(spark, sf, "pages", ["page_id", "html"])
+    stored = p.select("page_id", F.concat(F.encode("html", "UTF-8"), F.unhex(F.lit("FFC378"))).alias("content"))
+    return stored.select("page_id", page_text("content").alias("html")).filter("html IS NOT NULL").select("page_id", F.md5("html").alias("text_md5"))
+
+
 _PLAIN = f"regexp_replace(html, {q(INERT)}, chr(10), 'g')"
 
 

@@ -13,8 +13,10 @@ from ..operators import documents as P
 from ..operators import merge as M
 from ..operators import metrics as A
 from ..operators import store as ST
+from ..functions import dates as DT
 from ..functions import text as T
 from ..sources import views as V
+from ..sources.tables import read_table
 from .oracle_enrich import enrich_ctes
 from .q_analytics import COLLECTION_CASE, enriched_docs
 from .registry import register
@@ -138,6 +140,31 @@ def s15_new_users(spark: SparkSession, sf: str) -> DataFrame:
     return new.select("full_name", "first_name", "last_name")
 
 
+@register("p5_run_window", """
+SELECT o_orderkey, start_date, end_date, CASE WHEN start_date IS NULL THEN 'Invalid date ' || chr(39) || s || chr(39) || '. Use YYYY-MM-DD.'
+  WHEN end_date IS NULL THEN 'Invalid date ' || chr(39) || e || chr(39) || '. Use YYYY-MM-DD.'
+  WHEN start_date > end_date THEN 'start date cannot be after end date' END AS problem
+FROM (SELECT o_orderkey, s, e, CASE WHEN s IS NULL THEN CAST(today - 30 AS DATE) WHEN contains(s, '13-40') OR contains(s, '/') THEN NULL ELSE today END AS start_date,
+        CASE WHEN e IS NULL THEN today WHEN contains(e, 'soon') THEN NULL ELSE CAST(today - 3 AS DATE) END AS end_date
+      FROM (SELECT o_orderkey, CAST(o_orderdate AS DATE) AS today,
+              CASE o_orderkey % 5 WHEN 0 THEN NULL WHEN 1 THEN strftime(CAST(o_orderdate AS DATE), '%Y-%m-%d') WHEN 2 THEN '2024-13-40'
+                WHEN 3 THEN strftime(CAST(o_orderdate AS DATE), '%Y%m%d') ELSE '1/2/2024' END AS s,
+              CASE o_orderkey % 3 WHEN 0 THEN NULL WHEN 1 THEN strftime(CAST(CAST(o_orderdate AS DATE) - 3 AS DATE), '%Y-%m-%d') ELSE 'soon' END AS e
+            FROM orders))
+""")
+def p5_run_window(spark: SparkSession, sf: str) -> DataFrame:
+    """The date window of runs started on the orders' days, some with bad or crossed parameters."""
+    today = F.col("o_orderdate").cast("date")
+    key = F.col("o_orderkey")
+    runs = read_table(spark, sf, "orders", ["o_orderkey", "o_orderdate"]).select(
+        key, today.alias("today"),
+        F.when(key % 5 == 1, today.cast("string")).when(key % 5 == 2, "2024-13-40").when(key % 5 == 3, F.date_format(today, "yyyyMMdd"))
+        .when(key % 5 == 4, "1/2/2024").alias("s"),
+        F.when(key % 3 == 1, F.date_sub(today, 3).cast("string")).when(key % 3 == 2, "soon").alias("e"))
+    window = DT.window_parameters("s", "e", "today")
+    return runs.select("o_orderkey", *[c.alias(name) for name, c in window.items()])
+
+
 @register("u6_split_name", """
 SELECT seq, full_name,
   CASE WHEN len(t) = 1 THEN t[1] ELSE array_to_string(t[1:len(t)-1], ' ') END AS first_name,

@@ -8,17 +8,22 @@ null page, which the crawl step reports as an error row).
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
+def page_text(content) -> Column:
+    """Bytes of a page as text; what is not UTF-8 becomes U+FFFD."""
+    return F.make_valid_utf8(F.col(content).cast("string"))
+
+
 def pages_from_files(spark: SparkSession, path: str, glob: str = "*.html",
                      url_prefix: str | None = None) -> DataFrame:
     """HTML files -> (url, html).  ``url`` is the file path, or the path
     relative to ``path`` under ``url_prefix`` when one is given."""
     raw = (spark.read.format("binaryFile").option("pathGlobFilter", glob)
            .option("recursiveFileLookup", "true").load(path))
-    html = F.make_valid_utf8(F.col("content").cast("string"))  # errors -> U+FFFD
+    html = page_text("content")
     url = F.col("path")
     if url_prefix is not None:
         root = path.rstrip("/")
