@@ -85,12 +85,6 @@ def is_http_url(c) -> Column:
     return scheme(c).isin("http", "https") & (netloc(c) != "")
 
 
-def _decode(c: Column) -> Column:
-    # parse_qsl: '+' is a space, then percent-decoding of the valid escapes; a
-    # '%' without two hex digits stands for itself.
-    return F.try_url_decode(F.regexp_replace(c, "%(?![0-9A-Fa-f]{2})", "%25"))
-
-
 def quote_plus(c) -> Column:
     """``quote_plus`` = Java URL encoding with '*' and '~' fixed."""
     enc = F.url_encode(col(c))
@@ -110,26 +104,14 @@ def unsplit(sch: Column, net: Column, pth: Column, qry: Column, frag: Column) ->
     )
 
 
-def normalize_link(c) -> Column:
-    """Trim; drop ``utm_*`` query parameters (case-insensitive).
+def normalize_link(name: str) -> Column:
+    """U2 over the column ``name``: trim; drop ``utm_*`` query parameters (case-insensitive).
 
     Without a query the trimmed link is returned as is.  Otherwise the
     remaining pairs are decoded and re-encoded in order, blank values kept,
     and the URL is rebuilt (fragment kept).
     """
-    if isinstance(c, str):
-        return normalize_link_sql(c)
-    s = strip_ws(c)
-    q = query(s)
-    pairs = F.filter(F.split(q, "&"), lambda x: x != "")
-    key = lambda x: _decode(F.substring_index(x, "=", 1))
-    val = lambda x: F.when(F.instr(x, "=") > 0,
-                           _decode(F.substring(x, F.instr(x, "=") + 1, 1 << 30))).otherwise(F.lit(""))
-    kept = F.filter(pairs, lambda x: ~F.lower(key(x)).startswith("utm_"))
-    encoded = F.array_join(
-        F.transform(kept, lambda x: F.concat(quote_plus(key(x)), F.lit("="), quote_plus(val(x)))), "&")
-    rebuilt = unsplit(scheme(s), netloc(s), split_path(s), encoded, fragment(s))
-    return F.when(q == "", s).otherwise(rebuilt)
+    return F.expr(normalize_text(_ref(name)))
 
 
 def is_likely_content_link(source_url, link, min_depth: int = 2) -> Column:
@@ -236,6 +218,8 @@ def let(var: str, value: str, body: str) -> str:
 
 def normalize_text(name: str) -> str:
     """U2 as SQL text over a column reference or lambda variable."""
+    # As query strings are read: '+' is a space, then valid escapes are decoded; a '%' without two
+    # hex digits stands for itself.
     def dec(e: str) -> str:
         return f"try_url_decode(regexp_replace({e}, '%(?![0-9A-Fa-f]{{2}})', '%25'))"
 
@@ -254,11 +238,6 @@ def normalize_text(name: str) -> str:
         "q_", _part_sql("l_", 4), f"CASE WHEN q_ = '' THEN l_ ELSE {let('n_', newq, rebuilt)} END") + " END")
 
 
-def normalize_link_sql(name: str) -> Column:
-    """U2 as one SQL expression over the column ``name``."""
-    return F.expr(normalize_text(_ref(name)))
-
-
 def base_sql(base: str) -> str:
     """A base given as a URL literal or as a column name, as SQL text."""
     return _lit(base) if "://" in base else _ref(base)

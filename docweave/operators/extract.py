@@ -155,8 +155,8 @@ def elements(html: Column, pattern: str) -> Column:
 
 
 def with_class(*names: str) -> str:
-    """Attribute pattern: the class list holds the names, in this order."""
-    return r"""class\s*=\s*["'](?:[^"']*\s)?""" + r"(?:\s[^\"']*)?\s".join(names) + r"""(?:\s[^"']*)?["']"""
+    """Attribute pattern: the class list holds all the names, in any order."""
+    return "".join(rf"""(?=class\s*=\s*["'](?:[^"']*\s)?{name}(?:\s[^"']*)?["'])""" for name in names) + "class"
 
 
 #: H3: where the main text is looked for, in this order; else in the body.

@@ -40,7 +40,7 @@ def feed_items(feeds: DataFrame, xml: str = "xml", feed_url: Column | None = Non
     found = F.concat(F.coalesce("_f.channel.item", F.array()), F.coalesce("_f.item", F.array()))
     items = parsed.select(*keep, F.posexplode(found).alias("item_pos", "_i"))
     items = items.filter(F.col("_i.link").isNotNull())
-    items = items.withColumn("link", U.normalize_link(F.col("_i.link")))
+    items = items.withColumn("link", F.col("_i.link")).withColumn("link", U.normalize_link("link"))
     items = fence(items, ["link"]).filter(U.is_http_url("link"))
     desc = clean_html_fragment(F.col("_i.description"))
     out = items.select(
@@ -71,7 +71,7 @@ def lookup_entries(links: DataFrame, items: DataFrame, link: str = "link") -> Da
     fields = ["feed_url", "item_pos", "title", "description", "content", "published_at"]
     entries = (items.groupBy(F.col("link").alias("_entry_link")).agg(F.min(F.struct(*fields)).alias("_e"))
                .select("_entry_link", *[f"_e.{c}" for c in fields if c != "item_pos"]))
-    keyed = fence(links.withColumn("_norm", U.normalize_link(F.col(link))), ["_norm"])
+    keyed = fence(links.withColumn("_norm", U.normalize_link(link)), ["_norm"])
     return keyed.join(entries, keyed["_norm"] == entries["_entry_link"], "left").drop("_norm", "_entry_link")
 
 

@@ -30,3 +30,38 @@ def test_flagship_plan(spark):
 def test_merge_filters_store_by_batch(spark):
     plan = _plan(spark, "m1_merge_actions")
     assert "LeftSemi" in plan
+
+
+def _initial(spark, name):
+    return se.queries()[name](spark, SMALL)._jdf.queryExecution().executedPlan().toString()
+
+
+def test_same_host_links_stay_in_their_row(spark):
+    plan = _initial(spark, "l3_same_host_links")
+    assert "Exchange" not in plan and "Window" not in plan and plan.count("FileScan") == 1
+
+
+def test_quotas_cut_before_the_shuffle(spark):
+    for name in ("l8_expand_sources", "l12_discover_links"):
+        plan = _initial(spark, name)
+        limits = [line for line in plan.splitlines() if "WindowGroupLimit" in line and "[category" in line]
+        assert len(limits) >= 2, name  # partial and final
+        assert "NestedLoop" not in plan and "CartesianProduct" not in plan
+
+
+def test_folds_are_bounded_and_read_once(spark):
+    for name in ("l4_repo_links", "l5_paper_links"):
+        plan = _initial(spark, name)
+        assert "NestedLoop" not in plan and "CartesianProduct" not in plan
+
+
+def test_date_filter_runs_no_keyword_test(spark):
+    plan = _initial(spark, "p4_date_filter")
+    assert "Contains" not in plan and "contains(" not in plan.lower()
+
+
+def test_merge_carries_keys_only(spark):
+    for name in ("m1_merge_actions", "m2_new_state"):
+        for line in _initial(spark, name).splitlines():
+            if "Window" in line or "Aggregate" in line:
+                assert "content" not in line and "title" not in line, name

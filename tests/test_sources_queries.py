@@ -148,6 +148,12 @@ def test_repository_selectors_of_any_tag(spark):
     assert spark.createDataFrame([(html,)], "h string").select(X.main_text(F.col("h"))).first()[0] == "A\nB\nC"
 
 
+def test_class_names_in_any_order(spark):
+    page = spark.createDataFrame([("<i class='b  x a'>yes</i><i class=\"ab\">no</i>",), ("<i class='a'>no</i><i class='b'>no</i>",)], "h string")
+    got = page.select(X.element(F.col("h"), X.element_pattern("i", X.with_class("a", "b"))).alias("t")).collect()
+    assert [r.t for r in got] == ["yes", None]
+
+
 def test_rendered_challenge_page(spark):
     df = spark.createDataFrame([("https://medium.com/x", "<body><p>Ray ID 7</p><p>by Cloudflare</p></body>")], "link string, html string")
     assert X.rendered_article_records(df).first().challenge_reason == "bot_protection_challenge"
