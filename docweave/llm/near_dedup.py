@@ -278,7 +278,7 @@ def near_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 def drop_near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = 4, percent: int = 80) -> DataFrame:
     """The rows that stay, with all their columns."""
     dropped = near_classes(docs, id_col, text_col, k, percent).filter("NOT kept").select(F.col("doc_id").alias("dropped_id")).distinct()
-    return docs.join(saved(dropped).hint("merge"), docs[id_col].cast("long") == F.col("dropped_id"), "left_anti")
+    return docs.alias("d").join(saved(dropped).alias("x").hint("merge"), F.col(f"d.`{id_col}`").cast("long") == F.col("x.dropped_id"), "left_anti")
 
 
 def op6_near_dedup(spark, sf_dir: str) -> DataFrame:

@@ -26,11 +26,10 @@ from pyspark.sql import functions as F
 
 from .arrays import CHUNK_BYTES, U64, chunks, text_arrays
 from .letters import Table, Words
-from .work import crc_bucket, id_and_text, saved
+from .work import crc_bucket, id_and_text, saved, session_limits
 
 #: Most rows of each label that are learned from; bounds the driver's training data.
 SAMPLE = 5000
-MOST_FEATURES = 4000
 LEAST_Z = 4.5
 HEADS = (4, 5, 6, 7)
 FOLDS = 5
@@ -118,7 +117,7 @@ def fit(docs: DataFrame, labels: DataFrame, pairs: list[tuple[str, str]] = IDENT
                .agg(F.sum("toxic").alias("p"), F.count("*").alias("n")))
     share = F.col("n") / F.lit(float(pos + neg))
     z = F.abs(F.col("p") / pos - (F.col("n") - F.col("p")) / neg) / F.sqrt(share * (1 - share) * (1.0 / pos + 1.0 / neg) + 1e-12)
-    picked = counted.filter((F.col("n") >= 5) & (z >= LEAST_Z)).orderBy(z.desc(), "f").limit(MOST_FEATURES).select("f")
+    picked = counted.filter((F.col("n") >= 5) & (z >= LEAST_Z)).select("f")
     identity = {int(h) for words in row_features(sorted(swap)) for h in words.view(np.int64)}
     chosen = np.array(sorted({r.f for r in picked.collect()} | identity), dtype=np.int64)
     table = Table(chosen.view(U64))
@@ -168,10 +167,13 @@ def score(docs: DataFrame, model: tuple[np.ndarray, np.ndarray, float], id_col:
     """doc_id, held_out, score, predicted per row; with ``keep_rows`` the input row in ``row``."""
     keys, weights, bias = model
 
+    at_id, at_text = docs.columns.index(id_col), docs.columns.index(text_col)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = Table(keys)
         for batch in batches:
-            raw, off = text_arrays(batch.column(1))
+            whole = batch.column(0)  # the row, which holds the text once
+            raw, off = text_arrays(whole.field(at_text).cast(pa.string()))
             for i, j in chunks(off, CHUNK_BYTES):
                 rows, hashes = features(raw[off[i]:off[j]], off[i:j + 1] - off[i])
                 at, index = table.find(hashes)
@@ -180,13 +182,13 @@ def score(docs: DataFrame, model: tuple[np.ndarray, np.ndarray, float], id_col:
                                     minlength=j - i) + bias
                 with np.errstate(over="ignore"):
                     yield pa.RecordBatch.from_arrays(
-                        [batch.column(k).slice(i, j - i) for k in range(batch.num_columns) if k != 1]
-                        + [pa.array(1 / (1 + np.exp(-logit)))], names=out)
+                        [whole.field(at_id).slice(i, j - i).cast(pa.int64()), *([whole.slice(i, j - i)] if keep_rows else []),
+                         pa.array(1 / (1 + np.exp(-logit)))], names=out)
 
-    source = docs.select(
-        docs[id_col].cast("long").alias("doc_id"),
-        F.coalesce(docs[text_col].cast("string"), F.lit("")).alias("text"),
-        *([F.struct(*[docs[c] for c in docs.columns]).alias("row")] if keep_rows else []))
+    session_limits(docs.sparkSession)
+    source = docs.select(F.struct(*[docs[c] for c in (docs.columns if keep_rows else (id_col, text_col))]).alias("row"))
+    if not keep_rows:
+        at_id, at_text = 0, 1
     out = ["doc_id", *(["row"] if keep_rows else []), "score"]
     row_type = f"row {source.schema['row'].dataType.simpleString()}, " if keep_rows else ""
     scored = source.mapInArrow(run, f"doc_id long, {row_type}score double")

@@ -30,8 +30,20 @@ def saved(df: DataFrame) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+#: Whole texts go to Python a few hundred rows and 16 MB at a time (Spark's default is 10,000 rows), and a
+#: query's shuffle files go when it ends, not when the driver's garbage collection comes round.
+LIMITS = {"spark.sql.execution.arrow.maxRecordsPerBatch": "256", "spark.sql.execution.arrow.maxBytesPerBatch": "16m",
+          "spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true"}
+
+
+def session_limits(spark: SparkSession) -> None:
+    for key, value in LIMITS.items():
+        spark.conf.set(key, value)
+
+
 def id_and_text(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Only (doc_id, text), so no other column of the input can clash; null text is empty."""
+    session_limits(docs.sparkSession)
     return docs.select(
         docs[id_col].cast("long").alias("doc_id"),
         F.coalesce(docs[text_col].cast("string"), F.lit("")).alias("text"),
