@@ -44,7 +44,7 @@ LENGTH = 400
 SHALLOW = 32  # bytes sorted by symbols before the tries take over
 BATCH = 200_000  # suffixes sorted at a time in a task
 MOST_SUFFIXES = 500_000
-SEGMENT = 4_000_000  # longer texts are read in overlapping segments
+SEGMENT = 500_000  # bytes looked at together; longer texts are read in overlapping segments
 PLACE_BITS = 24
 ID = ["doc_id", "text_hash"]
 
