@@ -84,19 +84,17 @@ class FMIndex:
         return np.minimum.reduceat(owner, np.column_stack([begin, hi[at]]).ravel())[::2][np.searchsorted(begin, lo)]
 
     def statistics(self, symbols: np.ndarray, starts: np.ndarray, own: np.ndarray, depth: int) -> tuple[np.ndarray, np.ndarray]:
-        """Matching statistics of streamed sequences, capped at ``depth``: per place the length of the longest
-        match that ends there and that a sequence of another owner has too, and for full
-        matches the smallest owner of one (else ``own``)."""
+        """Matching statistics of streamed sequences, capped at ``depth``: per place where a pattern of
+        that length can end, the length of the longest match that ends there and occurs elsewhere
+        too, and for full matches the smallest owner of one (else ``own``)."""
         sizes = np.diff(starts)
         first = np.repeat(starts[:-1], sizes)
         length = np.zeros(len(symbols), dtype=np.int64)
         least = np.repeat(own, sizes)
         mine = least.copy()
-        at = np.arange(len(symbols))
+        at = np.flatnonzero(np.arange(len(symbols)) - first >= depth - 1)  # no full match ends before
         lo, hi = np.zeros(len(at), dtype=np.int64), np.full(len(at), self.size, dtype=np.int64)
         for step in range(depth):
-            inside = at - step >= first[at]
-            at, lo, hi = at[inside], lo[inside], hi[inside]
             if not len(at):
                 break
             lo, hi = self.extend(symbols[at - step], lo, hi)
