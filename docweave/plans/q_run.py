@@ -44,14 +44,16 @@ def _inputs(views: dict[str, DataFrame]) -> RT.Inputs:
 @register("x1_routed_documents", """
 SELECT seq, status, reason, CASE WHEN made THEN title END AS title, source_domain,
   CASE WHEN made THEN array_to_string(tags, '|') END AS tags, CASE WHEN made THEN published_date END AS published_date,
-  CASE WHEN made THEN CASE kind WHEN 'article' THEN 'article' WHEN 'job' THEN 'linkedin' WHEN 'repository' THEN 'github' ELSE 'medium' END END AS made_by
+  CASE WHEN made THEN CASE kind WHEN 'article' THEN 'article' WHEN 'job' THEN 'linkedin' WHEN 'repository' THEN 'github' ELSE 'medium' END END AS made_by,
+  CASE WHEN made THEN CASE kind WHEN 'repository' THEN 'readme_only' WHEN 'feed' THEN 'rss' END END AS ingestion_mode
 FROM res""", _RUN_CTES)
 def x1_routed_documents(spark: SparkSession, sf: str) -> DataFrame:
     """X1, H16, J4 (+H8, H9, H11, H12, H13, L13, S5, S7, P1-P4): every link by its host's extractor, one schema."""
     views = V.run_inputs(spark, sf)
     docs = crawl(views["links"], _inputs(views), V.TOPIC, "u1", USER, START, END)
     made_by = F.when(F.col("platform") == F.col("source_domain"), "article").otherwise(F.col("platform"))
-    return docs.select("seq", "status", "reason", "title", "source_domain", joined("tags").alias("tags"), "published_date", made_by.alias("made_by"))
+    return docs.select("seq", "status", "reason", "title", "source_domain", joined("tags").alias("tags"), "published_date", made_by.alias("made_by"),
+                       F.col("raw_metadata")["ingestion_mode"].alias("ingestion_mode"))
 
 
 def _store_of_state(spark: SparkSession, sf: str) -> str:
