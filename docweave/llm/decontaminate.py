@@ -11,9 +11,10 @@ sum of smaller over sum of larger weights, is at least 0.8.
    that start at such a position (or end with the document) can be best, because
    moving a window's start over other positions never loses a common shingle.
 2. The remaining windows and the items get a 64-bit SimHash of their weighted shingles.  Eight
-   8-bit blocks are indexed with up to three errors each, which finds every pair of fingerprints
-   within a distance of 31 (pigeonhole: a farther pair is needed to have four errors in every block).
-   At similarity 0.8 9.7 bits differ on average, so the radius loses a pair with a chance below 1e-9.
+   8-bit blocks are indexed with up to two errors each, which finds every pair of fingerprints
+   within a distance of 23 (pigeonhole: only a farther pair can have three errors in every block).
+   At similarity 0.8 9.7 bits differ on average and more than 23 in fewer than one pair of 10,000; of
+   unrelated pairs 1.6 % lie within the radius.
 3. Pairs within the radius are verified by the exact weighted similarity.
 
 The items' shingles are broadcast only if counted and at most ``BROADCAST_ROWS``; otherwise
@@ -37,7 +38,7 @@ from .work import saved
 
 SHINGLE = 5
 PERCENT = 80
-BLOCKS, BLOCK_BITS, BLOCK_ERRORS = 8, 8, 3
+BLOCKS, BLOCK_BITS, BLOCK_ERRORS = 8, 8, 2
 RADIUS = BLOCKS * (BLOCK_ERRORS + 1) - 1
 BROADCAST_ROWS = 2_000_000
 
@@ -156,7 +157,8 @@ def report(docs: DataFrame, benchmark: DataFrame, **columns: str) -> DataFrame:
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """The documents without a hit, with all their columns."""
     hits = saved(contaminated(docs, benchmark)).select(F.col("doc_id").alias("h_id"), F.col("text_hash").alias("h_hash")).distinct().hint("merge")
-    return docs.join(hits, docs["doc_id"].eqNullSafe(F.col("h_id")) & (F.xxhash64(docs["text"]) == F.col("h_hash")), "left_anti")
+    return docs.alias("d").join(hits.alias("x"), F.col("d.doc_id").cast("long").eqNullSafe(F.col("x.h_id")) & (
+        F.xxhash64("d.text") == F.col("x.h_hash")), "left_anti")
 
 
 def op10_decontaminate(spark, sf_dir: str) -> DataFrame:
