@@ -8,8 +8,8 @@ characters.  Word scores add up per language, and the best sum wins.
 
 The model is learned from a bounded sample, ``SAMPLE`` texts per language on average (a hash of
 the id below the share that gives that many; all texts of rarer languages),
-counted in Spark; the ``MOST`` most frequent entries of each kind are kept, which
-bounds what is sent to the tasks.  Distinct words of a chunk are scored once.
+counted in Spark.  All counted words and n-grams are kept, of rare languages as of
+others; the sample bounds what is sent to the tasks.  Distinct words of a chunk are scored once.
 
 Defined results: a null text or one without a letter is ``und`` with score 0, and so is
 every text if no language was learned; ties go to the language first in
@@ -20,7 +20,6 @@ not learned from; repeated rows are predicted each; an empty table gives an empt
 from __future__ import annotations
 
 from collections.abc import Iterator
-from functools import reduce
 
 import numpy as np
 import pandas as pd
@@ -33,7 +32,6 @@ from .letters import Table, Words
 from .work import crc_bucket, id_and_text, saved
 
 SAMPLE = 2000  # texts per language that are learned from, on average
-MOST = 60_000  # entries of each kind that are kept
 GRAMS = (4, 3, 2, 1)
 FOLDS, HELD_OUT = 4, 2
 MARK = 0x2E  # stands for a word border in n-grams; never a letter
@@ -112,12 +110,12 @@ class Model:
         return best, 1 / np.exp(cooled).sum(axis=1), some
 
 
-def fit(docs: DataFrame, sample: int = SAMPLE, most: int = MOST, folds: int = FOLDS, held_out: int = HELD_OUT) -> Model | None:
+def fit(docs: DataFrame, sample: int = SAMPLE, folds: int = FOLDS, held_out: int = HELD_OUT) -> Model | None:
     named = docs.select(docs["doc_id"].cast("long").alias("doc_id"), docs["lang"].cast("string").alias("lang"))
     known = named.filter("doc_id IS NOT NULL AND lang IS NOT NULL").filter(crc_bucket(F.col("doc_id"), folds) != held_out)
     share = known.groupBy("lang").agg((F.lit(float(sample)) / F.count("*")).alias("share"))
     draw = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30)) / float(1 << 30)  # uniform in [0, 1)
-    chosen = saved(known.join(share, "lang").filter(draw < F.col("share")).select("doc_id", "lang").distinct())
+    chosen = saved(known.join(F.broadcast(share), "lang").filter(draw < F.col("share")).select("doc_id", "lang").distinct())
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -136,12 +134,9 @@ def fit(docs: DataFrame, sample: int = SAMPLE, most: int = MOST, folds: int = FO
     languages = sorted(r.lang for r in chosen.select("lang").distinct().collect())
     if not languages:
         return None
-    totals = saved(counted.groupBy("kind", "h").agg(F.sum("n").alias("total")).filter("total >= 2"))
-    kept = reduce(DataFrame.unionAll, [
-        totals.filter(F.col("kind") == k).orderBy(F.desc("total"), "h").limit(most).select("kind", "h") for k in (0, *GRAMS)])
     sizes = {r.lang: r.n for r in chosen.groupBy("lang").agg(F.count("*").alias("n")).collect()}
     priors = np.array([sizes[x] for x in languages], dtype=np.float64)
-    return Model(languages, priors / priors.sum(), counted.join(kept, ["kind", "h"]).toPandas())
+    return Model(languages, priors / priors.sum(), counted.toPandas())
 
 
 def predict(docs: DataFrame, model: Model | None, id_col: str = "doc_id", text_col: str = "text",
