@@ -6,9 +6,10 @@ handful of whole-array passes instead of a Python loop over words.  Batches
 are cut into chunks of bounded size; one row is never split, so memory is
 bounded by ``max(chunk, longest text)``.
 
-Strings are identified by 64-bit polynomial hashes with a fixed odd base
-(prefix sums give the hash of any substring in O(1)), finished by an
-avalanche step.
+Words and pre-tokens are identified by 64-bit hashes that read eight bytes per
+round (``span_digests``).  Overlapping substrings of bounded length (n-grams, runs
+of a few hundred bytes) use polynomial hashes with a fixed odd base: prefix sums give
+any substring's hash in O(1).
 """
 
 from __future__ import annotations
@@ -144,8 +145,7 @@ def word_hashes(raw: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.nd
     the index of its first word (length rows + 1)."""
     low = ASCII_LOWER[raw]
     start, end = edges(~ASCII_SPACE[low], offsets)
-    prefix = prefix_hash(low.astype(np.uint16) + np.uint16(1))
-    return mix(span_hash(prefix, start, end) + (end - start).astype(U64)), np.searchsorted(start, offsets)
+    return span_digests(low, start, end), np.searchsorted(start, offsets)
 
 
 def shingle_hashes(words: np.ndarray, first: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:

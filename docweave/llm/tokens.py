@@ -9,8 +9,8 @@ in one flat symbol array, every round finds each sequence's lowest-rank pair
 and applies it in all sequences simultaneously, and finished sequences leave the
 array.  Equal ranks in one sequence merge left to right, as the sequential
 rule does (a pair made by a merge always has a higher rank than that merge).
-Pre-tokens are told apart by 64-bit hashes within one chunk of at most a few
-MB, so a clash has a chance below 1e-7 per chunk-million.
+Pre-tokens are told apart by 64-bit hashes (``arrays.span_digests``, not linear in the bytes) among the at most
+half a million a task remembers and those of one chunk: a clash has a chance below 1e-7.
 """
 
 from __future__ import annotations
@@ -24,7 +24,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from .arrays import U64, chunks, mix, prefix_hash, span_hash, text_arrays
+from .arrays import U64, chunks, span_digests, text_arrays
 from .work import id_and_text
 
 OTHER, LETTER, NUMBER, SPACE = 0, 1, 2, 3
@@ -226,7 +226,7 @@ def row_tokens(model: Merges, raw: np.ndarray, offsets: np.ndarray, with_ids: bo
     cuts = np.concatenate([borders, *[np.array(s[:2]) for s in special]]) if special else borders
     start = pretokens(points, cuts)
     end = np.append(start[1:], len(points))[:len(start)]
-    hashes = mix(span_hash(prefix_hash(points + np.uint32(1)), start, end) + (end - start).astype(U64))
+    hashes = span_digests(raw, byte_at[start], byte_at[end])
     if special:  # one token per mark; its inner pre-tokens go
         drop = np.zeros(len(start), dtype=bool)
         fixed = {}

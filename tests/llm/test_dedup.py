@@ -102,6 +102,20 @@ def test_near_classes(spark, k):
     assert kept.columns == docs.columns and {r.doc_id for r in kept.collect()} == {i for i, (_, c) in got.items() if i == c}
 
 
+def test_near_classes_tell_regular_words_apart(spark):
+    bits = [bin(i).count("1") % 2 for i in range(2048)]
+    one, other = ("".join("ab"[b ^ flip] for b in bits) for flip in (0, 1))
+    texts = {i: " ".join([w] * 3 + tail) for i, (w, tail) in enumerate([(one, ["x", "y"]), (other, ["x", "y"]), (one, ["x", "y"])])}
+    docs = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    assert {r.doc_id: (r.n_shingles, r.component_id) for r in near_dedup.near_classes(docs).collect()} == jaccard_classes(texts, 4)
+
+
+def test_near_rows_with_clashing_names(spark):
+    docs = spark.createDataFrame([(1, "a b c d e", 7, 8), (2, "a b c d e", 7, 8)], "doc_id long, text string, dropped_id long, component_id long")
+    kept = near_dedup.drop_near_copies(docs)
+    assert kept.columns == docs.columns and [tuple(r) for r in kept.collect()] == [(1, "a b c d e", 7, 8)]
+
+
 def test_near_edge_rows(spark):
     docs = spark.createDataFrame([(1, "a b c d e"), (1, "a b c d e"), (None, "a b c d e"), (None, None), (2, "a b c d e")], "doc_id long, text string")
     got = sorted(near_dedup.near_classes(docs).collect(), key=str)

@@ -1,9 +1,15 @@
+import math
 import random
+import re
 import zlib
 
+import numpy as np
+import pyarrow as pa
 import pytest
 
 from docweave.llm import language, toxicity
+from docweave.llm.arrays import text_arrays
+from docweave.llm.letters import Words
 
 NEUTRAL = ["river", "market", "window", "paper", "yellow", "garden", "music", "winter", "letter", "doctor", "bread", "city"]
 RUDE = ["idiot", "scumbag", "worthless", "pathetic"]
@@ -52,6 +58,26 @@ def test_toxicity_learns_and_ignores_groups(spark, toxic_tables):
     assert abs(gap[3] - gap[4]) > abs(scores[3] - scores[4])
 
 
+def letter_words(text):
+    return [w.lower() for w in re.findall(r"[^\W\d_]+", text or "")]
+
+
+def key_of(word, salt=0):
+    raw, off = text_arrays(pa.array([word]))
+    found = Words(raw, off)
+    return int(found.hash(found.start, found.end, salt)[0])
+
+
+def test_toxicity_scores_equal_a_plain_version(spark, toxic_tables):
+    docs, labels = toxic_tables
+    keys, weights, bias = model = toxicity.fit(docs, labels)
+    weight = dict(zip(keys.tolist(), weights.tolist()))
+    for r in toxicity.score(docs.limit(300), model).join(docs.select("doc_id", "text"), "doc_id").collect():
+        features = {key_of(w) for w in letter_words(r.text)} | {
+            key_of(w[:n], n) for w in letter_words(r.text) for n in toxicity.HEADS if len(w) > n}
+        assert r.score == pytest.approx(1 / (1 + math.exp(-(bias + sum(weight.get(f, 0.0) for f in features)))), abs=1e-9)
+
+
 def test_toxicity_without_labels(spark, toxic_tables):
     docs, labels = toxic_tables
     model = toxicity.fit(docs, labels.limit(0))
@@ -65,6 +91,30 @@ def test_swapped_terms():
     assert toxicity.swapped("The women, and MEN-folk", toxicity.SWAP) == "The men, and women-folk"
 
 
+def plain_language(model, text):
+    """Language and score by the model's tables, a word at a time."""
+    def known(kind, key):
+        at, row = model.tables[kind].find(np.array([key], dtype=np.uint64))
+        return model.logs[kind][row[0]] if len(at) else None
+
+    words = letter_words(text)
+    sums = np.log(model.priors)
+    for w in words:
+        one = known(0, key_of(w))
+        if one is None:
+            one = np.zeros(len(model.languages))
+            raw, off = text_arrays(pa.array([w]))
+            for n in language.GRAMS:
+                hits = [x for x in (known(n, int(g)) for g in language.grams(Words(raw, off), np.array([0]), n)[1]) if x is not None]
+                if hits:
+                    one = sum(hits)
+                    break
+        sums = sums + one
+    if not words:
+        return "und", 0.0
+    return model.languages[int(sums.argmax())], float(1 / np.exp((sums - sums.max()) / math.sqrt(len(words))).sum())
+
+
 def test_language_held_out(spark):
     rng = random.Random(3)
     sounds = {"xx": ["ka", "lo", "mi", "tu"], "yy": ["schn", "ei", "gro", "ß"], "zz": ["ção", "ñe", "llu", "ar"]}
@@ -84,6 +134,9 @@ def test_language_held_out(spark):
     out = [(by_id.lang_pred[i], lang) for i, _, lang in rows if held(i, 4, 2)]
     assert len(out) > 50 and all(a == b for a, b in out)
     assert [by_id.lang_pred[i] for i in (1000, 1001, 1002, 1003)] == ["und", "und", "und", "xx"]
+    for i, text, _ in rows[:150]:
+        lang, score = plain_language(model, text)
+        assert by_id.lang_pred[i] == lang and by_id.score[i] == pytest.approx(score, abs=1e-9)
     assert by_id.score[1000] == 0 and got.score.between(0, 1).all()
     assert language.predict(docs.limit(0), model).count() == 0
     none = language.fit(docs.limit(0))

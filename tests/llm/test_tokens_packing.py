@@ -37,6 +37,21 @@ def test_ids_equal_the_library(library):
     assert at == len(texts)
 
 
+def thue_morse(letters, n=2048):
+    """A word and its complement: equal under every polynomial hash modulo 2**64."""
+    bits = [bin(i).count("1") % 2 for i in range(n)]
+    return ["".join(letters[b] for b in bits), "".join(letters[1 - b] for b in bits)]
+
+
+@pytest.mark.parametrize("letters", ["th", "in", "=-"])
+def test_regular_words_are_told_apart(library, letters):
+    texts = thue_morse(letters)
+    raw, off = text_arrays(pa.array(texts))
+    counts, flat = tokens.row_tokens(tokens.merges_of(tokens.tokenizer_path()), raw, off, True)
+    ids = [library.encode(t, add_special_tokens=False).ids for t in texts]
+    assert counts.tolist() == [len(x) for x in ids] and flat.tolist() == ids[0] + ids[1]
+
+
 def test_counts_query(spark, library):
     docs = spark.createDataFrame([(1, "Hello world's", "x"), (1, "Hello world's", "x"), (None, "", "y"), (3, None, None),
                                   (4, "word " * 3000, "z")], "doc_id long, text string, n_tokens string")
