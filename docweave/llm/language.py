@@ -8,7 +8,7 @@ characters.  Word scores add up per language, and the best sum wins.
 
 The model is learned from a bounded sample, ``SAMPLE`` texts per language on average (a hash of
 the id below the share that gives that many; all texts of rarer languages),
-counted in Spark.  All counted words and n-grams are kept, of rare languages as of
+counted in Spark.  Words and n-grams seen at least twice are kept, all of them, of rare languages as of
 others; the sample bounds what is sent to the tasks.  Distinct words of a chunk are scored once.
 
 Defined results: a null text or one without a letter is ``und`` with score 0, and so is
@@ -131,12 +131,13 @@ def fit(docs: DataFrame, sample: int = SAMPLE, folds: int = FOLDS, held_out: int
     rows = (id_and_text(docs).join(chosen, "doc_id").select("lang", "text")
             .mapInArrow(count, "lang string, kind int, h long, n long"))
     counted = saved(rows.groupBy("kind", "h", "lang").agg(F.sum("n").alias("n")))
+    twice = counted.groupBy("kind", "h").agg(F.sum("n").alias("total")).filter("total >= 2").select("kind", "h")
     languages = sorted(r.lang for r in chosen.select("lang").distinct().collect())
     if not languages:
         return None
     sizes = {r.lang: r.n for r in chosen.groupBy("lang").agg(F.count("*").alias("n")).collect()}
     priors = np.array([sizes[x] for x in languages], dtype=np.float64)
-    return Model(languages, priors / priors.sum(), counted.toPandas())
+    return Model(languages, priors / priors.sum(), counted.join(twice, ["kind", "h"], "left_semi").toPandas())
 
 
 def predict(docs: DataFrame, model: Model | None, id_col: str = "doc_id", text_col: str = "text",
