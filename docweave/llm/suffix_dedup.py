@@ -18,8 +18,10 @@ them cannot have a twin, so suffixes are sieved without loss before they are sor
    (a long common prefix) goes into a blind trie, which reads only branching
    bytes on the way down and compares once with the leaf it reaches.  Suffixes that
    agree in all ``length`` bytes meet in one leaf; these windows repeat.
-4. An anchor with more than ``MOST_SUFFIXES`` windows (a line that very many texts share) is not
-   sorted in one task: its windows are counted by 128-bit digests, with partial aggregation.
+4. An anchor with more than ``MOST_SUFFIXES`` windows (a line that very many texts share) is split
+   first: its runs are cut into blocks of neighbouring windows, dealt by the bytes that all windows
+   of a block have in common, and each part is sorted as above.  A part that still has
+   more windows (they agree in almost all bytes) is grouped by the windows' whole bytes.
 5. The windows' bytes are united per text and cut out.
 
 Defined results: null and empty texts have 0 bytes, texts shorter than ``length`` lose nothing
@@ -43,7 +45,8 @@ from .work import id_and_text, saved
 LENGTH = 400
 SHALLOW = 32  # bytes sorted by symbols before the tries take over
 BATCH = 200_000  # suffixes sorted at a time in a task
-MOST_SUFFIXES = 500_000
+MOST_SUFFIXES = 100_000  # windows of one anchor, or part of one, sorted in one task
+BLOCKS = 25  # a block of a hot anchor's windows is length / BLOCKS wide
 SEGMENT = 500_000  # bytes looked at together; longer texts are read in overlapping segments
 PLACE_BITS = 24
 ID = ["doc_id", "text_hash"]
@@ -222,26 +225,65 @@ def sort_runs(pieces: DataFrame, length: int) -> DataFrame:
             .mapInArrow(sort, "doc_id long, text_hash long, start int, windows int"))
 
 
-def count_windows(pieces: DataFrame, length: int) -> DataFrame:
-    """The same for anchors with very many windows, by counting 128-bit digests of the windows."""
+def anchor_place(raw: np.ndarray, length: int) -> tuple[int, int]:
+    """Offset of the anchor in a run's first window, and the anchor's hash."""
+    gram = gram_of(length)
+    at = np.arange(length - gram + 1)
+    grams = mix(span_hash(prefix_hash(raw[:length].astype(np.uint16) + np.uint16(1)), at, at + gram))
+    place = int(np.argmin(grams & ~U64((1 << PLACE_BITS) - 1)))
+    return place, int(grams[place])
 
-    def digest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+
+def split_runs(pieces: DataFrame, length: int) -> DataFrame:
+    """Cuts the runs of hot anchors into blocks of neighbouring windows, keyed by content.
+
+    Equal windows hold their anchor at the same offset, so a block is the windows of a run whose anchor
+    offsets share their quotient by the block's width.  All windows a block can have contain its core
+    (``length - width + 1`` bytes), so equal windows have equal keys (anchor, quotient, core's hash);
+    a clash of keys only puts more windows into one sort."""
+    width = max(1, length // BLOCKS)
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
+            out: list[list] = [[] for _ in range(6)]
             for single, doc_id, text_hash, start, data in zip(*(c.to_pylist() for c in batch.columns)):
                 raw = np.frombuffer(data, dtype=np.uint8)
-                at = np.arange(len(raw) - length + 1)
-                a = span_hash(prefix_hash(raw.astype(np.uint16) + np.uint16(1)), at, at + length)
-                b = span_hash(prefix_hash(mix(raw.astype(U64) + U64(77)) | U64(1)), at, at + length)
-                n = len(at)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(mix(a).view(np.int64)), pa.array(mix(b).view(np.int64)), pa.array([single] * n, pa.bool_()),
-                     pa.array([doc_id] * n, pa.int64()), pa.array([text_hash] * n, pa.int64()),
-                     pa.array((start + at).astype(np.int32))], names=["a", "b", "single", *ID, "start"])
-
-    rows = saved(pieces.select("single", *ID, "start", "bytes").mapInArrow(
-        digest, "a long, b long, single boolean, doc_id long, text_hash long, start int"))
-    twins = rows.groupBy("a", "b").agg(F.count("*").alias("n")).filter("n > 1").select("a", "b")
-    return rows.filter("single").join(twins, ["a", "b"], "left_semi").select(*ID, "start", F.lit(1).alias("windows"))
+                anchor, gram = anchor_place(raw, length)
+                prefix, last = prefix_hash(raw.astype(np.uint16) + np.uint16(1)), len(raw) - length
+                block = np.arange(max(0, anchor - last) // width, anchor // width + 1)
+                first = np.maximum(anchor - (block * width + width - 1), 0)
+                end = np.minimum(anchor - block * width, last)
+                core = anchor - block * width
+                key = mix(span_hash(prefix, core, core + length - width + 1)
+                          + mix(U64(gram) + mix(block.astype(U64) + U64(1)))).view(np.int64)
+                for k, lo, hi in zip(key.tolist(), first.tolist(), end.tolist()):
+                    for column, value in zip(out, (k, single, doc_id, text_hash, start + lo, data[lo:hi + length])):
+                        column.append(value)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(out[0], pa.int64()), pa.array(out[1], pa.bool_()), pa.array(out[2], pa.int64()), pa.array(out[3], pa.int64()),
+                 pa.array(out[4], pa.int32()), pa.array(out[5], pa.binary())], names=["anchor", "single", *ID, "start", "bytes"])
+
+    return pieces.select("single", *ID, "start", "bytes").mapInArrow(
+        cut, "anchor long, single boolean, doc_id long, text_hash long, start int, bytes binary")
+
+
+def equal_windows(pieces: DataFrame, length: int) -> DataFrame:
+    """Repeated windows of blocks whose core very many runs share: the windows are grouped by all their
+    bytes, with partial aggregation."""
+    rows = saved(pieces.select("single", *ID, "start", F.posexplode(F.transform(
+        F.sequence(F.lit(0), F.octet_length("bytes") - length), lambda i: F.substring(F.col("bytes"), i + 1, length))).alias("at", "window")))
+    twins = rows.groupBy("window").agg(F.count("*").alias("n")).filter("n > 1").select("window")
+    return (rows.filter("single").join(twins, "window", "left_semi")
+            .select(*ID, (F.col("start") + F.col("at")).alias("start"), F.lit(1).alias("windows")))
+
+
+def sort_hot(pieces: DataFrame, length: int, most_suffixes: int) -> DataFrame:
+    """``sort_runs`` for anchors with very many windows: split by content, each part sorted."""
+    blocks = saved(split_runs(pieces, length))
+    sizes = (blocks.groupBy("anchor").agg(F.sum((F.octet_length("bytes") - length + 1).cast("long")).alias("suffixes"))
+             .filter("suffixes > 1").select("anchor", (F.col("suffixes") > most_suffixes).alias("wide")))
+    parts = saved(blocks.join(sizes, "anchor"))
+    return sort_runs(parts.filter("NOT wide"), length).unionAll(equal_windows(parts.filter("wide"), length))
 
 
 def same_text(left: str, right: str) -> Column:
@@ -277,7 +319,7 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
         *ID, "p.*", F.substring(F.col("text").cast("binary"), F.col("p.start") + 1, F.col("p.windows") + length - 1).alias("bytes"))
     part = saved(part)
     # 3, 4. Sort what is left.
-    more = sort_runs(part.filter("NOT hot"), length).unionAll(count_windows(part.filter("hot"), length))
+    more = sort_runs(part.filter("NOT hot"), length).unionAll(sort_hot(part.filter("hot"), length, most_suffixes))
     extra = more.groupBy(*ID).agg(F.collect_list(F.struct("start", "windows")).alias("more"))
     # 5. Cut.
     lost = F.transform(F.filter("parts", lambda p: p["anchor"].isNull()), lambda p: F.struct(p["start"].alias("start"), p["windows"].alias("windows")))

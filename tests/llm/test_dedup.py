@@ -162,6 +162,36 @@ def test_suffix_dedup(spark, most):
         assert r.kept_sha256 == hashlib.sha256(r.kept).hexdigest() and sum(s.length for s in r.spans) == r.n_removed
 
 
+@pytest.mark.parametrize("most", [4, 60, 100_000])
+def test_suffix_dedup_hot_anchor(spark, most):
+    """One line that many texts share between different words: wide blocks, parts that stay wide, and all in one sort."""
+    rng = random.Random(11)
+    word = lambda n: "".join(rng.choice("abcdefghij ") for _ in range(n))
+    line, tail = word(95), word(40)
+    texts = [word(rng.randint(0, 30)) + line + word(rng.randint(0, 30)) for _ in range(40)]
+    texts += [word(9) + line + tail[:rng.randint(0, 40)] for _ in range(20)] + ["z" * 7 + line * 3, "x" * 150]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3)
+    got = suffix_dedup.remove_repeats(docs, length=100, keep_text=True, most_suffixes=most).collect()
+    expected = [(i, *row) for i, row in enumerate(brute_repeats(texts, 100))]
+    assert sorted((r.doc_id, r.n_bytes, r.n_removed, r.n_spans, bytes(r.kept)) for r in got) == expected
+
+
+def test_blocks_of_equal_windows_share_a_key(spark):
+    rng = random.Random(12)
+    line = bytes(rng.choice(b"abcdefgh") for _ in range(130))
+    raw = np.frombuffer(b"before " + line + b" after", dtype=np.uint8)
+    row, start, windows, _, _ = suffix_dedup.runs(np.concatenate([raw, raw[3:]]), np.array([0, len(raw), 2 * len(raw) - 3]), 100)
+    whole = np.concatenate([raw, raw[3:]]).tobytes()
+    pieces = [(True, int(r), 0, int(s), bytearray(whole[s:s + w + 99])) for r, s, w in zip(row, start, windows)]
+    df = spark.createDataFrame(pieces, "single boolean, doc_id long, text_hash long, start int, bytes binary")
+    keys, seen = {}, 0
+    for block in suffix_dedup.split_runs(df, 100).collect():
+        for i in range(len(block.bytes) - 99):
+            seen += 1
+            assert keys.setdefault(bytes(block.bytes[i:i + 100]), block.anchor) == block.anchor
+    assert seen == int(windows.sum()) and len(set(keys.values())) > 1
+
+
 def test_suffix_dedup_repeated_rows(spark):
     docs = spark.createDataFrame([(1, "q" * 3 + "0123456789abcdefghij" * 30), (1, "q" * 3 + "0123456789abcdefghij" * 30), (2, "z" * 399)], "doc_id long, text string")
     got = suffix_dedup.remove_repeats(docs).collect()
