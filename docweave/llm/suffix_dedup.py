@@ -225,6 +225,12 @@ def sort_runs(pieces: DataFrame, length: int) -> DataFrame:
             .mapInArrow(sort, "doc_id long, text_hash long, start int, windows int"))
 
 
+def listed(keys: DataFrame) -> DataFrame:
+    """Keys to join with the rows they were counted from.  Written first: joined in the stage that counts
+    them, they would bind the join to one task per key, and Spark could not split a hot one."""
+    return saved(keys).hint("merge")
+
+
 def anchor_place(raw: np.ndarray, length: int) -> tuple[int, int]:
     """Offset of the anchor in a run's first window, and the anchor's hash."""
     gram = gram_of(length)
@@ -273,7 +279,7 @@ def equal_windows(pieces: DataFrame, length: int) -> DataFrame:
     rows = saved(pieces.select("single", *ID, "start", F.posexplode(F.transform(
         F.sequence(F.lit(0), F.octet_length("bytes") - length), lambda i: F.substring(F.col("bytes"), i + 1, length))).alias("at", "window")))
     twins = rows.groupBy("window").agg(F.count("*").alias("n")).filter("n > 1").select("window")
-    return (rows.filter("single").join(twins, "window", "left_semi")
+    return (rows.filter("single").join(listed(twins), "window", "left_semi")
             .select(*ID, (F.col("start") + F.col("at")).alias("start"), F.lit(1).alias("windows")))
 
 
@@ -282,7 +288,7 @@ def sort_hot(pieces: DataFrame, length: int, most_suffixes: int) -> DataFrame:
     blocks = saved(split_runs(pieces, length))
     sizes = (blocks.groupBy("anchor").agg(F.sum((F.octet_length("bytes") - length + 1).cast("long")).alias("suffixes"))
              .filter("suffixes > 1").select("anchor", (F.col("suffixes") > most_suffixes).alias("wide")))
-    parts = saved(blocks.join(sizes, "anchor"))
+    parts = saved(blocks.join(listed(sizes), "anchor"))
     return sort_runs(parts.filter("NOT wide"), length).unionAll(equal_windows(parts.filter("wide"), length))
 
 
@@ -299,12 +305,12 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     found = saved(run_rows(texts, length))
     shared = (found.groupBy("anchor").agg(F.count("*").alias("n"), F.min("run").alias("lo"), F.max("run").alias("hi"))
               .filter("n > 1").select("anchor", (F.col("lo") != F.col("hi")).alias("mixed")))
-    shared_runs = saved(found.join(shared, "anchor"))
+    shared_runs = saved(found.join(listed(shared), "anchor"))
     mixed = shared_runs.filter("mixed")
     runs_of = saved(mixed.groupBy("anchor", "run").agg(
         F.count("*").alias("n"), F.first(F.struct(*ID, "start", "windows")).alias("one")))
     weights = runs_of.groupBy("anchor").agg(F.sum(F.col("one.windows").cast("long")).alias("suffixes"), F.min("n").alias("least"))
-    pieces = (runs_of.join(weights.filter("least = 1"), "anchor")
+    pieces = (runs_of.join(listed(weights.filter("least = 1")), "anchor")
               .select("one.*", "anchor", (F.col("n") == 1).alias("single"), (F.col("suffixes") > most_suffixes).alias("hot")))
     known = (shared_runs.filter("NOT mixed").select(*ID, "start", "windows")
              .unionAll(mixed.join(runs_of.filter("n > 1").select("anchor", "run"), ["anchor", "run"], "left_semi")
