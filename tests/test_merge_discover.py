@@ -143,3 +143,18 @@ def test_expand_sources_routes_feed_hosts(spark):
     p, b = [(2, f"pub.medium.com/{i}") for i in range(5)], [(3, f"b.com/blog/post-{i}") for i in range(4)]
     assert links(7) == a[:2] + m[:2] + p[:2] + b[:1]
     assert links(12) == a[:3] + m + p[:3] + b[:3]
+
+
+def test_feed_is_read_once_for_all_its_sources(spark):
+    item = "<item><link>https://medium.com/p/{}</link></item>".format
+    sources = spark.createDataFrame([("blogs", 0, "https://medium.com/t", ""), ("news", 1, "https://medium.com/t/", ""), ("blogs", 2, "https://medium.com/t?x=1", ""),
+                                     ("blogs", 3, "https://medium.com/none", "")], "category string, source_pos long, source_url string, html string")
+    feeds = spark.createDataFrame([("https://medium.com/feed/t", 2, f"<rss><channel>{item(1)}{item(3)}{item(4)}</channel></rss>"),
+                                   ("https://medium.com/feed/t", 1, f"<rss><channel>{item(1)}{item(2)}{item(1)}</channel></rss>")],
+                                  "feed_url string, feed_pos long, xml string")
+    out = L.feed_source_links(sources, feeds, L.by_category({"blogs": 2, "news": 3}), 3)
+    got = sorted((r.source_pos, r.pos, r.source_rank, r.link[-1]) for r in out.collect())
+    assert got == [(0, 0, 1, "1"), (0, 1, 2, "2"), (1, 0, 1, "1"), (1, 1, 2, "2"), (1, 2, 3, "3"), (2, 0, 1, "1"), (2, 1, 2, "2")]
+    # The documents are parsed below the join with the sources, not once per source above it.
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert "Join" in plan and "Join" not in plan[plan.index("from_xml"):]
