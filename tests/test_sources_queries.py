@@ -159,6 +159,33 @@ def test_rendered_challenge_page(spark):
     assert X.rendered_article_records(df).first().challenge_reason == "bot_protection_challenge"
 
 
+def test_challenge_pages_are_errors(spark, tmp_path):
+    body = "<p>" + "Agents read long pages. " * 20 + "</p>"
+    pages = {
+        # The marks are in the footer, outside the main text.
+        1: (f"<title>T</title><main>{body}</main><footer>Ray ID: <b>7</b> by Cloud&#102;lare</footer>", "bot_protection_challenge"),
+        # A phrase over several text pieces, in a short page: the challenge is the reason, not the length.
+        2: ("<article>Performing<!-- --> <i>security</i><script>x()</script> verification</article>", "bot_protection_challenge"),
+        3: (f"<noscript>Enable JavaScript and cookies to continue</noscript><article>{body}</article>", "bot_protection_challenge"),
+        # One half of the pair, and marks that are no text of the page.
+        4: (f"<article>{body}Ray ID</article>", None),
+        5: (f"<script>'ray id'</script><!-- performing security verification --><article title='cloudflare'>{body}</article>", None),
+        6: ("<article>short</article>", "insufficient_content: extracted 5 chars"),
+        7: (None, "insufficient_content: extracted 0 chars"),
+    }
+    rows = [(i, f"https://site.org/{i}", html) for i, (html, _) in pages.items()]
+    spark.createDataFrame(rows, "page_id long, url string, html string").write.parquet(f"{tmp_path}/pages.parquet")
+    got = {r.seq: r for r in se.queries()["h9_article_documents"](spark, str(tmp_path)).collect()}
+    assert {i: r.status for i, r in got.items()} == {i: "error" if reason else "ready" for i, (_, reason) in pages.items()}
+    for i, (_, reason) in pages.items():
+        document = [got[i][c] for c in ("title", "collection_name", "content_kind", "ai_relevance_score", "tags")]
+        assert document == [None] * 5 if reason else None not in document, i
+    records = X.article_records(spark.createDataFrame(rows, "seq long, link string, html string"))
+    docs = P.build_documents(records.withColumn("topic_query", F.lit("agentic ai")), topic="agentic ai", failure="challenge_reason")
+    assert {r.seq: (r.reason, r.has_document, r.link) for r in docs.collect()} == {
+        i: (reason, reason is None, f"https://site.org/{i}") for i, (_, reason) in pages.items()}
+
+
 def test_entities(spark):
     rng = random.Random(4)
     atoms = ["&copy2", "&copy;", "&amp", "&AMP;lt;", "&notit;", "&notin;", "&Bopf;", "&nosuch;", "&#65", "&#x41;", "&#X1F600;", "&#0;", "&#13;", "&#128;", "&#x80",
